@@ -17,7 +17,17 @@ from tessera.operators.pivot import pivot_years
 from tessera.operators.rules import FAILED, with_failed_rules
 from tessera.operators.transform import transform
 from tessera.plans.curation import curate
-from tessera.schemas import CURATED_COLUMNS, PIVOT_VALUE_COLUMNS
+from tessera.schemas import CURATED_COLUMNS, PIVOT_VALUE_COLUMNS, RAW_SCHEMA
+from tessera.sources.pages import (
+    audit_pages,
+    decode_json_pages,
+    layer_label,
+    pack_json_pages,
+    page_stats_json,
+    parse_layer_meta,
+    plan_pages,
+    route,
+)
 from tessera.sources.fixtures import (
     BUILDING_REGISTRY_SQL,
     RAW_READINGS_SQL,
@@ -307,6 +317,148 @@ def q_filtered_count(spark, sf_dir):
     )
 
 
+
+# ---------------------------------------------------------------------------
+# Pages: metadata, plan, routing, JSON decoding, audit
+# ---------------------------------------------------------------------------
+
+READINGS_URL = "https://gis.example.org/arcgis/rest/services/HEAT_INDEX/FeatureServer/0/query"
+PAGE = 1000  # curation page size
+
+
+def _readings_json_pages(spark, sf_dir, chunk=PAGE):
+    return pack_json_pages(raw_readings(spark, sf_dir), chunk, key="OBJECTID", layer="HEAT_INDEX")
+
+
+@register(
+    "layer_meta",
+    _with(
+        _RAW,
+        ("per", "select coalesce(COMMUNE, 'UNKNOWN') as layer, count(*) as n from raw group by 1"),
+        (
+            "sized",
+            """select layer, n, cast(coalesce(case when n >= 2000 then 1000 end, 2000)
+       * coalesce(case when n >= 2500 then 1.5 end, 1.0) as bigint) as chunk_size from per""",
+        ),
+        body="select layer, n, chunk_size, cast(ceil(n / chunk_size) as bigint) as n_pages from sized",
+    ),
+)
+def q_layer_meta(spark, sf_dir):
+    """Metadata documents of per-commune layers, parsed; page size resolved
+    with the server defaults where a document lacks the fields."""
+    per = raw_readings(spark, sf_dir).groupBy(
+        F.coalesce(F.col("COMMUNE"), F.lit("UNKNOWN")).alias("layer")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    n = F.col("n")
+    doc = F.to_json(
+        F.struct(
+            F.col("layer").alias("name"),
+            F.when(n >= 2000, F.lit(1000)).alias("standardMaxRecordCount"),
+            F.when(n >= 2500, F.lit(1.5)).alias("maxRecordCountFactor"),
+        )
+    )
+    meta = parse_layer_meta(per.select("layer", "n", doc.alias("doc")))
+    return meta.select(
+        "layer", "n", "chunk_size", F.ceil(F.col("n") / F.col("chunk_size")).alias("n_pages")
+    )
+
+
+@register(
+    "page_plan",
+    _with(
+        _RAW,
+        ("c", "select count(*) as n from raw"),
+        body=f"""select cast(off // {PAGE} as bigint) as page, cast(off as bigint) as offset,
+  cast(least({PAGE}, n - off) as bigint) as expected_rows
+from (select n, unnest(range(0, n, {PAGE})) as off from c)""",
+    ),
+)
+def q_page_plan(spark, sf_dir):
+    total = raw_readings(spark, sf_dir).count()
+    return plan_pages(spark, total, PAGE)
+
+
+@register(
+    "page_route",
+    _with(
+        _RAW,
+        ("c", "select count(*) as n from raw"),
+        body=f"""select 'readings' as source, cast(off // {PAGE} as bigint) as page_id,
+  'json' as route, 'HEAT_INDEX' as layer
+from (select unnest(range(0, n, {PAGE})) as off from c)
+union all
+select 'pages' as source, page_id,
+  case when regexp_matches(html, '^\\s*[\\[{{]') then 'json' else 'pbf' end as route,
+  coalesce(nullif(regexp_extract(url, '/services/([^/]+)/', 1), ''), 'ArcGIS') as layer
+from pages""",
+    ),
+)
+def q_page_route(spark, sf_dir):
+    readings = _readings_json_pages(spark, sf_dir).select(
+        F.lit("readings").alias("source"),
+        F.col("page").alias("page_id"),
+        F.lit(READINGS_URL).alias("url"),
+        "body",
+    )
+    html = table(spark, sf_dir, "pages").select(
+        F.lit("pages").alias("source"),
+        "page_id",
+        "url",
+        F.encode(F.col("html"), "UTF-8").alias("body"),
+    )
+    routed = route(readings.unionByName(html), requested="pbf")
+    return routed.select("source", "page_id", "route", layer_label(F.col("url")).alias("layer"))
+
+
+@register("json_features", _with(_RAW, body="select * from raw"))
+def q_json_features(spark, sf_dir):
+    return decode_json_pages(_readings_json_pages(spark, sf_dir), RAW_SCHEMA)
+
+
+@register(
+    "page_audit",
+    _with(
+        _RAW,
+        ("c", "select count(*) as n from raw"),
+        body=f"""select cast(off // {PAGE} as bigint) as page, cast(off as bigint) as offset,
+  cast(least({PAGE}, n - off) as bigint) as expected_rows,
+  cast(least({PAGE}, n - off) as bigint) as actual_rows,
+  off + {PAGE} < n as exceeded,
+  case when off + {PAGE} < n then 'full' else 'ok' end as status
+from (select n, unnest(range(0, n, {PAGE})) as off from c)""",
+    ),
+)
+def q_page_audit(spark, sf_dir):
+    pages = _readings_json_pages(spark, sf_dir)
+    total = raw_readings(spark, sf_dir).count()
+    return audit_pages(plan_pages(spark, total, PAGE), page_stats_json(pages, RAW_SCHEMA))
+
+
+@register(
+    "scan_audit",
+    _with(
+        _RAW,
+        body=f"""select cast(ceil(count(*) / {PAGE}) as bigint) as n_pages, count(*) as n_rows,
+  count(distinct OBJECTID) as n_distinct_ids,
+  count(*) - count(distinct OBJECTID) as n_duplicate_rows from raw""",
+    ),
+)
+def q_scan_audit(spark, sf_dir):
+    """Rows read == rows counted, and no object id read twice."""
+    pages = _readings_json_pages(spark, sf_dir)
+    feats = decode_json_pages(pages, RAW_SCHEMA)
+    per_id = feats.groupBy("OBJECTID").agg(F.count(F.lit(1)).alias("_n"))
+    tagged = per_id.select("_n", F.lit(0).alias("_p")).unionByName(
+        pages.select(F.lit(None).cast("bigint").alias("_n"), F.lit(1).alias("_p"))
+    )
+    return tagged.agg(
+        F.sum("_p").cast("bigint").alias("n_pages"),
+        F.sum("_n").alias("n_rows"),
+        F.count("_n").alias("n_distinct_ids"),
+        F.sum(F.col("_n") - 1).alias("n_duplicate_rows"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
