@@ -18,6 +18,8 @@ from tessera.operators.rules import FAILED, with_failed_rules
 from tessera.operators.transform import transform
 from tessera.plans.curation import curate
 from tessera.schemas import CURATED_COLUMNS, PIVOT_VALUE_COLUMNS, RAW_SCHEMA
+from tessera.session import scratch_path
+from tessera.sources.layer import land_layer, read_layer
 from tessera.sources.pages import (
     audit_pages,
     decode_json_pages,
@@ -459,6 +461,16 @@ def q_scan_audit(spark, sf_dir):
     )
 
 
+
+@register("layer_scan", _with(_RAW, body="select * from raw"))
+def q_layer_scan(spark, sf_dir):
+    """Land the readings layer as JSON page files in the shared folder, then
+    read it back through the ``feature_pages`` source (bulk layer read)."""
+    root = scratch_path(spark, "readings-layer")
+    land_layer(raw_readings(spark, sf_dir), root, PAGE, key="OBJECTID", layer="HEAT_INDEX")
+    return read_layer(spark, RAW_SCHEMA, path=root, response_format="json")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
