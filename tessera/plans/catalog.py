@@ -18,6 +18,9 @@ from tessera.operators.rules import FAILED, with_failed_rules
 from tessera.operators.transform import transform
 from tessera.plans.curation import curate
 from tessera.schemas import CURATED_COLUMNS, PIVOT_VALUE_COLUMNS, RAW_SCHEMA
+from tessera.functions.geometry import UPPER_LEFT, zigzag
+from tessera.functions.indexing import running_sum
+from tessera.operators.geometry import assign_parts, decode_deltas
 from tessera.session import scratch_path
 from tessera.sources.layer import land_layer, read_layer
 from tessera.sources.pages import (
@@ -471,6 +474,84 @@ def q_layer_scan(spark, sf_dir):
     return read_layer(spark, RAW_SCHEMA, path=root, response_format="json")
 
 
+# ---------------------------------------------------------------------------
+# Coordinates: zigzag, running sums, dequantization, parts
+# ---------------------------------------------------------------------------
+
+# Quantization of the event track fixture: 1 unit = 1 mm, origin upper left.
+TRACK_SCALE, TRACK_X0, TRACK_Y0 = 0.001, 2480000.0, 1110000.0
+
+_TRACK_SQL = """
+select user_id, event_id, cast(ts as date) as day,
+  xor(zx >> 1, -(zx & 1)) as dx, xor(zy >> 1, -(zy & 1)) as dy
+from (select user_id, event_id, ts, cast(round(value * 100) as bigint) as zx,
+        cast(json_extract_string(props, '$.k') as bigint) as zy from events)
+"""
+
+
+def _track(spark, sf_dir):
+    """Event track as zigzag-coded integer deltas: one vertex per event,
+    feature = user, vertex order = event_id."""
+    e = table(spark, sf_dir, "events")
+    zx = F.round(F.col("value") * 100).cast("bigint")
+    zy = F.get_json_object("props", "$.k").cast("bigint")
+    return e.select(
+        "user_id",
+        "event_id",
+        F.to_date("ts").alias("day"),
+        zigzag(zx).alias("dx"),
+        zigzag(zy).alias("dy"),
+    )
+
+
+@register(
+    "delta_dequantize",
+    _with(
+        ("t", _TRACK_SQL),
+        body=f"""select user_id, event_id,
+  {TRACK_X0}::double + cast(sum(dx) over w as double) * {TRACK_SCALE}::double as x,
+  {TRACK_Y0}::double + (-1.0)::double * (cast(sum(dy) over w as double) * {TRACK_SCALE}::double) as y
+from t window w as (partition by user_id order by event_id rows between unbounded preceding and current row)""",
+    ),
+)
+def q_delta_dequantize(spark, sf_dir):
+    v = decode_deltas(
+        _track(spark, sf_dir),
+        ["user_id"],
+        "event_id",
+        x_scale=TRACK_SCALE,
+        y_scale=TRACK_SCALE,
+        x_translate=TRACK_X0,
+        y_translate=TRACK_Y0,
+        origin=UPPER_LEFT,
+    )
+    return v.select("user_id", "event_id", "x", "y")
+
+
+@register(
+    "geometry_parts",
+    _with(
+        ("t", _TRACK_SQL),
+        body="""select user_id, event_id,
+  cast(row_number() over (partition by user_id order by event_id) - 1 as bigint) as vertex,
+  cast(dense_rank() over (partition by user_id order by day) - 1 as bigint) as part
+from t""",
+    ),
+)
+def q_geometry_parts(spark, sf_dir):
+    """Each user's track is one multi-part line, one part per day: part
+    lengths are the per-day vertex counts; parts are assigned from them."""
+    t = _track(spark, sf_dir)
+    counted = running_sum(t.withColumn("_one", F.lit(1)), ["user_id"], "event_id", ["_one"])
+    vertices = counted.select("user_id", "event_id", (F.col("_one_cum") - 1).alias("vertex"))
+    lengths = t.groupBy(
+        "user_id", F.unix_date("day").cast("bigint").alias("part")
+    ).agg(F.count(F.lit(1)).alias("length"))
+    return assign_parts(vertices, lengths, ["user_id"], "vertex").select(
+        "user_id", "event_id", "vertex", F.col("part").cast("bigint").alias("part")
+    )
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
