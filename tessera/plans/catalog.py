@@ -18,7 +18,8 @@ from tessera.operators.rules import FAILED, with_failed_rules
 from tessera.operators.transform import transform
 from tessera.plans.curation import curate
 from tessera.schemas import CURATED_COLUMNS, PIVOT_VALUE_COLUMNS, RAW_SCHEMA
-from tessera.functions.geometry import UPPER_LEFT, zigzag
+from tessera.functions.geometry import UPPER_LEFT, outer_ring_wkt, zigzag
+from tessera.sources.binary import decode_pbf_pages, pack_pbf_pages
 from tessera.functions.indexing import running_sum
 from tessera.operators.geometry import assign_parts, decode_deltas
 from tessera.session import scratch_path
@@ -37,8 +38,12 @@ from tessera.sources.fixtures import (
     BUILDING_REGISTRY_SQL,
     RAW_READINGS_SQL,
     REQUESTED_BUILDINGS_SQL,
+    FOOTPRINT_SIDE,
+    FOOTPRINT_X0,
+    FOOTPRINT_Y0,
     building_registry,
     raw_readings,
+    readings_with_footprint,
     requested_buildings,
     table,
 )
@@ -552,6 +557,64 @@ def q_geometry_parts(spark, sf_dir):
     )
 
 
+# ---------------------------------------------------------------------------
+# Binary pages and footprints
+# ---------------------------------------------------------------------------
+
+# Quantization of the binary readings pages: millimetres, origin upper left.
+PBF_QUANTIZE = {"origin": 0, "sx": 0.001, "sy": 0.001, "tx": 2480000.0, "ty": 1200000.0}
+# Integer attribute encodings used for the binary pages (others: int64).
+PBF_SLOTS = {"ANNEE": "sint32", "INDICE": "sint64", "SRE": "uint32"}
+
+
+def _readings_pbf_pages(spark, sf_dir, chunk=PAGE):
+    return pack_pbf_pages(
+        readings_with_footprint(spark, sf_dir),
+        chunk,
+        key="OBJECTID",
+        layer="HEAT_INDEX",
+        geometry="geometry",
+        slots=PBF_SLOTS,
+        quantize=PBF_QUANTIZE,
+    )
+
+
+@register("pbf_features", _with(_RAW, body="select * from raw"))
+def q_pbf_features(spark, sf_dir):
+    return decode_pbf_pages(_readings_pbf_pages(spark, sf_dir), RAW_SCHEMA)
+
+
+def _ring_sql(x: str, y: str, side: float) -> str:
+    pts = [(0, 0), (side, 0), (side, side), (0, side), (0, 0)]
+    return " || ', ' || ".join(
+        f"printf('%.3f %.3f', {x} + {dx}, {y} + {dy})" for dx, dy in pts
+    )
+
+
+@register(
+    "outer_ring_wkt",
+    _with(
+        _RAW,
+        (
+            "g",
+            f"""select OBJECTID, AGENT_ENERGETIQUE_1 as a,
+  {FOOTPRINT_X0}::double + (EGID - 9990.0) * 7.0::double as x,
+  {FOOTPRINT_Y0}::double + cast(OBJECTID as double) * 0.5::double as y from raw""",
+        ),
+        body=f"""select OBJECTID, case when a = '1-URGENT' then 2 else 1 end as n_parts,
+  'POLYGON ((' || {_ring_sql("x", "y", FOOTPRINT_SIDE)} || '))' as wkt from g""",
+    ),
+)
+def q_outer_ring_wkt(spark, sf_dir):
+    """Binary pages -> decoded footprints -> WKT of the outer ring (holes dropped)."""
+    feats = decode_pbf_pages(_readings_pbf_pages(spark, sf_dir), RAW_SCHEMA, with_geometry=True)
+    return feats.select(
+        "OBJECTID",
+        F.size("geometry.parts").alias("n_parts"),
+        outer_ring_wkt(F.col("geometry")).alias("wkt"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -68,6 +68,39 @@ def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Footprint fixture: a 12.5 m square per reading (plus a 5 m hole for urgent
+# ones), placed from the building and object ids, in metres of EPSG:2056.
+FOOTPRINT_X0, FOOTPRINT_Y0, FOOTPRINT_SIDE = 2480000.0, 1110000.0, 12.5
+HOLE_INSET, HOLE_SIDE = 2.5, 5.0
+
+
+def _square(x: Column, y: Column, side: float) -> Column:
+    corners = [(0, 0), (side, 0), (side, side), (0, side), (0, 0)]
+    return F.array(
+        *[F.struct((x + F.lit(dx)).alias("x"), (y + F.lit(dy)).alias("y")) for dx, dy in corners]
+    )
+
+
+def readings_with_footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_readings`` plus a polygon ``geometry`` column (GEOMETRY struct)."""
+    r = raw_readings(spark, sf_dir)
+    x = F.lit(FOOTPRINT_X0) + (F.col("EGID") - F.lit(9990.0)) * F.lit(7.0)
+    y = F.lit(FOOTPRINT_Y0) + F.col("OBJECTID").cast("double") * F.lit(0.5)
+    outer = _square(x, y, FOOTPRINT_SIDE)
+    hole = _square(x + F.lit(HOLE_INSET), y + F.lit(HOLE_INSET), HOLE_SIDE)
+    parts = F.when(F.col("AGENT_ENERGETIQUE_1") == "1-URGENT", F.array(outer, hole)).otherwise(
+        F.array(outer)
+    )
+    geom = F.struct(
+        F.lit("polygon").alias("type"),
+        F.lit(None).cast("double").alias("x"),
+        F.lit(None).cast("double").alias("y"),
+        parts.alias("parts"),
+        F.lit(2056).alias("wkid"),
+    )
+    return r.withColumn("geometry", geom)
+
+
 def requested_buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requested building keys: every customer of the BUILDING segment."""
     c = table(spark, sf_dir, "customer")
