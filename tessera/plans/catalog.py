@@ -17,7 +17,9 @@ from tessera.operators.pivot import pivot_years
 from tessera.operators.rules import FAILED, with_failed_rules
 from tessera.operators.transform import transform
 from tessera.plans.curation import curate
-from tessera.schemas import CURATED_COLUMNS, PIVOT_VALUE_COLUMNS, RAW_SCHEMA
+from tessera.functions.timestamps import ms_to_ntz, ntz_to_ms
+from tessera.operators.contract import contract_diff
+from tessera.schemas import API_COLUMNS, CURATED_COLUMNS, PIVOT_VALUE_COLUMNS, RAW_SCHEMA
 from tessera.functions.geometry import UPPER_LEFT, outer_ring_wkt, zigzag
 from tessera.sources.binary import decode_pbf_pages, pack_pbf_pages
 from tessera.functions.indexing import running_sum
@@ -25,6 +27,7 @@ from tessera.operators.geometry import assign_parts, decode_deltas
 from tessera.session import scratch_path
 from tessera.sources.layer import land_layer, read_layer
 from tessera.sources.pages import (
+    attribute_names_json,
     audit_pages,
     decode_json_pages,
     layer_label,
@@ -615,6 +618,48 @@ def q_outer_ring_wkt(spark, sf_dir):
     )
 
 
+# ---------------------------------------------------------------------------
+# Dates and the column contract
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "epoch_ms_cast",
+    """select event_id, epoch_us(ts) // 1000 as ms,
+  make_timestamp((epoch_us(ts) // 1000) * 1000) as ts_ms from events""",
+)
+def q_epoch_ms_cast(spark, sf_dir):
+    """Zone-less timestamps -> epoch milliseconds -> timestamps (ms precision)."""
+    e = table(spark, sf_dir, "events")
+    ms = ntz_to_ms(F.col("ts"))
+    return e.select("event_id", ms.alias("ms"), ms_to_ntz(ms).alias("ts_ms"))
+
+
+_EXPECTED_SQL = " union all ".join(f"select '{c}' as name" for c in API_COLUMNS)
+
+
+@register(
+    "contract_diff",
+    _with(
+        _RAW,
+        ("drifted", "select * rename (NBRE_PRENEUR as NB_PRENEURS) from raw"),
+        ("got", "select distinct unnest(json_keys(to_json(d))) as name from drifted d"),
+        ("expected", _EXPECTED_SQL),
+        body="""select name as column_name, 'missing' as status from expected
+  where name not in (select name from got)
+union all
+select name as column_name, 'unexpected' as status from got
+  where name not in (select name from expected)""",
+    ),
+)
+def q_contract_diff(spark, sf_dir):
+    """Attribute names read from the layer's JSON pages against the contract;
+    the layer served here has drifted (one attribute renamed)."""
+    drifted = raw_readings(spark, sf_dir).withColumnRenamed("NBRE_PRENEUR", "NB_PRENEURS")
+    pages = pack_json_pages(drifted, PAGE, key="OBJECTID", layer="HEAT_INDEX")
+    return contract_diff(attribute_names_json(pages), API_COLUMNS)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

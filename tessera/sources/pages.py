@@ -265,6 +265,31 @@ def decode_json_pages(
     return f.select(*cols)
 
 
+def attribute_names_json(pages: DataFrame) -> DataFrame:
+    """Distinct attribute names (``name``) over every feature of JSON pages.
+
+    The attributes are parsed as a string map, so names outside any declared
+    schema are kept (a declared struct would drop them silently).
+    """
+    loose = T.StructType(
+        [
+            T.StructField(
+                "features",
+                T.ArrayType(
+                    T.StructType(
+                        [T.StructField("attributes", T.MapType(T.StringType(), T.StringType()))]
+                    )
+                ),
+            )
+        ]
+    )
+    doc = F.from_json(F.decode(F.col("body"), "UTF-8"), loose)
+    feats = pages.select(F.explode(doc["features"]).alias("f")).where(
+        F.col("f.attributes").isNotNull()
+    )
+    return feats.select(F.explode(F.map_keys("f.attributes")).alias("name")).distinct()
+
+
 def page_stats_json(pages: DataFrame, attributes: T.StructType) -> DataFrame:
     """(page, offset, actual_rows, exceeded, error_code) per JSON page."""
     parsed = parse_json_pages(pages, attributes)
