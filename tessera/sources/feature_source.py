@@ -186,7 +186,7 @@ class FeaturePagesReader(DataSourceReader):
 
     def partitions(self):
         if self.n_pages == 0:
-            return []
+            return [PageRange(0, 0)]  # an empty layer: one partition that yields nothing
         n = max(1, min(self.o["max_partitions"], self.n_pages))
         step = -(-self.n_pages // n)
         return [
