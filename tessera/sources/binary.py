@@ -6,7 +6,7 @@ context (field names resolved, transform, spatial reference, default
 geometry type, transfer-limit flag), the typed attribute slots, and the raw
 geometry arrays (part lengths, zigzag-coded coordinate deltas). Everything
 after it is DataFrame work: attribute typing, zigzag, running sums,
-dequantization, parts and geometry assembly (``tessera.operators.geometry``).
+dequantization, parts and geometry assembly (``decode_geometries``).
 
 ``pack_pbf_pages`` encodes a DataFrame into binary pages -- what a layer
 server returns -- so the decoder can be run over the test tables.
@@ -22,7 +22,8 @@ from pyspark.sql import types as T
 from tessera.functions import wire as W
 from tessera.functions.geometry import geometry_type_name, zigzag
 from tessera.functions.indexing import dense_index
-from tessera.operators.geometry import assemble, assign_parts, decode_deltas
+from tessera.functions.indexing import running_sum
+from tessera.schemas import GEOMETRY
 
 SPLIT_DDL = (
     "layer string, page bigint, fidx bigint, exceeded boolean, default_type int, wkid int, "
@@ -193,44 +194,140 @@ def decode_pbf_pages(
 ) -> DataFrame:
     """Binary page table -> one row per feature: attribute columns (+ geometry)."""
     s = split_pbf_pages(pages).where(F.col("fidx").isNotNull())
+    if not with_geometry:
+        return _typed_columns(s, attributes)
+    # Two branches read the split: write it once to the shared folder so the
+    # Python split runs once, and only keys + coordinates go through the
+    # geometry shuffles; attributes are joined back by key.
+    s = s.checkpoint(eager=True)
+    key = ["layer", "page", "fidx"]
+    geoms = decode_geometries(s.drop("attrs").withColumn("attrs", F.lit(None)))
+    feats = _typed_columns(s, attributes, extra=key)
+    out = feats.join(geoms.select(*key, "geometry"), key, "left")
+    return out.select(*[a.name for a in attributes.fields], "geometry")
+
+
+def _typed_columns(df: DataFrame, attributes: T.StructType, extra=()) -> DataFrame:
     amap = F.map_from_entries(F.transform("attrs", lambda a: F.struct(a["name"], a)))
-    s = s.withColumn("_am", amap)
+    d = df.withColumn("_am", amap)
     cols = [_typed(F.col("_am")[a.name], a.dataType).alias(a.name) for a in attributes.fields]
-    key = ["layer", "page", "fidx"]
-    if not with_geometry:
-        return s.select(*cols)
-    feats = s.select(*key, *cols)
-    geoms = decode_geometries(s)
-    return feats.join(geoms, key, "left").select(*[a.name for a in attributes.fields], "geometry")
+    return d.select(*cols, *extra)
+
 
+def decode_geometries(split: DataFrame, block_size: int = 1 << 16) -> DataFrame:
+    """Split rows -> the same rows (key, attrs) plus ``geometry``, in one pass.
 
-def decode_geometries(split: DataFrame) -> DataFrame:
-    """(layer, page, fidx, geometry) from split rows that carry coordinates."""
+    Each feature row is expanded once into: a carrier row (attributes and
+    geometry context), one row per vertex (zigzag-decoded deltas) and one
+    marker row per part end. A single blocked running sum over the
+    interleaved position yields both the cumulative coordinates (markers
+    carry zero deltas) and the part number (count of markers passed).
+    Vertices past the sum of part lengths are dropped. Parts are gathered
+    per (feature, part), then per feature, and dequantized there with the
+    page transform. A feature without coordinates gets a NULL geometry.
+    """
     key = ["layer", "page", "fidx"]
-    g = split.where(F.col("has_geometry") & (F.size("coords") >= 2)).select(
-        *key,
-        geometry_type_name(F.coalesce("gtype", "default_type", F.lit(0))).alias("type"),
-        "wkid", "origin", "sx", "sy", "tx", "ty", "lengths", "coords",
+    has_xy = F.coalesce(F.col("has_geometry"), F.lit(False)) & (F.size("coords") >= 2)
+    n_vertices = F.when(has_xy, (F.size("coords") / 2).cast("int")).otherwise(F.lit(0))
+    ctx = F.struct(
+        "attrs",
+        F.when(has_xy, geometry_type_name(F.coalesce("gtype", "default_type", F.lit(0)))).alias("type"),
+        "wkid", "origin", "sx", "sy", "tx", "ty",
+        F.when(has_xy, F.coalesce(F.size("lengths"), F.lit(0))).otherwise(F.lit(0)).alias("n_parts"),
+    )
+    carrier = F.array(
+        F.struct(
+            F.lit(-1).cast("bigint").alias("_pos"),
+            F.lit(None).cast("bigint").alias("vertex"),
+            F.lit(0).cast("bigint").alias("dx"),
+            F.lit(0).cast("bigint").alias("dy"),
+            F.lit(0).alias("_m"),
+            ctx.alias("ctx"),
+        )
     )
-    n_vertices = (F.size("coords") / 2).cast("int")
-    pairs = F.transform(
+    null_ctx = F.lit(None).cast(split.select(ctx.alias("c")).schema["c"].dataType)
+    vertices = F.transform(
         F.sequence(F.lit(0), n_vertices - 1),
         lambda i: F.struct(
+            (i.cast("bigint") * 2 + 1).alias("_pos"),
             i.cast("bigint").alias("vertex"),
             zigzag(F.get("coords", i * 2)).alias("dx"),
             zigzag(F.get("coords", i * 2 + 1)).alias("dy"),
+            F.lit(0).alias("_m"),
+            null_ctx.alias("ctx"),
+        ),
+    )
+    n_lengths = F.coalesce(F.size("lengths"), F.lit(0))
+    ends = F.transform(
+        F.sequence(F.lit(1), n_lengths),
+        lambda k: F.aggregate(F.slice("lengths", 1, k), F.lit(0).cast("bigint"), lambda a, b: a + b),
+    )
+    markers = F.transform(
+        ends,
+        lambda e: F.struct(
+            (e * 2).alias("_pos"),
+            F.lit(None).cast("bigint").alias("vertex"),
+            F.lit(0).cast("bigint").alias("dx"),
+            F.lit(0).cast("bigint").alias("dy"),
+            F.lit(1).alias("_m"),
+            null_ctx.alias("ctx"),
         ),
     )
-    meta = ["type", "wkid", "origin", "sx", "sy", "tx", "ty"]
-    v = g.select(*key, *meta, F.inline(pairs))
-    v = decode_deltas(
-        v, key, "vertex",
-        x_scale=F.col("sx"), y_scale=F.col("sy"),
-        x_translate=F.col("tx"), y_translate=F.col("ty"), origin=F.col("origin"),
+    rows = split.select(
+        *key,
+        F.inline(
+            F.concat(
+                carrier,
+                F.filter(vertices, lambda v: n_vertices > 0),
+                F.filter(markers, lambda v: has_xy & (n_lengths > 0)),
+            )
+        ),
+    )
+    cum = running_sum(rows, key, "_pos", ["dx", "dy", "_m"], suffix="_cum", block_size=block_size)
+    per_part = cum.groupBy(*key, F.col("_m_cum").alias("part")).agg(
+        F.first("ctx", ignorenulls=True).alias("ctx"),
+        F.array_sort(
+            F.collect_list(
+                F.when(
+                    (F.col("_m") == 0) & F.col("vertex").isNotNull(),
+                    F.struct("vertex", F.col("dx_cum").alias("cx"), F.col("dy_cum").alias("cy")),
+                )
+            )
+        ).alias("_v"),
     )
-    lengths = g.select(*key, F.posexplode("lengths").alias("part", "length"))
-    v = assign_parts(v.select(*key, "vertex", "x", "y", "type", "wkid"), lengths, key, "vertex")
-    return assemble(v, key, "vertex", kind="type", wkid="wkid")
+    per_feature = per_part.groupBy(*key).agg(
+        F.first("ctx", ignorenulls=True).alias("ctx"),
+        F.array_sort(F.collect_list(F.struct("part", "_v"))).alias("_p"),
+    )
+    c = F.col("ctx")
+    sign = F.when(c["origin"] == 1, F.lit(1.0)).otherwise(F.lit(-1.0))
+    n_parts = c["n_parts"]
+    kept = F.filter(
+        "_p", lambda p: (F.size(p["_v"]) > 0) & ((n_parts == 0) | (p["part"] < n_parts))
+    )
+    parts = F.transform(
+        kept,
+        lambda p: F.transform(
+            p["_v"],
+            lambda v: F.struct(
+                (c["tx"] + v["cx"].cast("double") * c["sx"]).alias("x"),
+                (c["ty"] + sign * (v["cy"].cast("double") * c["sy"])).alias("y"),
+            ),
+        ),
+    )
+    t = c["type"]
+    first = F.get(F.get(parts, 0), 0)
+    geom = F.when(
+        t.isNotNull() & (F.size(parts) > 0),
+        F.struct(
+            t.alias("type"),
+            F.when(t == "point", first["x"]).alias("x"),
+            F.when(t == "point", first["y"]).alias("y"),
+            F.when(t == "multipoint", F.array(F.flatten(parts))).when(t != "point", parts).alias("parts"),
+            c["wkid"].cast("int").alias("wkid"),
+        ),
+    ).cast(GEOMETRY)
+    return per_feature.select(*key, c["attrs"].alias("attrs"), geom.alias("geometry"))
 
 
 # ---------------------------------------------------------------------------
@@ -294,33 +391,35 @@ def encode_page(
     default_type: int,
 ) -> bytes:
     """A FeatureCollection message for one page. ``columns``: (name, slot)."""
-    fr = W.field_varint(W.FR_GEOMETRY_TYPE, default_type) if default_type else b""
+    out = [W.field_varint(W.FR_GEOMETRY_TYPE, default_type) if default_type else b""]
     if wkid:
-        fr += W.field_bytes(W.FR_SPATIAL_REFERENCE, W.field_varint(W.SR_WKID, wkid))
+        out.append(W.field_bytes(W.FR_SPATIAL_REFERENCE, W.field_varint(W.SR_WKID, wkid)))
     if exceeded:
-        fr += W.field_varint(W.FR_EXCEEDED, 1)
+        out.append(W.field_varint(W.FR_EXCEEDED, 1))
     scale = W.field_double(W.XY_X, quantize["sx"]) + W.field_double(W.XY_Y, quantize["sy"])
     trans = W.field_double(W.XY_X, quantize["tx"]) + W.field_double(W.XY_Y, quantize["ty"])
     tf = (W.field_varint(W.TF_ORIGIN, quantize["origin"]) if quantize["origin"] else b"")
     tf += W.field_bytes(W.TF_SCALE, scale) + W.field_bytes(W.TF_TRANSLATE, trans)
-    fr += W.field_bytes(W.FR_TRANSFORM, tf)
+    out.append(W.field_bytes(W.FR_TRANSFORM, tf))
     for name, _slot in columns:
-        fr += W.field_bytes(W.FR_FIELDS, W.field_bytes(W.FIELD_NAME, name.encode("utf-8")))
+        out.append(W.field_bytes(W.FR_FIELDS, W.field_bytes(W.FIELD_NAME, name.encode("utf-8"))))
+    forward = list(range(len(columns)))
+    backward = forward[::-1]
     for n, f in enumerate(features):
         # every other feature names its fields by explicit index, in reverse order
         explicit = n % 2 == 1
-        order = list(reversed(range(len(columns)))) if explicit else range(len(columns))
-        msg = b"".join(
+        a = f["a"]
+        msg = [
             W.field_bytes(
                 W.FEAT_ATTRIBUTES,
-                _encode_value(f["a"][columns[i][0]], columns[i][1], i if explicit else None),
+                _encode_value(a[columns[i][0]], columns[i][1], i if explicit else None),
             )
-            for i in order
-        )
+            for i in (backward if explicit else forward)
+        ]
         if geometry and f.get("g") is not None:
-            msg += W.field_bytes(W.FEAT_GEOMETRY, _encode_geometry(f["g"], quantize))
-        fr += W.field_bytes(W.FR_FEATURES, msg)
-    return W.field_bytes(W.FC_QUERY_RESULT, W.field_bytes(W.QR_FEATURE_RESULT, fr))
+            msg.append(W.field_bytes(W.FEAT_GEOMETRY, _encode_geometry(f["g"], quantize)))
+        out.append(W.field_bytes(W.FR_FEATURES, b"".join(msg)))
+    return W.field_bytes(W.FC_QUERY_RESULT, W.field_bytes(W.QR_FEATURE_RESULT, b"".join(out)))
 
 
 def _slot_for(dtype: T.DataType, name: str, slots: dict[str, str]) -> str:
