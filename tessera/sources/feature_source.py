@@ -56,9 +56,16 @@ class Transport:
         raise NotImplementedError
 
 
+def open_fs(uri: str):
+    """(filesystem, path) for a local path or a URI Spark accepts (file:, hdfs:, s3:...)."""
+    import pyarrow.fs as pafs
+
+    return pafs.FileSystem.from_uri(uri)
+
+
 class DirectoryTransport(Transport):
     def __init__(self, root: str, where: str = "1=1"):
-        self.root = root[len("file://"):] if root.startswith("file://") else root
+        self.fs, self.root = open_fs(root)
         if where.strip() not in ("", "1=1"):
             raise ValueError(
                 "a landed layer holds the unfiltered layer: keep where='1=1' and filter "
@@ -66,10 +73,12 @@ class DirectoryTransport(Transport):
             )
 
     def _read(self, *parts: str) -> bytes | None:
-        p = os.path.join(self.root, *parts)
-        if not os.path.exists(p):
+        import pyarrow.fs as pafs
+
+        p = "/".join([self.root.rstrip("/"), *parts])
+        if self.fs.get_file_info(p).type != pafs.FileType.File:
             return None
-        with open(p, "rb") as fh:
+        with self.fs.open_input_stream(p) as fh:
             return fh.read()
 
     def layer_info(self) -> dict:
@@ -240,38 +249,39 @@ def register(spark) -> None:
 # ---------------------------------------------------------------------------
 
 
-def _local(root: str) -> str:
-    return root[len("file://"):] if root.startswith("file://") else root
-
-
 def land_pages(pages, root: str) -> None:
     """Write a page table as ``<root>/pages/<offset>.<format>``.
 
-    Executors write their own pages (write to a temporary name, then rename,
-    so a retried task leaves whole files). ``root`` must be on storage all
-    executors see: a folder under ``spark.checkpoint.dir``.
+    Executors write their own pages (to a temporary name, then a rename, so a
+    retried task leaves whole files). ``root`` must be on storage every
+    executor sees: a folder under ``spark.checkpoint.dir``.
     """
-    local = _local(root)
-    os.makedirs(os.path.join(local, "pages"), exist_ok=True)
+    fs, base = open_fs(root)
+    fs.create_dir(f"{base.rstrip('/')}/pages", recursive=True)
 
     def write(rows):
+        wfs, wbase = open_fs(root)
         for r in rows:
             if r["body"] is None:
                 continue
-            p = os.path.join(local, "pages", f"{r['offset']}.{r['format']}")
+            p = f"{wbase.rstrip('/')}/pages/{r['offset']}.{r['format']}"
             tmp = f"{p}.{os.getpid()}.tmp"
-            with open(tmp, "wb") as fh:
+            with wfs.open_output_stream(tmp) as fh:
                 fh.write(bytes(r["body"]))
-            os.replace(tmp, p)
+            wfs.move(tmp, p)
 
     pages.select("offset", "format", "body").foreachPartition(write)
 
 
 def write_layer_docs(root: str, count: int, layer_info: dict) -> None:
     """``count.json`` and ``layer.json`` of a landed layer (two tiny documents)."""
-    local = _local(root)
-    os.makedirs(local, exist_ok=True)
-    with open(os.path.join(local, "count.json"), "w") as fh:
-        json.dump({"count": int(count)}, fh)
-    with open(os.path.join(local, "layer.json"), "w") as fh:
-        json.dump(layer_info, fh)
+    fs, base = open_fs(root)
+    fs.create_dir(base, recursive=True)
+    for name, doc in (("count.json", {"count": int(count)}), ("layer.json", layer_info)):
+        with fs.open_output_stream(f"{base.rstrip('/')}/{name}") as fh:
+            fh.write(json.dumps(doc).encode("utf-8"))
+
+
+def read_layer_docs(root: str) -> tuple[int, dict]:
+    t = DirectoryTransport(root)
+    return t.count("1=1"), t.layer_info()

@@ -95,7 +95,8 @@ def test_missing_page_is_reported(spark, scratch):
 
     df = spark.createDataFrame([(i, i) for i in range(5)], "OBJECTID long, A long")
     land_layer(df, scratch, 2, key="OBJECTID")
-    os.remove(os.path.join(scratch, "pages", "2.json"))
+    fs, base = feature_source.open_fs(scratch)
+    fs.delete_file(f"{base}/pages/2.json")
     pages = read_pages(spark, path=scratch, format="json")
     status = {r.page: r.status for r in pages.collect()}
     assert status == {0: "ok", 1: "missing", 2: "ok"}
