@@ -6,7 +6,8 @@ context (field names resolved, transform, spatial reference, default
 geometry type, transfer-limit flag), the typed attribute slots, and the raw
 geometry arrays (part lengths, zigzag-coded coordinate deltas). Everything
 after it is DataFrame work: attribute typing, zigzag, running sums,
-dequantization, parts and geometry assembly (``decode_geometries``).
+dequantization, parts and geometry assembly (``decode_geometries``), all
+within the feature's row.
 
 ``pack_pbf_pages`` encodes a DataFrame into binary pages -- what a layer
 server returns -- so the decoder can be run over the test tables.
@@ -20,9 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import wire as W
-from tessera.functions.geometry import geometry_type_name, zigzag
+from tessera.functions.geometry import geometry_type_name, pair_running_sums, running_sums, zigzag
 from tessera.functions.indexing import dense_index
-from tessera.functions.indexing import running_sum
 from tessera.schemas import GEOMETRY
 
 SPLIT_DDL = (
@@ -192,19 +192,15 @@ def page_stats_pbf(pages: DataFrame) -> DataFrame:
 def decode_pbf_pages(
     pages: DataFrame, attributes: T.StructType, with_geometry: bool = False
 ) -> DataFrame:
-    """Binary page table -> one row per feature: attribute columns (+ geometry)."""
+    """Binary page table -> one row per feature: attribute columns (+ geometry).
+
+    No shuffle either way: a feature's attributes and coordinates arrive in
+    one split row, so typing and geometry decoding are projections.
+    """
     s = split_pbf_pages(pages).where(F.col("fidx").isNotNull())
     if not with_geometry:
         return _typed_columns(s, attributes)
-    # Two branches read the split: write it once to the shared folder so the
-    # Python split runs once, and only keys + coordinates go through the
-    # geometry shuffles; attributes are joined back by key.
-    s = s.checkpoint(eager=True)
-    key = ["layer", "page", "fidx"]
-    geoms = decode_geometries(s.drop("attrs").withColumn("attrs", F.lit(None)))
-    feats = _typed_columns(s, attributes, extra=key)
-    out = feats.join(geoms.select(*key, "geometry"), key, "left")
-    return out.select(*[a.name for a in attributes.fields], "geometry")
+    return _typed_columns(decode_geometries(s), attributes, extra=["geometry"])
 
 
 def _typed_columns(df: DataFrame, attributes: T.StructType, extra=()) -> DataFrame:
@@ -214,120 +210,56 @@ def _typed_columns(df: DataFrame, attributes: T.StructType, extra=()) -> DataFra
     return d.select(*cols, *extra)
 
 
-def decode_geometries(split: DataFrame, block_size: int = 1 << 16) -> DataFrame:
-    """Split rows -> the same rows (key, attrs) plus ``geometry``, in one pass.
+def decode_geometries(split: DataFrame) -> DataFrame:
+    """Split rows -> the same rows plus ``geometry``, as one projection.
 
-    Each feature row is expanded once into: a carrier row (attributes and
-    geometry context), one row per vertex (zigzag-decoded deltas) and one
-    marker row per part end. A single blocked running sum over the
-    interleaved position yields both the cumulative coordinates (markers
-    carry zero deltas) and the part number (count of markers passed).
-    Vertices past the sum of part lengths are dropped. Parts are gathered
-    per (feature, part), then per feature, and dequantized there with the
-    page transform. A feature without coordinates gets a NULL geometry.
+    Per feature row: zigzag-decode the interleaved deltas, take the running
+    sums of x and of y (cumulative across parts, not reset per part), cut
+    the vertices into parts by ``lengths`` (none: one part; vertices past
+    the sum of lengths dropped; a part past the last vertex is empty),
+    dequantize with the page transform (``y`` flipped unless the origin is
+    lower-left) and type the geometry (own type, else the layer's, else
+    point; unknown codes are polygons). No coordinates: NULL geometry.
     """
-    key = ["layer", "page", "fidx"]
-    has_xy = F.coalesce(F.col("has_geometry"), F.lit(False)) & (F.size("coords") >= 2)
-    n_vertices = F.when(has_xy, (F.size("coords") / 2).cast("int")).otherwise(F.lit(0))
-    ctx = F.struct(
-        "attrs",
-        F.when(has_xy, geometry_type_name(F.coalesce("gtype", "default_type", F.lit(0)))).alias("type"),
-        "wkid", "origin", "sx", "sy", "tx", "ty",
-        F.when(has_xy, F.coalesce(F.size("lengths"), F.lit(0))).otherwise(F.lit(0)).alias("n_parts"),
-    )
-    carrier = F.array(
-        F.struct(
-            F.lit(-1).cast("bigint").alias("_pos"),
-            F.lit(None).cast("bigint").alias("vertex"),
-            F.lit(0).cast("bigint").alias("dx"),
-            F.lit(0).cast("bigint").alias("dy"),
-            F.lit(0).alias("_m"),
-            ctx.alias("ctx"),
-        )
-    )
-    null_ctx = F.lit(None).cast(split.select(ctx.alias("c")).schema["c"].dataType)
-    vertices = F.transform(
-        F.sequence(F.lit(0), n_vertices - 1),
+    n_coords = F.coalesce(F.size("coords"), F.lit(0))
+    has_xy = F.coalesce(F.col("has_geometry"), F.lit(False)) & (n_coords > 0)
+    n_v = F.floor(n_coords / 2).cast("int")
+    deltas = F.transform(F.slice("coords", 1, n_v * 2), zigzag)
+    d = split.withColumn("_cum", F.when(has_xy, pair_running_sums(deltas)))
+    d = d.withColumn("_ends", F.when(has_xy & (F.size("lengths") > 0), running_sums(F.col("lengths"))))
+    sign = F.when(F.col("origin") == 1, F.lit(1.0)).otherwise(F.lit(-1.0))
+    idx = F.when(n_v > 0, F.sequence(F.lit(0), n_v - 1)).otherwise(F.array().cast("array<int>"))
+    verts = F.transform(
+        idx,
         lambda i: F.struct(
-            (i.cast("bigint") * 2 + 1).alias("_pos"),
-            i.cast("bigint").alias("vertex"),
-            zigzag(F.get("coords", i * 2)).alias("dx"),
-            zigzag(F.get("coords", i * 2 + 1)).alias("dy"),
-            F.lit(0).alias("_m"),
-            null_ctx.alias("ctx"),
+            (F.col("tx") + F.get("_cum", i * 2).cast("double") * F.col("sx")).alias("x"),
+            (F.col("ty") + sign * (F.get("_cum", i * 2 + 1).cast("double") * F.col("sy"))).alias("y"),
         ),
     )
-    n_lengths = F.coalesce(F.size("lengths"), F.lit(0))
-    ends = F.transform(
-        F.sequence(F.lit(1), n_lengths),
-        lambda k: F.aggregate(F.slice("lengths", 1, k), F.lit(0).cast("bigint"), lambda a, b: a + b),
-    )
-    markers = F.transform(
-        ends,
-        lambda e: F.struct(
-            (e * 2).alias("_pos"),
-            F.lit(None).cast("bigint").alias("vertex"),
-            F.lit(0).cast("bigint").alias("dx"),
-            F.lit(0).cast("bigint").alias("dy"),
-            F.lit(1).alias("_m"),
-            null_ctx.alias("ctx"),
-        ),
-    )
-    rows = split.select(
-        *key,
-        F.inline(
-            F.concat(
-                carrier,
-                F.filter(vertices, lambda v: n_vertices > 0),
-                F.filter(markers, lambda v: has_xy & (n_lengths > 0)),
-            )
-        ),
-    )
-    cum = running_sum(rows, key, "_pos", ["dx", "dy", "_m"], suffix="_cum", block_size=block_size)
-    per_part = cum.groupBy(*key, F.col("_m_cum").alias("part")).agg(
-        F.first("ctx", ignorenulls=True).alias("ctx"),
-        F.array_sort(
-            F.collect_list(
-                F.when(
-                    (F.col("_m") == 0) & F.col("vertex").isNotNull(),
-                    F.struct("vertex", F.col("dx_cum").alias("cx"), F.col("dy_cum").alias("cy")),
-                )
-            )
-        ).alias("_v"),
-    )
-    per_feature = per_part.groupBy(*key).agg(
-        F.first("ctx", ignorenulls=True).alias("ctx"),
-        F.array_sort(F.collect_list(F.struct("part", "_v"))).alias("_p"),
-    )
-    c = F.col("ctx")
-    sign = F.when(c["origin"] == 1, F.lit(1.0)).otherwise(F.lit(-1.0))
-    n_parts = c["n_parts"]
-    kept = F.filter(
-        "_p", lambda p: (F.size(p["_v"]) > 0) & ((n_parts == 0) | (p["part"] < n_parts))
-    )
-    parts = F.transform(
-        kept,
-        lambda p: F.transform(
-            p["_v"],
-            lambda v: F.struct(
-                (c["tx"] + v["cx"].cast("double") * c["sx"]).alias("x"),
-                (c["ty"] + sign * (v["cy"].cast("double") * c["sy"])).alias("y"),
+    d = d.withColumn("_verts", verts)
+    v = F.col("_verts")
+    parts = F.when(F.coalesce(F.size("lengths"), F.lit(0)) == 0, F.array(v)).otherwise(
+        F.transform(
+            "lengths",
+            lambda ln, k: F.slice(
+                v, (F.coalesce(F.get("_ends", k - 1), F.lit(0)) + 1).cast("int"), ln.cast("int")
             ),
-        ),
+        )
     )
-    t = c["type"]
-    first = F.get(F.get(parts, 0), 0)
+    t = F.col("_type")
+    d = d.withColumn("_type", F.when(has_xy, geometry_type_name(F.coalesce("gtype", "default_type", F.lit(0)))))
+    first = F.get(v, 0)
     geom = F.when(
-        t.isNotNull() & (F.size(parts) > 0),
+        t.isNotNull(),
         F.struct(
             t.alias("type"),
             F.when(t == "point", first["x"]).alias("x"),
             F.when(t == "point", first["y"]).alias("y"),
             F.when(t == "multipoint", F.array(F.flatten(parts))).when(t != "point", parts).alias("parts"),
-            c["wkid"].cast("int").alias("wkid"),
+            F.col("wkid").cast("int").alias("wkid"),
         ),
     ).cast(GEOMETRY)
-    return per_feature.select(*key, c["attrs"].alias("attrs"), geom.alias("geometry"))
+    return d.withColumn("geometry", geom).drop("_cum", "_ends", "_verts", "_type")
 
 
 # ---------------------------------------------------------------------------

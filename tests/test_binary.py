@@ -125,3 +125,45 @@ def test_wire_helpers():
     assert W.as_int64((1 << 64) - 1) == -1 and W.as_int64(42) == 42
     f = W.fields(W.field_varint(1, 1) + W.field_varint(1, 2) + W.field_bytes(3, b"hello"))
     assert f[1] == [1, 2] and f[3] == [b"hello"]
+
+
+def _geometry_page(gtype, lengths, deltas, default_type=None) -> bytes:
+    geom = b""
+    if gtype is not None:
+        geom += W.field_varint(W.GEOM_TYPE, gtype)
+    if lengths:
+        geom += W.field_packed(W.GEOM_LENGTHS, lengths)
+    if deltas:
+        geom += W.field_packed(W.GEOM_COORDS, [W.zigzag_encode(d) for d in deltas])
+    fr = W.field_varint(W.FR_GEOMETRY_TYPE, default_type) if default_type is not None else b""
+    return _wrap(fr + W.field_bytes(W.FR_FEATURES, W.field_bytes(W.FEAT_GEOMETRY, geom)))
+
+
+def _geoms(spark, bodies):
+    out = decode_pbf_pages(_pages(spark, bodies), T.StructType([]), with_geometry=True)
+    return [r.geometry for r in out.orderBy(F.spark_partition_id()).collect()]
+
+
+def test_parts_cut_by_lengths_running_sums_across_parts(spark):
+    # lengths 1, 2, 2 over 4 vertices: the last part runs past the vertices;
+    # a fifth unpaired delta is ignored.
+    page = _geometry_page(2, [1, 2, 2], [1, 2, 1, 2, -1, -1, 5, 5, 9])
+    (g,) = _geoms(spark, [page])
+    assert g.type == "polyline"
+    got = [[(v.x, v.y) for v in p] for p in g.parts]
+    assert got == [[(1.0, -2.0)], [(2.0, -4.0), (1.0, -3.0)], [(6.0, -8.0)]]
+
+
+def test_surplus_vertices_dropped_and_empty_part_kept(spark):
+    page = _geometry_page(3, [1, 0], [1, 1, 2, 2])
+    (g,) = _geoms(spark, [page])
+    assert [[(v.x, v.y) for v in p] for p in g.parts] == [[(1.0, -1.0)], []]
+
+
+def test_multipoint_layer_default_type_and_missing_coordinates(spark):
+    multi = _geometry_page(None, [1, 1], [1, 1, 1, 1], default_type=1)
+    no_coords = _geometry_page(3, [], [])
+    g1, g2 = _geoms(spark, [multi, no_coords])
+    assert g1.type == "multipoint"
+    assert [[(v.x, v.y) for v in p] for p in g1.parts] == [[(1.0, -1.0), (2.0, -2.0)]]
+    assert g2 is None
