@@ -24,6 +24,7 @@ from tessera.functions.geometry import UPPER_LEFT, outer_ring_wkt, zigzag
 from tessera.sources.binary import decode_pbf_pages, pack_pbf_pages
 from tessera.functions.indexing import running_sum
 from tessera.operators.geometry import assign_parts, decode_deltas
+from tessera.operators.agreement import compare_encodings
 from tessera.session import scratch_path
 from tessera.sources.layer import land_layer, read_layer
 from tessera.sources.pages import (
@@ -618,6 +619,29 @@ def q_outer_ring_wkt(spark, sf_dir):
     )
 
 
+@register(
+    "encoding_agreement",
+    _with(
+        _RAW,
+        body="""select OBJECTID, true as in_json, true as in_pbf, true as same_attributes,
+  cast(case when AGENT_ENERGETIQUE_1 = '1-URGENT' then 10 else 5 end as integer) as n_vertices_json,
+  cast(case when AGENT_ENERGETIQUE_1 = '1-URGENT' then 10 else 5 end as integer) as n_vertices_pbf,
+  true as coords_within_tol from raw""",
+    ),
+)
+def q_encoding_agreement(spark, sf_dir):
+    """The readings layer with footprints served as JSON pages and as binary
+    pages: both decoded, compared feature by feature on OBJECTID."""
+    wf = readings_with_footprint(spark, sf_dir)
+    js = decode_json_pages(
+        pack_json_pages(wf, PAGE, key="OBJECTID", layer="HEAT_INDEX", geometry="geometry"),
+        RAW_SCHEMA,
+        with_geometry=True,
+    )
+    pb = decode_pbf_pages(_readings_pbf_pages(spark, sf_dir), RAW_SCHEMA, with_geometry=True)
+    return compare_encodings(js, pb, "OBJECTID", RAW_SCHEMA.fieldNames(), tolerance=0.01)
+
+
 # ---------------------------------------------------------------------------
 # Dates and the column contract
 # ---------------------------------------------------------------------------

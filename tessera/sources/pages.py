@@ -143,10 +143,30 @@ def plan_pages(spark: SparkSession, total: int, chunk_size: int, partitions: int
 # ---------------------------------------------------------------------------
 
 
+def json_geometry(g: Column) -> Column:
+    """GEOMETRY struct -> the layer's JSON geometry: ``{x, y}`` for a point,
+    ``{points}`` / ``{paths}`` / ``{rings}`` of ``[x, y]`` pairs otherwise,
+    with ``spatialReference: {wkid}`` when known. NULL stays NULL."""
+    pairs = F.transform(g["parts"], lambda p: F.transform(p, lambda v: F.array(v["x"], v["y"])))
+    t = g["type"]
+    sr = F.when(g["wkid"].isNotNull(), F.struct(g["wkid"].alias("wkid")))
+    return F.when(
+        g.isNotNull(),
+        F.struct(
+            F.when(t == "point", g["x"]).alias("x"),
+            F.when(t == "point", g["y"]).alias("y"),
+            F.when(t == "multipoint", F.get(pairs, 0)).alias("points"),
+            F.when(t == "polyline", pairs).alias("paths"),
+            F.when(t == "polygon", pairs).alias("rings"),
+            sr.alias("spatialReference"),
+        ),
+    )
+
+
 def _feature_struct(df: DataFrame, geometry: str | None) -> Column:
     attrs = F.struct(*[F.col(c) for c in df.columns if c not in ("_idx", geometry)])
     if geometry:
-        return F.struct(attrs.alias("attributes"), F.col(geometry).alias("geometry"))
+        return F.struct(attrs.alias("attributes"), json_geometry(F.col(geometry)).alias("geometry"))
     return F.struct(attrs.alias("attributes"))
 
 
