@@ -20,8 +20,13 @@ from tessera.schemas import PIVOT_VALUE_COLUMNS
 _TRAILING_YEAR = re.compile(r"_(\d{4})$")
 
 
-def distinct_years(df: DataFrame, column: str = "annee") -> list[int]:
-    return sorted(r[0] for r in df.select(column).distinct().collect())
+def distinct_years(df: DataFrame, column: str = "annee", max_years: int = 1000) -> list[int]:
+    """The distinct years, read on the driver; at most ``max_years + 1`` rows
+    are fetched, and more than ``max_years`` is an error (one column each)."""
+    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(max_years + 1).collect()
+    if len(rows) > max_years:
+        raise ValueError(f"more than {max_years} distinct values of {column!r} to pivot on")
+    return sorted(r[0] for r in rows)
 
 
 def column_order(names: Sequence[str]) -> list[str]:

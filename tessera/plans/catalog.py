@@ -21,7 +21,7 @@ from tessera.functions.timestamps import ms_to_ntz, ntz_to_ms
 from tessera.operators.contract import contract_diff
 from tessera.schemas import API_COLUMNS, CURATED_COLUMNS, PIVOT_VALUE_COLUMNS, RAW_SCHEMA
 from tessera.functions.geometry import UPPER_LEFT, outer_ring_wkt, zigzag
-from tessera.sources.binary import decode_pbf_pages, pack_pbf_pages
+from tessera.sources.binary import decode_pbf_pages, pack_pbf_pages, page_stats_pbf
 from tessera.functions.indexing import running_sum
 from tessera.operators.geometry import assign_parts, decode_deltas
 from tessera.operators.agreement import compare_encodings
@@ -429,25 +429,33 @@ def q_json_features(spark, sf_dir):
     return decode_json_pages(_readings_json_pages(spark, sf_dir), RAW_SCHEMA)
 
 
-@register(
-    "page_audit",
-    _with(
-        _RAW,
-        ("c", "select count(*) as n from raw"),
-        body=f"""select cast(off // {PAGE} as bigint) as page, cast(off as bigint) as offset,
+_PAGE_AUDIT_SQL = _with(
+    _RAW,
+    ("c", "select count(*) as n from raw"),
+    body=f"""select cast(off // {PAGE} as bigint) as page, cast(off as bigint) as offset,
   cast(least({PAGE}, n - off) as bigint) as expected_rows,
   cast(least({PAGE}, n - off) as bigint) as actual_rows,
   off + {PAGE} < n as exceeded,
   case when off + {PAGE} < n then 'full' else 'ok' end as status
 from (select n, unnest(range(0, n, {PAGE})) as off from c)""",
-    ),
 )
+
+
+@register("page_audit", _PAGE_AUDIT_SQL)
 def q_page_audit(spark, sf_dir):
     pages = _readings_json_pages(spark, sf_dir)
     total = raw_readings(spark, sf_dir).count()
     return audit_pages(plan_pages(spark, total, PAGE), page_stats_json(pages, RAW_SCHEMA))
 
 
+@register("pbf_page_audit", _PAGE_AUDIT_SQL)
+def q_pbf_page_audit(spark, sf_dir):
+    """The same audit over the layer served as binary pages."""
+    pages = _readings_pbf_pages(spark, sf_dir)
+    total = raw_readings(spark, sf_dir).count()
+    return audit_pages(plan_pages(spark, total, PAGE), page_stats_pbf(pages))
+
+
 @register(
     "scan_audit",
     _with(

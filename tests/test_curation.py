@@ -133,3 +133,12 @@ def test_summary_counts(spark):
     assert s.n_egid <= 2
     assert sorted(r.egid for r in cur.missing_keys.collect())[0] == 1
     assert F is not None
+
+
+def test_pivot_years_bound_is_checked(spark):
+    from tessera.operators.pivot import distinct_years
+
+    df = spark.range(0, 12).selectExpr("id + 2000 as annee")
+    assert distinct_years(df, max_years=12) == list(range(2000, 2012))
+    with pytest.raises(ValueError, match="distinct values"):
+        distinct_years(df, max_years=11)
