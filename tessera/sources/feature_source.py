@@ -203,14 +203,49 @@ class FeaturePagesReader(DataSourceReader):
         ]
 
     def read(self, partition: PageRange):
+        """One Arrow record batch per group of pages (bodies are not pickled)."""
+        import pyarrow as pa
+
         o = self.o
         t = make_transport(o)
         layer = o["layer"] or layer_label(o["url"] or o["path"] or "")
+        cols = {k: [] for k in ("layer", "page", "offset", "chunk_size", "format", "body", "status")}
+        size = 0
         for page in range(partition.first, partition.last):
             offset = page * self.chunk
             body = _fetch(t, offset, self.chunk, o["format"], o["max_retries"])
-            status = "missing" if body is None else "ok"
-            yield (layer, page, offset, self.chunk, o["format"], body, status)
+            for k, v in zip(cols, (layer, page, offset, self.chunk, o["format"], body,
+                                   "missing" if body is None else "ok")):
+                cols[k].append(v)
+            size += len(body or b"")
+            if size >= _BATCH_BYTES:
+                yield pa.RecordBatch.from_pydict(cols, schema=_PAGE_ARROW)
+                cols = {k: [] for k in cols}
+                size = 0
+        if cols["page"]:
+            yield pa.RecordBatch.from_pydict(cols, schema=_PAGE_ARROW)
+
+
+_BATCH_BYTES = 64 << 20  # flush a batch once its bodies reach 64 MiB
+
+
+def _page_arrow():
+    import pyarrow as pa
+
+    return pa.schema(
+        [
+            ("layer", pa.string()),
+            ("page", pa.int64()),
+            ("offset", pa.int64()),
+            ("chunk_size", pa.int64()),
+            ("format", pa.string()),
+            ("body", pa.binary()),
+            ("status", pa.string()),
+        ]
+    )
+
+
+_PAGE_ARROW = _page_arrow()
 
 
 def _fetch(t: Transport, offset: int, chunk: int, fmt: str, retries: int) -> bytes | None:
@@ -249,28 +284,40 @@ def register(spark) -> None:
 # ---------------------------------------------------------------------------
 
 
-def land_pages(pages, root: str) -> None:
-    """Write a page table as ``<root>/pages/<offset>.<format>``.
+def land_pages(pages, root: str) -> int:
+    """Write a page table as ``<root>/pages/<offset>.<format>``; returns the
+    number of page files written.
 
     Executors write their own pages (to a temporary name, then a rename, so a
-    retried task leaves whole files). ``root`` must be on storage every
+    retried task leaves whole files); bodies travel as Arrow batches and each
+    task reports how many pages it wrote. ``root`` must be on storage every
     executor sees: a folder under ``spark.checkpoint.dir``.
     """
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
     fs, base = open_fs(root)
     fs.create_dir(f"{base.rstrip('/')}/pages", recursive=True)
 
-    def write(rows):
+    def write(batches):
         wfs, wbase = open_fs(root)
-        for r in rows:
-            if r["body"] is None:
-                continue
-            p = f"{wbase.rstrip('/')}/pages/{r['offset']}.{r['format']}"
-            tmp = f"{p}.{os.getpid()}.tmp"
-            with wfs.open_output_stream(tmp) as fh:
-                fh.write(bytes(r["body"]))
-            wfs.move(tmp, p)
-
-    pages.select("offset", "format", "body").foreachPartition(write)
+        for b in batches:
+            n = 0
+            offsets, fmts, bodies = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)
+            for i, (off, fmt) in enumerate(zip(offsets, fmts)):
+                body = bodies[i]
+                if not body.is_valid:
+                    continue
+                p = f"{wbase.rstrip('/')}/pages/{off}.{fmt}"
+                tmp = f"{p}.{os.getpid()}.tmp"
+                with wfs.open_output_stream(tmp) as fh:
+                    fh.write(body.as_buffer())
+                wfs.move(tmp, p)
+                n += 1
+            yield pa.RecordBatch.from_pydict({"n": [n]}, schema=pa.schema([("n", pa.int64())]))
+
+    written = pages.select("offset", "format", "body").mapInArrow(write, "n bigint")
+    return int(written.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
 
 
 def write_layer_docs(root: str, count: int, layer_info: dict) -> None:

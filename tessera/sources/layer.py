@@ -104,10 +104,8 @@ def land_layer(
         from tessera.sources.binary import pack_pbf_pages
 
         pages = pack_pbf_pages(features, chunk_size, key=key, layer=layer, geometry=geometry)
-    pages = pages.persist()
     feature_source.land_pages(pages, root)
     total = features.count()
-    pages.unpersist()
     info = {
         "name": layer,
         "standardMaxRecordCount": chunk_size,
