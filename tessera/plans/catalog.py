@@ -27,6 +27,7 @@ from tessera.operators.geometry import assign_parts, decode_deltas
 from tessera.operators.agreement import compare_encodings
 from tessera.session import scratch_path
 from tessera.sources.layer import land_layer, read_layer
+from tessera.streaming.pages import ingest_pages, read_ingested
 from tessera.sources.pages import (
     attribute_names_json,
     audit_pages,
@@ -491,6 +492,19 @@ def q_layer_scan(spark, sf_dir):
     return read_layer(spark, RAW_SCHEMA, path=root, response_format="json")
 
 
+@register("streamed_features", _with(_RAW, body="select * from raw"))
+def q_streamed_features(spark, sf_dir):
+    """Land the readings layer's pages, ingest them with a Structured
+    Streaming query (available-now trigger, one checkpoint, one folder per
+    micro-batch) and read the ingested features back."""
+    root = scratch_path(spark, "readings-stream")
+    land_layer(raw_readings(spark, sf_dir), root, PAGE, key="OBJECTID", layer="HEAT_INDEX")
+    sink = scratch_path(spark, "readings-stream-sink")
+    q = ingest_pages(spark, root, RAW_SCHEMA, sink, scratch_path(spark, "readings-stream-ck"))
+    q.awaitTermination()
+    return read_ingested(spark, sink, RAW_SCHEMA).select(*RAW_SCHEMA.fieldNames())
+
+
 # ---------------------------------------------------------------------------
 # Coordinates: zigzag, running sums, dequantization, parts
 # ---------------------------------------------------------------------------
