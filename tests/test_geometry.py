@@ -41,3 +41,37 @@ def test_parts_from_lengths_drop_surplus_and_default_one_part(spark):
     g = {r.f: r.geometry for r in assemble(parts, ["f"], "vertex").collect()}
     assert [[v.x for v in p] for p in g[1].parts] == [[0.0, 1.0], [2.0, 3.0, 4.0]]
     assert len(g[2].parts) == 1
+
+
+def test_per_array_running_sums_property():
+    from itertools import accumulate
+
+    import pyarrow as pa
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from tessera.functions.geometry import _cumsum_lists
+
+    pairs = st.lists(st.tuples(st.integers(-(10**9), 10**9), st.integers(-(10**9), 10**9)), max_size=8)
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.lists(st.one_of(st.none(), pairs), max_size=12), st.integers(0, 3))
+    def check(rows, cut):
+        arr = pa.array(
+            [None if r is None else [v for p in r for v in p] for r in rows], pa.list_(pa.int64())
+        )
+        arr = arr.slice(min(cut, len(rows)))
+        expect = []
+        for r in rows[min(cut, len(rows)):]:
+            if r is None:
+                expect.append(None)
+                continue
+            xs = list(accumulate(p[0] for p in r))
+            ys = list(accumulate(p[1] for p in r))
+            expect.append([v for xy in zip(xs, ys) for v in xy])
+        assert _cumsum_lists(arr, 2).to_pylist() == expect
+        flat = [None if r is None else [p[0] for p in r] for r in rows[min(cut, len(rows)):]]
+        got1 = _cumsum_lists(pa.array(flat, pa.list_(pa.int64())), 1).to_pylist()
+        assert got1 == [None if f is None else list(accumulate(f)) for f in flat]
+
+    check()
