@@ -64,32 +64,59 @@ _SPLIT_ARROW = pa.schema(
 )
 
 
+_NO_SLOT = {"k": None, "s": None, "d": None, "l": None, "b": None}
+
+
+def _slot(num: int, raw) -> dict:
+    if num == W.VALUE_STRING:
+        return {"k": "string", "s": raw.decode("utf-8"), "d": None, "l": None, "b": None}
+    if num == W.VALUE_FLOAT:
+        return {"k": "float", "s": None, "d": W.f32(raw), "l": None, "b": None}
+    if num == W.VALUE_DOUBLE:
+        return {"k": "double", "s": None, "d": W.f64(raw), "l": None, "b": None}
+    if num in (W.VALUE_SINT32, W.VALUE_INT64, W.VALUE_SINT64):
+        k = "int" if num == W.VALUE_INT64 else "sint"
+        return {"k": k, "s": None, "d": None, "l": W.as_int64(raw), "b": None}
+    if num in (W.VALUE_UINT32, W.VALUE_UINT64):
+        l = raw if num == W.VALUE_UINT32 else W.as_int64(raw)
+        return {"k": "uint", "s": None, "d": None, "l": l, "b": None}
+    if num == W.VALUE_BOOL:
+        return {"k": "bool", "s": None, "d": None, "l": None, "b": bool(raw)}
+    return {"k": "null", "s": None, "d": None, "l": None, "b": None}
+
+
 def _value(buf: bytes) -> tuple[int | None, dict]:
-    """One Value message -> (explicit field index or None, typed slot)."""
-    f = W.fields(buf)
-    index = W.last(f, W.VALUE_INDEX)
-    slot = {"k": None, "s": None, "d": None, "l": None, "b": None}
-    if W.VALUE_STRING in f:
-        slot.update(k="string", s=W.last(f, W.VALUE_STRING).decode("utf-8"))
-    elif W.VALUE_FLOAT in f:
-        slot.update(k="float", d=W.f32(W.last(f, W.VALUE_FLOAT)))
-    elif W.VALUE_DOUBLE in f:
-        slot.update(k="double", d=W.f64(W.last(f, W.VALUE_DOUBLE)))
-    elif W.VALUE_SINT32 in f:
-        slot.update(k="sint", l=W.as_int64(W.last(f, W.VALUE_SINT32)))
-    elif W.VALUE_UINT32 in f:
-        slot.update(k="uint", l=W.last(f, W.VALUE_UINT32))
-    elif W.VALUE_INT64 in f:
-        slot.update(k="int", l=W.as_int64(W.last(f, W.VALUE_INT64)))
-    elif W.VALUE_UINT64 in f:
-        slot.update(k="uint", l=W.as_int64(W.last(f, W.VALUE_UINT64)))
-    elif W.VALUE_SINT64 in f:
-        slot.update(k="sint", l=W.as_int64(W.last(f, W.VALUE_SINT64)))
-    elif W.VALUE_BOOL in f:
-        slot.update(k="bool", b=bool(W.last(f, W.VALUE_BOOL)))
-    elif W.VALUE_NULL in f:
-        slot.update(k="null")
-    return index, slot
+    """One Value message -> (explicit field index or None, typed slot).
+
+    One pass over the message bytes. When several value fields are present
+    the first in slot order (string, float, double, sint32, uint32, int64,
+    uint64, sint64, bool, null) is taken, the last occurrence of it winning.
+    """
+    index = None
+    seen: dict[int, object] = {}
+    pos, n = 0, len(buf)
+    while pos < n:
+        key, pos = W.read_varint(buf, pos)
+        num, wt = key >> 3, key & 7
+        if wt == 0:
+            v, pos = W.read_varint(buf, pos)
+        elif wt == 2:
+            ln, pos = W.read_varint(buf, pos)
+            v, pos = buf[pos : pos + ln], pos + ln
+        elif wt == 1:
+            v, pos = buf[pos : pos + 8], pos + 8
+        elif wt == 5:
+            v, pos = buf[pos : pos + 4], pos + 4
+        else:
+            raise ValueError(f"unsupported wire type {wt} for field {num}")
+        if num == W.VALUE_INDEX:
+            index = v
+        elif W.VALUE_STRING <= num <= W.VALUE_NULL:
+            seen[num] = v
+    if not seen:
+        return index, dict(_NO_SLOT)
+    num = min(seen) if len(seen) > 1 else next(iter(seen))
+    return index, _slot(num, seen[num])
 
 
 def split_page(layer: str, page: int, body: bytes | None) -> list[dict]:
