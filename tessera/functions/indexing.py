@@ -5,7 +5,7 @@ range-partitioned and sorted, each row gets (partition id, position within
 the partition), the result is checkpointed (so both uses below see the very
 same partitions, also after executor loss or AQE re-planning), and a
 per-partition row count -- one row per partition, a proven size bound --
-is turned into start offsets and broadcast back.
+is read on the driver, turned into start offsets and broadcast back.
 
 ``running_sum``: inclusive running sums within groups, ordered by an integer
 position that is unique within the group. A window over a whole group would
@@ -27,8 +27,12 @@ from tessera.session import checkpoint_root
 _MONO_SHIFT = 33  # monotonically_increasing_id puts the partition id above bit 33
 
 
-def dense_index(df: DataFrame, order: Sequence[Column | str], name: str = "idx") -> DataFrame:
-    checkpoint_root(df.sparkSession)
+def dense_index_with_count(
+    df: DataFrame, order: Sequence[Column | str], name: str = "idx"
+) -> tuple[DataFrame, int]:
+    """``dense_index`` plus the total row count, from the same pass."""
+    spark = df.sparkSession
+    checkpoint_root(spark)
     ordered = df.orderBy(*order)
     tagged = (
         ordered.withColumn("_pid", F.spark_partition_id())
@@ -39,22 +43,26 @@ def dense_index(df: DataFrame, order: Sequence[Column | str], name: str = "idx")
         )
         .checkpoint(eager=True)
     )
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition: a global window here is bounded by the partition count.
-    starts = counts.select(
-        "_pid",
-        F.coalesce(
-            F.sum("_n").over(
-                Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("_start"),
+    # One row per partition: the driver reads a list bounded by the partition count.
+    counts = sorted(
+        (r["_pid"], r["_n"])
+        for r in tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect()
     )
-    return (
-        tagged.join(F.broadcast(starts), "_pid")
+    starts, total = [], 0
+    for pid, n in counts:
+        starts.append((pid, total))
+        total += n
+    offsets = spark.createDataFrame(starts, "_pid int, _start bigint")
+    indexed = (
+        tagged.join(F.broadcast(offsets), "_pid")
         .withColumn(name, F.col("_start") + F.col("_local"))
         .drop("_pid", "_local", "_start")
     )
+    return indexed, total
+
+
+def dense_index(df: DataFrame, order: Sequence[Column | str], name: str = "idx") -> DataFrame:
+    return dense_index_with_count(df, order, name)[0]
 
 
 def running_sum(

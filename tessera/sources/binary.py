@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from tessera.functions import wire as W
 from tessera.functions.geometry import geometry_type_name, pair_running_sums, running_sums, zigzag
-from tessera.functions.indexing import dense_index
+from tessera.functions.indexing import dense_index_with_count
 from tessera.schemas import GEOMETRY
 
 SPLIT_DDL = (
@@ -413,8 +413,7 @@ def pack_pbf_pages(
     q = {"origin": 0, "sx": 1.0, "sy": 1.0, "tx": 0.0, "ty": 0.0, **(quantize or {})}
     attr_cols = [c for c in features.columns if c != geometry]
     columns = [(c, _slot_for(features.schema[c].dataType, c, slots)) for c in attr_cols]
-    idx = dense_index(features, [key], "_idx")
-    total = idx.count()
+    idx, total = dense_index_with_count(features, [key], "_idx")
     entry = [F.col("_idx"), F.struct(*attr_cols).alias("a")]
     if geometry:
         entry.append(F.col(geometry).alias("g"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.indexing import dense_index
+from tessera.functions.indexing import dense_index_with_count
 from tessera.schemas import DEFAULT_RECORD_FACTOR, DEFAULT_STANDARD_MAX_RECORDS, GEOMETRY
 
 PAGE_SCHEMA = T.StructType(
@@ -184,8 +184,7 @@ def pack_json_pages(
     written as JSON ``null``. The per-page ``collect_list`` is bounded by
     ``chunk_size``.
     """
-    idx = dense_index(features, [key], "_idx")
-    total = idx.count()
+    idx, total = dense_index_with_count(features, [key], "_idx")
     page = F.floor(F.col("_idx") / chunk_size).cast("bigint")
     grouped = idx.groupBy(page.alias("page")).agg(
         F.array_sort(F.collect_list(F.struct(F.col("_idx"), _feature_struct(idx, geometry).alias("f")))).alias("_fs")
