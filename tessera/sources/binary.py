@@ -341,15 +341,19 @@ def _encode_geometry(g: dict, q: dict) -> bytes:
 
 
 def encode_page(
-    features: list[dict],
+    values: list[list],
+    geometries: list[dict | None] | None,
     columns: list[tuple[str, str]],
     exceeded: bool,
-    geometry: str | None,
     quantize: dict,
     wkid: int | None,
     default_type: int,
 ) -> bytes:
-    """A FeatureCollection message for one page. ``columns``: (name, slot)."""
+    """A FeatureCollection message for one page.
+
+    ``values[i][n]`` is attribute ``columns[i]`` (name, slot) of feature
+    ``n``; ``geometries[n]`` its GEOMETRY value (or None).
+    """
     out = [W.field_varint(W.FR_GEOMETRY_TYPE, default_type) if default_type else b""]
     if wkid:
         out.append(W.field_bytes(W.FR_SPATIAL_REFERENCE, W.field_varint(W.SR_WKID, wkid)))
@@ -364,19 +368,20 @@ def encode_page(
         out.append(W.field_bytes(W.FR_FIELDS, W.field_bytes(W.FIELD_NAME, name.encode("utf-8"))))
     forward = list(range(len(columns)))
     backward = forward[::-1]
-    for n, f in enumerate(features):
+    slots = [slot for _name, slot in columns]
+    n_features = len(values[0]) if values else len(geometries or [])
+    for n in range(n_features):
         # every other feature names its fields by explicit index, in reverse order
         explicit = n % 2 == 1
-        a = f["a"]
         msg = [
             W.field_bytes(
-                W.FEAT_ATTRIBUTES,
-                _encode_value(a[columns[i][0]], columns[i][1], i if explicit else None),
+                W.FEAT_ATTRIBUTES, _encode_value(values[i][n], slots[i], i if explicit else None)
             )
             for i in (backward if explicit else forward)
         ]
-        if geometry and f.get("g") is not None:
-            msg.append(W.field_bytes(W.FEAT_GEOMETRY, _encode_geometry(f["g"], quantize)))
+        g = geometries[n] if geometries is not None else None
+        if g is not None:
+            msg.append(W.field_bytes(W.FEAT_GEOMETRY, _encode_geometry(g, quantize)))
         out.append(W.field_bytes(W.FR_FEATURES, b"".join(msg)))
     return W.field_bytes(W.FC_QUERY_RESULT, W.field_bytes(W.QR_FEATURE_RESULT, b"".join(out)))
 
@@ -422,15 +427,32 @@ def pack_pbf_pages(
     )
 
     def encode(batches):
+        import pyarrow.compute as pc
+
         for batch in batches:
+            # Column-wise conversion: primitive child arrays, not per-feature dicts.
+            pages = batch.column("page").to_pylist()
+            fs = batch.column("fs")
+            ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(fs), 0)).to_pylist()
+            items = fs.flatten()
+            a = items.field("a")
+            values = [a.field(i).to_pylist() for i in range(len(columns))]
+            geoms = items.field("g").to_pylist() if geometry else None
             out = []
-            for r in batch.to_pylist():
-                offset = r["page"] * chunk_size
+            for p, page in enumerate(pages):
+                lo, hi = (ends[p - 1] if p else 0), ends[p]
+                offset = page * chunk_size
                 body = encode_page(
-                    r["fs"], columns, offset + chunk_size < total, geometry, q, wkid, default_type
+                    [v[lo:hi] for v in values],
+                    geoms[lo:hi] if geoms is not None else None,
+                    columns,
+                    offset + chunk_size < total,
+                    q,
+                    wkid,
+                    default_type,
                 )
                 out.append(
-                    {"layer": layer, "page": r["page"], "offset": offset, "chunk_size": chunk_size,
+                    {"layer": layer, "page": page, "offset": offset, "chunk_size": chunk_size,
                      "format": "pbf", "body": body, "status": "ok"}
                 )
             yield pa.RecordBatch.from_pylist(out, schema=_PAGE_ARROW)
