@@ -3,7 +3,8 @@
 ``groupBy(egid).pivot(annee, years)`` with ``first`` per value column; after
 keep-latest there is one row per (egid, annee), so ``first`` is exact. The
 years are passed in or read as the distinct years of the input (a bounded
-set: the ``annee_valide`` rule confines valid rows to a few dozen years).
+set: the ``annee_valide`` rule confines valid rows to a few dozen years); in
+the latter case the input is checkpointed first, as it is read twice.
 Columns are ordered by variable name, then year, as ``<variable>_<year>``.
 """
 
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.schemas import PIVOT_VALUE_COLUMNS
+from tessera.session import checkpoint_root
 
 _TRAILING_YEAR = re.compile(r"_(\d{4})$")
 
@@ -46,7 +48,14 @@ def pivot_years(
     index: str = "egid",
     on: str = "annee",
 ) -> DataFrame:
-    ys = list(years) if years is not None else distinct_years(df, on)
+    if years is None:
+        # Two consumers (the distinct years, then the pivot): cut the lineage
+        # once in the shared folder instead of computing the input twice.
+        checkpoint_root(df.sparkSession)
+        df = df.checkpoint(eager=True)
+        ys = distinct_years(df, on)
+    else:
+        ys = list(years)
     vals = list(values)
     wide = df.groupBy(index).pivot(on, ys).agg(*[F.first(v).alias(v) for v in vals])
     renamed = []
