@@ -21,7 +21,8 @@ Transports, chosen by option:
 
 Options: ``path`` | ``url``, ``format`` (json | pbf), ``where`` (1=1),
 ``fields`` (*), ``returnGeometry`` (false), ``chunk_size`` (from metadata),
-``max_partitions`` (1024), ``max_retries`` (4), ``timeout`` (120).
+``max_partitions`` (1024), ``max_retries`` (4), ``timeout`` (120), ``order_by``
+(e.g. ``OBJECTID``: sent as the page order, so offset paging is stable).
 Every read is idempotent, so Spark's task retry is safe on top of it.
 """
 
@@ -99,9 +100,11 @@ class DirectoryTransport(Transport):
 
 
 class HttpTransport(Transport):
-    def __init__(self, url: str, where: str, fields: str, geometry: bool, timeout: int):
+    def __init__(
+        self, url: str, where: str, fields: str, geometry: bool, timeout: int, order_by: str | None = None
+    ):
         self.url, self.where, self.fields = url, where, fields
-        self.geometry, self.timeout = geometry, timeout
+        self.geometry, self.timeout, self.order_by = geometry, timeout, order_by
 
     def _get(self, url: str, params: dict) -> bytes:
         full = url + "?" + urllib.parse.urlencode(params)
@@ -129,6 +132,8 @@ class HttpTransport(Transport):
                 "resultOffset": offset,
                 "resultRecordCount": chunk_size,
                 "resultType": "standard",
+                # offset paging is only stable under a total order
+                **({"orderByFields": self.order_by} if self.order_by else {}),
             },
         )
 
@@ -155,13 +160,16 @@ def _options(opts) -> dict:
         "max_retries": retries,
         "timeout": int(o.get("timeout", 120)),
         "layer": o.get("layer"),
+        "order_by": o.get("order_by"),
     }
 
 
 def make_transport(o: dict) -> Transport:
     if o["path"]:
         return DirectoryTransport(o["path"], o["where"])
-    return HttpTransport(o["url"], o["where"], o["fields"], o["geometry"], o["timeout"])
+    return HttpTransport(
+        o["url"], o["where"], o["fields"], o["geometry"], o["timeout"], o.get("order_by")
+    )
 
 
 def layer_label(url_or_path: str) -> str:

@@ -60,6 +60,7 @@ def read_layer(
     chunk_size: int | None = None,
     max_partitions: int | None = None,
     max_retries: int = 4,
+    order_by: str | None = None,
 ) -> DataFrame:
     """Every feature of a layer as typed rows (the bulk layer read)."""
     if response_format not in ("json", "pbf"):
@@ -77,6 +78,7 @@ def read_layer(
         chunk_size=chunk_size,
         max_partitions=max_partitions,
         max_retries=max_retries,
+        order_by=order_by,
     )
     rows = decode_pages(pages, attributes, with_geometry, response_format)
     if fields.strip() != "*":

@@ -128,3 +128,23 @@ def test_page_size_from_metadata_defaults(spark, scratch):
     pages = read_pages(spark, path=scratch, format="json")
     r = pages.collect()
     assert len(r) == 1 and r[0].chunk_size == 2000
+
+
+def test_http_transport_request_parameters(monkeypatch):
+    from tessera.sources.feature_source import _options, make_transport
+
+    t = make_transport(
+        _options({"url": "https://gis.example.org/x/FeatureServer/0/query", "where": "A=1",
+                  "fields": "A,B", "returnGeometry": "true", "order_by": "OBJECTID", "format": "pbf"})
+    )
+    seen = []
+    monkeypatch.setattr(t, "_get", lambda url, params: seen.append((url, params)) or b"{}")
+    t.page(2000, 1000, "pbf")
+    url, params = seen[0]
+    assert url.endswith("/query")
+    assert params["where"] == "A=1" and params["outFields"] == "A,B" and params["f"] == "pbf"
+    assert params["returnGeometry"] == "true" and params["orderByFields"] == "OBJECTID"
+    assert (params["resultOffset"], params["resultRecordCount"]) == (2000, 1000)
+    monkeypatch.setattr(t, "_get", lambda url, params: b'{"error": {"code": 400}}')
+    with pytest.raises(ValueError, match="no count"):
+        t.count("1=1")
