@@ -27,7 +27,7 @@ from tessera.operators.geometry import assign_parts, decode_deltas
 from tessera.operators.agreement import compare_encodings
 from tessera.session import scratch_path
 from tessera.sources.layer import land_layer, read_layer
-from tessera.streaming.pages import ingest_pages, read_ingested
+from tessera.streaming.pages import ingest_pages, ingest_progress, read_ingested
 from tessera.sources.pages import (
     attribute_names_json,
     audit_pages,
@@ -505,6 +505,22 @@ def q_streamed_features(spark, sf_dir):
     return read_ingested(spark, sink, RAW_SCHEMA).select(*RAW_SCHEMA.fieldNames())
 
 
+@register(
+    "ingest_progress",
+    _with(
+        _RAW,
+        body=f"""select cast(ceil(count(*) / {PAGE}) as bigint) as pages_planned,
+  cast(ceil(count(*) / {PAGE}) as bigint) as pages_landed,
+  cast(1.0 as double) as fraction from raw""",
+    ),
+)
+def q_ingest_progress(spark, sf_dir):
+    """Pages of the landed readings layer against its page plan."""
+    root = scratch_path(spark, "readings-progress")
+    land_layer(raw_readings(spark, sf_dir), root, PAGE, key="OBJECTID", layer="HEAT_INDEX")
+    return ingest_progress(spark, root)
+
+
 # ---------------------------------------------------------------------------
 # Coordinates: zigzag, running sums, dequantization, parts
 # ---------------------------------------------------------------------------
