@@ -31,8 +31,16 @@ def _layer_docs(root: str) -> tuple[int, int]:
     return total, chunk
 
 
-def page_stream(spark: SparkSession, root: str, fmt: str = "json", layer: str = "layer") -> DataFrame:
-    """Streaming page table over the page files of a landed layer."""
+def page_stream(
+    spark: SparkSession,
+    root: str,
+    fmt: str = "json",
+    layer: str = "layer",
+    max_pages_per_batch: int = 1000,
+) -> DataFrame:
+    """Streaming page table over the page files of a landed layer; a
+    micro-batch takes at most ``max_pages_per_batch`` new pages, so a large
+    backlog is ingested in bounded batches."""
     if fmt not in ("json", "pbf"):
         raise ValueError(f"invalid response format {fmt!r} (expected 'json' or 'pbf')")
     _total, chunk = _layer_docs(root)
@@ -40,6 +48,7 @@ def page_stream(spark: SparkSession, root: str, fmt: str = "json", layer: str =
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", f"*.{fmt}")
+        .option("maxFilesPerTrigger", str(int(max_pages_per_batch)))
         .load(f"{root.rstrip('/')}/pages")
     )
     offset = F.regexp_extract("path", r"/(\d+)\.[a-z]+$", 1).cast("bigint")
@@ -64,9 +73,10 @@ def ingest_pages(
     with_geometry: bool = False,
     available_now: bool = True,
     processing_time: str | None = None,
+    max_pages_per_batch: int = 1000,
 ) -> StreamingQuery:
     """Start the ingestion query; rows land under ``sink`` with ``page``."""
-    pages = page_stream(spark, root, fmt)
+    pages = page_stream(spark, root, fmt, max_pages_per_batch=max_pages_per_batch)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         feats = decode_pages(

@@ -27,3 +27,17 @@ def test_pages_are_ingested_once_each(spark, scratch):
     got = sorted(r.OBJECTID for r in read_ingested(spark, sink, ATTRS).collect())
     assert got == list(range(11))
     assert ingest_progress(spark, scratch).collect()[0].fraction == 1.0
+
+
+def test_backlog_is_ingested_in_bounded_batches(spark, scratch):
+    df = spark.createDataFrame([(i, i) for i in range(10)], "OBJECTID long, A long")
+    land_layer(df, scratch, 3, key="OBJECTID")
+    sink, ckpt = scratch + "-sink", scratch + "-ckpt"
+    q = ingest_pages(spark, scratch, ATTRS, sink, ckpt, max_pages_per_batch=1)
+    q.awaitTermination(180)
+    fs, base = open_fs(sink)
+    from pyarrow.fs import FileSelector
+
+    batches = [i.base_name for i in fs.get_file_info(FileSelector(base)) if i.base_name.startswith("batch=")]
+    assert len(batches) == 4  # four pages, one per micro-batch
+    assert sorted(r.OBJECTID for r in read_ingested(spark, sink, ATTRS).collect()) == list(range(10))
