@@ -33,6 +33,7 @@ def get_session(
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.python.filterPushdown.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.driver.host": "127.0.0.1",
     }

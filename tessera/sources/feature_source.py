@@ -22,7 +22,9 @@ Transports, chosen by option:
 Options: ``path`` | ``url``, ``format`` (json | pbf), ``where`` (1=1),
 ``fields`` (*), ``returnGeometry`` (false), ``chunk_size`` (from metadata),
 ``max_partitions`` (1024), ``max_retries`` (4), ``timeout`` (120), ``order_by``
-(e.g. ``OBJECTID``: sent as the page order, so offset paging is stable).
+(e.g. ``OBJECTID``: sent as the page order, so offset paging is stable),
+``prune_pages`` (false; filters on ``page`` then limit the pages fetched --
+needs ``spark.sql.python.filterPushdown.enabled``).
 Every read is idempotent, so Spark's task retry is safe on top of it.
 """
 
@@ -161,6 +163,8 @@ def _options(opts) -> dict:
         "timeout": int(o.get("timeout", 120)),
         "layer": o.get("layer"),
         "order_by": o.get("order_by"),
+        # needs spark.sql.python.filterPushdown.enabled (read_pages checks it)
+        "prune_pages": str(o.get("prune_pages", "false")).lower() == "true",
     }
 
 
@@ -201,14 +205,21 @@ class FeaturePagesReader(DataSourceReader):
         self.total = t.count(options["where"])
         self.n_pages = -(-self.total // chunk)
 
+    def _page_bounds(self) -> tuple[int, int, list[int] | None]:
+        """Pages to read: [first, last) and, when known, an explicit list."""
+        return 0, self.n_pages, None
+
     def partitions(self):
-        if self.n_pages == 0:
-            return [PageRange(0, 0)]  # an empty layer: one partition that yields nothing
-        n = max(1, min(self.o["max_partitions"], self.n_pages))
-        step = -(-self.n_pages // n)
-        return [
-            PageRange(a, min(a + step, self.n_pages)) for a in range(0, self.n_pages, step)
-        ]
+        first, last, only = self._page_bounds()
+        if only is not None:
+            pages = sorted(p for p in set(only) if first <= p < last)
+            return [PageRange(p, p + 1) for p in pages] or [PageRange(0, 0)]
+        if last <= first:
+            return [PageRange(0, 0)]  # nothing to read: one partition that yields nothing
+        n_sel = last - first
+        n = max(1, min(self.o["max_partitions"], n_sel))
+        step = -(-n_sel // n)
+        return [PageRange(a, min(a + step, last)) for a in range(first, last, step)]
 
     def read(self, partition: PageRange):
         """One Arrow record batch per group of pages (bodies are not pickled)."""
@@ -256,6 +267,47 @@ def _page_arrow():
 _PAGE_ARROW = _page_arrow()
 
 
+class PrunedPagesReader(FeaturePagesReader):
+    """The page reader with page pruning: comparisons, equality and IN on the
+    ``page`` column narrow the pages that are fetched at all. Every filter is
+    also handed back, so Spark still checks the rows it gets."""
+
+    def __init__(self, options: dict):
+        super().__init__(options)
+        self.first, self.last, self.only = 0, self.n_pages, None
+
+    def pushFilters(self, filters):
+        from pyspark.sql.datasource import (
+            EqualTo,
+            GreaterThan,
+            GreaterThanOrEqual,
+            In,
+            LessThan,
+            LessThanOrEqual,
+        )
+
+        for f in filters:
+            if getattr(f, "attribute", None) == ("page",) and hasattr(f, "value"):
+                v = f.value
+                if isinstance(f, EqualTo) and isinstance(v, int):
+                    self.first, self.last = max(self.first, v), min(self.last, v + 1)
+                elif isinstance(f, GreaterThan) and isinstance(v, int):
+                    self.first = max(self.first, v + 1)
+                elif isinstance(f, GreaterThanOrEqual) and isinstance(v, int):
+                    self.first = max(self.first, v)
+                elif isinstance(f, LessThan) and isinstance(v, int):
+                    self.last = min(self.last, v)
+                elif isinstance(f, LessThanOrEqual) and isinstance(v, int):
+                    self.last = min(self.last, v + 1)
+                elif isinstance(f, In) and all(isinstance(x, int) for x in v):
+                    keep = set(v) if self.only is None else set(self.only) & set(v)
+                    self.only = sorted(keep)
+            yield f
+
+    def _page_bounds(self):
+        return self.first, min(self.last, self.n_pages), self.only
+
+
 def _fetch(t: Transport, offset: int, chunk: int, fmt: str, retries: int) -> bytes | None:
     for attempt in range(retries):
         try:
@@ -280,6 +332,8 @@ class FeaturePages(DataSource):
         return PAGE_DDL
 
     def reader(self, schema) -> DataSourceReader:
+        if self.parsed["prune_pages"]:
+            return PrunedPagesReader(self.parsed)
         return FeaturePagesReader(self.parsed)
 
 

@@ -21,6 +21,10 @@ def read_pages(spark: SparkSession, path: str | None = None, url: str | None = N
     """The page table of a landed (``path``) or live (``url``) layer."""
     feature_source.register(spark)
     r = spark.read.format("feature_pages")
+    if "prune_pages" not in options:
+        # Page pruning needs Python filter pushdown; use it when the session has it on.
+        on = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false").lower() == "true"
+        options = {**options, "prune_pages": on}
     if path:
         r = r.option("path", path)
     if url:

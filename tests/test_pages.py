@@ -148,3 +148,23 @@ def test_http_transport_request_parameters(monkeypatch):
     monkeypatch.setattr(t, "_get", lambda url, params: b'{"error": {"code": 400}}')
     with pytest.raises(ValueError, match="no count"):
         t.count("1=1")
+
+
+def test_page_filters_prune_the_pages_fetched(spark, scratch):
+    df = spark.createDataFrame([(i, i) for i in range(11)], "OBJECTID long, A long")
+    land_layer(df, scratch, 2, key="OBJECTID")
+    assert spark.conf.get("spark.sql.python.filterPushdown.enabled") == "true"
+    all_pages = read_pages(spark, path=scratch)
+    assert all_pages.rdd.getNumPartitions() == 6
+    tail = read_pages(spark, path=scratch).where("page >= 4")
+    assert tail.rdd.getNumPartitions() == 2
+    assert sorted(r.page for r in tail.collect()) == [4, 5]
+    picked = read_pages(spark, path=scratch).where("page in (0, 5, 9) and page < 5")
+    assert picked.rdd.getNumPartitions() == 1
+    assert [r.page for r in picked.collect()] == [0]
+    none = read_pages(spark, path=scratch).where("page > 7")
+    assert none.collect() == []
+    # without pruning every page is planned; the rows are the same
+    unpruned = read_pages(spark, path=scratch, prune_pages=False).where("page >= 4")
+    assert unpruned.rdd.getNumPartitions() == 6
+    assert sorted(r.page for r in unpruned.collect()) == [4, 5]
