@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.session import checkpoint_root
 
@@ -90,3 +91,70 @@ def slabs(text: bytes, limit: int = GROUP_BYTES, overlap_words: int = 0) -> Iter
                 break
             back = found
         start = back
+
+
+def mapped(
+    docs: DataFrame,
+    keep: tuple[str, ...],
+    text: str,
+    fields: list[T.StructField],
+    kernel: Callable[[], Callable[[np.ndarray, np.ndarray], list]],
+) -> DataFrame:
+    """The columns keep and, for each row, what the kernel makes of its text.
+
+    kernel() runs once a task and gives a function from (bytes, offsets) of
+    some neighbouring rows, at most ``GROUP_BYTES`` or one row, to one list or
+    array for each of fields.
+    """
+    kept = docs.select(*keep)
+    fresh(kept, *[f.name for f in fields])
+    names = [*kept.columns, *[f.name for f in fields]]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = kernel()
+        for batch in batches:
+            body, offsets = text_buffers(batch.column(batch.num_columns - 1))
+            found: list[list] = [[] for _ in fields]
+            for a, b in row_groups(offsets):
+                for out, values in zip(found, made(body[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])):
+                    out.append(pa.array(values))
+            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
+            added = [pa.concat_arrays(x) if x else None for x in found]
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([*columns, *added], names=names)
+
+    return docs.select(*keep, docs[text].alias("__text")).mapInArrow(work, T.StructType([*kept.schema.fields, *fields]))
+
+
+def listed(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
+    """The named columns row by row; a list column gives slices of one numpy array."""
+    columns: list = []
+    for name in names:
+        c = batch.column(name)
+        if pa.types.is_list(c.type):
+            values, ends = c.values.to_numpy(zero_copy_only=False), c.offsets.to_numpy()
+            columns.append([values[a:b] for a, b in zip(ends, ends[1:])])
+        else:
+            columns.append(c.to_pylist())
+    return zip(*columns)
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, folds: int, fold: int, rows: int) -> DataFrame:
+    """docs of at most rows labelled ids outside the held-out fold, with columns __label (0 or 1) and __order.
+
+    The ids are those of the smallest hashes, so the choice doesn't depend on
+    the order of the tables; of an id labelled twice the larger label holds.
+    Null ids and labels other than 0 and 1 are left out. Only the chosen ids
+    (rows of 24 bytes) are broadcast.
+    """
+    chosen = (
+        labels.select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("__label"))
+        .where(F.col("__label").isin(0, 1))
+        .where(in_training(labels.sparkSession, "__id", folds, fold))
+        .groupBy("__id")
+        .agg(F.max("__label").alias("__label"))
+        .withColumn("__order", F.xxhash64("__id"))
+        .orderBy("__order", "__id")
+        .limit(rows)
+    )
+    return docs.join(F.broadcast(chosen), F.col(doc_id) == F.col("__id"))

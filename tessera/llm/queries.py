@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, simhash, token_counts
+from tessera.llm import bpe, langid, quality, simhash, token_counts, toxicity
+from tessera.llm.frames import held_out
 
 
 def tokenizer_path(name: str) -> str:
@@ -36,18 +37,39 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), folds=3, fold=1)
+    return quality.score(docs, model).select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), folds=5, fold=0)
+    return toxicity.score(docs, model).select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
+
+
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, folds=3, fold=1)
+    return langid.predict(docs, model).select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_quality": op2_quality,
     "op3_token_counts": op3_token_counts,
+    "op5_toxicity": op5_toxicity,
+    "op7_langid": op7_langid,
     "op9_simhash": op9_simhash,
 }
 
