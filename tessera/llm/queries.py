@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, langid, quality, simhash, token_counts, toxicity
+from tessera.llm import bpe, decontam, langid, quality, secrets, simhash, token_counts, toxicity
 from tessera.llm.frames import held_out
 
 
@@ -54,6 +54,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
 
 
+def op6_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs, folds=3, fold=1)
@@ -64,13 +68,28 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = secrets.ordered("found.assign", "found.access", "found.hex")
+    return found.select(
+        "doc_id",
+        *[F.size(f"found.{k}").cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secrets.joined(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.joined(secrets.ordered("found.assign", "found.access", "found.hex", "found.added")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
     "op3_token_counts": op3_token_counts,
     "op5_toxicity": op5_toxicity,
+    "op6_decontam": op6_decontam,
     "op7_langid": op7_langid,
     "op9_simhash": op9_simhash,
+    "op10_secrets": op10_secrets,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_decontam": decontam.CONTAMINATED_SQL,
+}
