@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontam, langid, quality, secrets, simhash, token_counts, toxicity
+from tessera.llm import bpe, decontam, langid, lattice, quality, secrets, simhash, token_counts, toxicity
 from tessera.llm.frames import held_out
 
 
@@ -48,6 +48,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op4_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.text_scores(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), folds=10, fold=0)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), folds=5, fold=0)
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
     "op3_token_counts": op3_token_counts,
+    "op4_lattice": op4_lattice,
     "op5_toxicity": op5_toxicity,
     "op6_decontam": op6_decontam,
     "op7_langid": op7_langid,
