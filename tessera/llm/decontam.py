@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.frames import fresh, stored
+from tessera.llm.frames import ROW, fresh, numbered, stored, without
 
 #: Places that count (1) or are ignored (0).
 MASKS = ("111011", "101111")
@@ -112,11 +112,10 @@ def contaminated(
     return every.select(F.col("doc").alias(doc_id), F.col("item").alias(item_id), F.col("need").alias(n_window), F.col("equal").alias(n_equal))
 
 
-def clean(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", broadcast_rows: int = 500_000) -> DataFrame:
-    """docs without the documents of found (their ids are broadcast if there are few enough, else joined by hash)."""
-    ids = stored(found.select(F.col(doc_id).alias("__hit")).distinct())
-    ids = F.broadcast(ids) if ids.count() <= broadcast_rows else ids.hint("shuffle_hash")
-    return docs.join(ids, docs[doc_id].eqNullSafe(F.col("__hit")), "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """docs without the rows in which an item is found. docs must be a stored table: its rows are numbered in two reads."""
+    rows = numbered(docs)
+    return without(rows, contaminated(rows, benchmark, ROW, text, item_id, item_text))
 
 
 #: The same by brute force: items and documents lined up at every shift, every window counted.

@@ -40,6 +40,24 @@ def fresh(df: DataFrame, *names: str) -> None:
         raise ValueError(f"columns already there: {clash}; choose other output names")
 
 
+#: Row numbers that are broadcast, at most (8 bytes each); more are joined by their hash.
+BROADCAST_ROWS = 500_000
+ROW = "__row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with a number for each row, the same whenever the stored table behind docs is read in this session."""
+    fresh(docs, ROW)
+    return docs.withColumn(ROW, F.monotonically_increasing_id())
+
+
+def without(docs: DataFrame, rows: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Numbered docs less those whose number is in rows (a column called as there), and without the number."""
+    rows = stored(rows.select(ROW).distinct())
+    rows = F.broadcast(rows) if rows.count() <= broadcast_rows else rows.hint("shuffle_hash")
+    return docs.join(rows, ROW, "left_anti").drop(ROW)
+
+
 def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(UTF-8 bytes, offsets of length rows + 1) of a string column; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -109,21 +127,23 @@ def mapped(
     kept = docs.select(*keep)
     fresh(kept, *[f.name for f in fields])
     names = [*kept.columns, *[f.name for f in fields]]
+    width = len(kept.columns)
+    rows, at = (kept, kept.columns.index(text)) if text in kept.columns else (docs.select(*keep, docs[text].alias("__text")), width)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = kernel()
         for batch in batches:
-            body, offsets = text_buffers(batch.column(batch.num_columns - 1))
+            body, offsets = text_buffers(batch.column(at))
             found: list[list] = [[] for _ in fields]
             for a, b in row_groups(offsets):
                 for out, values in zip(found, made(body[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])):
                     out.append(pa.array(values))
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
+            columns = [batch.column(i) for i in range(width)]
             added = [pa.concat_arrays(x) if x else None for x in found]
             if batch.num_rows:
                 yield pa.RecordBatch.from_arrays([*columns, *added], names=names)
 
-    return docs.select(*keep, docs[text].alias("__text")).mapInArrow(work, T.StructType([*kept.schema.fields, *fields]))
+    return rows.mapInArrow(work, T.StructType([*kept.schema.fields, *fields]))
 
 
 def listed(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontam, langid, lattice, quality, secrets, simhash, token_counts, toxicity
+from tessera.llm import bpe, decontam, langid, lattice, quality, secrets, simhash, token_counts, toxicity, vptree
 from tessera.llm.frames import held_out
 
 
@@ -22,14 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def encoded(docs: DataFrame) -> DataFrame:
-    """doc_id, n_tokens and the digests of ids and decoded text."""
+def encoded(docs: DataFrame, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, the digests of ids and decoded text, and the ids if asked for."""
     done = bpe.encode_decode(docs, tokenizer_path("byte_bpe_50k.json"))
     return done.select(
         "doc_id",
         F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        *(["ids"] if with_ids else []),
     )
 
 
@@ -68,6 +69,10 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
 
 
+def op8_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -91,10 +96,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_decontam": op6_decontam,
     "op7_langid": op7_langid,
+    "op8_vptree": op8_vptree,
     "op9_simhash": op9_simhash,
     "op10_secrets": op10_secrets,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_decontam": decontam.CONTAMINATED_SQL,
+    "op8_vptree": vptree.NEAREST_SQL,
 }

@@ -132,8 +132,11 @@ def joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", kind(s), s["start"].cast("string"), s["end"].cast("string"))))
 
 
-def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """docs with every span of the text replaced by mark (overlapping spans by one); texts without a span stay as they are."""
+def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", n_chars: str | None = None) -> DataFrame:
+    """docs with every span of the text replaced by mark (overlapping spans by one); rows without a span stay as they are.
+
+    n_chars names a column that holds the text's length, brought up to date where the text changes.
+    """
     columns = docs.columns
     found = find(docs, text, "__spans")
     spans = ordered("__spans.assign", "__spans.access", "__spans.hex", "__spans.added")
@@ -149,4 +152,9 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataF
         )
 
     done = F.aggregate("__all", start, step, lambda st: F.concat(st["out"], F.substr(F.col(text), st["at"] + 1, F.length(text))))
-    return found.withColumn(text, F.when(F.size("__all") > 0, done).otherwise(F.col(text))).select(*columns)
+    hit = F.size("__all") > 0
+    found = found.withColumn("__done", F.explode_outer(F.array(F.when(hit, done))))
+    changed = {text: F.when(hit, F.col("__done")).otherwise(F.col(text))}
+    if n_chars:
+        changed[n_chars] = F.when(hit, F.length("__done")).otherwise(F.col(n_chars)).cast(docs.schema[n_chars].dataType)
+    return found.select(*[changed.get(c, F.col(c)).alias(c) for c in columns])

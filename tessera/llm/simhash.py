@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.frames import fresh, row_groups, stored, text_buffers
+from tessera.llm.frames import ROW, fresh, numbered, row_groups, stored, text_buffers, without
 from tessera.llm.graph import components
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
@@ -143,9 +143,7 @@ def near_duplicates(
     fresh(docs.select(doc_id), fingerprint, component)
     fps = stored(fingerprints(docs, (doc_id,), text, "__fp", shingle).withColumnRenamed(doc_id, "__id"))
     nodes = stored(fps.groupBy(F.col("__fp").alias("fp")).agg(F.min("__id").alias("least")))
-    found = components(links(nodes, "fp", max_bits))
-    # only nodes with a link need more than their own smallest id
-    joined = nodes.join(found, nodes.fp == found.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    joined = rooted(nodes, max_bits)
     least = joined.groupBy("root").agg(F.min("least").alias("__component"))
     named = joined.join(least, "root").select(F.col("fp").alias("__fp"), "__component")
     return fps.join(named, "__fp").select(
@@ -153,3 +151,22 @@ def near_duplicates(
         F.lower(F.lpad(F.hex("__fp"), 16, "0")).alias(fingerprint),
         F.col("__component").alias(component),
     )
+
+
+def rooted(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """nodes (fp, least) with the root of each one's component; a node without a link is its own."""
+    found = components(links(nodes, "fp", max_bits))
+    return nodes.join(found, nodes.fp == found.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """docs with one row of each component: that of the smallest doc_id (a null id last; of repeated ids the first row).
+
+    docs must be a stored table: its rows are numbered in two reads.
+    """
+    rows = numbered(docs)
+    fps = stored(fingerprints(rows, (ROW, doc_id), text, "__fp", shingle))
+    first = F.min(F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col(ROW).alias("row")))
+    nodes = stored(fps.groupBy(F.col("__fp").alias("fp")).agg(first.alias("least")))
+    kept = rooted(nodes, max_bits).groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias(ROW))
+    return without(rows, fps.select(ROW).join(kept, ROW, "left_anti"))
