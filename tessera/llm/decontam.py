@@ -25,14 +25,24 @@ WINDOW, SHARE = 15, 0.8
 #: Seeds (about 300 bytes each) broadcast at once; a larger benchmark is taken in blocks.
 SEEDS_AT_ONCE = 100_000
 SPAN = max(map(len, MASKS))
+#: Words of a document that are searched as one row, besides those around them that a window can reach.
+STRETCH = 2048
 
 
-def word_hashes(text: Column) -> Column:
-    """Hashes of the words: runs of letters and digits, lower-cased."""
-    words = F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
+def words_of(text: Column) -> Column:
+    """The words: runs of letters and digits, lower-cased."""
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
+
+
+def hashes_of(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
+def apart(column: Column) -> Column:
+    """The column as one that filters above it aren't moved below (it would be computed twice, or in a join)."""
+    return F.explode_outer(F.array(column))
+
+
 def seed_keys(hashes: Column, at: Column) -> Column:
     """The seeds, one for each mask, of the words from place at on."""
     keys = []
@@ -43,7 +53,7 @@ def seed_keys(hashes: Column, at: Column) -> Column:
 
 def seeds_of(benchmark: DataFrame, item_id: str, text: str, window: int) -> DataFrame:
     """Every seed of every item, with the words of the item that a window around it can hold."""
-    items = benchmark.select(F.col(item_id).alias("item"), word_hashes(F.col(text)).alias("own")).where(F.size("own") >= SPAN)
+    items = benchmark.select(F.col(item_id).alias("item"), hashes_of(words_of(F.col(text))).alias("own")).where(F.size("own") >= SPAN)
     spots = items.select("item", "own", F.explode(F.sequence(F.lit(0), F.size("own") - SPAN)).alias("place"))
     first = F.greatest(F.lit(0), F.col("place") - (window - SPAN))
     last = F.least(F.size("own"), F.col("place") + window)
@@ -81,29 +91,33 @@ def contaminated(
     fresh(docs.select(doc_id), item_id, n_window, n_equal)
     seeds = stored(seeds_of(benchmark, item_id, item_text, window))
     blocks = max(1, math.ceil(seeds.count() / seeds_at_once))
-    words = docs.select(F.col(doc_id).alias("doc"), word_hashes(F.col(text)).alias("own")).where(F.size("own") >= SPAN)
-    spots = words.select("doc", "own", F.explode(F.sequence(F.lit(0), F.size("own") - SPAN)).alias("at"))
-    spots = spots.select("doc", "own", "at", F.explode(seed_keys(F.col("own"), F.col("at"))).alias("key"))
+    words = docs.select(F.col(doc_id).alias("doc"), words_of(F.col(text)).alias("words"))
+    # a long text is searched in stretches, so that the rows made from one row stay few
+    step, before = F.lit(STRETCH), window - SPAN
+    cut = words.select("doc", "words", F.explode(F.sequence(F.lit(0), F.floor(F.greatest(F.size("words") - SPAN, F.lit(0)) / step).cast("int"))).alias("nr"))
+    begin = F.greatest(F.lit(0), F.col("nr") * step - before)
+    cut = cut.select("doc", (F.col("nr") * step - begin).alias("skip"), F.slice("words", begin + 1, F.col("nr") * step + step + window - begin).alias("part"))
+    cut = cut.select("doc", "skip", F.size("part").alias("n"), hashes_of(F.col("part")).alias("own")).where(F.col("n") - SPAN >= F.col("skip"))
+    spots = cut.select("doc", "n", "own", F.explode(F.sequence("skip", F.least(F.col("skip") + step - 1, F.col("n") - SPAN))).alias("at"))
+    spots = spots.select("doc", "n", "own", "at", F.explode(seed_keys(F.col("own"), F.col("at"))).alias("key"))
 
     def found(block: int) -> DataFrame:
         part = seeds if blocks == 1 else seeds.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block)
-        met = spots.join(F.broadcast(part.withColumnRenamed("part", "theirs")), "key")
+        met = spots.join(F.broadcast(part.withColumnRenamed("part", "theirs").withColumnRenamed("words", "size")), "key")
         shift = F.col("at") - F.col("place")
         low = F.greatest(F.col("first"), -shift)
-        high = F.least(F.col("first") + F.size("theirs"), F.size("own") - shift)
-        met = met.select("doc", "item", "own", "theirs", "first", F.least(F.lit(window), "words").alias("need"), F.col("words"), shift.alias("shift"), low.alias("low"), high.alias("high"))
-        met = met.where(F.col("high") - F.col("low") >= F.col("need"))
-        same = F.transform(
-            F.sequence(F.col("low"), F.col("high") - 1),
-            lambda j: (F.get("own", j + F.col("shift")) == F.get("theirs", j - F.col("first"))).cast("int"),
-        )
-        met = met.select("doc", "item", "need", "words", same.alias("same"))
+        high = F.least(F.col("first") + F.size("theirs"), F.col("n") - shift)
+        need = F.least(F.lit(window), F.col("size"))
+        # of the document only the words beside the item's
+        met = met.where(high - low >= need).select("doc", "item", "size", need.alias("need"), F.slice("theirs", low - F.col("first") + 1, high - low).alias("theirs"), F.slice("own", low + shift + 1, high - low).alias("ours"))
+        same = F.transform("ours", lambda w, j: (w == F.get("theirs", j)).cast("int"))
+        met = met.select("doc", "item", "size", "need", apart(same).alias("same"))
         sums = F.transform(
             F.sequence(F.lit(1), F.size("same") - F.col("need") + 1),
             lambda s: F.aggregate(F.slice("same", s, F.col("need")), F.lit(0), lambda x, y: x + y),
         )
-        met = met.select("doc", "item", "need", "words", F.array_max(sums).alias("equal"))
-        least = F.when(F.col("words") >= window, math.ceil(share * window - 1e-9)).otherwise(F.col("words"))
+        met = met.select("doc", "item", "size", "need", apart(F.array_max(sums)).alias("equal"))
+        least = F.when(F.col("size") >= window, math.ceil(share * window - 1e-9)).otherwise(F.col("size"))
         return met.where(F.col("equal") >= least).groupBy("doc", "item").agg(F.max("need").alias("need"), F.max("equal").alias("equal"))
 
     every = reduce(DataFrame.unionByName, [found(i) for i in range(blocks)])
