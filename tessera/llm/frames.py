@@ -159,8 +159,8 @@ def listed(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
     return zip(*columns)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, folds: int, fold: int, rows: int) -> DataFrame:
-    """docs of at most rows labelled ids outside the held-out fold, with columns __label (0 or 1) and __order.
+def labelled(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, text: str, folds: int, fold: int, rows: int) -> DataFrame:
+    """(__id, __label, __order, text) of at most rows labelled ids outside the held-out fold; labels are 0 or 1.
 
     The ids are those of the smallest hashes, so the choice doesn't depend on
     the order of the tables; of an id labelled twice the larger label holds.
@@ -177,4 +177,4 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, folds:
         .orderBy("__order", "__id")
         .limit(rows)
     )
-    return docs.join(F.broadcast(chosen), F.col(doc_id) == F.col("__id"))
+    return docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text")).join(F.broadcast(chosen), "__id")

@@ -160,9 +160,9 @@ def fit(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str =
     turn = Window.partitionBy("__lang").orderBy("__order", "__id")
     ids = ids.withColumn("__order", F.xxhash64("__id")).withColumn("__turn", F.row_number().over(turn)).where(F.col("__turn") <= sample)
     chosen = F.broadcast(ids.orderBy("__turn", "__order", "__id", "__lang").limit(sample))  # at most sample rows
-    rows = docs.join(chosen, (F.col(doc_id) == F.col("__id")) & (F.col(lang) == F.col("__lang")))
+    rows = docs.select(F.col(doc_id).alias("__id"), F.col(lang).alias("__lang"), F.col(text).alias("text")).join(chosen, ["__id", "__lang"])
     made = [T.StructField("grams", T.ArrayType(T.IntegerType()))]
-    rows = mapped(rows, ("__id", "__lang", "__turn"), text, made, lambda: lambda body, offsets: [pa.array([x.astype(np.int32) for x in distinct_grams(body, offsets)], pa.list_(pa.int32()))])
+    rows = mapped(rows, ("__id", "__lang", "__turn"), "text", made, lambda: lambda body, offsets: [pa.array([x.astype(np.int32) for x in distinct_grams(body, offsets)], pa.list_(pa.int32()))])
     rows = rows.groupBy("__id", "__lang", "__turn").agg(F.min("grams").alias("grams"))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -215,8 +215,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str
     floats at most. Without rows of both labels every score is the share of
     label 1 (1 without any label, so that nothing is dropped).
     """
-    chosen = labelled(docs, labels, label, doc_id, folds, fold, sample)
-    rows = mapped(chosen, ("__id", "__label", "__order"), text, [T.StructField("bag", T.ArrayType(T.FloatType()))], lambda: _bags)
+    chosen = labelled(docs, labels, label, doc_id, text, folds, fold, sample)
+    rows = mapped(chosen, ("__id", "__label", "__order"), "text", [T.StructField("bag", T.ArrayType(T.FloatType()))], lambda: _bags)
     rows = rows.groupBy("__id", "__label", "__order").agg(F.min("bag").alias("bag"))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

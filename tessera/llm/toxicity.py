@@ -113,8 +113,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
     both labels there are no weights, and every score is the share of label 1
     (0 without any).
     """
-    chosen = labelled(docs, labels, label, doc_id, folds, fold, sample)
-    rows = mapped(chosen, ("__id", "__label", "__order"), text, [T.StructField("features", T.ArrayType(T.IntegerType()))], lambda: lambda body, offsets: [pa.array([x.astype(np.int32) for x in distinct_features(body, offsets)], pa.list_(pa.int32()))])
+    chosen = labelled(docs, labels, label, doc_id, text, folds, fold, sample)
+    rows = mapped(chosen, ("__id", "__label", "__order"), "text", [T.StructField("features", T.ArrayType(T.IntegerType()))], lambda: lambda body, offsets: [pa.array([x.astype(np.int32) for x in distinct_features(body, offsets)], pa.list_(pa.int32()))])
     rows = rows.groupBy("__id", "__label", "__order").agg(F.min("features").alias("features"))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
