@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 
 UPPER_LEFT, LOWER_LEFT = 0, 1
 
-# Geometry type codes of the binary page format and their names.
-GEOMETRY_TYPES = {0: "point", 1: "multipoint", 2: "polyline", 3: "polygon", 5: "envelope"}
-
 
 def zigzag(n: Column) -> Column:
     """Zigzag-decode an unsigned varint held in a BIGINT: ``(n >>> 1) ^ -(n & 1)``."""
@@ -85,6 +82,9 @@ def _cumsum_lists(arr, stride: int):
     nz = starts > 0
     base[nz] = cs[starts[nz] - 1]
     cs -= np.repeat(base, cnt, axis=0)
+    last = int(ends[-1]) * stride if len(ends) else 0
+    if last > np.iinfo(np.int32).max:
+        raise ValueError(f"{last} coordinates in one batch; lower spark.sql.execution.arrow.maxRecordsPerBatch")
     offsets = pa.array(np.concatenate([[0], ends * stride]).astype(np.int32), pa.int32())
     return pa.ListArray.from_arrays(offsets, pa.array(cs.reshape(-1), pa.int64()), mask=arr.is_null())
 

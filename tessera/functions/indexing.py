@@ -12,7 +12,7 @@ position that is unique within the group. A window over a whole group would
 put a hot group (a third of all rows) into one task, so positions are cut
 into blocks of at most ``block_size`` rows: a window runs inside each block,
 block totals are prefix-summed per group (one row per block), and the block
-offsets are joined back on (group, block). The big side is shuffled once.
+offsets are joined back on (group, block), NULLs included.
 """
 
 from __future__ import annotations
@@ -91,7 +91,11 @@ def running_sum(
         "_blk",
         *[F.coalesce(F.sum(f"_{v}_tot").over(w_blk), F.lit(0)).alias(f"_{v}_off") for v in values],
     )
-    out = d.join(offsets, [*g, "_blk"])
+    # rows whose group or position is NULL are a group and a block like any other
+    keys = [*g, "_blk"]
+    offsets = offsets.select(*[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)], *[f"_{v}_off" for v in values])
+    same = [F.col(k).eqNullSafe(F.col(f"_o{i}")) for i, k in enumerate(keys)]
+    out = d.join(offsets, same).drop(*[f"_o{i}" for i in range(len(keys))])
     for v in values:
         out = out.withColumn(f"{v}{suffix}", F.col(f"_{v}_in") + F.col(f"_{v}_off"))
     drop = ["_blk"] + [f"_{v}_{s}" for v in values for s in ("in", "off")]

@@ -22,14 +22,6 @@ class ContractError(ValueError):
     pass
 
 
-def attribute_keys(features_json: DataFrame, column: str = "attributes_json") -> DataFrame:
-    """Distinct attribute names (``name``) over JSON-object attribute strings."""
-    return (
-        features_json.select(F.explode(F.json_object_keys(F.col(column))).alias("name"))
-        .distinct()
-    )
-
-
 def contract_diff(
     returned: DataFrame, expected: Sequence[str] = API_COLUMNS, spark: SparkSession | None = None
 ) -> DataFrame:
@@ -48,13 +40,8 @@ def contract_diff(
     )
 
 
-def check_columns(columns: Sequence[str], expected: Sequence[str] = API_COLUMNS) -> None:
-    """Raise :class:`ContractError` listing missing and unexpected names (sorted)."""
-    have, want = set(columns), set(expected)
-    msgs = []
-    if want - have:
-        msgs.append(f"missing columns: {sorted(want - have)}")
-    if have - want:
-        msgs.append(f"unexpected columns: {sorted(have - want)}")
-    if msgs:
-        raise ContractError("column contract broken - " + " | ".join(msgs))
+def require_contract(returned: DataFrame, expected: Sequence[str] = API_COLUMNS) -> None:
+    """Raise :class:`ContractError` if the names in ``returned`` (column ``name``) break the contract."""
+    drift = contract_diff(returned, expected).orderBy("column_name").collect()  # a name each, at most
+    if drift:
+        raise ContractError("the layer breaks the column contract: " + ", ".join(f"{r.column_name} is {r.status}" for r in drift))

@@ -46,14 +46,6 @@ def decode_deltas(
     ).drop(f"{dx}_cum", f"{dy}_cum")
 
 
-def part_ends(lengths: DataFrame, feature: Sequence[str], part: str, length: str) -> DataFrame:
-    """(feature..., end, n_parts): exclusive end position of every part."""
-    f = list(feature)
-    c = running_sum(lengths.select(*f, part, length), f, part, [length], suffix="_end")
-    n = c.groupBy(*f).agg(F.count(F.lit(1)).alias("n_parts"))
-    return c.select(*f, F.col(f"{length}_end").alias("end")).join(n, f)
-
-
 def assign_parts(
     vertices: DataFrame,
     lengths: DataFrame,

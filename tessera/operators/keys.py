@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.indexing import dense_index
+from tessera.functions.strict import whole_number
 from tessera.schemas import DEFAULT_KEY_CHUNK
 
 
@@ -33,11 +34,8 @@ def normalize_keys(keys: DataFrame, column: str = "egid", check: bool = True) ->
     pass, ``'12.5'`` and ``'abc'`` do not. With ``check`` an empty result
     raises :class:`NoValidKeys` (one ``limit(1)`` probe, not a count).
     """
-    as_dec = F.expr(f"try_cast(`{column}` as decimal(38, 6))")
-    as_long = F.expr(f"try_cast(`{column}` as bigint)")
-    is_int = as_dec.isNotNull() & (as_dec == F.floor(as_dec))
     out = (
-        keys.select(F.when(is_int, as_long).alias("egid"))
+        keys.select(whole_number(F.col(column).cast("string")).alias("egid"))
         .where(F.col("egid").isNotNull())
         .distinct()
     )

@@ -2,67 +2,37 @@
 
 ``groupBy(egid).pivot(annee, years)`` with ``first`` per value column; after
 keep-latest there is one row per (egid, annee), so ``first`` is exact. The
-years are passed in or read as the distinct years of the input (a bounded
-set: the ``annee_valide`` rule confines valid rows to a few dozen years); in
-the latter case the input is checkpointed first, as it is read twice.
-Columns are ordered by variable name, then year, as ``<variable>_<year>``.
+years are given, or all those that the ``annee_valide`` rule admits, so the
+input is read once and the columns don't depend on the data. Columns are
+ordered by variable name, then year, as ``<variable>_<year>``.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.schemas import PIVOT_VALUE_COLUMNS
-from tessera.session import checkpoint_root
+from tessera.operators.rules import default_annee_max
+from tessera.schemas import ANNEE_MIN, PIVOT_VALUE_COLUMNS
 
-_TRAILING_YEAR = re.compile(r"_(\d{4})$")
 
-
-def distinct_years(df: DataFrame, column: str = "annee", max_years: int = 1000) -> list[int]:
-    """The distinct years, read on the driver; at most ``max_years + 1`` rows
-    are fetched, and more than ``max_years`` is an error (one column each)."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(max_years + 1).collect()
-    if len(rows) > max_years:
-        raise ValueError(f"more than {max_years} distinct values of {column!r} to pivot on")
-    return sorted(r[0] for r in rows)
-
-
-def column_order(names: Sequence[str]) -> list[str]:
-    """Sort ``<variable>_<year>`` names by (variable, year)."""
-
-    def key(c: str) -> tuple[str, str]:
-        m = _TRAILING_YEAR.search(c)
-        return (_TRAILING_YEAR.sub("", c), m.group(1) if m else "")
-
-    return sorted(names, key=key)
+def valid_years(annee_max: int | None = None) -> range:
+    """The years that the ``annee_valide`` rule admits."""
+    return range(ANNEE_MIN, (default_annee_max() if annee_max is None else annee_max) + 1)
 
 
 def pivot_years(
     df: DataFrame,
     values: Sequence[str] = PIVOT_VALUE_COLUMNS,
-    years: Sequence[int] | None = None,
+    years: Iterable[int] | None = None,
     index: str = "egid",
     on: str = "annee",
 ) -> DataFrame:
-    if years is None:
-        # Two consumers (the distinct years, then the pivot): cut the lineage
-        # once in the shared folder instead of computing the input twice.
-        checkpoint_root(df.sparkSession)
-        df = df.checkpoint(eager=True)
-        ys = distinct_years(df, on)
-    else:
-        ys = list(years)
-    vals = list(values)
-    wide = df.groupBy(index).pivot(on, ys).agg(*[F.first(v).alias(v) for v in vals])
-    renamed = []
-    for y in ys:
-        for v in vals:
-            # Spark names a single aggregate by the year alone, several by "<year>_<alias>".
-            src = str(y) if len(vals) == 1 else f"{y}_{v}"
-            renamed.append((src, f"{v}_{y}"))
-    wide = wide.select(index, *[F.col(f"`{s}`").alias(t) for s, t in renamed])
-    return wide.select(index, *column_order([t for _, t in renamed]))
+    ys = sorted(set(valid_years() if years is None else years))
+    wide = df.groupBy(index).pivot(on, ys).agg(*[F.first(v).alias(v) for v in values])
+    # a single aggregate is named by the year alone, several by "<year>_<alias>"
+    made = (lambda v, y: str(y)) if len(values) == 1 else (lambda v, y: f"{y}_{v}")
+    pairs = sorted((v, y) for v in values for y in ys)
+    return wide.select(index, *[F.col(f"`{made(v, y)}`").alias(f"{v}_{y}") for v, y in pairs])

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.schemas import (
     ANNEE_MIN,
@@ -88,6 +89,19 @@ def rule_counts(checked: DataFrame) -> DataFrame:
     )
 
 
+def check_raw_types(raw: DataFrame) -> list[str]:
+    """Raw columns whose type can't become the curated one: text must be text, numbers and dates numbers or text."""
+    have = {f.name: f.dataType for f in raw.schema.fields}
+    problems = []
+    for name, curated, _ in CURATED_FIELDS:
+        got = have.get(name.upper())
+        if got is None:
+            problems.append(f"{name.upper()}: missing")
+        elif not isinstance(got, T.StringType) and (curated == "string" or not isinstance(got, T.NumericType)):
+            problems.append(f"{name.upper()}|dtype: {got.simpleString()} can't be read as {curated}")
+    return problems
+
+
 def check_types(df: DataFrame, expected=CURATED_SCHEMA) -> list[str]:
     """Column type mismatches against the declared schema (no coercion)."""
     have = {f.name: f.dataType for f in df.schema.fields}

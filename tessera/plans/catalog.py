@@ -13,28 +13,29 @@ from pyspark.sql import functions as F
 
 from tessera.operators.dedup import dedup_counts, keep_latest
 from tessera.operators.keys import key_chunks, key_scan, missing_keys, normalize_keys
-from tessera.operators.pivot import pivot_years
+from tessera.operators.pivot import pivot_years, valid_years
 from tessera.operators.rules import FAILED, with_failed_rules
 from tessera.operators.transform import transform
-from tessera.plans.curation import curate
+from tessera.plans.curation import curate, curate_layer, curated_wide
 from tessera.functions.timestamps import ms_to_ntz, ntz_to_ms
 from tessera.operators.contract import contract_diff
 from tessera.schemas import API_COLUMNS, CURATED_COLUMNS, PIVOT_VALUE_COLUMNS, RAW_SCHEMA
 from tessera.functions.geometry import UPPER_LEFT, outer_ring_wkt, zigzag
-from tessera.sources.binary import decode_pbf_pages, pack_pbf_pages, page_stats_pbf
+from tessera.sources.binary import decode_pbf_pages
+from tessera.sources.feature_source import land_pages, write_layer_docs
+from tessera.sources.fixture_pages import broken_pages, land_layer, pack_json_pages, pack_pbf_pages
 from tessera.functions.indexing import running_sum
 from tessera.operators.geometry import assign_parts, decode_deltas
 from tessera.operators.agreement import compare_encodings
 from tessera.session import scratch_path
-from tessera.sources.layer import land_layer, read_layer
+from tessera.sources.layer import read_layer
 from tessera.streaming.pages import ingest_pages, ingest_progress, read_ingested
 from tessera.sources.pages import (
     attribute_names_json,
     audit_pages,
     decode_json_pages,
     layer_label,
-    pack_json_pages,
-    page_stats_json,
+    page_stats,
     parse_layer_meta,
     plan_pages,
     route,
@@ -244,26 +245,23 @@ def q_run_summary(spark, sf_dir):
     return curate(raw_readings(spark, sf_dir), keys=keys, annee_max=ANNEE_MAX).summary()
 
 
-_PIVOT_USING = ", ".join(f"first({v}) as {v}" for v in PIVOT_VALUE_COLUMNS)
+_PIVOT_SQL = "select egid, " + ", ".join(
+    f"max(case when annee = {y} then {v} end) as {v}_{y}" for v in sorted(PIVOT_VALUE_COLUMNS) for y in valid_years(ANNEE_MAX)
+) + " from valid group by egid"
 
 
-@register(
-    "pivot_years",
-    _with(
-        _RAW,
-        _T,
-        _D,
-        _C,
-        _V,
-        body=(
-            r"select egid, columns('^(\d{4})_(.*)$') as '\2_\1' from "
-            f"(pivot (select * from valid) on annee using {_PIVOT_USING} group by egid)"
-        ),
-    ),
-)
+@register("pivot_years", _with(_RAW, _T, _D, _C, _V, body=_PIVOT_SQL))
 def q_pivot_years(spark, sf_dir):
     valid = curate(raw_readings(spark, sf_dir), annee_max=ANNEE_MAX).valid
-    return pivot_years(valid)
+    return pivot_years(valid, years=valid_years(ANNEE_MAX))
+
+
+@register("curated_wide", _with(_RAW, _T, _D, _C, _V, body=_PIVOT_SQL))
+def q_curated_wide(spark, sf_dir):
+    """Strict curation and the wide table, over those raw rows that are the valid latest ones."""
+    raw = raw_readings(spark, sf_dir)
+    good = _checked(spark, sf_dir).where(F.size(FAILED) == 0).select(F.col("objectid").alias("OBJECTID"))
+    return curated_wide(raw.join(good, "OBJECTID", "left_semi").select(*raw.columns), annee_max=ANNEE_MAX)
 
 
 # ---------------------------------------------------------------------------
@@ -274,8 +272,8 @@ def q_pivot_years(spark, sf_dir):
 @register(
     "key_chunks",
     _with(
-        _KEYS,
-        ("ranked", "select egid, (row_number() over (order by egid) - 1) // 50 as chunk from keys"),
+        ("every", "select 9990 + c_custkey as egid from customer"),
+        ("ranked", "select egid, (row_number() over (order by egid) - 1) // 50 as chunk from every"),
         body="""select cast(chunk as bigint) as chunk, count(*) as n_keys,
   case when count(*) > 1
        then 'EGID IN (' || string_agg(cast(egid as varchar), ',' order by egid) || ')'
@@ -284,7 +282,8 @@ from ranked group by chunk""",
     ),
 )
 def q_key_chunks(spark, sf_dir):
-    return key_chunks(normalize_keys(requested_buildings(spark, sf_dir)), 50)
+    every = table(spark, sf_dir, "customer").select((F.lit(9990) + F.col("c_custkey")).alias("egid"))
+    return key_chunks(normalize_keys(every), 50)
 
 
 @register(
@@ -430,45 +429,81 @@ def q_json_features(spark, sf_dir):
     return decode_json_pages(_readings_json_pages(spark, sf_dir), RAW_SCHEMA)
 
 
-_PAGE_AUDIT_SQL = _with(
-    _RAW,
-    ("c", "select count(*) as n from raw"),
-    body=f"""select cast(off // {PAGE} as bigint) as page, cast(off as bigint) as offset,
-  cast(least({PAGE}, n - off) as bigint) as expected_rows,
-  cast(least({PAGE}, n - off) as bigint) as actual_rows,
-  off + {PAGE} < n as exceeded,
-  case when off + {PAGE} < n then 'full' else 'ok' end as status
-from (select n, unnest(range(0, n, {PAGE})) as off from c)""",
+# A layer some of whose pages are at fault (see ``broken_pages``), in small pages so that every kind occurs.
+SMALL_PAGE = 100
+_PLAN = (
+    "plan",
+    f"""select off // {SMALL_PAGE} as page, off, least({SMALL_PAGE}, n - off) as expected, off + {SMALL_PAGE} < n as more
+from (select n, unnest(range(0, n, {SMALL_PAGE})) as off from (select count(*) as n from raw))""",
 )
 
 
-@register("page_audit", _PAGE_AUDIT_SQL)
+def _audit_sql(short: str, extra: str, extra_flag: str, extra_status: str) -> str:
+    return _with(
+        _RAW,
+        _PLAN,
+        body=f"""select cast(page as bigint) as page, cast(off as bigint) as offset, cast(expected as bigint) as expected_rows,
+  cast(case page % 7 when 0 then expected when 4 then {short} when 6 then {extra} else 0 end as bigint) as actual_rows,
+  case page % 7 when 0 then more when 3 then true when 6 then {extra_flag} else false end as exceeded,
+  case page % 7 when 0 then case when more then 'full' else 'ok' end when 1 then 'error' when 2 then 'missing'
+    when 3 then 'overflow' when 4 then case when {short} < expected then 'short' else 'ok' end
+    when 5 then 'corrupt' else {extra_status} end as status
+from plan""",
+    )
+
+
+@register("page_audit", _audit_sql("1", "expected + 1", "more", "'extra'"))
 def q_page_audit(spark, sf_dir):
-    pages = _readings_json_pages(spark, sf_dir)
+    """Pages of the readings layer as JSON, some at fault, against the page plan."""
+    pages = broken_pages(_readings_json_pages(spark, sf_dir, SMALL_PAGE))
     total = raw_readings(spark, sf_dir).count()
-    return audit_pages(plan_pages(spark, total, PAGE), page_stats_json(pages, RAW_SCHEMA))
+    return audit_pages(plan_pages(spark, total, SMALL_PAGE), page_stats(pages, "json"))
 
 
-@register("pbf_page_audit", _PAGE_AUDIT_SQL)
+@register("pbf_page_audit", _audit_sql("0", "expected", "more", "case when more then 'full' else 'ok' end"))
 def q_pbf_page_audit(spark, sf_dir):
-    """The same audit over the layer served as binary pages."""
-    pages = _readings_pbf_pages(spark, sf_dir)
+    """The same audit over the layer served as binary pages (errors come as JSON all the same)."""
+    pages = broken_pages(_readings_pbf_pages(spark, sf_dir, SMALL_PAGE))
     total = raw_readings(spark, sf_dir).count()
-    return audit_pages(plan_pages(spark, total, PAGE), page_stats_pbf(pages))
+    return audit_pages(plan_pages(spark, total, SMALL_PAGE), page_stats(pages, "pbf"))
+
+
+@register(
+    "layer_scan_faulty",
+    _with(
+        _RAW,
+        ("numbered", f"select *, row_number() over (order by OBJECTID) - 1 as i, (row_number() over (order by OBJECTID) - 1) // {SMALL_PAGE} as page from raw"),
+        body=f"""select * exclude (i, page) from numbered where page % 7 in (0, 6) or page % 7 = 4 and i % {SMALL_PAGE} = 0
+union all
+select * exclude (i, page) from numbered where page % 7 = 6 and i % {SMALL_PAGE} = 0""",
+    ),
+)
+def q_layer_scan_faulty(spark, sf_dir):
+    """A landed layer with pages at fault, read with mode="split": the readable rows (strict mode raises)."""
+    root = scratch_path(spark, "readings-faulty")
+    land_pages(broken_pages(_readings_json_pages(spark, sf_dir, SMALL_PAGE)), root)
+    write_layer_docs(root, raw_readings(spark, sf_dir).count(), {"standardMaxRecordCount": SMALL_PAGE})
+    return read_layer(spark, RAW_SCHEMA, path=root, mode="split").rows
 
 
 @register(
     "scan_audit",
     _with(
         _RAW,
-        body=f"""select cast(ceil(count(*) / {PAGE}) as bigint) as n_pages, count(*) as n_rows,
-  count(distinct OBJECTID) as n_distinct_ids,
-  count(*) - count(distinct OBJECTID) as n_duplicate_rows from raw""",
+        ("c", "select count(*) as n, count(distinct OBJECTID) as d from raw"),
+        (
+            "e",
+            f"""select count(*) as again from (select unnest(range(0, n, {SMALL_PAGE})) as off from c)
+where (off // {SMALL_PAGE}) % 7 = 6""",
+        ),
+        body=f"""select cast(ceil(n / {SMALL_PAGE}) as bigint) as n_pages, n + again as n_rows,
+  d as n_distinct_ids, n + again - d as n_duplicate_rows from c, e""",
     ),
 )
 def q_scan_audit(spark, sf_dir):
-    """Rows read == rows counted, and no object id read twice."""
-    pages = _readings_json_pages(spark, sf_dir)
+    """Rows read against distinct object ids; every seventh page repeats a feature."""
+    whole = _readings_json_pages(spark, sf_dir, SMALL_PAGE)
+    pages = whole.where("page % 7 <> 6").unionByName(broken_pages(whole).where("page % 7 = 6"))
     feats = decode_json_pages(pages, RAW_SCHEMA)
     per_id = feats.groupBy("OBJECTID").agg(F.count(F.lit(1)).alias("_n"))
     tagged = per_id.select("_n", F.lit(0).alias("_p")).unionByName(
@@ -482,6 +517,30 @@ def q_scan_audit(spark, sf_dir):
     )
 
 
+def _landed(spark, sf_dir, name: str, fmt: str = "json") -> str:
+    root = scratch_path(spark, name)
+    land_layer(raw_readings(spark, sf_dir), root, PAGE, key="OBJECTID", layer="HEAT_INDEX", fmt=fmt)
+    return root
+
+
+@register("layer_curated", _with(_RAW, _T, _D, _C, _V, body="select * from valid"))
+def q_layer_curated(spark, sf_dir):
+    """Land the readings as binary pages, read them strictly, check the contract on them, curate."""
+    return curate_layer(spark, path=_landed(spark, sf_dir, "readings-curated", "pbf"), response_format="pbf", annee_max=ANNEE_MAX).valid
+
+
+@register("layer_fields", _with(_RAW, body="select OBJECTID, EGID, SRE from raw"))
+def q_layer_fields(spark, sf_dir):
+    """Some fields of a landed layer: only these are decoded."""
+    return read_layer(spark, RAW_SCHEMA, path=_landed(spark, sf_dir, "readings-fields"), fields="OBJECTID,EGID,SRE")
+
+
+@register("layer_where", _with(_RAW, body="select OBJECTID, COMMUNE from raw where COMMUNE = 'BUILDING' and SRE > 100"))
+def q_layer_where(spark, sf_dir):
+    """A filter on a landed layer."""
+    root = _landed(spark, sf_dir, "readings-where")
+    return read_layer(spark, RAW_SCHEMA, path=root, where="COMMUNE = 'BUILDING' and SRE > 100", fields="OBJECTID,COMMUNE")
+
 
 @register("layer_scan", _with(_RAW, body="select * from raw"))
 def q_layer_scan(spark, sf_dir):

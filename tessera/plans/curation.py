@@ -10,22 +10,24 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.contract import check_columns
+from tessera.operators.contract import require_contract
 from tessera.operators.dedup import dedup_counts, keep_latest
 from tessera.operators.keys import key_scan, missing_keys
-from tessera.operators.pivot import pivot_years
+from tessera.operators.pivot import pivot_years, valid_years
 from tessera.operators.rules import (
     FAILED,
-    check_types,
+    check_raw_types,
     rule_counts,
     split,
     with_failed_rules,
 )
 from tessera.operators.transform import transform
-from tessera.schemas import API_COLUMNS, CURATED_COLUMNS
+from tessera.schemas import API_COLUMNS, CURATED_COLUMNS, RAW_SCHEMA
+from tessera.session import checkpoint_root
+from tessera.sources.layer import attribute_names, read_layer, read_pages
 
 
 class InvalidRows(ValueError):
@@ -71,25 +73,34 @@ def curate(
     mode: str = "split",
     nulls: str = "first",
     check_contract: bool = True,
+    returned: DataFrame | None = None,
 ) -> Curated:
     """Raw layer rows (upper-case attributes) -> :class:`Curated`.
 
     ``keys`` (column ``egid``) restricts the rows to requested buildings and
     enables the coverage report. ``mode="strict"`` raises
-    :class:`InvalidRows` when any row fails a rule.
+    :class:`InvalidRows` when any row fails a rule; what it probes is computed
+    once and written to the shared folder. The column contract is checked on
+    ``returned`` (column ``name``: the attribute names that the layer's pages
+    hold), or without it on the columns of ``raw``.
     """
     if mode not in ("split", "strict"):
         raise ValueError(f"mode must be 'split' or 'strict', got {mode!r}")
     if check_contract:
-        check_columns([c for c in raw.columns if c != "OBJECTID"], API_COLUMNS)
+        if returned is None:
+            returned = raw.sparkSession.createDataFrame([(c,) for c in raw.columns], "name string")
+        require_contract(returned.where(F.col("name") != "OBJECTID"), API_COLUMNS)
+    bad_types = check_raw_types(raw)
+    if bad_types:
+        raise TypeError("; ".join(bad_types))
     if keys is not None:
         raw = key_scan(raw, keys, "EGID")
     t = transform(raw)
-    bad_types = check_types(t.select(*CURATED_COLUMNS))
-    if bad_types:
-        raise TypeError("; ".join(bad_types))
-    deduped = keep_latest(t, nulls=nulls)
-    checked = with_failed_rules(deduped, annee_max)
+    checked = with_failed_rules(keep_latest(t, nulls=nulls), annee_max)
+    if mode == "strict":
+        checkpoint_root(raw.sparkSession)
+        checked = checked.checkpoint(eager=True)
+    deduped = checked.drop(FAILED)
     parts = split(checked)
     valid = parts.valid.select(*CURATED_COLUMNS)
     invalid = parts.invalid.select(*CURATED_COLUMNS, FAILED)
@@ -118,4 +129,17 @@ def curated_wide(
     years: list[int] | None = None,
 ) -> DataFrame:
     """Strict curation, then the (variable, year) wide table."""
-    return pivot_years(curate(raw, keys, annee_max, mode="strict").valid, years=years)
+    valid = curate(raw, keys, annee_max, mode="strict").valid
+    return pivot_years(valid, years=valid_years(annee_max) if years is None else years)
+
+
+def curate_layer(
+    spark: SparkSession, path: str | None = None, url: str | None = None, response_format: str = "json", **options
+) -> Curated:
+    """Read the readings layer and curate it: contract on the names its pages hold, strict read, strict casts.
+
+    ``options`` are those of :func:`curate`.
+    """
+    names = attribute_names(read_pages(spark, path=path, url=url, format=response_format), response_format)
+    raw = read_layer(spark, RAW_SCHEMA, path=path, url=url, response_format=response_format)
+    return curate(raw, returned=names, **options)

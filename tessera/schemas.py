@@ -95,11 +95,9 @@ NPA_MIN, NPA_MAX = 1000, 9999
 DEFAULT_STANDARD_MAX_RECORDS = 2000
 DEFAULT_RECORD_FACTOR = 1.0
 DEFAULT_KEY_CHUNK = 50
-DEFAULT_CURATION_PAGE = 1000
 # -----------------------------------------------------------------------------
 
 CURATED_COLUMNS: tuple[str, ...] = tuple(c for c, _, _ in CURATED_FIELDS)
-RENAME: dict[str, str] = {c: c.lower() for c in API_COLUMNS}
 
 _SPARK_TYPES = {
     "smallint": T.ShortType(),
@@ -207,3 +205,10 @@ def schema_from_fields(fields: list[dict]) -> T.StructType:
             T.StructField(f["name"], spark_type(FIELD_TYPES.get(ftype, "string")))
         )
     return T.StructType(out)
+
+
+def field_type(dtype: T.DataType) -> str:
+    """The layer's name for a Spark type (text for those it has none for)."""
+    names = {spark: name for name, spark in reversed(FIELD_TYPES.items())}
+    names["bigint"] = "esriFieldTypeBigInteger"
+    return names.get(dtype.simpleString(), "esriFieldTypeString")

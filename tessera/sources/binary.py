@@ -1,240 +1,337 @@
-"""Binary (protocol-buffer) pages: wire split in Arrow batches, the rest in Spark.
-
-``split_pbf_pages`` is the only per-page Python step: a ``mapInArrow`` task
-walks each page body and emits one row per feature with the page-level
-context (field names resolved, transform, spatial reference, default
-geometry type, transfer-limit flag), the typed attribute slots, and the raw
-geometry arrays (part lengths, zigzag-coded coordinate deltas). Everything
-after it is DataFrame work: attribute typing, zigzag, running sums,
-dequantization, parts and geometry assembly (``decode_geometries``), all
-within the feature's row.
-
-``pack_pbf_pages`` encodes a DataFrame into binary pages -- what a layer
-server returns -- so the decoder can be run over the test tables.
+"""Binary (protocol-buffer) pages, column by column.
+
+A ``mapInArrow`` task moves a cursor over each page body, in place: nested
+messages are ranges of the same bytes, nothing is copied into dictionaries.
+One list grows for each wanted attribute (as text, typed strictly by
+``functions.strict``) and, if the geometry is wanted, arrays for its part
+lengths and coordinates, whose packed numbers are decoded by numpy. A page is
+one Arrow batch, so the memory held is that of a page. Typing, zigzag, running
+sums, parts and dequantization are DataFrame work in the feature's row.
 """
 
 from __future__ import annotations
 
+import struct
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions import wire as W
 from tessera.functions.geometry import geometry_type_name, pair_running_sums, running_sums, zigzag
-from tessera.functions.indexing import dense_index_with_count
+from tessera.functions.strict import typed
 from tessera.schemas import GEOMETRY
+from tessera.sources import page_codes as C
 
-SPLIT_DDL = (
-    "layer string, page bigint, fidx bigint, exceeded boolean, default_type int, wkid int, "
-    "origin int, sx double, sy double, tx double, ty double, "
-    "attrs array<struct<name:string,k:string,s:string,d:double,l:bigint,b:boolean>>, "
+_GEOMETRY_DDL = (
+    "default_type int, wkid int, origin int, sx double, sy double, tx double, ty double, "
     "has_geometry boolean, gtype int, lengths array<bigint>, coords array<bigint>"
 )
+_GEOMETRY_ARROW = [
+    ("default_type", pa.int32()), ("wkid", pa.int32()), ("origin", pa.int32()),
+    ("sx", pa.float64()), ("sy", pa.float64()), ("tx", pa.float64()), ("ty", pa.float64()),
+    ("has_geometry", pa.bool_()), ("gtype", pa.int32()),
+    ("lengths", pa.list_(pa.int64())), ("coords", pa.list_(pa.int64())),
+]
 
-_ATTR = pa.struct(
-    [
-        ("name", pa.string()),
-        ("k", pa.string()),
-        ("s", pa.string()),
-        ("d", pa.float64()),
-        ("l", pa.int64()),
-        ("b", pa.bool_()),
-    ]
-)
-_SPLIT_ARROW = pa.schema(
-    [
-        ("layer", pa.string()),
-        ("page", pa.int64()),
-        ("fidx", pa.int64()),
-        ("exceeded", pa.bool_()),
-        ("default_type", pa.int32()),
-        ("wkid", pa.int32()),
-        ("origin", pa.int32()),
-        ("sx", pa.float64()),
-        ("sy", pa.float64()),
-        ("tx", pa.float64()),
-        ("ty", pa.float64()),
-        ("attrs", pa.list_(_ATTR)),
-        ("has_geometry", pa.bool_()),
-        ("gtype", pa.int32()),
-        ("lengths", pa.list_(pa.int64())),
-        ("coords", pa.list_(pa.int64())),
-    ]
-)
-
-
-_NO_SLOT = {"k": None, "s": None, "d": None, "l": None, "b": None}
-
-
-def _slot(num: int, raw) -> dict:
-    if num == W.VALUE_STRING:
-        return {"k": "string", "s": raw.decode("utf-8"), "d": None, "l": None, "b": None}
-    if num == W.VALUE_FLOAT:
-        return {"k": "float", "s": None, "d": W.f32(raw), "l": None, "b": None}
-    if num == W.VALUE_DOUBLE:
-        return {"k": "double", "s": None, "d": W.f64(raw), "l": None, "b": None}
-    if num in (W.VALUE_SINT32, W.VALUE_INT64, W.VALUE_SINT64):
-        k = "int" if num == W.VALUE_INT64 else "sint"
-        return {"k": k, "s": None, "d": None, "l": W.as_int64(raw), "b": None}
-    if num in (W.VALUE_UINT32, W.VALUE_UINT64):
-        l = raw if num == W.VALUE_UINT32 else W.as_int64(raw)
-        return {"k": "uint", "s": None, "d": None, "l": l, "b": None}
-    if num == W.VALUE_BOOL:
-        return {"k": "bool", "s": None, "d": None, "l": None, "b": bool(raw)}
-    return {"k": "null", "s": None, "d": None, "l": None, "b": None}
 
+class Cursor:
+    """A range of a page's bytes, taken field by field.
 
-def _value(buf: bytes) -> tuple[int | None, dict]:
-    """One Value message -> (explicit field index or None, typed slot).
+    After ``step()`` the field's number is ``field``; ``number`` holds a
+    varint, ``begin`` and ``end`` the range of any other value.
+    """
 
-    One pass over the message bytes. When several value fields are present
-    the first in slot order (string, float, double, sint32, uint32, int64,
-    uint64, sint64, bool, null) is taken, the last occurrence of it winning.
+    __slots__ = ("body", "at", "stop", "field", "number", "begin", "end")
+
+    def __init__(self, body: bytes, at: int = 0, stop: int | None = None):
+        self.body, self.at, self.stop = body, at, len(body) if stop is None else stop
+
+    def _varint(self) -> int:
+        body, at = self.body, self.at
+        if at >= self.stop:
+            raise ValueError("the page ends within a number")
+        first = body[at]
+        if first < 0x80:
+            self.at = at + 1
+            return first
+        last = at + 1
+        while last < self.stop and body[last] >= 0x80:
+            last += 1
+        if last >= self.stop:
+            raise ValueError("the page ends within a number")
+        self.at = last + 1
+        number = body[last]
+        for k in range(last - 1, at - 1, -1):  # from the highest seven bits down
+            number = (number << 7) | (body[k] & 0x7F)
+        return number
+
+    def step(self) -> bool:
+        if self.at >= self.stop:
+            return False
+        head = self._varint()
+        self.field, kind = head >> 3, head & 7
+        if kind == 0:
+            self.number = self._varint()
+            self.begin = self.end = self.at
+            return True
+        size = self._varint() if kind == 2 else {1: 8, 5: 4}.get(kind, -1)
+        if size < 0:
+            raise ValueError(f"unsupported wire type {kind} for field {self.field}")
+        self.begin, self.end = self.at, self.at + size
+        if self.end > self.stop:
+            raise ValueError(f"field {self.field} runs past its message")
+        self.at, self.number = self.end, 0
+        return True
+
+    def inside(self) -> Cursor:
+        return Cursor(self.body, self.begin, self.end)
+
+    def double(self) -> float:
+        return struct.unpack_from("<d", self.body, self.begin)[0]
+
+
+def packed_numbers(body: bytes, begin: int, end: int) -> np.ndarray:
+    """The varints of a packed field as a BIGINT array (two's complement), all at once."""
+    raw = np.frombuffer(body, np.uint8, end - begin, begin)
+    last = np.flatnonzero(raw < 0x80)
+    if not len(last):
+        return np.empty(0, np.int64)
+    first = np.concatenate([[0], last[:-1] + 1])
+    shift = np.arange(last[-1] + 1) - np.repeat(first, last - first + 1)
+    seven = (raw[: last[-1] + 1] & 0x7F).astype(np.uint64) << (np.uint64(7) * shift.astype(np.uint64))
+    return np.add.reduceat(seven, first).view(np.int64)
+
+
+def value_text(cursor: Cursor) -> tuple[int, str | None]:
+    """(explicit field index or -1, value as text) of one value message.
+
+    Of several value slots the lowest counts, of a repeated one the last.
+    Numbers keep their size: an unsigned 64-bit number isn't wrapped.
     """
-    index = None
-    seen: dict[int, object] = {}
-    pos, n = 0, len(buf)
-    while pos < n:
-        key, pos = W.read_varint(buf, pos)
-        num, wt = key >> 3, key & 7
-        if wt == 0:
-            v, pos = W.read_varint(buf, pos)
-        elif wt == 2:
-            ln, pos = W.read_varint(buf, pos)
-            v, pos = buf[pos : pos + ln], pos + ln
-        elif wt == 1:
-            v, pos = buf[pos : pos + 8], pos + 8
-        elif wt == 5:
-            v, pos = buf[pos : pos + 4], pos + 4
-        else:
-            raise ValueError(f"unsupported wire type {wt} for field {num}")
-        if num == W.VALUE_INDEX:
-            index = v
-        elif W.VALUE_STRING <= num <= W.VALUE_NULL:
-            seen[num] = v
-    if not seen:
-        return index, dict(_NO_SLOT)
-    num = min(seen) if len(seen) > 1 else next(iter(seen))
-    return index, _slot(num, seen[num])
-
-
-def split_page(layer: str, page: int, body: bytes | None) -> list[dict]:
-    """Rows of one binary page: one per feature, or one row with ``fidx``
-    NULL when the page holds no feature (empty, count-only, flag only)."""
-    base = {
-        "layer": layer, "page": page, "fidx": None, "exceeded": False, "default_type": None,
-        "wkid": None, "origin": 0, "sx": 1.0, "sy": 1.0, "tx": 0.0, "ty": 0.0, "attrs": None,
-        "has_geometry": None, "gtype": None, "lengths": None, "coords": None,
-    }
-    qr = W.last(W.fields(body or b""), W.FC_QUERY_RESULT)
-    fr_raw = W.last(W.fields(qr), W.QR_FEATURE_RESULT) if qr is not None else None
-    if fr_raw is None:
-        return [base]
-    fr = W.fields(fr_raw)
-    if W.last(fr, W.FR_HAS_Z, 0) or W.last(fr, W.FR_HAS_M, 0):
-        raise ValueError(f"page {page}: z/m ordinates are not supported")
-    base["exceeded"] = bool(W.last(fr, W.FR_EXCEEDED, 0))
-    base["default_type"] = W.last(fr, W.FR_GEOMETRY_TYPE)
-    sr_raw = W.last(fr, W.FR_SPATIAL_REFERENCE)
-    if sr_raw is not None:
-        sr = W.fields(sr_raw)
-        base["wkid"] = W.last(sr, W.SR_WKID) or W.last(sr, W.SR_LATEST_WKID) or None
-    tf_raw = W.last(fr, W.FR_TRANSFORM)
-    if tf_raw is not None:
-        tf = W.fields(tf_raw)
-        base["origin"] = W.last(tf, W.TF_ORIGIN) or 0
-        if W.TF_SCALE in tf:
-            sc = W.fields(W.last(tf, W.TF_SCALE))
-            base["sx"], base["sy"] = W.f64(W.last(sc, W.XY_X)), W.f64(W.last(sc, W.XY_Y))
-        if W.TF_TRANSLATE in tf:
-            tr = W.fields(W.last(tf, W.TF_TRANSLATE))
-            base["tx"], base["ty"] = W.f64(W.last(tr, W.XY_X)), W.f64(W.last(tr, W.XY_Y))
-    names = []
-    for raw in fr.get(W.FR_FIELDS, []):
-        n = W.last(W.fields(raw), W.FIELD_NAME)
-        names.append(n.decode("utf-8") if n else "")
-    rows = []
-    for fidx, raw in enumerate(fr.get(W.FR_FEATURES, [])):
-        feat = W.fields(raw)
-        if W.FEAT_SHAPE_BUFFER in feat or W.FEAT_CURVE_GEOMETRY in feat:
-            raise ValueError(f"page {page}: shape-buffer and curve geometries are not supported")
-        attrs: dict[str, dict] = {}
-        for pos, vraw in enumerate(feat.get(W.FEAT_ATTRIBUTES, [])):
-            index, slot = _value(vraw)
-            i = pos if index is None else index
-            name = names[i] if i < len(names) else str(i)
-            attrs[name] = {"name": name, **slot}  # a repeated name: the last one wins
-        row = dict(base, fidx=fidx, attrs=list(attrs.values()), has_geometry=False)
-        g_raw = W.last(feat, W.FEAT_GEOMETRY)
-        if g_raw is not None:
-            g = W.fields(g_raw)
-            row.update(
-                has_geometry=True,
-                gtype=W.last(g, W.GEOM_TYPE),
-                lengths=W.packed_varints(g, W.GEOM_LENGTHS),
-                coords=[W.as_int64(v) for v in W.packed_varints(g, W.GEOM_COORDS)],
-            )
-        rows.append(row)
-    return rows or [base]
-
-
-def _split_batches(batches):
+    index, slot, number, begin, end = -1, 99, 0, 0, 0
+    while cursor.step():
+        if cursor.field == C.VALUE_INDEX:
+            index = cursor.number
+        elif cursor.field <= slot:
+            slot, number, begin, end = cursor.field, cursor.number, cursor.begin, cursor.end
+    if slot == C.VALUE_STRING:
+        return index, cursor.body[begin:end].decode("utf-8")
+    if slot == C.VALUE_DOUBLE:
+        return index, repr(struct.unpack_from("<d", cursor.body, begin)[0])
+    if slot == C.VALUE_FLOAT:
+        return index, repr(struct.unpack_from("<f", cursor.body, begin)[0])
+    if slot in (C.VALUE_SINT32, C.VALUE_SINT64):
+        return index, str(-(number + 1 >> 1) if number & 1 else number >> 1)
+    if slot == C.VALUE_INT64:
+        return index, str(number - (1 << 64) if number >> 63 else number)
+    if slot in (C.VALUE_UINT32, C.VALUE_UINT64):
+        return index, str(number)
+    if slot == C.VALUE_BOOL:
+        return index, "true" if number else "false"
+    return index, None
+
+
+class Page:
+    """A page's header and where its features lie; ``features()`` reads them."""
+
+    def __init__(self, body: bytes | None):
+        self.exceeded, self.default_type, self.wkid = False, None, None
+        self.origin, self.scale, self.shift = 0, (1.0, 1.0), (0.0, 0.0)
+        self.names: list[str] = []
+        self.spots: list[tuple[int, int]] = []
+        self.body = body or b""
+        result = None
+        outer = Cursor(self.body)
+        while outer.step():
+            if outer.field == C.FC_QUERY_RESULT:
+                query = outer.inside()
+                while query.step():
+                    if query.field == C.QR_FEATURE_RESULT:
+                        result = query.inside()
+        if result is not None:
+            self._header(result)
+
+    def _header(self, c: Cursor) -> None:
+        while c.step():
+            if c.field == C.FR_FEATURES:
+                self.spots.append((c.begin, c.end))
+            elif c.field in (C.FR_HAS_Z, C.FR_HAS_M) and c.number:
+                raise ValueError("z/m ordinates are not supported")
+            elif c.field == C.FR_EXCEEDED:
+                self.exceeded = bool(c.number)
+            elif c.field == C.FR_GEOMETRY_TYPE:
+                self.default_type = c.number
+            elif c.field == C.FR_SPATIAL_REFERENCE:
+                ids = {C.SR_WKID: 0, C.SR_LATEST_WKID: 0}
+                reference = c.inside()
+                while reference.step():
+                    if reference.field in ids:
+                        ids[reference.field] = reference.number
+                self.wkid = ids[C.SR_WKID] or ids[C.SR_LATEST_WKID] or None
+            elif c.field == C.FR_TRANSFORM:
+                self._transform(c.inside())
+            elif c.field == C.FR_FIELDS:
+                name, field = "", c.inside()
+                while field.step():
+                    if field.field == C.FIELD_NAME:
+                        name = c.body[field.begin : field.end].decode("utf-8")
+                self.names.append(name)
+
+    def _transform(self, c: Cursor) -> None:
+        def xy(inner: Cursor) -> tuple[float, float]:
+            x = y = 0.0
+            while inner.step():
+                if inner.field == C.XY_X:
+                    x = inner.double()
+                elif inner.field == C.XY_Y:
+                    y = inner.double()
+            return x, y
+
+        while c.step():
+            if c.field == C.TF_ORIGIN:
+                self.origin = c.number
+            elif c.field == C.TF_SCALE:
+                self.scale = xy(c.inside())
+            elif c.field == C.TF_TRANSLATE:
+                self.shift = xy(c.inside())
+
+    def column_of(self, wanted: dict[str, int], place: int) -> int:
+        """The wanted column that a field's place in the header stands for, or -1; past the header its number is its name."""
+        return wanted.get(self.names[place] if place < len(self.names) else str(place), -1)
+
+    def features(self, wanted: dict[str, int], geometry: bool) -> tuple[list[list], list[list]]:
+        """(values of each wanted attribute, [has geometry, type, lengths, coordinates]), each a list over the features."""
+        values: list[list] = [[] for _ in wanted]
+        shapes: list[list] = [[], [], [], []]
+        at_place = [self.column_of(wanted, i) for i in range(len(self.names))]
+        for begin, end in self.spots:
+            for column in values:
+                column.append(None)
+            shape, place, c = (False, None, [], []), 0, Cursor(self.body, begin, end)
+            while c.step():
+                if c.field == C.FEAT_ATTRIBUTES:
+                    index, text = value_text(c.inside())
+                    spot = place if index < 0 else index
+                    column = at_place[spot] if spot < len(at_place) else self.column_of(wanted, spot)
+                    if column >= 0:
+                        values[column][-1] = text
+                    place += 1
+                elif c.field in (C.FEAT_SHAPE_BUFFER, C.FEAT_CURVE_GEOMETRY):
+                    raise ValueError("shape-buffer and curve geometries are not supported")
+                elif c.field == C.FEAT_GEOMETRY and geometry:
+                    shape = self._shape(c.inside())
+            if geometry:
+                for column, part in zip(shapes, shape):
+                    column.append(part)
+        return values, shapes
+
+    def _shape(self, c: Cursor) -> tuple[bool, int | None, list, list]:
+        kind, found = None, {C.GEOM_LENGTHS: [], C.GEOM_COORDS: []}
+        while c.step():
+            if c.field == C.GEOM_TYPE:
+                kind = c.number
+            elif c.field in found:  # packed; a single number is a field of its own
+                numbers = packed_numbers(c.body, c.begin, c.end) if c.end > c.begin else [c.number]
+                found[c.field] += list(numbers)
+        return True, kind, found[C.GEOM_LENGTHS], found[C.GEOM_COORDS]
+
+    def attribute_names(self) -> set[str]:
+        """Names of the header's fields and of attributes past it."""
+        names = set(self.names)
+        for begin, end in self.spots:
+            place, c = 0, Cursor(self.body, begin, end)
+            while c.step():
+                if c.field == C.FEAT_ATTRIBUTES:
+                    index, _ = value_text(c.inside())
+                    spot = place if index < 0 else index
+                    if spot >= len(self.names):
+                        names.add(str(spot))
+                    place += 1
+        return names
+
+
+def _numbered(batches: Iterator[pa.RecordBatch], read) -> Iterator[tuple]:
+    """(row of the batch, what read makes of its body); an error names its page."""
     for batch in batches:
-        out = []
-        for r in batch.to_pylist():
-            out.extend(split_page(r["layer"], r["page"], r["body"]))
-        yield pa.RecordBatch.from_pylist(out, schema=_SPLIT_ARROW)
-
+        bodies = batch.column("body")
+        for i, page in enumerate(batch.column("page").to_pylist()):
+            body = bodies[i].as_py()
+            try:
+                yield batch, i, read(body)
+            except (ValueError, UnicodeDecodeError, struct.error) as e:
+                raise ValueError(f"page {page}: {e}") from e
 
-def split_pbf_pages(pages: DataFrame) -> DataFrame:
-    """Page table -> one row per feature (see module doc); no shuffle."""
-    return pages.select("layer", "page", "body").mapInArrow(_split_batches, SPLIT_DDL)
 
+def decode_pbf_pages(pages: DataFrame, attributes: T.StructType, with_geometry: bool = False, strict: bool = False) -> DataFrame:
+    """Binary page table -> one row per feature: attribute columns (+ geometry). No shuffle.
 
-def _typed(v, dtype: T.DataType):
-    long_value = F.when(v["k"] == "sint", zigzag(v["l"])).otherwise(v["l"])
-    if isinstance(dtype, T.StringType):
-        return F.coalesce(v["s"], long_value.cast("string"), v["d"].cast("string"), v["b"].cast("string"))
-    if isinstance(dtype, T.BooleanType):
-        return F.coalesce(v["b"], long_value != 0)
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return F.coalesce(long_value, v["d"]).cast(dtype)
-    if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
-        return F.coalesce(v["d"], long_value).cast(dtype)
-    return F.coalesce(v["s"], long_value.cast("string")).cast(dtype)
+    Only the declared attributes are taken from the pages, and coordinates
+    only with_geometry. strict: a page that ``page_status`` finds at fault
+    raises. A broken page always raises.
+    """
+    from tessera.sources.pages import fault
+
+    names = [a.name for a in attributes.fields]
+    wanted = {n: i for i, n in enumerate(names)}
+    schema = pa.schema([(f"a{i}", pa.string()) for i in range(len(names))] + [("page", pa.int64())] + (_GEOMETRY_ARROW if with_geometry else []))
+    ddl = ", ".join([*[f"a{i} string" for i in range(len(names))], "page bigint", *([_GEOMETRY_DDL] if with_geometry else [])])
+    expected = F.col("expected_rows") if "expected_rows" in pages.columns else F.lit(None).cast("bigint").alias("expected_rows")
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, i, page in _numbered(batches, Page):
+            number, n = batch.column("page")[i].as_py(), len(page.spots)
+            status = fault(batch.column("expected_rows")[i].as_py(), n, page.exceeded) if strict else None
+            if status:
+                raise ValueError(f"page {number}: {status}")
+            if not n:
+                continue
+            values, shapes = page.features(wanted, with_geometry)
+            columns = [*values, [number] * n]
+            if with_geometry:
+                same = (page.default_type, page.wkid, page.origin, *page.scale, *page.shift)
+                columns += [[x] * n for x in same] + shapes
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    rows = pages.select("page", "body", expected).mapInArrow(split, ddl)
+    if with_geometry:
+        rows = decode_geometries(rows)
+    cols = [typed(F.col(f"a{i}"), a.dataType, a.name).alias(a.name) for i, a in enumerate(attributes.fields)]
+    return rows.select(*cols, *(["geometry"] if with_geometry else []))
 
 
 def page_stats_pbf(pages: DataFrame) -> DataFrame:
-    """(page, offset, actual_rows, exceeded, error_code) per binary page."""
-    s = split_pbf_pages(pages)
-    per = s.groupBy("page").agg(
-        F.count("fidx").alias("actual_rows"), F.max("exceeded").alias("exceeded")
-    )
-    return pages.select("page", "offset").join(per, "page").select(
-        "page", "offset", "actual_rows", "exceeded", F.lit(None).cast("int").alias("error_code")
-    )
+    """(page, offset, actual_rows, exceeded, error_code, corrupt) of each binary page, from its header alone."""
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for page, offset, body in zip(*(batch.column(k).to_pylist() for k in ("page", "offset", "body"))):
+                try:
+                    p = Page(body)
+                    out.append((page, offset, len(p.spots), p.exceeded, None, False))
+                except (ValueError, UnicodeDecodeError, struct.error):
+                    out.append((page, offset, 0, False, None, True))
+            names = ["page", "offset", "actual_rows", "exceeded", "error_code", "corrupt"]
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.bool_()]
+            columns = list(zip(*out)) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
+    return pages.select("page", "offset", "body").mapInArrow(
+        count, "page bigint, offset bigint, actual_rows bigint, exceeded boolean, error_code int, corrupt boolean"
+    )
 
-def decode_pbf_pages(
-    pages: DataFrame, attributes: T.StructType, with_geometry: bool = False
-) -> DataFrame:
-    """Binary page table -> one row per feature: attribute columns (+ geometry).
 
-    No shuffle either way: a feature's attributes and coordinates arrive in
-    one split row, so typing and geometry decoding are projections.
-    """
-    s = split_pbf_pages(pages).where(F.col("fidx").isNotNull())
-    if not with_geometry:
-        return _typed_columns(s, attributes)
-    return _typed_columns(decode_geometries(s), attributes, extra=["geometry"])
+def attribute_names_pbf(pages: DataFrame) -> DataFrame:
+    """Distinct attribute names (``name``) that binary pages hold."""
 
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, found in _numbered(batches, lambda body: Page(body).attribute_names()):
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], names=["name"])
 
-def _typed_columns(df: DataFrame, attributes: T.StructType, extra=()) -> DataFrame:
-    amap = F.map_from_entries(F.transform("attrs", lambda a: F.struct(a["name"], a)))
-    d = df.withColumn("_am", amap)
-    cols = [_typed(F.col("_am")[a.name], a.dataType).alias(a.name) for a in attributes.fields]
-    return d.select(*cols, *extra)
+    return pages.select("page", "body").mapInArrow(names, "name string").distinct()
 
 
 def decode_geometries(split: DataFrame) -> DataFrame:
@@ -287,189 +384,3 @@ def decode_geometries(split: DataFrame) -> DataFrame:
         ),
     ).cast(GEOMETRY)
     return d.withColumn("geometry", geom).drop("_cum", "_ends", "_verts", "_type")
-
-
-# ---------------------------------------------------------------------------
-# Encoding tables into binary pages
-# ---------------------------------------------------------------------------
-
-_GEOMETRY_CODES = {"point": 0, "multipoint": 1, "polyline": 2, "polygon": 3}
-
-
-def _encode_value(v, slot: str, index: int | None) -> bytes:
-    if v is None:
-        body = W.field_varint(W.VALUE_NULL, 1)
-    elif slot == "string":
-        body = W.field_bytes(W.VALUE_STRING, str(v).encode("utf-8"))
-    elif slot == "double":
-        body = W.field_double(W.VALUE_DOUBLE, float(v))
-    elif slot == "sint64":
-        body = W.field_varint(W.VALUE_SINT64, W.zigzag_encode(int(v)))
-    elif slot == "sint32":
-        body = W.field_varint(W.VALUE_SINT32, W.zigzag_encode(int(v)))
-    elif slot == "uint32":
-        body = W.field_varint(W.VALUE_UINT32, int(v))
-    elif slot == "bool":
-        body = W.field_varint(W.VALUE_BOOL, int(bool(v)))
-    else:  # int64, two's complement
-        body = W.field_varint(W.VALUE_INT64, int(v))
-    if index is not None:
-        body += W.field_varint(W.VALUE_INDEX, index)
-    return body
-
-
-def _encode_geometry(g: dict, q: dict) -> bytes:
-    code = _GEOMETRY_CODES.get(g.get("type") or "polygon", 3)
-    if code == 0:
-        parts = [[{"x": g["x"], "y": g["y"]}]]
-    else:
-        parts = g.get("parts") or []
-    sx, sy, tx, ty = q["sx"], q["sy"], q["tx"], q["ty"]
-    sign = 1 if q["origin"] == 1 else -1
-    deltas, px, py = [], 0, 0
-    for part in parts:
-        for v in part:
-            cx = round((v["x"] - tx) / sx)
-            cy = round(sign * (v["y"] - ty) / sy)
-            deltas += [W.zigzag_encode(cx - px), W.zigzag_encode(cy - py)]
-            px, py = cx, cy
-    msg = W.field_varint(W.GEOM_TYPE, code) if code else b""
-    if code not in (0, 1):
-        msg += W.field_packed(W.GEOM_LENGTHS, [len(p) for p in parts])
-    msg += W.field_packed(W.GEOM_COORDS, deltas)
-    return msg
-
-
-def encode_page(
-    values: list[list],
-    geometries: list[dict | None] | None,
-    columns: list[tuple[str, str]],
-    exceeded: bool,
-    quantize: dict,
-    wkid: int | None,
-    default_type: int,
-) -> bytes:
-    """A FeatureCollection message for one page.
-
-    ``values[i][n]`` is attribute ``columns[i]`` (name, slot) of feature
-    ``n``; ``geometries[n]`` its GEOMETRY value (or None).
-    """
-    out = [W.field_varint(W.FR_GEOMETRY_TYPE, default_type) if default_type else b""]
-    if wkid:
-        out.append(W.field_bytes(W.FR_SPATIAL_REFERENCE, W.field_varint(W.SR_WKID, wkid)))
-    if exceeded:
-        out.append(W.field_varint(W.FR_EXCEEDED, 1))
-    scale = W.field_double(W.XY_X, quantize["sx"]) + W.field_double(W.XY_Y, quantize["sy"])
-    trans = W.field_double(W.XY_X, quantize["tx"]) + W.field_double(W.XY_Y, quantize["ty"])
-    tf = (W.field_varint(W.TF_ORIGIN, quantize["origin"]) if quantize["origin"] else b"")
-    tf += W.field_bytes(W.TF_SCALE, scale) + W.field_bytes(W.TF_TRANSLATE, trans)
-    out.append(W.field_bytes(W.FR_TRANSFORM, tf))
-    for name, _slot in columns:
-        out.append(W.field_bytes(W.FR_FIELDS, W.field_bytes(W.FIELD_NAME, name.encode("utf-8"))))
-    forward = list(range(len(columns)))
-    backward = forward[::-1]
-    slots = [slot for _name, slot in columns]
-    n_features = len(values[0]) if values else len(geometries or [])
-    for n in range(n_features):
-        # every other feature names its fields by explicit index, in reverse order
-        explicit = n % 2 == 1
-        msg = [
-            W.field_bytes(
-                W.FEAT_ATTRIBUTES, _encode_value(values[i][n], slots[i], i if explicit else None)
-            )
-            for i in (backward if explicit else forward)
-        ]
-        g = geometries[n] if geometries is not None else None
-        if g is not None:
-            msg.append(W.field_bytes(W.FEAT_GEOMETRY, _encode_geometry(g, quantize)))
-        out.append(W.field_bytes(W.FR_FEATURES, b"".join(msg)))
-    return W.field_bytes(W.FC_QUERY_RESULT, W.field_bytes(W.QR_FEATURE_RESULT, b"".join(out)))
-
-
-def _slot_for(dtype: T.DataType, name: str, slots: dict[str, str]) -> str:
-    if name in slots:
-        return slots[name]
-    if isinstance(dtype, T.StringType):
-        return "string"
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return "double"
-    if isinstance(dtype, T.BooleanType):
-        return "bool"
-    return "int64"
-
-
-def pack_pbf_pages(
-    features: DataFrame,
-    chunk_size: int,
-    key: str = "OBJECTID",
-    layer: str = "layer",
-    geometry: str | None = None,
-    slots: dict[str, str] | None = None,
-    quantize: dict | None = None,
-    wkid: int | None = 2056,
-    default_type: int = 3,
-) -> DataFrame:
-    """Offset pages of ``chunk_size`` features in ``key`` order, binary encoded.
-
-    Pages are grouped by Spark (bounded by ``chunk_size``) and each page is
-    encoded by one Arrow batch task.
-    """
-    slots = slots or {}
-    q = {"origin": 0, "sx": 1.0, "sy": 1.0, "tx": 0.0, "ty": 0.0, **(quantize or {})}
-    attr_cols = [c for c in features.columns if c != geometry]
-    columns = [(c, _slot_for(features.schema[c].dataType, c, slots)) for c in attr_cols]
-    idx, total = dense_index_with_count(features, [key], "_idx")
-    entry = [F.col("_idx"), F.struct(*attr_cols).alias("a")]
-    if geometry:
-        entry.append(F.col(geometry).alias("g"))
-    grouped = idx.groupBy(F.floor(F.col("_idx") / chunk_size).cast("bigint").alias("page")).agg(
-        F.array_sort(F.collect_list(F.struct(*entry))).alias("fs")
-    )
-
-    def encode(batches):
-        import pyarrow.compute as pc
-
-        for batch in batches:
-            # Column-wise conversion: primitive child arrays, not per-feature dicts.
-            pages = batch.column("page").to_pylist()
-            fs = batch.column("fs")
-            ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(fs), 0)).to_pylist()
-            items = fs.flatten()
-            a = items.field("a")
-            values = [a.field(i).to_pylist() for i in range(len(columns))]
-            geoms = items.field("g").to_pylist() if geometry else None
-            out = []
-            for p, page in enumerate(pages):
-                lo, hi = (ends[p - 1] if p else 0), ends[p]
-                offset = page * chunk_size
-                body = encode_page(
-                    [v[lo:hi] for v in values],
-                    geoms[lo:hi] if geoms is not None else None,
-                    columns,
-                    offset + chunk_size < total,
-                    q,
-                    wkid,
-                    default_type,
-                )
-                out.append(
-                    {"layer": layer, "page": page, "offset": offset, "chunk_size": chunk_size,
-                     "format": "pbf", "body": body, "status": "ok"}
-                )
-            yield pa.RecordBatch.from_pylist(out, schema=_PAGE_ARROW)
-
-    ddl = ("layer string, page bigint, offset bigint, chunk_size bigint, format string, "
-           "body binary, status string")
-    return grouped.mapInArrow(encode, ddl)
-
-
-_PAGE_ARROW = pa.schema(
-    [
-        ("layer", pa.string()),
-        ("page", pa.int64()),
-        ("offset", pa.int64()),
-        ("chunk_size", pa.int64()),
-        ("format", pa.string()),
-        ("body", pa.binary()),
-        ("status", pa.string()),
-    ]
-)

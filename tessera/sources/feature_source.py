@@ -3,7 +3,7 @@
 Planning (driver): layer metadata -> page size, row count -> page offsets,
 offsets grouped into contiguous page ranges, one input partition per range.
 Reading (executors): each page is fetched with a bounded retry and yielded as
-one row (layer, page, offset, chunk_size, format, body, status). Decoding is
+one row (layer, page, offset, chunk_size, format, body, status, expected_rows). Decoding is
 left to DataFrame operators (``tessera.sources.pages``, ``tessera.sources.binary``),
 so a page is decoded by the same Spark plan whatever transport fetched it.
 
@@ -21,7 +21,7 @@ Transports, chosen by option:
 
 Options: ``path`` | ``url``, ``format`` (json | pbf), ``where`` (1=1),
 ``fields`` (*), ``returnGeometry`` (false), ``chunk_size`` (from metadata),
-``max_partitions`` (1024), ``max_retries`` (4), ``timeout`` (120), ``order_by``
+``max_partitions`` (none: from the page count), ``max_retries`` (4), ``timeout`` (120), ``order_by``
 (e.g. ``OBJECTID``: sent as the page order, so offset paging is stable),
 ``prune_pages`` (false; filters on ``page`` then limit the pages fetched --
 needs ``spark.sql.python.filterPushdown.enabled``).
@@ -30,22 +30,27 @@ Every read is idempotent, so Spark's task retry is safe on top of it.
 
 from __future__ import annotations
 
+import http.client
 import json
-import os
-import random
 import time
 import urllib.parse
 import urllib.request
+import uuid
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tessera.schemas import DEFAULT_RECORD_FACTOR, DEFAULT_STANDARD_MAX_RECORDS
 
 PAGE_DDL = (
     "layer string, page bigint, offset bigint, chunk_size bigint, format string, "
-    "body binary, status string"
+    "body binary, status string, expected_rows bigint"
 )
+#: Pages a partition reads, unless ``max_partitions`` is given: one of a small layer, else some.
+SMALL_LAYER, PAGES_EACH = 64, 8
+#: Seconds before each further try: 1, 3, 9, ... up to a minute.
+FIRST_WAIT, LONGEST_WAIT = 1.0, 60.0
 
 
 class Transport:
@@ -158,7 +163,7 @@ def _options(opts) -> dict:
         "fields": o.get("fields", "*"),
         "geometry": str(o.get("returngeometry", "false")).lower() == "true",
         "chunk_size": int(o["chunk_size"]) if o.get("chunk_size") else None,
-        "max_partitions": int(o.get("max_partitions", 1024)),
+        "max_partitions": int(o["max_partitions"]) if o.get("max_partitions") else None,
         "max_retries": retries,
         "timeout": int(o.get("timeout", 120)),
         "layer": o.get("layer"),
@@ -196,6 +201,8 @@ class FeaturePagesReader(DataSourceReader):
         chunk = options["chunk_size"]
         if chunk is None:
             info = t.layer_info()
+            if "error" in info:
+                raise ValueError(f"the layer's metadata is an error: {str(info['error'])[:200]}")
             std = info.get("standardMaxRecordCount") or DEFAULT_STANDARD_MAX_RECORDS
             factor = info.get("maxRecordCountFactor") or DEFAULT_RECORD_FACTOR
             chunk = int(std * factor)
@@ -210,61 +217,58 @@ class FeaturePagesReader(DataSourceReader):
         return 0, self.n_pages, None
 
     def partitions(self):
+        """Runs of neighbouring pages; a run never holds more than its share of the pages to read."""
         first, last, only = self._page_bounds()
-        if only is not None:
-            pages = sorted(p for p in set(only) if first <= p < last)
-            return [PageRange(p, p + 1) for p in pages] or [PageRange(0, 0)]
-        if last <= first:
+        pages = range(first, last) if only is None else sorted(p for p in set(only) if first <= p < last)
+        if not len(pages):
             return [PageRange(0, 0)]  # nothing to read: one partition that yields nothing
-        n_sel = last - first
-        n = max(1, min(self.o["max_partitions"], n_sel))
-        step = -(-n_sel // n)
-        return [PageRange(a, min(a + step, last)) for a in range(first, last, step)]
+        most = self.o["max_partitions"]
+        share = -(-len(pages) // most) if most else (1 if len(pages) <= SMALL_LAYER else PAGES_EACH)
+        runs = [PageRange(pages[0], pages[0])]
+        for p in pages:
+            if p != runs[-1].last or p - runs[-1].first >= share:
+                runs.append(PageRange(p, p))
+            runs[-1].last = p + 1
+        return [r for r in runs if r.last > r.first]
 
     def read(self, partition: PageRange):
         """One Arrow record batch per group of pages (bodies are not pickled)."""
-        import pyarrow as pa
-
         o = self.o
         t = make_transport(o)
         layer = o["layer"] or layer_label(o["url"] or o["path"] or "")
-        cols = {k: [] for k in ("layer", "page", "offset", "chunk_size", "format", "body", "status")}
+        cols = {k: [] for k in PAGE_ARROW.names}
         size = 0
         for page in range(partition.first, partition.last):
             offset = page * self.chunk
-            body = _fetch(t, offset, self.chunk, o["format"], o["max_retries"])
-            for k, v in zip(cols, (layer, page, offset, self.chunk, o["format"], body,
-                                   "missing" if body is None else "ok")):
+            body = patiently(lambda: t.page(offset, self.chunk, o["format"]), o["max_retries"])  # noqa: B023
+            row = (layer, page, offset, self.chunk, o["format"], body, "missing" if body is None else "ok",
+                   min(self.chunk, self.total - offset))
+            for k, v in zip(cols, row):
                 cols[k].append(v)
             size += len(body or b"")
             if size >= _BATCH_BYTES:
-                yield pa.RecordBatch.from_pydict(cols, schema=_PAGE_ARROW)
+                yield pa.RecordBatch.from_pydict(cols, schema=PAGE_ARROW)
                 cols = {k: [] for k in cols}
                 size = 0
         if cols["page"]:
-            yield pa.RecordBatch.from_pydict(cols, schema=_PAGE_ARROW)
+            yield pa.RecordBatch.from_pydict(cols, schema=PAGE_ARROW)
 
 
 _BATCH_BYTES = 64 << 20  # flush a batch once its bodies reach 64 MiB
 
 
-def _page_arrow():
-    import pyarrow as pa
-
-    return pa.schema(
-        [
-            ("layer", pa.string()),
-            ("page", pa.int64()),
-            ("offset", pa.int64()),
-            ("chunk_size", pa.int64()),
-            ("format", pa.string()),
-            ("body", pa.binary()),
-            ("status", pa.string()),
-        ]
-    )
-
-
-_PAGE_ARROW = _page_arrow()
+PAGE_ARROW = pa.schema(
+    [
+        ("layer", pa.string()),
+        ("page", pa.int64()),
+        ("offset", pa.int64()),
+        ("chunk_size", pa.int64()),
+        ("format", pa.string()),
+        ("body", pa.binary()),
+        ("status", pa.string()),
+        ("expected_rows", pa.int64()),
+    ]
+)
 
 
 class PrunedPagesReader(FeaturePagesReader):
@@ -308,15 +312,18 @@ class PrunedPagesReader(FeaturePagesReader):
         return self.first, min(self.last, self.n_pages), self.only
 
 
-def _fetch(t: Transport, offset: int, chunk: int, fmt: str, retries: int) -> bytes | None:
-    for attempt in range(retries):
+def patiently(read, tries: int, pause=time.sleep):
+    """What read() gives; broken connections and bodies are tried again, with waits that triple."""
+    wait, left = FIRST_WAIT, tries
+    while True:
+        left -= 1
         try:
-            return t.page(offset, chunk, fmt)
-        except OSError:
-            if attempt == retries - 1:
+            return read()
+        except (OSError, http.client.HTTPException):
+            if not left:
                 raise
-            time.sleep(2 ** (attempt + 1) * random.uniform(0.8, 1.2))  # noqa: S311
-    return None
+        pause(wait)
+        wait = min(3 * wait, LONGEST_WAIT)
 
 
 class FeaturePages(DataSource):
@@ -355,7 +362,6 @@ def land_pages(pages, root: str) -> int:
     task reports how many pages it wrote. ``root`` must be on storage every
     executor sees: a folder under ``spark.checkpoint.dir``.
     """
-    import pyarrow as pa
     from pyspark.sql import functions as F
 
     fs, base = open_fs(root)
@@ -371,7 +377,7 @@ def land_pages(pages, root: str) -> int:
                 if not body.is_valid:
                     continue
                 p = f"{wbase.rstrip('/')}/pages/{off}.{fmt}"
-                tmp = f"{p}.{os.getpid()}.tmp"
+                tmp = f"{p}.{uuid.uuid4().hex}.tmp"  # of this attempt alone
                 with wfs.open_output_stream(tmp) as fh:
                     fh.write(body.as_buffer())
                 wfs.move(tmp, p)

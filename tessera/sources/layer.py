@@ -9,12 +9,15 @@ operators and unioned. Rows come in no particular order.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.sources import feature_source
-from tessera.sources.pages import decode_json_pages, pack_json_pages, route
+from tessera.sources.binary import attribute_names_pbf, decode_pbf_pages
+from tessera.sources.pages import attribute_names_json, audit_pages, decode_json_pages, page_stats, route
 
 
 def read_pages(spark: SparkSession, path: str | None = None, url: str | None = None, **options):
@@ -40,18 +43,27 @@ def decode_pages(
     attributes: T.StructType,
     with_geometry: bool = False,
     requested: str = "json",
+    strict: bool = False,
 ) -> DataFrame:
-    """Routed page table -> feature rows (attribute columns [+ geometry])."""
-    routed = route(pages.where(F.col("body").isNotNull()), requested)
-    out = decode_json_pages(routed.where(F.col("route") == "json"), attributes, with_geometry)
-    if requested == "pbf":
-        from tessera.sources.binary import decode_pbf_pages
+    """Page table -> feature rows (attribute columns [+ geometry]).
 
-        binary = decode_pbf_pages(routed.where(F.col("route") == "pbf"), attributes, with_geometry)
+    strict: every planned page must be there and hold what was planned, else
+    the read raises, naming the page and what is wrong with it.
+    """
+    routed = route(pages if strict else pages.where(F.col("body").isNotNull()), requested)
+    out = decode_json_pages(routed.where(F.col("route") == "json"), attributes, with_geometry, strict)
+    if requested == "pbf":
+        binary = decode_pbf_pages(routed.where(F.col("route") == "pbf"), attributes, with_geometry, strict)
         out = out.unionByName(binary)
     return out
 
 
+@dataclass(frozen=True)
+class LayerRead:
+    rows: DataFrame  # features of the readable pages
+    audit: DataFrame  # (page, offset, expected_rows, actual_rows, exceeded, status), one row a planned page
+
+
 def read_layer(
     spark: SparkSession,
     attributes: T.StructType,
@@ -65,18 +77,33 @@ def read_layer(
     max_partitions: int | None = None,
     max_retries: int = 4,
     order_by: str | None = None,
-) -> DataFrame:
-    """Every feature of a layer as typed rows (the bulk layer read)."""
+    mode: str = "strict",
+) -> DataFrame | LayerRead:
+    """Every feature of a layer as typed rows (the bulk layer read).
+
+    mode "strict" raises when a page is missing, corrupt, an error, overflows
+    or holds another number of rows than planned; "split" gives the readable
+    rows and the audit of all pages (a :class:`LayerRead`). ``fields`` is cut
+    before decoding. ``where`` goes to a live server; of a landed layer, which
+    is whole, the decoded rows are filtered by it.
+    """
     if response_format not in ("json", "pbf"):
         raise ValueError(
             f"invalid response format {response_format!r} (expected 'json' or 'pbf')"
         )
+    if mode not in ("strict", "split"):
+        raise ValueError(f"mode must be 'strict' or 'split', got {mode!r}")
+    filtered = where.strip() not in ("", "1=1")
+    keep = None if fields.strip() == "*" else [f.strip() for f in fields.split(",") if f.strip()]
+    wanted = attributes
+    if keep is not None and not (path and filtered):
+        wanted = T.StructType([attributes[f] for f in keep])
     pages = read_pages(
         spark,
         path=path,
         url=url,
         format=response_format,
-        where=where,
+        where="1=1" if path else where,
         fields=fields,
         returnGeometry=with_geometry,
         chunk_size=chunk_size,
@@ -84,40 +111,21 @@ def read_layer(
         max_retries=max_retries,
         order_by=order_by,
     )
-    rows = decode_pages(pages, attributes, with_geometry, response_format)
-    if fields.strip() != "*":
-        keep = [f.strip() for f in fields.split(",") if f.strip()]
+    rows = decode_pages(pages, wanted, with_geometry, response_format, mode == "strict")
+    if path and filtered:
+        rows = rows.where(where)
+    if keep is not None:
         rows = rows.select(*keep, *(["geometry"] if with_geometry else []))
-    return rows
-
+    if mode == "strict":
+        return rows
+    plan = pages.select("page", "offset", "expected_rows")
+    return LayerRead(rows, audit_pages(plan, page_stats(pages, response_format)))
 
-def land_layer(
-    features: DataFrame,
-    root: str,
-    chunk_size: int,
-    key: str = "OBJECTID",
-    layer: str = "layer",
-    fmt: str = "json",
-    geometry: str | None = None,
-) -> int:
-    """Pack ``features`` into offset pages and land them under ``root``.
 
-    Returns the row count. ``root`` must be shared by all executors.
-    """
-    if fmt == "json":
-        pages = pack_json_pages(features, chunk_size, key=key, layer=layer, geometry=geometry)
-    else:
-        from tessera.sources.binary import pack_pbf_pages
-
-        pages = pack_pbf_pages(features, chunk_size, key=key, layer=layer, geometry=geometry)
-    feature_source.land_pages(pages, root)
-    total = features.count()
-    info = {
-        "name": layer,
-        "standardMaxRecordCount": chunk_size,
-        "maxRecordCountFactor": 1.0,
-        "maxRecordCount": chunk_size,
-        "fields": [{"name": f.name, "type": f.dataType.simpleString()} for f in features.schema],
-    }
-    feature_source.write_layer_docs(root, total, info)
-    return total
+def attribute_names(pages: DataFrame, requested: str = "json") -> DataFrame:
+    """Distinct attribute names that the pages hold (``name``), for the column contract."""
+    routed = route(pages.where(F.col("body").isNotNull()), requested)
+    names = attribute_names_json(routed.where(F.col("route") == "json"))
+    if requested == "pbf":
+        names = names.unionByName(attribute_names_pbf(routed.where(F.col("route") == "pbf"))).distinct()
+    return names

@@ -1,9 +1,9 @@
-"""Tables of pages: packing, routing, JSON decoding and the page audit.
+"""Tables of pages: routing, JSON decoding and the page audit.
 
-A *page table* has one row per page of a layer:
+A *page table* has one row per planned page of a layer:
 ``layer STRING, page BIGINT, offset BIGINT, chunk_size BIGINT, format STRING,
-body BINARY, status STRING``. It is what the ``feature_pages`` source
-returns, and what ``pack_json_pages`` builds from a DataFrame. Pages are
+body BINARY, status STRING, expected_rows BIGINT``, as the ``feature_pages``
+source returns it; a page that isn't there has a NULL body. Pages are
 independent, so decoding is per row with no shuffle; a page holds at most
 ``chunk_size`` features, which bounds every per-page collection.
 """
@@ -14,21 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.indexing import dense_index_with_count
+from tessera.functions.strict import typed
 from tessera.schemas import DEFAULT_RECORD_FACTOR, DEFAULT_STANDARD_MAX_RECORDS, GEOMETRY
 
-PAGE_SCHEMA = T.StructType(
-    [
-        T.StructField("layer", T.StringType()),
-        T.StructField("page", T.LongType()),
-        T.StructField("offset", T.LongType()),
-        T.StructField("chunk_size", T.LongType()),
-        T.StructField("format", T.StringType()),
-        T.StructField("body", T.BinaryType()),
-        T.StructField("status", T.StringType()),
-    ]
-)
-
 # Layer metadata document (only the fields page planning reads, plus fields[]).
 LAYER_META_SCHEMA = T.StructType(
     [
@@ -79,22 +67,34 @@ _ERROR = T.StructType(
 )
 
 
-def json_page_schema(attributes: T.StructType) -> T.StructType:
-    feature = T.StructType(
-        [
-            T.StructField("attributes", attributes),
-            T.StructField("geometry", _JSON_GEOMETRY),
-        ]
-    )
+_BROKEN = "_broken"
+
+
+def json_page_schema(attributes: T.StructType, with_geometry: bool = True) -> T.StructType:
+    """A page with its attributes as text; what isn't JSON is kept in ``_broken``."""
+    loose = T.StructType([T.StructField(a.name, T.StringType()) for a in attributes.fields])
+    feature = [T.StructField("attributes", loose)]
+    if with_geometry:
+        feature.append(T.StructField("geometry", _JSON_GEOMETRY))
+    return _page_of(T.StructType(feature))
+
+
+def _page_of(feature: T.DataType) -> T.StructType:
     return T.StructType(
         [
             T.StructField("features", T.ArrayType(feature)),
             T.StructField("exceededTransferLimit", T.BooleanType()),
             T.StructField("error", _ERROR),
+            T.StructField(_BROKEN, T.StringType()),
         ]
     )
 
 
+def _parsed(body: Column, schema: T.StructType) -> Column:
+    # bytes that aren't UTF-8 are replaced, not an error: the body may turn out to be binary
+    return F.from_json(F.make_valid_utf8(body.cast("string")), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN})
+
+
 # ---------------------------------------------------------------------------
 # Layer metadata and page planning
 # ---------------------------------------------------------------------------
@@ -138,83 +138,14 @@ def plan_pages(spark: SparkSession, total: int, chunk_size: int, partitions: int
     )
 
 
-# ---------------------------------------------------------------------------
-# Packing a DataFrame into offset pages (what a layer server returns)
-# ---------------------------------------------------------------------------
-
-
-def json_geometry(g: Column) -> Column:
-    """GEOMETRY struct -> the layer's JSON geometry: ``{x, y}`` for a point,
-    ``{points}`` / ``{paths}`` / ``{rings}`` of ``[x, y]`` pairs otherwise,
-    with ``spatialReference: {wkid}`` when known. NULL stays NULL."""
-    pairs = F.transform(g["parts"], lambda p: F.transform(p, lambda v: F.array(v["x"], v["y"])))
-    t = g["type"]
-    sr = F.when(g["wkid"].isNotNull(), F.struct(g["wkid"].alias("wkid")))
-    return F.when(
-        g.isNotNull(),
-        F.struct(
-            F.when(t == "point", g["x"]).alias("x"),
-            F.when(t == "point", g["y"]).alias("y"),
-            F.when(t == "multipoint", F.get(pairs, 0)).alias("points"),
-            F.when(t == "polyline", pairs).alias("paths"),
-            F.when(t == "polygon", pairs).alias("rings"),
-            sr.alias("spatialReference"),
-        ),
-    )
-
-
-def _feature_struct(df: DataFrame, geometry: str | None) -> Column:
-    attrs = F.struct(*[F.col(c) for c in df.columns if c not in ("_idx", geometry)])
-    if geometry:
-        return F.struct(attrs.alias("attributes"), json_geometry(F.col(geometry)).alias("geometry"))
-    return F.struct(attrs.alias("attributes"))
-
-
-def pack_json_pages(
-    features: DataFrame,
-    chunk_size: int,
-    key: str = "OBJECTID",
-    layer: str = "layer",
-    geometry: str | None = None,
-) -> DataFrame:
-    """Offset pages of ``chunk_size`` features in ``key`` order, as JSON bodies.
-
-    Every page but the last carries ``exceededTransferLimit: true`` (more
-    rows remain), as a server paging by offset does. NULL attributes are
-    written as JSON ``null``. The per-page ``collect_list`` is bounded by
-    ``chunk_size``.
-    """
-    idx, total = dense_index_with_count(features, [key], "_idx")
-    page = F.floor(F.col("_idx") / chunk_size).cast("bigint")
-    grouped = idx.groupBy(page.alias("page")).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_idx"), _feature_struct(idx, geometry).alias("f")))).alias("_fs")
-    )
-    offset = F.col("page") * F.lit(chunk_size)
-    doc = F.struct(
-        F.transform("_fs", lambda s: s["f"]).alias("features"),
-        (offset + F.lit(chunk_size) < F.lit(total)).alias("exceededTransferLimit"),
-    )
-    body = F.to_json(doc, {"ignoreNullFields": "false"})
-    return grouped.select(
-        F.lit(layer).alias("layer"),
-        "page",
-        offset.alias("offset"),
-        F.lit(chunk_size).cast("bigint").alias("chunk_size"),
-        F.lit("json").alias("format"),
-        F.encode(body, "UTF-8").alias("body"),
-        F.lit("ok").alias("status"),
-    )
-
-
 # ---------------------------------------------------------------------------
 # Routing and decoding
 # ---------------------------------------------------------------------------
 
 
 def looks_like_json(body: Column) -> Column:
-    """First non-blank byte is ``{`` or ``[`` (bytes read as Latin-1)."""
-    head = F.decode(F.substring(body, 1, 1024), "ISO-8859-1")
-    return F.coalesce(F.regexp_like(head, F.lit(r"^\s*[\[{]")), F.lit(False))
+    """First non-blank byte is ``{`` or ``[`` (bytes read as Latin-1), however many blanks there are."""
+    return F.coalesce(F.regexp_like(F.decode(body, "ISO-8859-1"), F.lit(r"^\s*+[\[{]")), F.lit(False))
 
 
 def layer_label(url: Column) -> Column:
@@ -231,9 +162,9 @@ def route(pages: DataFrame, requested: str = "pbf") -> DataFrame:
         raise ValueError(f"invalid response format {requested!r} (expected 'json' or 'pbf')")
     if requested == "json":
         return pages.withColumn("route", F.lit("json"))
-    return pages.withColumn(
-        "route", F.when(looks_like_json(F.col("body")), "json").otherwise("pbf")
-    )
+    # a page that isn't there has nothing to sniff; the JSON side reports it
+    as_json = F.col("body").isNull() | looks_like_json(F.col("body"))
+    return pages.withColumn("route", F.when(as_json, "json").otherwise("pbf"))
 
 
 def _geometry_from_json(g: Column) -> Column:
@@ -261,24 +192,70 @@ def _geometry_from_json(g: Column) -> Column:
     ).cast(GEOMETRY)
 
 
-def parse_json_pages(pages: DataFrame, attributes: T.StructType) -> DataFrame:
-    """Page table -> page table + ``doc`` (parsed page struct)."""
-    schema = json_page_schema(attributes)
-    return pages.withColumn("doc", F.from_json(F.decode(F.col("body"), "UTF-8"), schema))
+def fault(expected, actual, exceeded, error_code=None, corrupt=False, present=True):
+    """What is wrong with a page, or None; of plain values (see ``page_status`` for columns)."""
+    if not present:
+        return "missing"
+    if corrupt:
+        return "corrupt"
+    if error_code is not None:
+        return "error"
+    if exceeded and not actual:
+        return "overflow"
+    if expected is not None and actual != expected:
+        return "short" if actual < expected else "extra"
+    return None
+
+
+def page_status(expected: Column, actual: Column, exceeded: Column, error_code: Column, corrupt: Column, present: Column) -> Column:
+    """``missing`` (planned, no page), ``corrupt`` (not readable), ``error`` (error body), ``overflow``
+    (flag set, no features), ``short`` or ``extra`` (fewer or more rows than planned), ``full`` (flag
+    set, rows as planned: normal for offset paging), ``ok``."""
+    return (
+        F.when(~present, "missing")
+        .when(corrupt, "corrupt")
+        .when(error_code.isNotNull(), "error")
+        .when(exceeded & (actual == 0), "overflow")
+        .when(actual < expected, "short")
+        .when(actual > expected, "extra")
+        .when(exceeded, "full")
+        .otherwise("ok")
+    )
+
+
+def _expected(pages: DataFrame) -> Column:
+    return F.col("expected_rows") if "expected_rows" in pages.columns else F.lit(None).cast("bigint")
+
+
+def _doc_stats(doc: Column) -> dict[str, Column]:
+    return {
+        "actual_rows": F.coalesce(F.size(doc["features"]), F.lit(0)).cast("bigint"),
+        "exceeded": F.coalesce(doc["exceededTransferLimit"], F.lit(False)),
+        "error_code": F.when(doc["error"].isNotNull(), F.coalesce(doc["error"]["code"], F.lit(0))),
+        "corrupt": doc.isNull() | doc[_BROKEN].isNotNull(),
+    }
 
 
 def decode_json_pages(
-    pages: DataFrame, attributes: T.StructType, with_geometry: bool = False
+    pages: DataFrame, attributes: T.StructType, with_geometry: bool = False, strict: bool = False
 ) -> DataFrame:
     """JSON page table -> one row per feature: attribute columns (+ geometry).
 
-    NULL features and features without ``attributes`` are skipped.
+    NULL features and features without ``attributes`` are skipped. A value
+    that isn't of its declared type raises. strict: so does a page that
+    ``page_status`` finds at fault; else its readable features are returned.
     """
-    parsed = parse_json_pages(pages, attributes)
-    f = parsed.select("layer", "page", F.explode("doc.features").alias("f")).where(
+    parsed = pages.select("layer", "page", "body", _expected(pages).alias("_expected"), _parsed(F.col("body"), json_page_schema(attributes, with_geometry)).alias("doc"))
+    features = F.col("doc.features")
+    if strict:
+        stats = _doc_stats(F.col("doc"))
+        status = page_status(F.col("_expected"), present=F.col("body").isNotNull(), **{k.replace("_rows", ""): v for k, v in stats.items()})
+        wrong = F.raise_error(F.concat(F.lit("page "), F.col("page").cast("string"), F.lit(": "), status))
+        features = F.when(status.isin("ok", "full"), features).otherwise(wrong.cast(parsed.select(features).schema[0].dataType))
+    f = parsed.select("layer", "page", F.explode(features).alias("f")).where(
         F.col("f").isNotNull() & F.col("f.attributes").isNotNull()
     )
-    cols = [F.col(f"f.attributes.`{a.name}`").alias(a.name) for a in attributes.fields]
+    cols = [typed(F.col(f"f.attributes.`{a.name}`"), a.dataType, a.name).alias(a.name) for a in attributes.fields]
     if with_geometry:
         cols.append(_geometry_from_json(F.col("f.geometry")).alias("geometry"))
     return f.select(*cols)
@@ -302,49 +279,43 @@ def attribute_names_json(pages: DataFrame) -> DataFrame:
             )
         ]
     )
-    doc = F.from_json(F.decode(F.col("body"), "UTF-8"), loose)
+    doc = F.from_json(F.make_valid_utf8(F.col("body").cast("string")), loose)
     feats = pages.select(F.explode(doc["features"]).alias("f")).where(
         F.col("f.attributes").isNotNull()
     )
     return feats.select(F.explode(F.map_keys("f.attributes")).alias("name")).distinct()
 
 
-def page_stats_json(pages: DataFrame, attributes: T.StructType) -> DataFrame:
-    """(page, offset, actual_rows, exceeded, error_code) per JSON page."""
-    parsed = parse_json_pages(pages, attributes)
-    return parsed.select(
-        "page",
-        "offset",
-        F.coalesce(F.size("doc.features"), F.lit(0)).cast("bigint").alias("actual_rows"),
-        F.coalesce(F.col("doc.exceededTransferLimit"), F.lit(False)).alias("exceeded"),
-        F.col("doc.error.code").alias("error_code"),
-    )
+def page_stats_json(pages: DataFrame) -> DataFrame:
+    """(page, offset, actual_rows, exceeded, error_code, corrupt) per JSON page; a NULL body has NULL rows."""
+    parsed = pages.select("page", "offset", "body", _parsed(F.col("body"), _page_of(T.StringType())).alias("doc"))
+    present = F.col("body").isNotNull()
+    return parsed.select("page", "offset", *[F.when(present, c).alias(k) for k, c in _doc_stats(F.col("doc")).items()])
 
 
-def audit_pages(plan: DataFrame, stats: DataFrame) -> DataFrame:
-    """Compare the page plan with what the pages hold.
+def page_stats(pages: DataFrame, requested: str = "json") -> DataFrame:
+    """What each page of a table holds, whichever way it is encoded."""
+    if requested == "json":
+        return page_stats_json(pages)
+    from tessera.sources.binary import page_stats_pbf
 
-    ``status``: ``missing`` (planned, no page), ``error`` (error body),
-    ``overflow`` (flag set, no features), ``short`` (fewer rows than planned),
-    ``extra`` (more rows than planned), ``full`` (flag set, rows as planned:
-    normal for offset paging), ``ok``.
-    """
+    routed = route(pages, requested)
+    return page_stats_json(routed.where("route = 'json'")).unionByName(page_stats_pbf(routed.where("route = 'pbf'")))
+
+
+def audit_pages(plan: DataFrame, stats: DataFrame) -> DataFrame:
+    """Compare the page plan with what the pages hold: one row a page, with its ``page_status``."""
     j = plan.join(stats.withColumnRenamed("offset", "_soff"), "page", "full_outer")
-    exp, act = F.col("expected_rows"), F.coalesce(F.col("actual_rows"), F.lit(0))
-    status = (
-        F.when(F.col("actual_rows").isNull(), "missing")
-        .when(F.col("error_code").isNotNull(), "error")
-        .when(F.col("exceeded") & (act == 0), "overflow")
-        .when(exp.isNull() | (act > exp), "extra")
-        .when(act < exp, "short")
-        .when(F.col("exceeded"), "full")
-        .otherwise("ok")
+    exp, act = F.coalesce("expected_rows", F.lit(0)), F.coalesce(F.col("actual_rows"), F.lit(0))
+    exceeded = F.coalesce(F.col("exceeded"), F.lit(False))
+    status = page_status(
+        exp, act, exceeded, F.col("error_code"), F.coalesce(F.col("corrupt"), F.lit(False)), F.col("actual_rows").isNotNull()
     )
     return j.select(
         "page",
         F.coalesce(F.col("offset"), F.col("_soff")).alias("offset"),
-        exp.alias("expected_rows"),
+        F.col("expected_rows"),
         act.cast("bigint").alias("actual_rows"),
-        F.coalesce(F.col("exceeded"), F.lit(False)).alias("exceeded"),
+        exceeded.alias("exceeded"),
         status.alias("status"),
     )

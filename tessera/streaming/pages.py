@@ -43,7 +43,7 @@ def page_stream(
     backlog is ingested in bounded batches."""
     if fmt not in ("json", "pbf"):
         raise ValueError(f"invalid response format {fmt!r} (expected 'json' or 'pbf')")
-    _total, chunk = _layer_docs(root)
+    total, chunk = _layer_docs(root)
     files = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
@@ -60,6 +60,7 @@ def page_stream(
         F.lit(fmt).alias("format"),
         F.col("content").alias("body"),
         F.lit("ok").alias("status"),
+        F.least(F.lit(chunk).cast("bigint"), F.lit(total) - offset).alias("expected_rows"),
     )
 
 
@@ -80,10 +81,11 @@ def ingest_pages(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         feats = decode_pages(
-            batch.select("layer", "page", "offset", "chunk_size", "format", "body", "status"),
+            batch.select("layer", "page", "offset", "chunk_size", "format", "body", "status", "expected_rows"),
             attributes,
             with_geometry,
             fmt,
+            strict=True,  # a page at fault stops the query; it is read again when it has been mended
         )
         feats.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch={batch_id}")
 

@@ -4,30 +4,35 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions import wire as W
+import numpy as np
+from hypothesis import given
+from hypothesis import strategies as st
+
 from tessera.functions.geometry import zigzag
-from tessera.sources.binary import decode_pbf_pages, split_page
+from tessera.sources import fixture_pages as E
+from tessera.sources import page_codes as W
+from tessera.sources.binary import Cursor, Page, decode_pbf_pages, packed_numbers
 
 ATTRS = T.StructType([T.StructField("ID_DOSSIER", T.StringType())])
 
 
 def _wrap(feature_result: bytes) -> bytes:
-    return W.field_bytes(W.FC_QUERY_RESULT, W.field_bytes(W.QR_FEATURE_RESULT, feature_result))
+    return E.field_bytes(W.FC_QUERY_RESULT, E.field_bytes(W.QR_FEATURE_RESULT, feature_result))
 
 
 def _point_page() -> bytes:
-    value = W.field_bytes(W.VALUE_STRING, b"PORTE") + W.field_varint(W.VALUE_INDEX, 0)
-    geom = W.field_packed(W.GEOM_COORDS, [20, 40])  # zigzag(10), zigzag(20)
-    feature = W.field_bytes(W.FEAT_ATTRIBUTES, value) + W.field_bytes(W.FEAT_GEOMETRY, geom)
-    scale = W.field_double(W.XY_X, 1.0) + W.field_double(W.XY_Y, 1.0)
-    trans = W.field_double(W.XY_X, 0.0) + W.field_double(W.XY_Y, 0.0)
-    tf = W.field_varint(W.TF_ORIGIN, 1) + W.field_bytes(W.TF_SCALE, scale) + W.field_bytes(W.TF_TRANSLATE, trans)
+    value = E.field_bytes(W.VALUE_STRING, b"PORTE") + E.field_varint(W.VALUE_INDEX, 0)
+    geom = E.field_packed(W.GEOM_COORDS, [20, 40])  # zigzag(10), zigzag(20)
+    feature = E.field_bytes(W.FEAT_ATTRIBUTES, value) + E.field_bytes(W.FEAT_GEOMETRY, geom)
+    scale = E.field_double(W.XY_X, 1.0) + E.field_double(W.XY_Y, 1.0)
+    trans = E.field_double(W.XY_X, 0.0) + E.field_double(W.XY_Y, 0.0)
+    tf = E.field_varint(W.TF_ORIGIN, 1) + E.field_bytes(W.TF_SCALE, scale) + E.field_bytes(W.TF_TRANSLATE, trans)
     fr = (
-        W.field_varint(W.FR_GEOMETRY_TYPE, 0)
-        + W.field_bytes(W.FR_SPATIAL_REFERENCE, W.field_varint(W.SR_WKID, 2056))
-        + W.field_bytes(W.FR_TRANSFORM, tf)
-        + W.field_bytes(W.FR_FIELDS, W.field_bytes(W.FIELD_NAME, b"ID_DOSSIER"))
-        + W.field_bytes(W.FR_FEATURES, feature)
+        E.field_varint(W.FR_GEOMETRY_TYPE, 0)
+        + E.field_bytes(W.FR_SPATIAL_REFERENCE, E.field_varint(W.SR_WKID, 2056))
+        + E.field_bytes(W.FR_TRANSFORM, tf)
+        + E.field_bytes(W.FR_FIELDS, E.field_bytes(W.FIELD_NAME, b"ID_DOSSIER"))
+        + E.field_bytes(W.FR_FEATURES, feature)
     )
     return _wrap(fr)
 
@@ -35,11 +40,11 @@ def _point_page() -> bytes:
 def _polygon_page() -> bytes:
     deltas = [1, 1, 1, 1, 3, 3, 1, 1]
     geom = (
-        W.field_varint(W.GEOM_TYPE, 3)
-        + W.field_packed(W.GEOM_LENGTHS, [2, 2])
-        + W.field_packed(W.GEOM_COORDS, [d * 2 for d in deltas])
+        E.field_varint(W.GEOM_TYPE, 3)
+        + E.field_packed(W.GEOM_LENGTHS, [2, 2])
+        + E.field_packed(W.GEOM_COORDS, [d * 2 for d in deltas])
     )
-    return _wrap(W.field_bytes(W.FR_FEATURES, W.field_bytes(W.FEAT_GEOMETRY, geom)))
+    return _wrap(E.field_bytes(W.FR_FEATURES, E.field_bytes(W.FEAT_GEOMETRY, geom)))
 
 
 def _pages(spark, bodies):
@@ -68,43 +73,42 @@ def test_two_ring_polygon_upper_left_flips_y(spark):
 
 
 def test_flag_only_empty_and_count_only_pages():
-    flag = split_page("L", 0, _wrap(W.field_varint(W.FR_EXCEEDED, 1)))
-    assert [r["fidx"] for r in flag] == [None] and flag[0]["exceeded"] is True
-    empty = split_page("L", 1, b"")
-    assert [r["fidx"] for r in empty] == [None] and empty[0]["exceeded"] is False
-    count_only = split_page("L", 2, W.field_bytes(W.FC_QUERY_RESULT, W.field_varint(3, 42)))
-    assert [r["fidx"] for r in count_only] == [None]
+    flag = Page(_wrap(E.field_varint(W.FR_EXCEEDED, 1)))
+    assert flag.spots == [] and flag.exceeded is True
+    empty = Page(b"")
+    assert empty.spots == [] and empty.exceeded is False
+    assert Page(None).spots == []
+    assert Page(E.field_bytes(W.FC_QUERY_RESULT, E.field_varint(3, 42))).spots == []
 
 
 def test_attribute_naming_by_position_index_and_overflow():
-    names = W.field_bytes(W.FR_FIELDS, W.field_bytes(W.FIELD_NAME, b"A")) + W.field_bytes(
-        W.FR_FIELDS, W.field_bytes(W.FIELD_NAME, b"B")
+    names = E.field_bytes(W.FR_FIELDS, E.field_bytes(W.FIELD_NAME, b"A")) + E.field_bytes(
+        W.FR_FIELDS, E.field_bytes(W.FIELD_NAME, b"B")
     )
     vals = (
-        W.field_bytes(W.FEAT_ATTRIBUTES, W.field_varint(W.VALUE_SINT64, W.zigzag_encode(-5)))
-        + W.field_bytes(W.FEAT_ATTRIBUTES, W.field_varint(W.VALUE_INT64, (1 << 64) - 1))
-        + W.field_bytes(W.FEAT_ATTRIBUTES, W.field_bytes(W.VALUE_STRING, b"z") + W.field_varint(W.VALUE_INDEX, 7))
-        + W.field_bytes(W.FEAT_ATTRIBUTES, W.field_varint(W.VALUE_BOOL, 1) + W.field_varint(W.VALUE_INDEX, 0))
+        E.field_bytes(W.FEAT_ATTRIBUTES, E.field_varint(W.VALUE_SINT64, E.zigzag_encode(-5)))
+        + E.field_bytes(W.FEAT_ATTRIBUTES, E.field_varint(W.VALUE_INT64, (1 << 64) - 1))
+        + E.field_bytes(W.FEAT_ATTRIBUTES, E.field_bytes(W.VALUE_STRING, b"z") + E.field_varint(W.VALUE_INDEX, 7))
+        + E.field_bytes(W.FEAT_ATTRIBUTES, E.field_varint(W.VALUE_BOOL, 1) + E.field_varint(W.VALUE_INDEX, 0))
     )
-    rows = split_page("L", 0, _wrap(names + W.field_bytes(W.FR_FEATURES, vals)))
-    attrs = {a["name"]: a for a in rows[0]["attrs"]}
-    assert set(attrs) == {"A", "B", "7"}
-    assert attrs["A"]["k"] == "bool"  # the repeated name: last one wins
-    assert attrs["B"]["l"] == -1  # int64 two's complement
-    assert attrs["7"]["s"] == "z"  # index beyond the header -> its number
+    page = Page(_wrap(names + E.field_bytes(W.FR_FEATURES, vals)))
+    assert page.attribute_names() == {"A", "B", "7"}
+    values, _ = page.features({"7": 0, "A": 1, "B": 2}, False)
+    # of a repeated name the last one counts; int64 is two's complement; past the header the number is the name
+    assert values == [["z"], ["true"], ["-1"]]
 
 
 def test_typed_attributes_through_spark(spark):
-    names = b"".join(W.field_bytes(W.FR_FIELDS, W.field_bytes(W.FIELD_NAME, n)) for n in (b"N", b"S", b"D"))
+    names = b"".join(E.field_bytes(W.FR_FIELDS, E.field_bytes(W.FIELD_NAME, n)) for n in (b"N", b"S", b"D"))
     vals = (
-        W.field_bytes(W.FEAT_ATTRIBUTES, W.field_varint(W.VALUE_SINT32, W.zigzag_encode(-7)))
-        + W.field_bytes(W.FEAT_ATTRIBUTES, W.field_varint(W.VALUE_NULL, 1))
-        + W.field_bytes(W.FEAT_ATTRIBUTES, W.field_double(W.VALUE_DOUBLE, 2.5))
+        E.field_bytes(W.FEAT_ATTRIBUTES, E.field_varint(W.VALUE_SINT32, E.zigzag_encode(-7)))
+        + E.field_bytes(W.FEAT_ATTRIBUTES, E.field_varint(W.VALUE_NULL, 1))
+        + E.field_bytes(W.FEAT_ATTRIBUTES, E.field_double(W.VALUE_DOUBLE, 2.5))
     )
     schema = T.StructType(
         [T.StructField("N", T.LongType()), T.StructField("S", T.StringType()), T.StructField("D", T.DoubleType())]
     )
-    out = decode_pbf_pages(_pages(spark, [_wrap(names + W.field_bytes(W.FR_FEATURES, vals))]), schema)
+    out = decode_pbf_pages(_pages(spark, [_wrap(names + E.field_bytes(W.FR_FEATURES, vals))]), schema)
     r = out.collect()[0]
     assert (r.N, r.S, r.D) == (-7, None, 2.5)
 
@@ -116,27 +120,45 @@ def test_zigzag_column(spark):
 
 def test_z_ordinates_rejected():
     with pytest.raises(ValueError, match="z/m"):
-        split_page("L", 0, _wrap(W.field_varint(W.FR_HAS_Z, 1)))
+        Page(_wrap(E.field_varint(W.FR_HAS_Z, 1)))
+
+
+def test_unsigned_numbers_keep_their_size():
+    value = E.field_bytes(W.FEAT_ATTRIBUTES, E.field_varint(W.VALUE_UINT64, (1 << 64) - 1))
+    page = Page(_wrap(E.field_bytes(W.FR_FIELDS, E.field_bytes(W.FIELD_NAME, b"U")) + E.field_bytes(W.FR_FEATURES, value)))
+    assert page.features({"U": 0}, False)[0] == [["18446744073709551615"]]
+
+
+@given(st.lists(st.integers(0, (1 << 64) - 1), max_size=40))
+def test_numbers_round_trip(numbers):
+    body = b"".join(E.varint(n) for n in numbers)
+    assert [int(x) & ((1 << 64) - 1) for x in packed_numbers(b"ab" + body, 2, 2 + len(body))] == numbers
+    fields = b"".join(E.field_varint(i + 1, n) for i, n in enumerate(numbers))
+    c, got = Cursor(fields), []
+    while c.step():
+        got.append((c.field, c.number))
+    assert got == [(i + 1, n) for i, n in enumerate(numbers)]
 
 
-def test_wire_helpers():
-    assert W.read_varint(bytes([0xAC, 0x02]), 0) == (300, 2)
-    assert W.read_varint(b"\xff\x01\x05", 1) == (1, 2)
-    assert W.as_int64((1 << 64) - 1) == -1 and W.as_int64(42) == 42
-    f = W.fields(W.field_varint(1, 1) + W.field_varint(1, 2) + W.field_bytes(3, b"hello"))
-    assert f[1] == [1, 2] and f[3] == [b"hello"]
+@given(st.binary(max_size=60))
+def test_any_bytes_are_a_page_or_an_error(body):
+    try:
+        assert isinstance(Page(body).spots, list)
+    except (ValueError, UnicodeDecodeError):
+        pass
+    assert packed_numbers(body, 0, len(body)).dtype == np.int64
 
 
 def _geometry_page(gtype, lengths, deltas, default_type=None) -> bytes:
     geom = b""
     if gtype is not None:
-        geom += W.field_varint(W.GEOM_TYPE, gtype)
+        geom += E.field_varint(W.GEOM_TYPE, gtype)
     if lengths:
-        geom += W.field_packed(W.GEOM_LENGTHS, lengths)
+        geom += E.field_packed(W.GEOM_LENGTHS, lengths)
     if deltas:
-        geom += W.field_packed(W.GEOM_COORDS, [W.zigzag_encode(d) for d in deltas])
-    fr = W.field_varint(W.FR_GEOMETRY_TYPE, default_type) if default_type is not None else b""
-    return _wrap(fr + W.field_bytes(W.FR_FEATURES, W.field_bytes(W.FEAT_GEOMETRY, geom)))
+        geom += E.field_packed(W.GEOM_COORDS, [E.zigzag_encode(d) for d in deltas])
+    fr = E.field_varint(W.FR_GEOMETRY_TYPE, default_type) if default_type is not None else b""
+    return _wrap(fr + E.field_bytes(W.FR_FEATURES, E.field_bytes(W.FEAT_GEOMETRY, geom)))
 
 
 def _geoms(spark, bodies):

@@ -3,10 +3,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators.contract import ContractError, check_columns
+from tessera.operators.contract import ContractError, require_contract
 from tessera.operators.dedup import dedup_counts, keep_latest
 from tessera.operators.keys import NoValidKeys, key_chunks, missing_keys, normalize_keys
-from tessera.operators.pivot import column_order, pivot_years
+from tessera.operators.pivot import pivot_years, valid_years
 from tessera.operators.rules import check_types, rule_counts, split, with_failed_rules
 from tessera.plans.curation import InvalidRows, NoData, curate
 from tessera.schemas import API_COLUMNS, CURATED_SCHEMA
@@ -79,19 +79,49 @@ def test_unknown_key_raises_no_data(spark):
         curate(raw_readings(spark, SF), keys=keys, annee_max=2027, mode="strict")
 
 
-def test_contract_check_lists_sorted_missing_and_extra():
-    cols = [c for c in API_COLUMNS if c not in ("NPA", "ANNEE")] + ["ZZZ", "AAA"]
+def test_contract_names_each_difference(spark):
+    def names(cols):
+        return spark.createDataFrame([(c,) for c in cols], "name string")
+
     with pytest.raises(ContractError) as e:
-        check_columns(cols)
-    msg = str(e.value)
-    assert "missing columns: ['ANNEE', 'NPA']" in msg
-    assert "unexpected columns: ['AAA', 'ZZZ']" in msg
-    check_columns(list(API_COLUMNS))
+        require_contract(names([c for c in API_COLUMNS if c not in ("NPA", "ANNEE")] + ["ZZZ", "AAA"]))
+    assert "AAA is unexpected, ANNEE is missing, NPA is missing, ZZZ is unexpected" in str(e.value)
+    require_contract(names(API_COLUMNS))
+
+
+def test_raw_types_are_checked_before_any_cast(spark):
+    raw = raw_readings(spark, SF)
+    with pytest.raises(TypeError, match="ADRESSE"):
+        curate(raw.withColumn("ADRESSE", F.lit(5)))
+    with pytest.raises(TypeError, match="SRE"):
+        curate(raw.withColumn("SRE", F.current_date()))
+
+
+def test_strict_mode_curates_once(spark):
+    """What the probes and the wide table read is the stored result: no keep-latest in their plans."""
+    raw = raw_readings(spark, SF)
+    good = with_failed_rules(keep_latest(curate(raw, annee_max=2027).deduped), 2027).where("size(failed_rules) = 0")
+    raw = raw.join(good.select(F.col("objectid").alias("OBJECTID")), "OBJECTID", "left_semi").select(*raw.columns)
+    strict = curate(raw, annee_max=2027, mode="strict")
+    for df in (strict.valid, strict.invalid, pivot_years(strict.valid, years=valid_years(2027))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "parquet" not in plan.lower()
+
+
+def test_a_layer_that_drifted_is_refused(spark, scratch):
+    from tessera.plans.curation import curate_layer
+    from tessera.sources.fixture_pages import land_layer
+
+    raw = raw_readings(spark, SF)
+    for fmt in ("json", "pbf"):
+        land_layer(raw.withColumnRenamed("NBRE_PRENEUR", "NB"), f"{scratch}/{fmt}", 500, fmt=fmt)
+        with pytest.raises(ContractError, match="NBRE_PRENEUR is missing"):
+            curate_layer(spark, path=f"{scratch}/{fmt}", response_format=fmt)
 
 
 def test_normalize_keys(spark):
     df = spark.createDataFrame(
-        [("1015052",), ("1015052",), ("not_an_int",), ("12.5",), ("1015054",)], "egid string"
+        [("1015052",), ("1015052",), ("not_an_int",), ("12.5",), ("12.0000001",), ("1015054",)], "egid string"
     )
     assert sorted(r.egid for r in normalize_keys(df).collect()) == [1015052, 1015054]
     bad = spark.createDataFrame([("not_an_int",)], "egid string")
@@ -116,13 +146,13 @@ def test_pivot_names_and_order(spark):
         [(1, 2021, 5, "a"), (1, 2020, 4, "b"), (2, 2020, 3, "c")],
         "egid long, annee long, sre long, adresse string",
     )
-    wide = pivot_years(df, values=["sre", "adresse"])
+    wide = pivot_years(df, values=["sre", "adresse"], years=[2021, 2020])
     assert wide.columns == ["egid", "adresse_2020", "adresse_2021", "sre_2020", "sre_2021"]
     one = pivot_years(df, values=["sre"], years=[2020, 2021])
     assert one.columns == ["egid", "sre_2020", "sre_2021"]
     rows = {r.egid: r for r in one.collect()}
     assert rows[1].sre_2021 == 5 and rows[2].sre_2021 is None
-    assert column_order(["b_2001", "a_2002", "a_2001"]) == ["a_2001", "a_2002", "b_2001"]
+    assert pivot_years(df, values=["sre"]).columns == ["egid"] + [f"sre_{y}" for y in valid_years()]
 
 
 def test_summary_counts(spark):
@@ -133,12 +163,3 @@ def test_summary_counts(spark):
     assert s.n_egid <= 2
     assert sorted(r.egid for r in cur.missing_keys.collect())[0] == 1
     assert F is not None
-
-
-def test_pivot_years_bound_is_checked(spark):
-    from tessera.operators.pivot import distinct_years
-
-    df = spark.range(0, 12).selectExpr("id + 2000 as annee")
-    assert distinct_years(df, max_years=12) == list(range(2000, 2012))
-    with pytest.raises(ValueError, match="distinct values"):
-        distinct_years(df, max_years=11)

@@ -18,6 +18,14 @@ def test_blocked_running_sum_matches_window(spark):
         assert {(r.user_id, r.event_id): r.v_cum for r in got.collect()} == ref
 
 
+def test_running_sum_keeps_rows_without_a_group(spark):
+    rows = [(None, 1, 5), (None, 2, 6), (7, 1, 1), (7, None, 9)]
+    got = running_sum(spark.createDataFrame(rows, "g long, p long, v long"), ["g"], "p", ["v"], block_size=1)
+    assert sorted((str(r.g), str(r.p), r.v_cum) for r in got.collect()) == [
+        ("7", "1", 10), ("7", "None", 9), ("None", "1", 5), ("None", "2", 11)
+    ]
+
+
 def test_dense_index_is_contiguous(spark):
     df = spark.range(0, 1000, 7, numPartitions=5).select((F.col("id") * 3).alias("k"))
     idx = dense_index(df, ["k"], "i").collect()

@@ -5,12 +5,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.sources import feature_source
-from tessera.sources.layer import land_layer, read_layer, read_pages
+from tessera.sources.fixture_pages import broken_pages, land_layer, pack_json_pages, pack_pbf_pages
+from tessera.sources.layer import attribute_names, read_layer, read_pages
 from tessera.sources.pages import (
     audit_pages,
     decode_json_pages,
     layer_label,
     looks_like_json,
+    page_stats,
     page_stats_json,
     plan_pages,
     route,
@@ -34,6 +36,7 @@ def _pages(spark, bodies):
         (b'{"error": {"code": 400}}', True),
         (b"[1, 2, 3]", True),
         (b'  \n {"a": 1}', True),
+        (b" " * 5000 + b'{"error": {}}', True),
         (b"\x0a\x03foo", False),
         (b"", False),
         (None, False),
@@ -46,11 +49,11 @@ def test_format_sniff(spark, body, expected):
 
 def test_layer_label(spark):
     df = spark.createDataFrame(
-        [(".../rest/services/SCANE_INDICE_MOYENNES_3_ANS/FeatureServer/0/query",), ("https://x/query",)],
+        [(".../rest/services/HEAT_INDEX/FeatureServer/0/query",), ("https://x/query",)],
         "url string",
     )
     got = [r.l for r in df.select(layer_label(F.col("url")).alias("l")).collect()]
-    assert got == ["SCANE_INDICE_MOYENNES_3_ANS", "ArcGIS"]
+    assert got == ["HEAT_INDEX", "ArcGIS"]
 
 
 def test_json_page_cases(spark):
@@ -64,7 +67,7 @@ def test_json_page_cases(spark):
     pages = _pages(spark, bodies)
     feats = sorted(r.A for r in decode_json_pages(pages, ATTRS).collect())
     assert feats == [1, 2, 3]  # NULL features and features without attributes are skipped
-    stats = page_stats_json(pages, ATTRS)
+    stats = page_stats_json(pages)
     plan = plan_pages(spark, 12, 2)  # 6 pages planned; page 5 never arrives
     got = {r.page: r.status for r in audit_pages(plan, stats).collect()}
     assert got == {0: "short", 1: "short", 2: "overflow", 3: "error", 4: "extra", 5: "missing"}
@@ -101,7 +104,7 @@ def test_missing_page_is_reported(spark, scratch):
     status = {r.page: r.status for r in pages.collect()}
     assert status == {0: "ok", 1: "missing", 2: "ok"}
     audit = audit_pages(
-        plan_pages(spark, 5, 2), page_stats_json(pages.where("body is not null"), ATTRS)
+        plan_pages(spark, 5, 2), page_stats_json(pages)
     )
     assert {r.page: r.status for r in audit.collect()} == {0: "full", 1: "missing", 2: "ok"}
 
@@ -127,7 +130,12 @@ def test_page_size_from_metadata_defaults(spark, scratch):
     feature_source.write_layer_docs(scratch, 7, {})
     pages = read_pages(spark, path=scratch, format="json")
     r = pages.collect()
-    assert len(r) == 1 and r[0].chunk_size == 2000
+    assert len(r) == 1 and r[0].chunk_size == 2000 and r[0].expected_rows == 7
+    with pytest.raises(Exception, match="page 0: short"):  # never the rows of one page for the whole layer
+        read_layer(spark, ATTRS, path=scratch).collect()
+    feature_source.write_layer_docs(scratch, 7, {"error": {"code": 500}})
+    with pytest.raises(Exception, match="metadata is an error"):
+        read_pages(spark, path=scratch, format="json").collect()
 
 
 def test_http_transport_request_parameters(monkeypatch):
@@ -168,3 +176,128 @@ def test_page_filters_prune_the_pages_fetched(spark, scratch):
     unpruned = read_pages(spark, path=scratch, prune_pages=False).where("page >= 4")
     assert unpruned.rdd.getNumPartitions() == 6
     assert sorted(r.page for r in unpruned.collect()) == [4, 5]
+
+
+BODIES = {
+    "error": b'{"error": {"code": 400, "message": "no"}}',
+    "overflow": b'{"features": [], "exceededTransferLimit": true}',
+    "missing": None,
+    "short": b'{"features": [{"attributes": {"A": 1, "OBJECTID": 9}}]}',
+    "extra": b'{"features": [{"attributes": {"A": 1}}, {"attributes": {"A": 2}}, {"attributes": {"A": 3}}]}',
+    "corrupt": b'{"features": [{"attributes": {"A": 1, "OBJ',
+}
+
+
+@pytest.mark.parametrize("fmt", ["json", "pbf"])
+@pytest.mark.parametrize("kind", BODIES)
+def test_a_page_at_fault_fails_the_read(spark, scratch, kind, fmt):
+    df = spark.createDataFrame([(i, i) for i in range(6)], "OBJECTID long, A long")
+    land_layer(df, scratch, 2, key="OBJECTID", fmt=fmt)
+    assert read_layer(spark, ATTRS, path=scratch, response_format=fmt).count() == 6
+    fs, base = feature_source.open_fs(scratch)
+    fs.delete_file(f"{base}/pages/2.{fmt}")
+    if BODIES[kind] is not None:
+        with fs.open_output_stream(f"{base}/pages/2.{fmt}") as f:
+            f.write(BODIES[kind])
+    with pytest.raises(Exception, match=f"page 1: {kind}"):
+        read_layer(spark, ATTRS, path=scratch, response_format=fmt).count()
+    both = read_layer(spark, ATTRS, path=scratch, response_format=fmt, mode="split")
+    assert {r.page: r.status for r in both.audit.collect()} == {0: "full", 1: kind, 2: "ok"}
+    assert both.rows.count() == 4 + {"short": 1, "extra": 3}.get(kind, 0)
+
+
+def test_a_broken_binary_page_fails_the_read(spark, scratch):
+    df = spark.createDataFrame([(i, i) for i in range(6)], "OBJECTID long, A long")
+    land_layer(df, scratch, 2, key="OBJECTID", fmt="pbf")
+    fs, base = feature_source.open_fs(scratch)
+    with fs.open_input_stream(f"{base}/pages/2.pbf") as f:
+        body = f.read()
+    with fs.open_output_stream(f"{base}/pages/2.pbf") as f:
+        f.write(body[:-3])
+    with pytest.raises(Exception, match="page 1: field"):
+        read_layer(spark, ATTRS, path=scratch, response_format="pbf").count()
+
+
+def test_audits_of_both_encodings(spark):
+    df = spark.createDataFrame([(i, i) for i in range(16)], "OBJECTID long, A long")
+    want = {0: "full", 1: "error", 2: "missing", 3: "overflow", 4: "short", 5: "corrupt", 6: "extra", 7: "ok"}
+    pages = broken_pages(pack_json_pages(df, 2))
+    got = {r.page: r.status for r in audit_pages(plan_pages(spark, 16, 2), page_stats(pages)).collect()}
+    assert got == want
+    pages = broken_pages(pack_pbf_pages(df, 2))
+    got = {r.page: r.status for r in audit_pages(plan_pages(spark, 16, 2), page_stats(pages, "pbf")).collect()}
+    assert got == want | {6: "full"}
+
+
+@pytest.mark.parametrize(
+    "value, dtype, expected",
+    [("5.0", "long", 5), ('"7"', "long", 7), ("1e3", "int", 1000), ("5.5", "long", None), ('"abc"', "long", None),
+     ("18446744073709551615", "long", None), ("18446744073709551615", "decimal(20,0)", 18446744073709551615),
+     ("2.5", "double", 2.5), ('"x"', "double", None), ("true", "boolean", True), ("12", "string", "12")],
+)
+def test_values_are_read_loosely_and_cast_strictly(spark, value, dtype, expected):
+    schema = T._parse_datatype_string(f"A {dtype}")
+    pages = _pages(spark, [b'{"features": [{"attributes": {"A": %s}}, {"attributes": {"A": null}}]}' % value.encode()])
+    rows = decode_json_pages(pages, schema)
+    if expected is None:
+        with pytest.raises(Exception, match="attribute A: not a"):
+            rows.collect()
+    else:
+        assert {r.A for r in rows.collect()} == {expected, None}
+
+
+def test_fields_and_where_on_a_landed_layer(spark, scratch):
+    df = spark.createDataFrame([(i, i * 10) for i in range(7)], "OBJECTID long, A long")
+    land_layer(df, scratch, 3, key="OBJECTID")
+    out = read_layer(spark, ATTRS, path=scratch, where="A > 30", fields="OBJECTID")
+    assert out.columns == ["OBJECTID"] and sorted(r.OBJECTID for r in out.collect()) == [4, 5, 6]
+    plan = read_layer(spark, ATTRS, path=scratch, fields="OBJECTID")._jdf.queryExecution().executedPlan().toString()
+    assert "StructField(A," not in plan  # A isn't decoded
+
+
+def test_names_come_from_the_pages(spark):
+    df = spark.createDataFrame([(1, 2)], "OBJECTID long, EXTRA long")
+    for fmt, pack in (("json", pack_json_pages), ("pbf", pack_pbf_pages)):
+        assert {r.name for r in attribute_names(pack(df, 2), fmt).collect()} == {"OBJECTID", "EXTRA"}
+
+
+def test_partitions_follow_the_page_count():
+    from tessera.sources.feature_source import PrunedPagesReader
+
+    def runs(n, most=None, only=None):
+        r = PrunedPagesReader.__new__(PrunedPagesReader)
+        r.o, r.n_pages, r.first, r.last, r.only = {"max_partitions": most}, n, 0, n, only
+        return [(p.first, p.last) for p in r.partitions()]
+
+    assert runs(3) == [(0, 1), (1, 2), (2, 3)]
+    assert len(runs(80_000)) == 10_000
+    assert runs(10, most=4) == [(0, 3), (3, 6), (6, 9), (9, 10)]
+    assert runs(10, most=1, only=[1, 2, 7]) == [(1, 3), (7, 8)]
+    assert len(runs(1000, only=list(range(100, 900)))) == 100
+    assert runs(0) == [(0, 0)]
+
+
+def test_a_broken_connection_is_tried_again():
+    import http.client
+
+    from tessera.sources.feature_source import patiently
+
+    waits, calls = [], iter([http.client.IncompleteRead(b""), OSError("reset"), b"page"])
+
+    def read():
+        got = next(calls)
+        if isinstance(got, Exception):
+            raise got
+        return got
+
+    assert patiently(read, 4, waits.append) == b"page" and waits == [1.0, 3.0]
+    with pytest.raises(OSError):
+        patiently(lambda: (_ for _ in ()).throw(OSError("down")), 2, waits.append)
+
+
+def test_layer_types_become_a_schema():
+    from tessera.schemas import field_type, schema_from_fields
+
+    schema = T._parse_datatype_string("A long, B double, C string, D int, E date")
+    fields = [{"name": f.name, "type": field_type(f.dataType)} for f in schema]
+    assert schema_from_fields(fields) == schema

@@ -1,7 +1,7 @@
 from pyspark.sql import types as T
 
 from tessera.sources.feature_source import open_fs
-from tessera.sources.layer import land_layer
+from tessera.sources.fixture_pages import land_layer
 from tessera.streaming.pages import ingest_pages, ingest_progress, read_ingested
 
 ATTRS = T.StructType([T.StructField("OBJECTID", T.LongType()), T.StructField("A", T.LongType())])
