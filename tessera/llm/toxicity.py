@@ -24,7 +24,7 @@ from tessera.llm.words import mix, words
 #: Hashed feature space; the weights can't have more entries.
 BITS = 20
 #: Labelled documents that are learned from, at most (their features go to one task).
-SAMPLE = 12_000
+SAMPLE = 24_000
 EPOCHS, ALPHA, BETA, L1, L2 = 6, 1.0, 1.0, 20.0, 0.1
 #: Weight of a document with label 1, as these are few.
 POSITIVE = 2.0
