@@ -105,33 +105,70 @@ def packed_numbers(body: bytes, begin: int, end: int) -> np.ndarray:
     return np.add.reduceat(seven, first).view(np.int64)
 
 
-def value_text(cursor: Cursor) -> tuple[int, str | None]:
+_STRING_HEAD, _DOUBLE_HEAD = C.VALUE_STRING << 3 | 2, C.VALUE_DOUBLE << 3 | 1
+_DOUBLE = struct.Struct("<d").unpack_from
+
+
+def _number_text(slot: int, number: int) -> str | None:
+    if slot in (C.VALUE_SINT32, C.VALUE_SINT64):
+        return str(-(number + 1 >> 1) if number & 1 else number >> 1)
+    if slot == C.VALUE_INT64:
+        return str(number - (1 << 64) if number >> 63 else number)
+    if slot in (C.VALUE_UINT32, C.VALUE_UINT64):
+        return str(number)
+    if slot == C.VALUE_BOOL:
+        return "true" if number else "false"
+    return None
+
+
+def value_text(body: bytes, begin: int, end: int) -> tuple[int, str | None]:
     """(explicit field index or -1, value as text) of one value message.
 
     Of several value slots the lowest counts, of a repeated one the last.
     Numbers keep their size: an unsigned 64-bit number isn't wrapped.
     """
-    index, slot, number, begin, end = -1, 99, 0, 0, 0
-    while cursor.step():
-        if cursor.field == C.VALUE_INDEX:
-            index = cursor.number
-        elif cursor.field <= slot:
-            slot, number, begin, end = cursor.field, cursor.number, cursor.begin, cursor.end
+    # most messages are one short string, one double or one number, and perhaps a small index after it
+    size = end - begin
+    if size >= 2:
+        head, index, stop = body[begin], -1, end
+        kind = head & 7
+        if kind == 2:
+            stop = begin + 2 + body[begin + 1]
+        elif kind == 1:
+            stop = begin + 9
+        elif kind == 0:
+            stop = begin + 2
+            while stop <= end and body[stop - 1] >= 0x80:
+                stop += 1
+        if stop + 2 == end and body[stop] == C.VALUE_INDEX << 3 and body[stop + 1] < 0x80:
+            index, end_ = body[stop + 1], stop
+        else:
+            end_ = end
+        if stop == end_:
+            if head == _STRING_HEAD and body[begin + 1] < 0x80:
+                return index, body[begin + 2 : stop].decode("utf-8")
+            if head == _DOUBLE_HEAD:
+                return index, repr(_DOUBLE(body, begin + 1)[0])
+            if kind == 0 and head < C.VALUE_INDEX << 3:
+                number = 0
+                for k in range(stop - 1, begin, -1):
+                    number = number << 7 | body[k] & 0x7F
+                return index, _number_text(head >> 3, number)
+    index, slot, number, first, last = -1, 99, 0, 0, 0
+    c = Cursor(body, begin, end)
+    while c.step():
+        if c.field == C.VALUE_INDEX:
+            index = c.number
+        elif c.field <= slot:
+            slot, number, first, last = c.field, c.number, c.begin, c.end
     if slot == C.VALUE_STRING:
-        return index, cursor.body[begin:end].decode("utf-8")
-    if slot == C.VALUE_DOUBLE:
-        return index, repr(struct.unpack_from("<d", cursor.body, begin)[0])
-    if slot == C.VALUE_FLOAT:
-        return index, repr(struct.unpack_from("<f", cursor.body, begin)[0])
-    if slot in (C.VALUE_SINT32, C.VALUE_SINT64):
-        return index, str(-(number + 1 >> 1) if number & 1 else number >> 1)
-    if slot == C.VALUE_INT64:
-        return index, str(number - (1 << 64) if number >> 63 else number)
-    if slot in (C.VALUE_UINT32, C.VALUE_UINT64):
-        return index, str(number)
-    if slot == C.VALUE_BOOL:
-        return index, "true" if number else "false"
-    return index, None
+        return index, body[first:last].decode("utf-8")
+    if slot in (C.VALUE_DOUBLE, C.VALUE_FLOAT):
+        return index, repr(struct.unpack_from("<d" if slot == C.VALUE_DOUBLE else "<f", body, first)[0])
+    return index, _number_text(slot, number)
+
+
+_ATTRIBUTE_HEAD = C.FEAT_ATTRIBUTES << 3 | 2
 
 
 class Page:
@@ -210,19 +247,30 @@ class Page:
         for begin, end in self.spots:
             for column in values:
                 column.append(None)
-            shape, place, c = (False, None, [], []), 0, Cursor(self.body, begin, end)
-            while c.step():
-                if c.field == C.FEAT_ATTRIBUTES:
-                    index, text = value_text(c.inside())
-                    spot = place if index < 0 else index
-                    column = at_place[spot] if spot < len(at_place) else self.column_of(wanted, spot)
-                    if column >= 0:
-                        values[column][-1] = text
-                    place += 1
-                elif c.field in (C.FEAT_SHAPE_BUFFER, C.FEAT_CURVE_GEOMETRY):
-                    raise ValueError("shape-buffer and curve geometries are not supported")
-                elif c.field == C.FEAT_GEOMETRY and geometry:
-                    shape = self._shape(c.inside())
+            shape, place, at, body = (False, None, [], []), 0, begin, self.body
+            while at < end:
+                if body[at] == _ATTRIBUTE_HEAD and at + 1 < end and body[at + 1] < 0x80:
+                    first = at + 2
+                    last = at = first + body[at + 1]
+                    if last > end:
+                        raise ValueError("an attribute runs past its feature")
+                else:  # anything but a short attribute
+                    c = Cursor(body, at, end)
+                    c.step()
+                    at = c.at
+                    if c.field in (C.FEAT_SHAPE_BUFFER, C.FEAT_CURVE_GEOMETRY):
+                        raise ValueError("shape-buffer and curve geometries are not supported")
+                    if c.field == C.FEAT_GEOMETRY and geometry:
+                        shape = self._shape(c.inside())
+                    if c.field != C.FEAT_ATTRIBUTES:
+                        continue
+                    first, last = c.begin, c.end
+                index, text = value_text(body, first, last)
+                spot = place if index < 0 else index
+                column = at_place[spot] if spot < len(at_place) else self.column_of(wanted, spot)
+                if column >= 0:
+                    values[column][-1] = text
+                place += 1
             if geometry:
                 for column, part in zip(shapes, shape):
                     column.append(part)
@@ -245,7 +293,7 @@ class Page:
             place, c = 0, Cursor(self.body, begin, end)
             while c.step():
                 if c.field == C.FEAT_ATTRIBUTES:
-                    index, _ = value_text(c.inside())
+                    index, _ = value_text(c.body, c.begin, c.end)
                     spot = place if index < 0 else index
                     if spot >= len(self.names):
                         names.add(str(spot))
