@@ -12,7 +12,8 @@ position that is unique within the group. A window over a whole group would
 put a hot group (a third of all rows) into one task, so positions are cut
 into blocks of at most ``block_size`` rows: a window runs inside each block,
 block totals are prefix-summed per group (one row per block), and the block
-offsets are joined back on (group, block), NULLs included.
+offsets are joined back on (group, block), NULLs included. The sums within
+blocks are checkpointed, as both the totals and the join read them.
 """
 
 from __future__ import annotations
@@ -84,6 +85,9 @@ def running_sum(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     d = d.select("*", *[F.sum(v).over(w_in).alias(f"_{v}_in") for v in values])
+    # read twice below: written once to the shared folder, so the input isn't computed again
+    checkpoint_root(df.sparkSession)
+    d = d.checkpoint(eager=True)
     totals = d.groupBy(*g, "_blk").agg(*[F.sum(v).alias(f"_{v}_tot") for v in values])
     w_blk = Window.partitionBy(*g).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

@@ -7,8 +7,9 @@
   many tasks.
 * ``assign_parts``: part number of each vertex from the feature's part
   lengths. Part ends become marker rows placed just before the vertex at the
-  same position; the running count of markers is the part number. Vertices
-  past the sum of the lengths are dropped; no lengths means one part.
+  same position; the running count of markers is the part number, so the
+  vertices are joined with nothing. Vertices past the sum of the lengths are
+  dropped; no lengths means one part.
 * ``assemble``: vertices back into the nested geometry struct. A geometry is
   rebuilt only from vertices that came out of one geometry value, so its
   size is bounded by that value.
@@ -46,6 +47,10 @@ def decode_deltas(
     ).drop(f"{dx}_cum", f"{dy}_cum")
 
 
+#: More than any number of parts.
+_CLOSED = 1 << 40
+
+
 def assign_parts(
     vertices: DataFrame,
     lengths: DataFrame,
@@ -64,22 +69,22 @@ def assign_parts(
     cols = list(vertices.columns)
     payload = [c for c in cols if c not in f]
     ends = running_sum(lengths.select(*f, part, length), f, part, [length], suffix="_end")
+    # the marker of a feature's last part adds so much that what comes after it can be told
+    last = lengths.groupBy(*f).agg(F.max(part).alias("_last"))
+    last = last.select(*[F.col(c).alias(f"_f{i}") for i, c in enumerate(f)], "_last")
+    ends = ends.join(last, [F.col(c).eqNullSafe(F.col(f"_f{i}")) for i, c in enumerate(f)])
     markers = ends.select(
         *f,
         *[F.lit(None).cast(vertices.schema[c].dataType).alias(c) for c in payload],
         (F.col(f"{length}_end") * 2).alias("_pos"),
-        F.lit(1).alias("_m"),
+        F.when(F.col(part) == F.col("_last"), F.lit(1 + _CLOSED)).otherwise(F.lit(1)).cast("bigint").alias("_m"),
     )
-    points = vertices.select(*f, *payload, (F.col(index) * 2 + 1).alias("_pos"), F.lit(0).alias("_m"))
+    points = vertices.select(*f, *payload, (F.col(index) * 2 + 1).alias("_pos"), F.lit(0).cast("bigint").alias("_m"))
     counted = running_sum(
         points.unionByName(markers), f, "_pos", ["_m"], suffix="_cum", block_size=block_size
     )
-    n_parts = lengths.groupBy(*f).agg(F.count(F.lit(1)).alias("_np"))
-    out = counted.where(F.col("_m") == 0).join(n_parts, f, "left")
-    out = out.withColumn(part, F.col("_m_cum")).where(
-        F.col("_np").isNull() | (F.col(part) < F.col("_np"))
-    )
-    return out.select(*cols, part)
+    out = counted.where((F.col("_m") == 0) & (F.col("_m_cum") < _CLOSED))
+    return out.select(*cols, F.col("_m_cum").alias(part))
 
 
 def assemble(

@@ -43,6 +43,9 @@ def test_parts_from_lengths_drop_surplus_and_default_one_part(spark):
     # feature 1: parts [0,1] [2,3,4]; vertex 5 is beyond the lengths -> dropped
     # feature 2: no lengths -> one part
     assert got == [(1, 0, 0), (1, 1, 0), (1, 2, 1), (1, 3, 1), (1, 4, 1), (2, 0, 0), (2, 1, 0), (2, 2, 0)]
+    # two parts may end at one place, and the plan reads the vertices once
+    twice = spark.createDataFrame([(1, 0, 2), (1, 1, 0), (1, 2, 1)], "f long, part long, length long")
+    assert sorted((r.f, r.vertex, r.part) for r in assign_parts(verts, twice, ["f"], "vertex").collect())[:3] == [(1, 0, 0), (1, 1, 0), (1, 2, 2)]
     parts = assign_parts(verts, lengths, ["f"], "vertex").withColumn("type", F.lit("polyline")).withColumn(
         "wkid", F.lit(None).cast("int")
     )
