@@ -23,7 +23,9 @@ Options: ``path`` | ``url``, ``format`` (json | pbf), ``where`` (1=1),
 ``fields`` (*), ``returnGeometry`` (false), ``chunk_size`` (from metadata),
 ``max_partitions`` (none: from the page count), ``max_retries`` (4), ``timeout`` (120), ``order_by``
 (e.g. ``OBJECTID``: sent as the page order, so offset paging is stable),
-``prune_pages`` (false; filters on ``page`` then limit the pages fetched --
+``predicates`` (a JSON list of filters, such as the key chunks of
+``operators.keys.key_chunks``: one partition for each, which counts and pages
+through the rows of its filter), ``prune_pages`` (false; filters on ``page`` then limit the pages fetched --
 needs ``spark.sql.python.filterPushdown.enabled``).
 Every read is idempotent, so Spark's task retry is safe on top of it.
 """
@@ -168,16 +170,18 @@ def _options(opts) -> dict:
         "timeout": int(o.get("timeout", 120)),
         "layer": o.get("layer"),
         "order_by": o.get("order_by"),
+        "predicates": json.loads(o["predicates"]) if o.get("predicates") else None,
         # needs spark.sql.python.filterPushdown.enabled (read_pages checks it)
         "prune_pages": str(o.get("prune_pages", "false")).lower() == "true",
     }
 
 
-def make_transport(o: dict) -> Transport:
+def make_transport(o: dict, where: str | None = None) -> Transport:
+    where = o["where"] if where is None else where
     if o["path"]:
-        return DirectoryTransport(o["path"], o["where"])
+        return DirectoryTransport(o["path"], where)
     return HttpTransport(
-        o["url"], o["where"], o["fields"], o["geometry"], o["timeout"], o.get("order_by")
+        o["url"], where, o["fields"], o["geometry"], o["timeout"], o.get("order_by")
     )
 
 
@@ -194,21 +198,31 @@ class PageRange(InputPartition):
     last: int  # last page number, exclusive
 
 
+@dataclass
+class KeyChunk(InputPartition):
+    number: int
+    predicate: str
+
+
+def page_rows(t: Transport, options: dict) -> int:
+    """Rows a page has: as asked for, else as the layer's metadata says."""
+    chunk = options["chunk_size"]
+    if chunk is None:
+        info = t.layer_info()
+        if "error" in info:
+            raise ValueError(f"the layer's metadata is an error: {str(info['error'])[:200]}")
+        std = info.get("standardMaxRecordCount") or DEFAULT_STANDARD_MAX_RECORDS
+        chunk = int(std * (info.get("maxRecordCountFactor") or DEFAULT_RECORD_FACTOR))
+    if chunk < 1:
+        raise ValueError("chunk_size must be >= 1")
+    return chunk
+
+
 class FeaturePagesReader(DataSourceReader):
     def __init__(self, options: dict):
         self.o = options
         t = make_transport(options)
-        chunk = options["chunk_size"]
-        if chunk is None:
-            info = t.layer_info()
-            if "error" in info:
-                raise ValueError(f"the layer's metadata is an error: {str(info['error'])[:200]}")
-            std = info.get("standardMaxRecordCount") or DEFAULT_STANDARD_MAX_RECORDS
-            factor = info.get("maxRecordCountFactor") or DEFAULT_RECORD_FACTOR
-            chunk = int(std * factor)
-        if chunk < 1:
-            raise ValueError("chunk_size must be >= 1")
-        self.chunk = chunk
+        self.chunk = chunk = page_rows(t, options)
         self.total = t.count(options["where"])
         self.n_pages = -(-self.total // chunk)
 
@@ -233,16 +247,18 @@ class FeaturePagesReader(DataSourceReader):
 
     def read(self, partition: PageRange):
         """One Arrow record batch per group of pages (bodies are not pickled)."""
+        pages = ((p, p * self.chunk) for p in range(partition.first, partition.last))
+        yield from self._batches(make_transport(self.o), pages, self.total)
+
+    def _batches(self, t: Transport, pages, total: int):
         o = self.o
-        t = make_transport(o)
         layer = o["layer"] or layer_label(o["url"] or o["path"] or "")
         cols = {k: [] for k in PAGE_ARROW.names}
         size = 0
-        for page in range(partition.first, partition.last):
-            offset = page * self.chunk
+        for page, offset in pages:
             body = patiently(lambda: t.page(offset, self.chunk, o["format"]), o["max_retries"])  # noqa: B023
             row = (layer, page, offset, self.chunk, o["format"], body, "missing" if body is None else "ok",
-                   min(self.chunk, self.total - offset))
+                   min(self.chunk, total - offset))
             for k, v in zip(cols, row):
                 cols[k].append(v)
             size += len(body or b"")
@@ -271,6 +287,28 @@ PAGE_ARROW = pa.schema(
 )
 
 
+class KeyChunksReader(FeaturePagesReader):
+    """One partition for each filter: a task counts its rows and pages through them.
+
+    A page's number holds that of its filter above 20 bits, so numbers stay apart.
+    """
+
+    def __init__(self, options: dict):
+        if options["path"]:
+            raise ValueError("a landed layer is whole: read it and join its rows with the keys (operators.keys.key_scan)")
+        self.o = options
+        self.chunk = page_rows(make_transport(options), options)
+
+    def partitions(self):
+        return [KeyChunk(i, p) for i, p in enumerate(self.o["predicates"])] or [KeyChunk(0, "1=0")]
+
+    def read(self, partition: KeyChunk):
+        t = make_transport(self.o, partition.predicate)
+        total = patiently(lambda: t.count(partition.predicate), self.o["max_retries"])
+        base = partition.number << 20
+        yield from self._batches(t, ((base + i, i * self.chunk) for i in range(-(-total // self.chunk))), total)
+
+
 class PrunedPagesReader(FeaturePagesReader):
     """The page reader with page pruning: comparisons, equality and IN on the
     ``page`` column narrow the pages that are fetched at all. Every filter is
@@ -339,6 +377,8 @@ class FeaturePages(DataSource):
         return PAGE_DDL
 
     def reader(self, schema) -> DataSourceReader:
+        if self.parsed["predicates"] is not None:
+            return KeyChunksReader(self.parsed)
         if self.parsed["prune_pages"]:
             return PrunedPagesReader(self.parsed)
         return FeaturePagesReader(self.parsed)

@@ -301,3 +301,34 @@ def test_layer_types_become_a_schema():
     schema = T._parse_datatype_string("A long, B double, C string, D int, E date")
     fields = [{"name": f.name, "type": field_type(f.dataType)} for f in schema]
     assert schema_from_fields(fields) == schema
+
+
+def test_key_chunks_are_read_a_partition_each(monkeypatch):
+    """Over a transport that answers filters like a server: every chunk is counted and paged by its own task."""
+    from tessera.sources import feature_source as fs
+
+    rows = {"K IN (1,2)": [1, 1, 2, 2, 2], "K=9": [], "K=5": [5]}
+
+    class Server(fs.Transport):
+        def __init__(self, where):
+            self.where = where
+
+        def layer_info(self):
+            return {"standardMaxRecordCount": 2}
+
+        def count(self, where):
+            return len(rows[where])
+
+        def page(self, offset, chunk_size, fmt):
+            return json.dumps({"features": [{"attributes": {"K": k}} for k in rows[self.where][offset : offset + chunk_size]]}).encode()
+
+    monkeypatch.setattr(fs, "make_transport", lambda o, where=None: Server(where))
+    reader = fs.FeaturePages({"url": "https://gis.example.org/x/query", "predicates": json.dumps(list(rows))}).reader(None)
+    parts = reader.partitions()
+    assert [p.predicate for p in parts] == list(rows)
+    got = [[r for batch in reader.read(p) for r in batch.to_pylist()] for p in parts]
+    assert [[len(json.loads(r["body"])["features"]) for r in g] for g in got] == [[2, 2, 1], [], [1]]
+    assert [r["expected_rows"] for r in got[0]] == [2, 2, 1]
+    assert len({r["page"] for g in got for r in g}) == 4
+    with pytest.raises(ValueError, match="landed layer"):
+        fs.FeaturePages({"path": "/x", "predicates": "[]"}).reader(None)
