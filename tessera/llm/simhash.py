@@ -21,13 +21,12 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.frames import ROW, fresh, numbered, row_groups, stored, text_buffers, without
+from tessera.llm.frames import ROW, fresh, mapped, numbered, stored, without
 from tessera.llm.graph import components
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
@@ -65,20 +64,11 @@ def fingerprints_of(texts: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", out: str = "fp", shingle: int = SHINGLE) -> DataFrame:
     """The columns keep and the fingerprint (its 64 bits as a signed long). A null text counts as empty: zero."""
-    kept = docs.select(*keep)
-    fresh(kept, out)
-    schema = T.StructType([*kept.schema.fields, T.StructField(out, T.LongType(), False)])
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            body, offsets = text_buffers(batch.column(batch.num_columns - 1))
-            fp = np.empty(batch.num_rows, np.int64)
-            for a, b in row_groups(offsets):
-                fp[a:b] = fingerprints_of([body[offsets[i] : offsets[i + 1]].tobytes() for i in range(a, b)], shingle).view(np.int64)
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(fp)], names=[*keep, out])
+    def of_group(body: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        return [fingerprints_of([body[a:b].tobytes() for a, b in zip(offsets, offsets[1:])], shingle).view(np.int64)]
 
-    return docs.select(*keep, docs[text].alias("__text")).mapInArrow(work, schema)
+    return mapped(docs, keep, text, [T.StructField(out, T.LongType(), False)], lambda: of_group)
 
 
 def distance(a: Column, b: Column) -> Column:
@@ -113,11 +103,10 @@ def links(nodes: DataFrame, fp: str = "fp", max_bits: int = MAX_BITS, pivots: in
         return near
     crowded = met.where(F.col("n") > crowd).select("fp").distinct()
     flips = F.array(F.lit(0).cast("long"), *[F.lit(signed(1 << i)).cast("long") for i in range(64)])
+    shared = crowded.select("fp", F.explode(flips).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("v"))
     if max_bits == 1:  # only those that are themselves a shared value's neighbour
-        shared = crowded.select("fp", F.explode(flips).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("v"))
         tied = shared.join(crowded.select(F.col("fp").alias("v")), "v", "left_semi").where("fp < v").select(F.col("fp").alias("a"), F.col("v").alias("b"))
     else:
-        shared = crowded.select("fp", F.explode(flips).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("v"))
         meet = shared.groupBy("v").agg(F.min("fp").alias("a"), F.collect_list("fp").alias("all")).where("size(all) > 1")  # 65 at most
         tied = meet.select("a", F.explode("all").alias("b")).where("a <> b")
     return near.unionByName(tied).distinct()

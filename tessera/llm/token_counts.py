@@ -17,15 +17,13 @@ end to the last proven place itself, and the chunk grows with it.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tessera.llm.frames import fresh, row_groups, text_buffers
+from tessera.llm.frames import mapped
 from tessera.llm.piecetable import PieceTable
 from tessera.llm.pretoken import cuts
 
@@ -152,24 +150,21 @@ def token_counts(
         raise ValueError("chunk must be 64 bytes or more and overlap smaller than it")
     with open(tokenizer, "rb") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
-    kept = docs.select(*keep)
-    fresh(kept, n_bytes, n_tokens)
-    schema = T.StructType([*kept.schema.fields, T.StructField(n_bytes, T.LongType(), False), T.StructField(n_tokens, T.LongType(), False)])
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def kernel():
         counter = _loaded(hashlib.sha256(spec.value).hexdigest(), spec.value)
-        for batch in batches:
-            body, offsets = text_buffers(batch.column(batch.num_columns - 1))
+
+        def count(body: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
             sizes = np.diff(offsets)
+            text_of = lambda i: body[offsets[i] : offsets[i + 1]].tobytes()
             tokens = np.zeros(len(sizes), np.int64)
-            for a, b in row_groups(offsets):
-                short = [i for i in range(a, b) if 0 < sizes[i] <= chunk]
-                for i, (_, counts) in zip(short, counter.many([body[offsets[i] : offsets[i + 1]].tobytes() for i in short])):
-                    tokens[i] = counts.sum()
-                for i in range(a, b):
-                    if sizes[i] > chunk:
-                        tokens[i] = counter.count(body[offsets[i] : offsets[i + 1]].tobytes(), chunk, overlap)
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(sizes, pa.int64()), pa.array(tokens, pa.int64())], names=[*keep, n_bytes, n_tokens])
-
-    return docs.select(*keep, docs[text].alias("__text")).mapInArrow(work, schema)
+            short = np.flatnonzero((sizes > 0) & (sizes <= chunk))
+            for i, (_, counts) in zip(short, counter.many([text_of(i) for i in short])):
+                tokens[i] = counts.sum()
+            for i in np.flatnonzero(sizes > chunk):
+                tokens[i] = counter.count(text_of(i), chunk, overlap)
+            return [sizes, tokens]
+
+        return count
+
+    return mapped(docs, keep, text, [T.StructField(n_bytes, T.LongType(), False), T.StructField(n_tokens, T.LongType(), False)], kernel)
