@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,9 +22,9 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def in_training(spark: SparkSession, doc_id: str, folds: int, held_out: int) -> Column:
-    """True unless crc32(doc_id as text) mod folds is held_out; a null id is never used for training."""
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds != held_out, F.lit(False))
+def in_training(doc_id: str, folds: int, fold: int) -> Column:
+    """True unless crc32(doc_id as text) mod folds is fold; a null id is never used for training."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds != fold, F.lit(False))
 
 
 def held_out(doc_id: str, folds: int, fold: int) -> Column:
@@ -170,7 +170,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, text:
     chosen = (
         labels.select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("__label"))
         .where(F.col("__label").isin(0, 1))
-        .where(in_training(labels.sparkSession, "__id", folds, fold))
+        .where(in_training("__id", folds, fold))
         .groupBy("__id")
         .agg(F.max("__label").alias("__label"))
         .withColumn("__order", F.xxhash64("__id"))

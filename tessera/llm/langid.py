@@ -155,8 +155,7 @@ def fit(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str =
     in turn. Their n-grams are made by all tasks; one task learns from them.
     Without such rows every text is ``und``.
     """
-    spark = docs.sparkSession
-    ids = docs.select(F.col(doc_id).alias("__id"), F.col(lang).alias("__lang")).where(F.col("__lang").isNotNull() & in_training(spark, "__id", folds, fold)).distinct()
+    ids = docs.select(F.col(doc_id).alias("__id"), F.col(lang).alias("__lang")).where(F.col("__lang").isNotNull() & in_training("__id", folds, fold)).distinct()
     turn = Window.partitionBy("__lang").orderBy("__order", "__id")
     ids = ids.withColumn("__order", F.xxhash64("__id")).withColumn("__turn", F.row_number().over(turn)).where(F.col("__turn") <= sample)
     chosen = F.broadcast(ids.orderBy("__turn", "__order", "__id", "__lang").limit(sample))  # at most sample rows
