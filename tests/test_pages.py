@@ -94,7 +94,6 @@ def test_paging_five_rows_pages_of_two(spark, scratch):
 
 
 def test_missing_page_is_reported(spark, scratch):
-
     df = spark.createDataFrame([(i, i) for i in range(5)], "OBJECTID long, A long")
     land_layer(df, scratch, 2, key="OBJECTID")
     fs, base = feature_source.open_fs(scratch)
