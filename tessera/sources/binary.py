@@ -282,8 +282,8 @@ class Page:
             if c.field == C.GEOM_TYPE:
                 kind = c.number
             elif c.field in found:  # packed; a single number is a field of its own
-                numbers = packed_numbers(c.body, c.begin, c.end) if c.end > c.begin else [c.number]
-                found[c.field] += list(numbers)
+                numbers = packed_numbers(c.body, c.begin, c.end).tolist() if c.end > c.begin else [c.number]
+                found[c.field] += numbers
         return True, kind, found[C.GEOM_LENGTHS], found[C.GEOM_COORDS]
 
     def attribute_names(self) -> set[str]:
