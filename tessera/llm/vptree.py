@@ -7,7 +7,8 @@ inner node of the tree has a vantage point v and the median distance mu of its
 points from v. A query at distance d from v whose k-th best distance so far is
 t needs the other side of mu only if |d - mu| <= t. ``relax`` sharpens this to
 relax * |d - mu| <= t: 1 is exact, larger values prune more and may miss some.
-Queries go down the tree in batches.
+Queries go down the tree in batches. A query whose k-th best score may be that
+of more points than were kept goes down once more for all points that good.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ class VpTree:
         self.points, self.leaf = points, max(1, leaf)
         squares = np.einsum("ij,ij->i", points, points)
         self.most = float(squares.max()) if len(points) else 0.0
+        #: Rounding of an inner product or a squared distance, as a share of the squared lengths in it.
+        self.rounding = 16 * max(1, points.shape[1]) * np.finfo(np.float64).eps
         self.lift = np.sqrt(np.maximum(self.most - squares, 0.0))
         self.nodes: list[tuple] = []
         self.root = self._build(np.arange(len(points))) if len(points) else -1
@@ -59,7 +62,7 @@ class VpTree:
         """(inner products, points) of the k best of each query, unordered; missing ones are -inf, -1."""
         n = len(queries)
         best, found = np.full((n, k), -np.inf), np.full((n, k), -1)
-        squares = np.einsum("ij,ij->i", queries, queries)
+        squares, slack = self._lengths(queries)
 
         def offer(who: np.ndarray, members: np.ndarray, value: np.ndarray) -> None:
             better = (value > best[who].min(axis=1, keepdims=True)).any(axis=1)
@@ -93,7 +96,7 @@ class VpTree:
             kth = best[who].min(axis=1)
             t = np.where(np.isfinite(kth), distance(who, np.where(np.isfinite(kth), kth, 0.0)), np.inf)
             # rounding of the distances must not cut off what the bound allows
-            other = relax * np.abs(d - mu) <= t * (1 + 1e-9) + 1e-12
+            other = relax * np.abs(d - mu) <= t + slack[who]
             visit(outside, who[near & other])
             visit(inside, who[~near & other])
 
@@ -101,6 +104,36 @@ class VpTree:
             visit(self.root, np.arange(n))
         return best, found
 
+    def within(self, queries: np.ndarray, least: np.ndarray, relax: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+        """(queries, points) of all pairs with an inner product of at least the query's ``least``."""
+        squares, slack = self._lengths(queries)
+        t = np.sqrt(np.maximum(squares + self.most - 2 * least, 0.0)) + slack
+        pairs: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def visit(at: int, who: np.ndarray) -> None:
+            if not len(who):
+                return
+            node = self.nodes[at]
+            members = node[0] if len(node) == 1 else np.array([node[0]])
+            value = queries[who] @ self.points[members].T
+            row, column = np.nonzero(value >= least[who, None])
+            pairs.append((who[row], members[column]))
+            if len(node) == 1:
+                return
+            _, mu, inside, outside = node
+            d = np.sqrt(np.maximum(squares[who] + self.most - 2 * value[:, 0], 0.0))
+            visit(inside, who[relax * (d - mu) <= t[who]])
+            visit(outside, who[relax * (mu - d) <= t[who]])
+
+        if self.root >= 0:
+            visit(self.root, np.arange(len(queries)))
+        return tuple(np.concatenate([p[i] for p in pairs]) if pairs else np.empty(0, int) for i in (0, 1))
+
+    def _lengths(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Squared lengths of the queries, and what rounding may add to a sum of three distances."""
+        squares = np.einsum("ij,ij->i", queries, queries)
+        return squares, 3 * np.sqrt(self.rounding * (squares + 2 * self.most))
+
 
 class Shard:
     """Some vectors with their ids: of an id with several vectors the smallest, equal vectors as one point."""
@@ -119,18 +152,31 @@ class Shard:
         # points in no order of their own, so that the first is a fair vantage point
         shuffled = np.random.default_rng(0).permutation(len(points))
         self.ids = [self.ids[i] for i in shuffled]
+        self.smallest = np.array([i[0] for i in self.ids])
         self.tree = VpTree(points[shuffled].astype(np.float64))
 
     def nearest(self, ids: np.ndarray, queries: np.ndarray, k: int, relax: float) -> Iterator[tuple[int, int, float]]:
         """(query, id, inner product) of the k nearest other ids of each query."""
         queries = queries.astype(np.float64)
         # one more for the query itself, some more for points that differ by rounding only
-        _, found = self.tree.search(queries, min(k + 5, max(1, len(self.ids))), relax)
-        for query, vector, points in zip(ids.tolist(), queries, found):
-            points = points[points >= 0]
+        best, found = self.tree.search(queries, min(k + 5, max(1, len(self.ids))), relax)
+        gathered = [points[points >= 0] for points in found]
+        if found.shape[1] < len(self.ids):
+            # k + 1 points have k other ids; points left out are no better than the last one found. Unless that
+            # is clearly worse than the (k+1)-th, points as good may be missing, and smaller ids among them
+            margin = self.tree.rounding * np.linalg.norm(queries, axis=1) * math.sqrt(self.tree.most)
+            least = np.partition(best, -(k + 1), axis=1)[:, -(k + 1)] - margin
+            tied = np.flatnonzero(best.min(axis=1) >= least)
+            row, point = self.tree.within(queries[tied], least[tied], relax)
+            order = np.argsort(row, kind="stable")
+            parts = np.split(point[order], np.searchsorted(row[order], np.arange(1, len(tied))))
+            for at, more in zip(tied.tolist(), parts):
+                gathered[at] = np.union1d(gathered[at], more)
+        for query, vector, points in zip(ids.tolist(), queries, gathered):
             # the products are added in the order of the components
             value = np.cumsum(self.tree.points[points] * vector, axis=1)[:, -1] if len(points) else np.empty(0)
-            rows = sorted((-s, i) for s, p in zip(value.tolist(), points.tolist()) for i in self.ids[p].tolist() if i != query)
+            first = np.lexsort([self.smallest[points], -value])[: k + 1]
+            rows = sorted((-s, i) for s, p in zip(value[first].tolist(), points[first].tolist()) for i in self.ids[p].tolist() if i != query)
             for s, i in rows[:k]:
                 yield query, i, -s
 

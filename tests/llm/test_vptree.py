@@ -54,3 +54,21 @@ def test_odd_rows(spark):
     for shard_rows in (4096, 10):
         assert sorted(map(tuple, vptree.nearest_neighbours(vectors, shard_rows=shard_rows).collect())) == want
     assert vptree.nearest_neighbours(vectors.limit(0)).count() == 0
+
+
+def test_ties_of_different_vectors(spark):
+    """Many different vectors of equal score: the smaller ids, in one shard and over several."""
+    rng = np.random.default_rng(3)
+    ids = (rng.permutation(300) + 1).tolist()
+    ids = [i for i in ids if i % 20][:200]
+    # the same score by another component each, which the query has at 0; then 0/1 vectors of few scores
+    apart = [(i, [1.0, *(5.0 * (j == n) for j in range(200))]) for n, i in enumerate(ids)] + [(20, [5.0, *[0.0] * 200])]
+    bits = list({tuple(b): i for i, b in enumerate(rng.integers(0, 2, (900, 12)).tolist()) if any(b)}.items())
+    bits = [(i, [float(x) for x in b]) for b, i in bits]
+    assert len(bits) > 500
+    for rows in (apart, bits):
+        vectors = spark.createDataFrame([(i, v) for i, v in rows], "vec_id long, embedding array<float>")
+        want = brute(rows, 20, 20)
+        for shard_rows in (4096, 100):
+            assert sorted(map(tuple, vptree.nearest_neighbours(vectors, shard_rows=shard_rows).collect())) == want
+    assert [r[2] for r in brute(apart, 20, 20)] == sorted(ids)[:20]
