@@ -163,3 +163,20 @@ def test_summary_counts(spark):
     assert s.n_egid <= 2
     assert sorted(r.egid for r in cur.missing_keys.collect())[0] == 1
     assert F is not None
+
+
+def test_registered_wide_tables_keep_every_valid_year(spark, monkeypatch):
+    """A valid reading of each year that the rules admit, up to the last, stays in the wide tables."""
+    from tessera.plans import catalog
+
+    raw = raw_readings(spark, SF)
+    first = valid_years(2027)[0]
+    moved = raw.withColumn("ANNEE", (F.lit(first) + F.col("OBJECTID").cast("long") % len(valid_years(2027))).cast(raw.schema["ANNEE"].dataType))
+    monkeypatch.setattr(catalog, "raw_readings", lambda spark, sf_dir: moved)
+    valid = curate(moved, annee_max=catalog.ANNEE_MAX).valid
+    want = {(r.egid, r.annee): r.sre for r in valid.select("egid", "annee", "sre").collect()}
+    assert {y for _, y in want} == set(valid_years(2027))
+    for name in ("pivot_years", "curated_wide"):
+        wide = catalog.QUERIES[name](spark, SF).collect()
+        assert {(r.egid, y): r[f"sre_{y}"] for r in wide for y in valid_years(2027) if (r.egid, y) in want} == want
+        assert {r.egid for r in wide} == {e for e, _ in want}
