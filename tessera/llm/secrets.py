@@ -1,18 +1,20 @@
 """Secret scans: known shapes, and sliding-window entropy, in DataFrame functions only.
 
 The known shapes are three patterns. Besides, every run of characters of a
-class (hexadecimal, base64) that is at least a window long is a candidate: a
-window slides over it, the counts of its characters change by the one that
+class (hexadecimal, base64, letters and digits) that is at least a window long
+and that no known shape covers is a candidate: a window slides over it, the counts of its characters change by the one that
 leaves and the one that enters, and with them the sum of n * log2(n), from
 which the window's Shannon entropy log2(w) - sum / w follows at each step. A
 candidate with a window at or above its class's limit is reported, unless an
-allow-list pattern (plain words, numbers, documented examples) matches it or it
-overlaps a known shape.
+allow-list pattern (plain words, numbers, documented examples) matches it.
+Candidates of the other classes don't go over reported hexadecimal ones; a run
+of letters and digits inside a reported base64 one is reported too.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,13 +25,21 @@ from tessera.llm.frames import fresh
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
+KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64", "entropy_alnum")
 
 WINDOW = 20
-#: Class of the candidates: its pattern and the least entropy (bits a character) of a window.
-CLASSES = {"entropy_hex": (r"[0-9A-Fa-f]{20,}", 3.0), "entropy_base64": (r"[A-Za-z0-9+/_=-]{20,}", 3.9)}
-#: Candidates that these match anywhere aren't reported: words or numbers alone, one case without digits, examples.
-ALLOWED = (r"^[A-Za-z]+$", r"^[0-9]+$", r"^[A-Z_=-]+$", r"^[a-z_=-]+$", r"(?i)example|test|sample|dummy|placeholder", r"^[=+/_-]+$")
+#: Class of the candidates: its pattern and the least entropy (bits a character) of a window, by the rates in the README.
+CLASSES = {
+    "entropy_hex": (r"[0-9A-Fa-f]{20,}", 2.8),
+    "entropy_base64": (r"[A-Za-z0-9+/_=-]{20,}", 3.9),
+    "entropy_alnum": (r"[A-Za-z0-9]{20,}", 3.3),
+}
+#: Candidates that these match anywhere aren't reported: words or numbers alone, one case without digits, examples
+#: (named by a whole part, as long as no part is a window long itself, or at the end as in documented keys).
+ALLOWED = (
+    r"^[A-Za-z]+$", r"^[0-9]+$", r"^[A-Z_=-]+$", r"^[a-z_=-]+$", r"^[=+/_-]+$", r"EXAMPLE(KEY)?$",
+    r"(?i)^(?!.*[A-Z0-9+]{20}).*(?<![A-Z0-9+])(example|test|sample|dummy|placeholder)(?![A-Z0-9+])",
+)
 
 SPAN = "array<struct<start:int,rank:int,end:int>>"
 
@@ -107,19 +117,45 @@ def find(docs: DataFrame, text: str = "text", out: str = "found", allowed: tuple
 
         return accept
 
-    base = F.struct(
-        spans_of(body, ASSIGN, 0, lambda g: F.length(g) >= 6, 2).alias("assign"),
-        spans_of(body, ACCESS, 1).alias("access"),
-        spans_of(body, HEX, 2).alias("hex"),
-        F.concat(*[spans_of(body, p.replace("20,", f"{window},"), KINDS.index(k), fits(limit)) for k, (p, limit) in CLASSES.items()]).alias("more"),
+    def look(where: Column, *kinds: str) -> Column:
+        return F.concat(*[spans_of(where, p.replace("20,", f"{window},"), KINDS.index(k), fits(limit)) for k in kinds for p, limit in [CLASSES[k]]])
+
+    def held(frame: DataFrame, name: str, value: Column) -> DataFrame:
+        """Exploding one value keeps it from being computed again for each use."""
+        return frame.withColumn(name, F.explode_outer(F.array(value)))
+
+    def blank(where: Column, spans: Column) -> Column:
+        """The text with spaces in place of the spans."""
+        fill = lambda s, at: F.repeat(F.lit(" "), s["end"] - F.greatest(at, s["start"]))
+        return F.when(F.size(spans) > 0, replaced(where, F.array_sort(spans), fill)).otherwise(where)
+
+    base = F.array(
+        spans_of(body, ASSIGN, 0, lambda g: F.length(g) >= 6, 2),
+        spans_of(body, ACCESS, 1),
+        spans_of(body, HEX, 2),
     )
-    # exploding one struct keeps the scans from being repeated for each use of a column
-    scanned = docs.withColumn("__found", F.explode_outer(F.array(base)))
-    known = F.concat("__found.assign", "__found.access", "__found.hex")
-    hexes = F.filter("__found.more", lambda s: s["rank"] == 3)
-    apart = lambda s, others: ~F.exists(others, lambda k: (k["start"] < s["end"]) & (s["start"] < k["end"]))
-    added = F.filter("__found.more", lambda s: apart(s, known) & ((s["rank"] == 3) | apart(s, hexes)))
-    return scanned.withColumn(out, F.struct("__found.assign", "__found.access", "__found.hex", added.alias("added"))).drop("__found")
+    scanned = held(docs, "__found", base)
+    scanned = held(scanned, "__rest", blank(body, F.flatten("__found")))
+    scanned = held(scanned, "__hexes", look(F.col("__rest"), "entropy_hex"))
+    scanned = held(scanned, "__rest", blank(F.col("__rest"), F.col("__hexes")))
+    added = F.concat("__hexes", look(F.col("__rest"), "entropy_base64", "entropy_alnum"))
+    scanned = held(scanned, "__added", added)
+    known = [F.get("__found", F.lit(i)).alias(k) for i, k in enumerate(KINDS[:3])]
+    return scanned.withColumn(out, F.struct(*known, F.col("__added").alias("added"))).drop("__found", "__rest", "__hexes", "__added")
+
+
+def replaced(text: Column, spans: Column, put: Callable[[Column, Column], Column]) -> Column:
+    """The text with put(span, end of the last) in place of each of the ordered spans."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(state: Column, s: Column) -> Column:
+        between = F.substr(text, state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
+        return F.struct(
+            F.greatest(state["at"], s["end"]).alias("at"),
+            F.concat(state["out"], between, put(s, state["at"])).alias("out"),
+        )
+
+    return F.aggregate(spans, start, step, lambda st: F.concat(st["out"], F.substr(text, st["at"] + 1, F.length(text))))
 
 
 def ordered(*spans: Column) -> Column:
@@ -141,17 +177,8 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", n_chars:
     found = find(docs, text, "__spans")
     spans = ordered("__spans.assign", "__spans.access", "__spans.hex", "__spans.added")
     found = found.withColumn("__all", F.explode_outer(F.array(spans)))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, s: Column) -> Column:
-        between = F.substr(F.col(text), state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
-        inside = s["start"] < state["at"]  # goes on from the last one
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(inside, state["out"]).otherwise(F.concat(state["out"], between, F.lit(mark))).alias("out"),
-        )
-
-    done = F.aggregate("__all", start, step, lambda st: F.concat(st["out"], F.substr(F.col(text), st["at"] + 1, F.length(text))))
+    # one that overlaps the last goes on from it
+    done = replaced(F.col(text), F.col("__all"), lambda s, at: F.when(s["start"] < at, F.lit("")).otherwise(F.lit(mark)))
     hit = F.size("__all") > 0
     found = found.withColumn("__done", F.explode_outer(F.array(F.when(hit, done))))
     changed = {text: F.when(hit, F.col("__done")).otherwise(F.col(text))}
