@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontam, langid, lattice, quality, secrets, simhash, token_counts, toxicity, vptree
+from tessera.llm import bpe, decontam, fim, langid, lattice, pieces, quality, secrets, simhash, token_counts, toxicity, vptree, whitening
 from tessera.llm.frames import held_out
 
 
@@ -22,16 +22,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def encoded(docs: DataFrame, with_ids: bool = False) -> DataFrame:
-    """doc_id, n_tokens, the digests of ids and decoded text, and the ids if asked for."""
-    done = bpe.encode_decode(docs, tokenizer_path("byte_bpe_50k.json"))
-    return done.select(
-        "doc_id",
+def digests(done: DataFrame) -> list[Column]:
+    """doc_id, n_tokens and the digests of ids and decoded text."""
+    return [
+        done["doc_id"],
         F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-        *(["ids"] if with_ids else []),
-    )
+    ]
+
+
+def encoded(docs: DataFrame, with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, the digests of ids and decoded text, and the ids if asked for."""
+    done = bpe.encode_decode(docs, tokenizer_path("byte_bpe_50k.json"))
+    return done.select(*digests(done), *(["ids"] if with_ids else []))
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +92,25 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    done = whitening.whiten(vectors, whitening.fit(vectors))
+    return done.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = fim.restore(fim.fill_in_middle(table(spark, sf_dir, "documents")))
+    return done.select(
+        *["doc_id", "n", "form", "prefix_chars", "middle_chars"],
+        *[F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored")],
+    )
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = pieces.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    return done.select(*digests(done))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
@@ -99,9 +122,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vptree": op8_vptree,
     "op9_simhash": op9_simhash,
     "op10_secrets": op10_secrets,
+    "op11_whitening": op11_whitening,
+    "op12_fim": op12_fim,
+    "op13_pieces": op13_pieces,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_decontam": decontam.CONTAMINATED_SQL,
     "op8_vptree": vptree.NEAREST_SQL,
+    "op12_fim": fim.FIM_SQL,
 }

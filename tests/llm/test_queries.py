@@ -11,7 +11,7 @@ import corpus_pipeline
 from tests.conftest import SF0001
 from tests.llm.test_secrets import every as spans_of
 from tests.llm.test_simhash import brute as components_of
-from tessera.llm import decontam, queries, toxicity
+from tessera.llm import decontam, queries, secrets, toxicity
 
 COLUMNS = {
     "op1_bpe": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
@@ -24,12 +24,15 @@ COLUMNS = {
     "op8_vptree": "query_id bigint, rank int, vec_id bigint, score double",
     "op9_simhash": "doc_id bigint, fingerprint string, component_id bigint",
     "op10_secrets": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
+    "op11_whitening": "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double",
+    "op12_fim": "doc_id bigint, n bigint, form string, prefix_chars bigint, middle_chars bigint, output_sha256 string, restored_sha256 string",
+    "op13_pieces": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
 }
 FOLDS = {"op2_quality": (3, 1), "op4_lattice": (10, 0), "op5_toxicity": (5, 0), "op7_langid": (3, 1)}
 
 
-def test_all_ten_are_there():
-    assert {int(q[2:].split("_")[0]) for q in queries.QUERIES} == set(range(1, 11))
+def test_all_thirteen_are_there():
+    assert {int(q[2:].split("_")[0]) for q in queries.QUERIES} == set(range(1, 14))
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
 
@@ -39,13 +42,13 @@ def test_query(spark, name):
     assert ", ".join(f"{n} {t}" for n, t in df.dtypes) == COLUMNS[name]
     rows = df.collect()
     docs = {r.doc_id: r for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()}
-    if name not in ("op6_decontam", "op8_vptree"):
+    if name not in ("op6_decontam", "op8_vptree", "op11_whitening"):
         assert sorted(r.doc_id for r in rows) == sorted(docs)
     if name in FOLDS:
         folds, fold = FOLDS[name]
         assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % folds == fold) for r in rows)
     if name == "op10_secrets":
-        kinds = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
+        kinds = secrets.KINDS
         for r in rows:
             spans = spans_of(docs[r.doc_id].text)
             tell = lambda xs: ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in xs)
