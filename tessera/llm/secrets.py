@@ -44,8 +44,37 @@ ALLOWED = (
 SPAN = "array<struct<start:int,rank:int,end:int>>"
 
 
-def _none() -> Column:
-    return F.lit(None).cast(SPAN)
+#: Window at most, so that its counts fit the bits they are packed in, and counts a word of 64 bits.
+COUNT_BITS, PACKED = 5, 12
+#: Fraction bits of the sum of n * log2(n), kept as an integer: no rounding adds up along a candidate.
+FRACTION = 40
+#: Values of an array that a fold copies along, and characters of a text cut from at once.
+BLOCK, PART = 256, 4096
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(values: Column, op: Callable[[Column, Column], Column]) -> Column:
+    """The running op (a sum, a maximum) of an array of numbers that aren't negative, itself included; blocks keep it linear."""
+
+    def small(block: Column) -> Column:
+        start = F.array().cast("array<int>")
+        last = lambda done: F.coalesce(F.get(done, F.size(done) - 1), F.lit(0))
+        return F.aggregate(block, start, lambda done, x: F.concat(done, F.array(op(last(done), x))))
+
+    def joined_up(blocks: Column) -> Column:
+        totals = small(F.transform(blocks, lambda b: F.coalesce(F.get(b, F.size(b) - 1), F.lit(0))))
+        before = lambda ends, j: F.coalesce(F.get(ends, j - 1), F.lit(0))
+        return bound(totals, lambda ends: F.flatten(F.transform(blocks, lambda b, j: F.transform(b, lambda x: op(before(ends, j), x)))))
+
+    def in_blocks(v: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor(F.greatest(F.size(v) - 1, F.lit(0)) / BLOCK).cast("int"))
+        return bound(F.transform(numbers, lambda j: small(F.slice(v, j * BLOCK + 1, F.lit(BLOCK)))), joined_up)
+
+    return bound(values, in_blocks)
 
 
 def spans_of(text: Column, pattern: str, rank: int, accept=None, group: int = 0) -> Column:
@@ -56,46 +85,69 @@ def spans_of(text: Column, pattern: str, rank: int, accept=None, group: int = 0)
     """
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     part = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    between = F.split(text, pattern, -1)
-    rows = F.arrays_zip(whole.alias("m"), part.alias("g"), F.slice(between, F.lit(1), F.size(whole)).alias("b"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
 
-    def step(state: Column, row: Column) -> Column:
-        begin = state["at"] + F.length(row["b"])
-        end = begin + F.length(row["m"])
-        span = F.array(F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end")))
-        out = F.concat(state["out"], span) if accept is None else F.when(accept(row["g"]), F.concat(state["out"], span)).otherwise(state["out"])
-        return F.struct(end.alias("at"), out.alias("out"))
+    def placed(rows: Column) -> Column:
+        lengths = F.transform(rows, lambda r: F.length(r["b"]) + F.length(r["m"]))
 
-    found = F.aggregate(rows, start, step, lambda s: s["out"])
+        def spans(ends: Column) -> Column:
+            made = F.transform(
+                rows,
+                lambda r, i: F.struct(
+                    (F.get(ends, i) - F.length(r["m"])).alias("start"), F.lit(rank).alias("rank"), F.get(ends, i).alias("end"), r["g"].alias("g")
+                ),
+            )
+            taken = made if accept is None else F.filter(made, lambda s: accept(s["g"]))
+            return F.transform(taken, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end")))
+
+        return bound(running(lengths, lambda x, y: x + y), spans)
+
+    found = bound(whole, lambda m: bound(F.arrays_zip(m.alias("m"), (m if group == 0 else part).alias("g"), F.slice(F.split(text, pattern, -1), F.lit(1), F.size(m)).alias("b")), placed))
     # most texts have no match: one look tells
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(SPAN))
 
 
 def highest_entropy(candidate: Column, window: int = WINDOW) -> Column:
-    """The largest Shannon entropy (bits a character) of a window sliding over an ASCII string of at least window characters."""
-    code = lambda at: F.ascii(F.substr(candidate, at, F.lit(1)))
-    weight = lambda n: F.when(n > 1, n * F.log2(n)).otherwise(F.lit(0.0))
-    empty = F.struct(F.array_repeat(F.lit(0), 128).alias("n"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
-
-    def enter(state: Column, at: Column) -> Column:
-        """One more character, and from the window-th on one less."""
-        new = code(at)
-        old = F.when(at > window, code(at - window)).otherwise(F.lit(-1))
-        here = F.get(state["n"], new)
-        there = F.when(old >= 0, F.get(state["n"], old))
-        moved = (old >= 0) & (old != new)
-        change = F.when(old == new, F.lit(0.0)).otherwise(
-            weight(here + 1) - weight(here) + F.when(moved, weight(there - 1) - weight(there)).otherwise(F.lit(0.0))
-        )
-        total = state["sum"] + change
-        counts = F.when(old == new, state["n"]).otherwise(
-            F.transform(state["n"], lambda n, k: n + (k == new).cast("int") - (k == old).cast("int"))
+    """The largest Shannon entropy (bits a character) of a window sliding over an ASCII string of at least window characters.
+
+    The counts of the window's characters are packed into a few integers. Each
+    step takes one character off its count and adds one to another's; with
+    them goes the sum of n * log2(n) by what a count's change adds to it, so a
+    step costs the same however long the candidate is.
+    """
+    if not 2 <= window < 1 << COUNT_BITS:
+        raise ValueError(f"windows of 2 to {(1 << COUNT_BITS) - 1} characters")
+    weight = [0, *[round(n * math.log2(n) * (1 << FRACTION)) for n in range(1, window + 1)]]
+    gains = F.array(*[F.lit(b - a).cast("long") for a, b in zip(weight, weight[1:])])
+    words = -(-128 // PACKED)
+    one = lambda bit: F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    count = lambda state, c: F.call_function("shiftright", F.get(state["n"], c["word"]), c["bit"]).bitwiseAND((1 << COUNT_BITS) - 1).cast("int")
+
+    def place(char: Column) -> Column:
+        return bound(F.ascii(char), lambda c: F.struct(F.floor(c / PACKED).cast("int").alias("word"), (c % PACKED * COUNT_BITS).alias("bit")))
+
+    def step(state: Column, row: Column) -> Column:
+        """The window's first character leaves (none before it is full), a new one enters."""
+        new, old = row["new"], row["old"]
+        same = F.coalesce((old["word"] == new["word"]) & (old["bit"] == new["bit"]), F.lit(False))
+        lost = F.when(old.isNull(), F.lit(0).cast("long")).otherwise(F.get(gains, count(state, old) - 1))
+        total = state["sum"] + F.get(gains, count(state, new) - same.cast("int")) - lost
+        counts = F.when(same, state["n"]).otherwise(
+            F.transform(
+                state["n"],
+                lambda n, j: n
+                + F.when(j == new["word"], one(new["bit"])).otherwise(F.lit(0).cast("long"))
+                - F.when(j == old["word"], one(old["bit"])).otherwise(F.lit(0).cast("long")),
+            )
         )
-        entropy = F.when(at >= window, F.lit(math.log2(window)) - total / window).otherwise(F.lit(0.0))
-        return F.struct(counts.alias("n"), total.alias("sum"), F.greatest(state["best"], entropy).alias("best"))
+        full = row["at"] >= window - 1
+        return bound(total, lambda t: F.struct(counts.alias("n"), t.alias("sum"), F.when(full, F.least(state["least"], t)).otherwise(state["least"]).alias("least")))
+
+    def over(places: Column) -> Column:
+        rows = F.transform(places, lambda new, i: F.struct(new.alias("new"), F.get(places, i - window).alias("old"), i.alias("at")))
+        start = F.struct(F.array_repeat(F.lit(0).cast("long"), words).alias("n"), F.lit(0).cast("long").alias("sum"), F.lit(1 << 62).alias("least"))
+        return F.aggregate(rows, start, step, lambda s: F.lit(math.log2(window)) - s["least"] / (window << FRACTION))
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(candidate)), empty, enter, lambda s: s["best"])
+    return bound(F.transform(F.split(candidate, ""), place), over)
 
 
 def find(docs: DataFrame, text: str = "text", out: str = "found", allowed: tuple[str, ...] = ALLOWED, window: int = WINDOW) -> DataFrame:
@@ -145,17 +197,26 @@ def find(docs: DataFrame, text: str = "text", out: str = "found", allowed: tuple
 
 
 def replaced(text: Column, spans: Column, put: Callable[[Column, Column], Column]) -> Column:
-    """The text with put(span, end of the last) in place of each of the ordered spans."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, s: Column) -> Column:
-        between = F.substr(text, state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.concat(state["out"], between, put(s, state["at"])).alias("out"),
-        )
+    """The text with put(span, end of those before) in place of each of the ordered spans."""
+
+    def part(parts: Column, start: Column, stop: Column) -> Column:
+        """Characters start to stop, from the parts that hold them."""
+        numbers = F.sequence(F.floor(start / PART).cast("int"), F.floor((stop - 1) / PART).cast("int"))
+        cut = lambda j: F.substr(F.get(parts, j), F.greatest(start - j * PART, F.lit(0)) + 1, stop - F.greatest(start, j * PART))
+        return F.when(start < stop, F.array_join(F.transform(numbers, cut), "")).otherwise(F.lit(""))
+
+    def done(rows: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.floor(F.length(text) / PART).cast("int")), lambda j: F.substr(text, j * PART + 1, F.lit(PART)))
+        ends = running(F.transform(rows, lambda s: s["end"]), F.greatest)
+
+        def whole(parts: Column, ends: Column) -> Column:
+            before = lambda i: F.coalesce(F.get(ends, i - 1), F.lit(0))
+            pieces = F.transform(rows, lambda s, i: F.concat(part(parts, before(i), s["start"]), put(s, before(i))))
+            return F.concat(F.array_join(pieces, ""), part(parts, before(F.size(rows)), F.length(text)))
+
+        return bound(parts, lambda p: bound(ends, lambda e: whole(p, e)))
 
-    return F.aggregate(spans, start, step, lambda st: F.concat(st["out"], F.substr(text, st["at"] + 1, F.length(text))))
+    return bound(spans, done)
 
 
 def ordered(*spans: Column) -> Column:

@@ -3,7 +3,9 @@
 import math
 import random
 import re
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import secrets
@@ -27,18 +29,26 @@ def entropy(s, w=secrets.WINDOW):
 
 
 def every(text):
+    """Known shapes; then, where none of them stands, hexadecimal runs; then the other classes where neither stands."""
     known = base(text)
-    added = []
-    for kind, (pattern, limit) in secrets.CLASSES.items():
-        rank = secrets.KINDS.index(kind)
-        for m in re.finditer(pattern, text):
-            if any(re.search(p, m[0]) for p in secrets.ALLOWED) or entropy(m[0]) < limit - 1e-9:
-                continue
-            added.append((m.start(), rank, m.end()))
-    free = [s for s in added if not any(k[0] < s[2] and s[0] < k[2] for k in known)]
-    hexes = [s for s in added if s[1] == 3]
-    free = [s for s in free if s[1] == 3 or not any(k[0] < s[2] and s[0] < k[2] for k in hexes)]
-    return sorted(known + free)
+
+    def blank(body, spans):
+        for a, _, b in spans:
+            body = body[:a] + " " * (b - a) + body[b:]
+        return body
+
+    def look(body, *kinds):
+        found = []
+        for kind in kinds:
+            pattern, limit = secrets.CLASSES[kind]
+            for m in re.finditer(pattern, body):
+                if not any(re.search(p, m[0]) for p in secrets.ALLOWED) and entropy(m[0]) >= limit - 1e-9:
+                    found.append((m.start(), secrets.KINDS.index(kind), m.end()))
+        return found
+
+    rest = blank(text, known)
+    hexes = look(rest, "entropy_hex")
+    return sorted(known + hexes + look(blank(rest, hexes), "entropy_base64", "entropy_alnum"))
 
 
 def texts():
@@ -128,3 +138,52 @@ def test_words_inside_words_and_tails(spark):
     for text, done in zip(cases, (r.text for r in secrets.redact(df).collect())):
         assert ("[SECRET]" in done) == bool(cases[text]), (text, done)
         assert not any(k in done for k in cases[text]), (text, done)
+
+
+def _redacted(text):
+    want, at = "", 0
+    for a, _, b in every(text):
+        if a >= at:
+            want += text[at:a] + "[SECRET]"
+        at = max(at, b)
+    return want + text[at:]
+
+
+def test_long_candidates_and_many_of_them_in_time(spark):
+    """100,000 characters of a class in one run, and thousands of spans in one text: whole, and in time linear in both."""
+    rng = random.Random(13)
+    some = lambda chars, n: "".join(rng.choices(chars, k=n))
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    cases = [
+        some(lower + upper + digits + "+/", 100_000),
+        some("0123456789ABCDEF", 100_000),
+        some("0123456789abcdef", 100_000),
+        "é中 " + "a1" * 49_000 + some(lower + upper + digits, 20) + "b2" * 1_000,  # one window among dull ones
+        "".join(some(rng.choice(["0123456789ABCDEF", lower + upper + digits, lower]), rng.choice([20, 40])) + rng.choice([" ", "-", "/", " é "]) for _ in range(3_000)),
+        " ".join(f"token={some(lower, 8)} {some(lower, 30)} \U0001f600" for _ in range(2_000)),
+    ]
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    begun = time.perf_counter()
+    found = {r.doc_id: flat(r) for r in secrets.find(df).collect()}
+    done = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert time.perf_counter() - begun < 120
+    for i, text in enumerate(cases):
+        assert found[i] == every(text)
+        assert done[i] == _redacted(text)
+    assert len(found[4]) > 1_500 and len(found[5]) == 2_000 and found[3]
+
+
+def test_running(spark):
+    rng = random.Random(14)
+    cases = [[], [5], *[[rng.randrange(1000) for _ in range(n)] for n in (255, 256, 257, 2000)]]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(cases)], "i int, x array<int>")
+    rows = df.select("i", secrets.running(F.col("x"), lambda a, b: a + b).alias("s"), secrets.running(F.col("x"), F.greatest).alias("m")).collect()
+    for r in rows:
+        x = cases[r.i]
+        assert r.s == [sum(x[: k + 1]) for k in range(len(x))] and r.m == [max(x[: k + 1]) for k in range(len(x))]
+
+
+def test_windows_that_do_not_fit_are_refused():
+    for window in (1, 32):
+        with pytest.raises(ValueError, match="windows"):
+            secrets.highest_entropy(None, window)
