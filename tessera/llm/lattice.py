@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -273,6 +273,29 @@ def scored_words(counts: DataFrame, model: Lattice) -> DataFrame:
     return counts.select("word", "n", "c").mapInArrow(work, "word binary, n long, c long, key long, logp double")
 
 
+#: Steps of word frequencies between a power of two and the next (every frequency below is a step of its own).
+STEPS = 256
+
+
+def frequency_step(n: str) -> Column:
+    """A number that grows with the frequency n (1 or more) in at most 64 * ``STEPS`` steps."""
+    power = F.length(F.bin(n)) - 1
+    above = F.col(n) - F.call_function("shiftleft", F.lit(1).cast("long"), power)
+    fine = F.when(power <= 8, F.call_function("shiftleft", above, F.greatest(8 - power, F.lit(0)))).otherwise(F.call_function("shiftright", above, F.greatest(power - 8, F.lit(0))))
+    return (power * STEPS + fine).cast("int")
+
+
+def least_step(table: DataFrame, hot_words: int) -> int:
+    """The least step such that the words of it and of all above are no more than hot_words together."""
+    held, least = 0, 64 * STEPS
+    for row in table.groupBy("step").count().orderBy(F.desc("step")).collect():  # a row a step
+        held += row["count"]
+        if held > hot_words:
+            break
+        least = row["step"]
+    return least
+
+
 def text_scores(
     docs: DataFrame,
     vocabulary_path: str,
@@ -301,13 +324,9 @@ def text_scores(
     tokens, kinds = known[0] + ends, known[1] + (1 if ends else 0)
     table = stored(scored_words(counts, fitted(counts, vocabulary(vocabulary_path), int(known[0]), rounds)))
 
-    steps = table.groupBy(F.least("n", F.lit(4096)).alias("n")).count().orderBy(F.desc("n")).collect()  # 4096 rows at most
-    least, held = 4097, 0
-    for row in steps:
-        if held + row["count"] > hot_words:
-            break
-        held, least = held + row["count"], row["n"]
-    hot = table.where(F.col("n") >= least).select("key", "c", "logp").toArrow()
+    table = table.withColumn("step", frequency_step("n"))
+    least = least_step(table, hot_words)
+    hot = table.where(F.col("step") >= least).select("key", "c", "logp").toArrow()
     key = hot["key"].to_numpy().view(np.uint64)
     order = np.argsort(key)
     shared = spark.sparkContext.broadcast((key[order], hot["c"].to_numpy()[order], hot["logp"].to_numpy()[order]))
@@ -384,7 +403,7 @@ def text_scores(
 
     first = stored(rows.mapInArrow(work, T.StructType(fields)))
     rest = first.select("uid", F.explode("rest").alias("r")).select("uid", "r.word", "r.uses")
-    met = rest.join(table.where(F.col("n") < least).select("word", "c", "logp"), "word")
+    met = rest.join(table.where(F.col("step") < least).select("word", "c", "logp"), "word")
     sums = met.groupBy("uid").agg(
         F.sum(F.when(F.col("c") > 0, F.col("uses")).otherwise(0)).alias("known2"),
         F.sum(F.col("uses") * (F.log10(F.col("c") + smoothing) - F.lit(float(scale)))).alias("base2"),

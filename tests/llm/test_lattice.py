@@ -83,6 +83,37 @@ def test_text_scores(spark, vocabulary):
     assert all(r.score < 0 and math.isfinite(r.score) for r in one)
 
 
+def test_no_more_words_are_broadcast_than_allowed(spark):
+    rng = np.random.default_rng(3)
+    counts = [*range(1, 1100), *(2 ** rng.uniform(0, 40, 500)).astype(int).tolist(), *[5000] * 4, *[2**62, 2**62 - 1]]
+    table = spark.createDataFrame([(int(n),) for n in counts], "n long").withColumn("step", lattice.frequency_step("n"))
+    rows = sorted((r.n, r.step) for r in table.collect())
+    steps = [s for _, s in rows]
+    assert steps == sorted(steps) and 0 <= steps[0] and steps[-1] < 64 * lattice.STEPS
+    assert len({s for n, s in rows if n < 256}) == 255
+    for most in (0, 1, 2, 3, 50, 700, 10_000):
+        least = lattice.least_step(table, most)
+        held = sum(s >= least for s in steps)
+        assert held <= most
+        below = [s for s in steps if s < least]
+        if below:  # the next step would have been too many
+            assert held + below.count(max(below)) > most
+
+
+def test_equally_frequent_words_beyond_the_bound_are_joined(spark, vocabulary, monkeypatch):
+    """Four words that each occur 5,000 times, of which one may be broadcast: none is, and the scores are the same."""
+    docs = spark.createDataFrame([(i, "aa bb cc dd " * 50) for i in range(100)], "doc_id long, text string")
+    took = []
+    real = lattice.least_step
+    monkeypatch.setattr(lattice, "least_step", lambda t, m: took.append((real(t, m), t)) or took[-1][0])
+    far = lattice.text_scores(docs, vocabulary, rounds=1, hot_words=1).collect()
+    least, table = took[0]
+    assert table.where(table.step >= least).count() <= 1
+    near = lattice.text_scores(docs, vocabulary, rounds=1).collect()
+    check(far, docs)
+    assert all(math.isclose(a.score, b.score, rel_tol=1e-9) for a, b in zip(sorted(far), sorted(near)))
+
+
 def test_odd_rows(odd, empty, vocabulary):
     rows = lattice.text_scores(odd, vocabulary, rounds=1).collect()
     check(rows, odd)
