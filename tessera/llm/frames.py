@@ -146,6 +146,17 @@ def mapped(
     return rows.mapInArrow(work, T.StructType([*kept.schema.fields, *fields]))
 
 
+def within(rows: Iterator[tuple], size: Callable[[tuple], int], most: int) -> list[tuple]:
+    """The rows from the first on whose sizes together stay within most; at least one."""
+    out: list[tuple] = []
+    for row in rows:
+        most -= size(row)
+        if most < 0 and out:
+            break
+        out.append(row)
+    return out
+
+
 def listed(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
     """The named columns row by row; a list column gives slices of one numpy array."""
     columns: list = []

@@ -18,11 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.frames import GROUP_BYTES, labelled, listed, mapped, slabs
+from tessera.llm.frames import GROUP_BYTES, labelled, listed, mapped, slabs, within
 from tessera.llm.piecetable import slice_hashes
 
-#: Labelled documents that are learned from, at most, and passages each of them is pooled to.
-SAMPLE, POOLED = 3_000, 64
+#: Labelled documents that are learned from, at most, and passages they have together (2 kB each in the one task that
+#: learns). A sample with more ends before the document that would go beyond.
+SAMPLE, PASSAGES = 3_000, 150_000
+#: Passages that a step of the training holds at once; a longer document stands alone.
+STEP = 8_192
 WORDS, CODE, GATE = 64, 32, 16
 EPOCHS, BATCH, RATE, DECAY = 20, 32, 3e-3, 1e-4
 
@@ -140,43 +143,67 @@ class Bag:
         return score
 
 
+NAMES = ("w", "v", "u", "a", "c")
+
+
+def gradient(p: Bag, part: list[tuple[np.ndarray, int]]) -> tuple[float, dict[str, np.ndarray]]:
+    """The summed cross entropy of some bags (passages, label) and its gradient by each part of the model."""
+    x = np.concatenate([b[0] for b in part]) if len(part) > 1 else part[0][0]
+    y = np.array([b[1] for b in part], x.dtype)
+    size = np.array([len(b[0]) for b in part])
+    bag = np.repeat(np.arange(len(part)), size)
+    h = np.tanh(x @ p.w)
+    t, g = np.tanh(h @ p.v), _sigmoid(h @ p.u)
+    logit = (t * g) @ p.a
+    top = np.full(len(part), -np.inf, x.dtype)
+    np.maximum.at(top, bag, logit)
+    e = np.exp(logit - top[bag])
+    alpha = e / np.bincount(bag, e, len(part))[bag]
+    z = np.zeros((len(part), CODE), x.dtype)
+    np.add.at(z, bag, alpha[:, None] * h)
+    score = z @ p.c[:-1] + p.c[-1]
+    loss = float(np.sum(np.logaddexp(0, score) - y * score))
+    err = _sigmoid(score) - y
+    dz = err[:, None] * p.c[:-1]
+    dalpha = (dz[bag] * h).sum(axis=1)
+    dlogit = alpha * (dalpha - np.bincount(bag, alpha * dalpha, len(part))[bag])
+    dtg = dlogit[:, None] * p.a
+    dv, du = dtg * g * (1 - t * t), dtg * t * g * (1 - g)
+    dh = (alpha[:, None] * dz[bag] + dv @ p.v.T + du @ p.u.T) * (1 - h * h)
+    return loss, {"w": x.T @ dh, "v": h.T @ dv, "u": h.T @ du, "a": (t * g).T @ dlogit, "c": np.append(z.T @ err, err.sum())}
+
+
+def steps(part: list[tuple[np.ndarray, int]], most: int = STEP) -> Iterator[list[tuple[np.ndarray, int]]]:
+    """The bags in runs of at most so many passages, a longer bag by itself."""
+    held: list[tuple[np.ndarray, int]] = []
+    count = 0
+    for bag in part:
+        if held and count + len(bag[0]) > most:
+            yield held
+            held, count = [], 0
+        held.append(bag)
+        count += len(bag[0])
+    if held:
+        yield held
+
+
 def train(bags: list[tuple[np.ndarray, int]], epochs: int = EPOCHS, seed: int = 7) -> Bag:
-    """Adam over the bags' cross entropy, with the gradients written out."""
+    """Adam over the bags' cross entropy; every passage of every bag is seen by itself."""
     rng = np.random.default_rng(seed)
     small = lambda *shape: rng.normal(0, 1 / np.sqrt(shape[0]), shape).astype(np.float32)
     p = Bag(small(WIDTH, CODE), small(CODE, GATE), small(CODE, GATE), small(GATE), np.append(small(CODE), np.float32(0)))
-    names = ("w", "v", "u", "a", "c")
-    m = {k: np.zeros_like(getattr(p, k)) for k in names}
-    s = {k: np.zeros_like(getattr(p, k)) for k in names}
+    m = {k: np.zeros_like(getattr(p, k)) for k in NAMES}
+    s = {k: np.zeros_like(getattr(p, k)) for k in NAMES}
     step = 0
     for _ in range(epochs):
         order = rng.permutation(len(bags))
         for at in range(0, len(order), BATCH):
             part = [bags[i] for i in order[at : at + BATCH]]
-            x = np.concatenate([b[0] for b in part])
-            y = np.array([b[1] for b in part], np.float32)
-            size = np.array([len(b[0]) for b in part])
-            bag = np.repeat(np.arange(len(part)), size)
-            h = np.tanh(x @ p.w)
-            t, g = np.tanh(h @ p.v), _sigmoid(h @ p.u)
-            logit = (t * g) @ p.a
-            top = np.full(len(part), -np.inf, np.float32)
-            np.maximum.at(top, bag, logit)
-            e = np.exp(logit - top[bag])
-            alpha = e / np.bincount(bag, e, len(part))[bag]
-            z = np.zeros((len(part), CODE), np.float32)
-            np.add.at(z, bag, alpha[:, None] * h)
-            err = (_sigmoid(z @ p.c[:-1] + p.c[-1]) - y) / len(part)
-            dz = err[:, None] * p.c[:-1]
-            dalpha = (dz[bag] * h).sum(axis=1)
-            dlogit = alpha * (dalpha - np.bincount(bag, alpha * dalpha, len(part))[bag])
-            dtg = dlogit[:, None] * p.a
-            dv, du = dtg * g * (1 - t * t), dtg * t * g * (1 - g)
-            dh = (alpha[:, None] * dz[bag] + dv @ p.v.T + du @ p.u.T) * (1 - h * h)
-            grad = {"w": x.T @ dh, "v": h.T @ dv, "u": h.T @ du, "a": (t * g).T @ dlogit, "c": np.append(z.T @ err, err.sum())}
+            grads = [gradient(p, some)[1] for some in steps(part)]
             step += 1
-            for k in names:
-                own, d = getattr(p, k), grad[k].astype(np.float32) + DECAY * getattr(p, k)
+            for k in NAMES:
+                own = getattr(p, k)
+                d = (sum(g[k] for g in grads) / len(part)).astype(np.float32) + DECAY * own
                 m[k] = 0.9 * m[k] + 0.1 * d
                 s[k] = 0.999 * s[k] + 0.001 * d * d
                 setattr(p, k, (own - RATE * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32))
@@ -189,30 +216,22 @@ def constant(share: float) -> Bag:
     return Bag(np.zeros((WIDTH, CODE), np.float32), np.zeros((CODE, GATE), np.float32), np.zeros((CODE, GATE), np.float32), np.zeros(GATE, np.float32), np.append(np.zeros(CODE, np.float32), bias))
 
 
-def pooled(x: np.ndarray, most: int = POOLED) -> np.ndarray:
-    """At most so many passages: means of neighbours, over the whole text."""
-    if len(x) <= most:
-        return x
-    edge = np.linspace(0, len(x), most + 1).astype(int)
-    return (np.add.reduceat(x, edge[:-1]) / np.diff(edge)[:, None]).astype(np.float32)
-
-
 def _bags(body: np.ndarray, offsets: np.ndarray) -> list:
-    """The pooled passages of each text, laid flat."""
+    """The passages of each text, laid flat."""
     if len(offsets) == 2 and len(body) > GROUP_BYTES:
-        x = np.concatenate([pooled(passages(np.frombuffer(p, np.uint8), np.array([0, len(p)]))[1]) for p in slabs(body.tobytes())])
-        return [pa.array([pooled(x).ravel()], pa.list_(pa.float32()))]
+        x = np.concatenate([passages(np.frombuffer(p, np.uint8), np.array([0, len(p)]))[1] for p in slabs(body.tobytes())])
+        return [pa.array([x.ravel()], pa.list_(pa.float32()))]
     row, x = passages(body, offsets)
     edge = np.searchsorted(row, np.arange(len(offsets)))
-    return [pa.array([pooled(x[a:b]).ravel() for a, b in zip(edge, edge[1:])], pa.list_(pa.float32()))]
+    return [pa.array([x[a:b].ravel() for a, b in zip(edge, edge[1:])], pa.list_(pa.float32()))]
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text", folds: int = 3, fold: int = 1, sample: int = SAMPLE) -> Bag:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text", folds: int = 3, fold: int = 1, sample: int = SAMPLE, most: int = PASSAGES) -> Bag:
     """Learn from at most sample labelled documents whose crc32(doc_id as text) mod folds isn't fold.
 
-    All tasks encode the sample's passages (pooled to at most ``POOLED`` means
-    over the whole text), one task learns: it holds sample * POOLED * WIDTH
-    floats at most. Without rows of both labels every score is the share of
+    All tasks encode the sample's passages, one task learns from each of them:
+    it takes the documents in the order of their hashes until most passages
+    are reached, and holds most * WIDTH floats. Without rows of both labels every score is the share of
     label 1 (1 without any label, so that nothing is dropped).
     """
     chosen = labelled(docs, labels, label, doc_id, text, folds, fold, sample)
@@ -220,15 +239,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str
     rows = rows.groupBy("__id", "__label", "__order").agg(F.min("bag").alias("bag"))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = sorted((r for b in batches for r in listed(b, "__order", "__id", "bag", "__label")), key=lambda r: r[:2])
+        rows_ = (r for b in batches for r in listed(b, "__order", "__id", "bag", "__label"))
+        have = within(rows_, lambda r: len(r[2]) // WIDTH, most)
         bags = [(r[2].reshape(-1, WIDTH).astype(np.float32), r[3]) for r in have if len(r[2])]
         ones = sum(b[1] for b in bags)
         model = train(bags) if 0 < ones < len(bags) else constant(ones / len(bags) if bags else 1.0)
-        for k in ("w", "v", "u", "a", "c"):
+        for k in NAMES:
             yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([getattr(model, k).ravel()], pa.list_(pa.float32()))], names=["part", "value"])
 
     shapes = {"w": (WIDTH, CODE), "v": (CODE, GATE), "u": (CODE, GATE), "a": (GATE,), "c": (CODE + 1,)}
-    found = {r["part"]: np.array(r["value"], np.float32).reshape(shapes[r["part"]]) for r in rows.repartition(1).mapInArrow(learn, "part string, value array<float>").collect()}
+    found = {r["part"]: np.array(r["value"], np.float32).reshape(shapes[r["part"]]) for r in rows.repartition(1).sortWithinPartitions("__order", "__id").mapInArrow(learn, "part string, value array<float>").collect()}
     return Bag(**found) if found else constant(1.0)
 
 

@@ -18,13 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.frames import GROUP_BYTES, labelled, listed, mapped, slabs
+from tessera.llm.frames import GROUP_BYTES, labelled, listed, mapped, slabs, within
 from tessera.llm.words import mix, words
 
 #: Hashed feature space; the weights can't have more entries.
 BITS = 20
-#: Labelled documents that are learned from, at most (their features go to one task).
-SAMPLE = 24_000
+#: Labelled documents that are learned from, at most, and features present in them, summed over the documents: 4 bytes
+#: each go to the one task that learns. A sample with more ends before the document that would go beyond.
+SAMPLE, PRESENT = 24_000, 50_000_000
 EPOCHS, ALPHA, BETA, L1, L2 = 6, 1.0, 1.0, 20.0, 0.1
 #: Weight of a document with label 1, as these are few.
 POSITIVE = 2.0
@@ -105,11 +106,12 @@ class Toxicity:
         return score
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text", folds: int = 5, fold: int = 0, sample: int = SAMPLE) -> Toxicity:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text", folds: int = 5, fold: int = 0, sample: int = SAMPLE, present: int = PRESENT) -> Toxicity:
     """Learn from at most sample labelled documents whose crc32(doc_id as text) mod folds isn't fold.
 
     The features of the sample (of one row for an id that has several: the
-    smallest) are made by all tasks and learned from by one. Without rows of
+    smallest) are made by all tasks and learned from by one, which takes them
+    in the order of their hashes until present features are reached. Without rows of
     both labels there are no weights, and every score is the share of label 1
     (0 without any).
     """
@@ -118,8 +120,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
     rows = rows.groupBy("__id", "__label", "__order").agg(F.min("features").alias("features"))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = [row for batch in batches for row in listed(batch, "__order", "__id", "features", "__label")]
-        have.sort(key=lambda r: r[:2])
+        rows_ = (row for batch in batches for row in listed(batch, "__order", "__id", "features", "__label"))
+        have = within(rows_, lambda r: len(r[2]), present)
         ones = sum(r[3] for r in have)
         if 0 < ones < len(have):
             w, bias = ftrl([r[2:] for r in have])
@@ -128,7 +130,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
         at = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(w[at], bias))], names=["feature", "weight"])
 
-    model = rows.repartition(1).mapInArrow(learn, "feature long, weight double").toPandas()
+    model = rows.repartition(1).sortWithinPartitions("__order", "__id").mapInArrow(learn, "feature long, weight double").toPandas()
     bias = model.weight[model.feature < 0]
     at = model.feature >= 0
     return Toxicity(model.feature[at].to_numpy(), model.weight[at].to_numpy(), float(bias.sum()) if len(bias) else -35.0)

@@ -99,3 +99,98 @@ def test_attention_gradient():
         z = (a / a.sum()) @ h
         good += int((z @ model.c[:-1] + model.c[-1] > 0) == bool(y))
     assert good > 110
+
+
+def test_gradient_against_differences():
+    """Every part of the model moved a little by itself."""
+    rng = np.random.default_rng(2)
+    bags = [(rng.random((n, quality.WIDTH)), i % 2) for i, n in enumerate((1, 3, 7))]
+    shapes = {"w": (quality.WIDTH, quality.CODE), "v": (quality.CODE, quality.GATE), "u": (quality.CODE, quality.GATE), "a": (quality.GATE,), "c": (quality.CODE + 1,)}
+    model = quality.Bag(**{k: rng.normal(0, 1 / np.sqrt(s[0]), s) for k, s in shapes.items()})
+    _, grad = quality.gradient(model, bags)
+    for name in quality.NAMES:
+        part = getattr(model, name)
+        for _ in range(12):
+            at = tuple(rng.integers(0, n) for n in part.shape)
+            kept, h = part[at], 1e-5
+            losses = []
+            for value in (kept + h, kept - h):
+                part[at] = value
+                losses.append(quality.gradient(model, bags)[0])
+            part[at] = kept
+            assert np.isclose((losses[0] - losses[1]) / (2 * h), grad[name][at], rtol=1e-4, atol=1e-8), (name, at)
+
+
+def test_a_step_in_parts_is_the_whole_step(monkeypatch):
+    rng = np.random.default_rng(3)
+    bags = [(rng.random((rng.integers(1, 9), quality.WIDTH)).astype(np.float32), i % 2) for i in range(40)]
+    assert [len(x) for x in quality.steps(bags, 5)] and sum(quality.steps(bags, 5), []) == bags
+    assert all(len(run) == 1 or sum(len(b[0]) for b in run) <= 5 for run in quality.steps(bags, 5))
+    whole = quality.train(bags, epochs=2)
+    monkeypatch.setattr(quality.steps, "__defaults__", (5,))
+    parts = quality.train(bags, epochs=2)
+    assert all(np.allclose(getattr(whole, k), getattr(parts, k), atol=1e-4) for k in quality.NAMES)
+
+
+def test_training_sees_single_passages_of_long_texts():
+    """The bag of a text of 20,000 words holds each of its passages as they are scored."""
+    text = " ".join(f"w{i % 977}" for i in range(20_000)).encode()
+    body, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    bag = quality._bags(body, offsets)[0][0].values.to_numpy().reshape(-1, quality.WIDTH)
+    assert len(bag) == -(-20_000 // quality.WORDS) and (bag == quality.passages(body, offsets)[1]).all()
+
+
+def test_samples_end_at_their_bound(spark):
+    docs = spark.createDataFrame([(i, f"some words {'bad' if i % 2 else 'good'} here {i} " * (i % 5 * 40 + 1)) for i in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2, i % 2) for i in range(200)], "doc_id long, quality int, toxic int")
+    for most in (1, 60, 10**6):
+        assert len(toxicity.score(docs, toxicity.fit(docs, labels, present=most)).collect()) == 200
+        assert len(quality.score(docs, quality.fit(docs, labels, most=most)).collect()) == 200
+
+
+def test_ftrl_coordinate_by_coordinate():
+    """The array form against the update written for single coordinates, in plain Python."""
+    rng = np.random.default_rng(4)
+    rows = [(np.unique(rng.integers(0, 30, 8)), int(rng.random() < 0.4)) for _ in range(60)]
+    alpha, beta, l1, l2, positive, bias = 0.7, 1.0, 0.5, 0.1, 2.0, -1
+    z, n = {}, {}
+
+    def weight(i):
+        penalty = 0.0 if i == bias else l1
+        own = z.get(i, 0.0)
+        if abs(own) <= penalty:
+            return 0.0
+        return -(own - np.sign(own) * penalty) / ((beta + n.get(i, 0.0) ** 0.5) / alpha + l2)
+
+    for _ in range(3):
+        for present, label in rows:
+            at = [*present.tolist(), bias]
+            w = {i: weight(i) for i in at}
+            g = (1 / (1 + np.exp(-sum(w.values()))) - label) * (positive if label else 1.0)
+            for i in at:
+                sigma = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / alpha
+                z[i] = z.get(i, 0.0) + g - sigma * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    got, own_bias = toxicity.ftrl(rows, 3, alpha, beta, l1, l2, positive)
+    assert np.allclose([got[i] for i in range(30)], [weight(i) for i in range(30)])
+    assert np.isclose(own_bias, weight(bias)) and not got[30:].any() and (got[:30] == 0).any() and got[:30].any()
+
+
+def test_ridge_is_the_nystrom_solution():
+    """The weights by n-gram against the formula over full kernel matrices."""
+    rng = np.random.default_rng(5)
+    rows = [(f"l{i % 3}", np.unique(rng.integers(i % 3 * 15, i % 3 * 15 + 60, 20))) for i in range(90)]
+    model = langid.ridge(rows, landmarks=12, ridge=0.01)
+    every = np.arange(200)
+    full = np.array([np.isin(every, g) / np.sqrt(len(g)) for _, g in rows])
+    base = [i for name in ("l0", "l1", "l2") for i in [k for k, r in enumerate(rows) if r[0] == name][:4]]
+    seen = np.isin(every, model.gram)
+    # n-grams of the landmarks alone count, and a text's norm is taken over these
+    cut = np.array([np.isin(every, g) & seen for _, g in rows], float)
+    cut /= np.sqrt(np.maximum(cut.sum(axis=1, keepdims=True), 1))
+    assert np.allclose(cut[base], full[base])
+    k_nm, k_mm = cut @ cut[base].T, cut[base] @ cut[base].T
+    y = np.array([[1.0 if r[0] == name else -1.0 for name in ("l0", "l1", "l2")] for r in rows])
+    alpha = np.linalg.solve(k_nm.T @ k_nm + 0.01 * len(rows) * k_mm + 1e-8 * np.eye(12), k_nm.T @ y)
+    assert model.names == ("l0", "l1", "l2")
+    assert np.allclose(cut[:, model.gram] @ model.weight, k_nm @ alpha, atol=1e-3)
