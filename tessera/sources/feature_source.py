@@ -295,7 +295,7 @@ class KeyChunksReader(FeaturePagesReader):
 
     def __init__(self, options: dict):
         if options["path"]:
-            raise ValueError("a landed layer is whole: read it and join its rows with the keys (operators.keys.key_scan)")
+            raise ValueError("pages of a landed layer hold rows of any key: read its rows by key chunks with feature_layer.load_keys")
         self.o = options
         self.chunk = page_rows(make_transport(options), options)
 
