@@ -2,9 +2,8 @@
 
 * ``decode_deltas``: running sums of integer x/y deltas per feature, ordered
   by vertex position, then dequantized. The sums run across parts (they are
-  not reset per ring), as the binary format specifies. Uses the blocked
-  running sum, so a feature with a huge vertex count is still split over
-  many tasks.
+  not reset per ring), as the binary format specifies. The running sum lets
+  a feature with a huge vertex count lie on many tasks.
 * ``assign_parts``: part number of each vertex from the feature's part
   lengths. Part ends become marker rows placed just before the vertex at the
   same position; the running count of markers is the part number, so the
@@ -38,10 +37,9 @@ def decode_deltas(
     x_translate=0.0,
     y_translate=0.0,
     origin=0,
-    block_size: int = 1 << 16,
 ) -> DataFrame:
     """Add ``x``, ``y``: dequantized running sums of ``dx``, ``dy``."""
-    cum = running_sum(vertices, feature, position, [dx, dy], suffix="_cum", block_size=block_size)
+    cum = running_sum(vertices, feature, position, [dx, dy], suffix="_cum")
     return cum.withColumn("x", dequantize_x(F.col(f"{dx}_cum"), x_scale, x_translate)).withColumn(
         "y", dequantize_y(F.col(f"{dy}_cum"), y_scale, y_translate, origin)
     ).drop(f"{dx}_cum", f"{dy}_cum")
@@ -58,7 +56,6 @@ def assign_parts(
     index: str,
     part: str = "part",
     length: str = "length",
-    block_size: int = 1 << 16,
 ) -> DataFrame:
     """Add ``part`` (0-based) to vertices; ``index`` is the 0-based vertex index.
 
@@ -80,9 +77,7 @@ def assign_parts(
         F.when(F.col(part) == F.col("_last"), F.lit(1 + _CLOSED)).otherwise(F.lit(1)).cast("bigint").alias("_m"),
     )
     points = vertices.select(*f, *payload, (F.col(index) * 2 + 1).alias("_pos"), F.lit(0).cast("bigint").alias("_m"))
-    counted = running_sum(
-        points.unionByName(markers), f, "_pos", ["_m"], suffix="_cum", block_size=block_size
-    )
+    counted = running_sum(points.unionByName(markers), f, "_pos", ["_m"], suffix="_cum")
     out = counted.where((F.col("_m") == 0) & (F.col("_m_cum") < _CLOSED))
     return out.select(*cols, F.col("_m_cum").alias(part))
 
