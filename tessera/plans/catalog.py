@@ -28,7 +28,8 @@ from tessera.functions.indexing import running_sum
 from tessera.operators.geometry import assign_parts, decode_deltas
 from tessera.operators.agreement import compare_encodings
 from tessera.session import scratch_path
-from tessera.sources.layer import read_layer
+from tessera.sources.feature_layer import load_keys, load_layer, summarize_pages
+from tessera.sources.layer import read_layer, read_pages
 from tessera.streaming.pages import ingest_pages, ingest_progress, read_ingested
 from tessera.sources.pages import (
     attribute_names_json,
@@ -486,6 +487,22 @@ def q_layer_scan_faulty(spark, sf_dir):
     return read_layer(spark, RAW_SCHEMA, path=root, mode="split").rows
 
 
+@register(
+    "pbf_layer_scan_faulty",
+    _with(
+        _RAW,
+        ("numbered", f"select *, (row_number() over (order by OBJECTID) - 1) // {SMALL_PAGE} as page from raw"),
+        body="select * exclude (page) from numbered where page % 7 in (0, 6)",
+    ),
+)
+def q_pbf_layer_scan_faulty(spark, sf_dir):
+    """The same over binary pages: cut-off pages give no rows, the others all of theirs."""
+    root = scratch_path(spark, "readings-faulty-pbf")
+    land_pages(broken_pages(_readings_pbf_pages(spark, sf_dir, SMALL_PAGE)), root)
+    write_layer_docs(root, raw_readings(spark, sf_dir).count(), {"standardMaxRecordCount": SMALL_PAGE})
+    return read_layer(spark, RAW_SCHEMA, path=root, response_format="pbf", mode="split").rows
+
+
 @register(
     "scan_audit",
     _with(
@@ -542,6 +559,30 @@ def q_layer_where(spark, sf_dir):
     return read_layer(spark, RAW_SCHEMA, path=root, where="COMMUNE = 'BUILDING' and SRE > 100", fields="OBJECTID,COMMUNE")
 
 
+@register("layer_typed", _with(_RAW, body="select * from raw"))
+def q_layer_typed(spark, sf_dir):
+    """A landed layer as typed rows, by its own metadata."""
+    return load_layer(spark, path=_landed(spark, sf_dir, "readings-typed"))
+
+
+@register("layer_pushed", _with(_RAW, body="select OBJECTID, COMMUNE, SRE from raw where COMMUNE in ('BUILDING', 'MACHINERY') and SRE > 100 and EGID < 10500"))
+def q_layer_pushed(spark, sf_dir):
+    """``where`` on the typed rows of a landed layer of binary pages reaches the read of its pages."""
+    rows = load_layer(spark, path=_landed(spark, sf_dir, "readings-pushed", "pbf"), format="pbf")
+    return rows.where("COMMUNE in ('BUILDING', 'MACHINERY') and SRE > 100 and EGID < 10500").select("OBJECTID", "COMMUNE", "SRE")
+
+
+@register(
+    "key_chunk_scan",
+    _with(_RAW, _KEYS, body="select * from raw where cast(EGID as bigint) in (select egid from keys)"),
+)
+def q_key_chunk_scan(spark, sf_dir):
+    """The requested buildings' rows of a landed layer, by key chunks; pages without them are skipped."""
+    root = _landed(spark, sf_dir, "readings-keys")
+    summarize_pages(read_pages(spark, path=root), root, ["EGID"])
+    return load_keys(spark, key_chunks(normalize_keys(requested_buildings(spark, sf_dir))), path=root)
+
+
 @register("layer_scan", _with(_RAW, body="select * from raw"))
 def q_layer_scan(spark, sf_dir):
     """Land the readings layer as JSON page files in the shared folder, then

@@ -27,8 +27,8 @@ from tessera.operators.rules import (
 )
 from tessera.operators.transform import transform
 from tessera.schemas import API_COLUMNS, CURATED_COLUMNS, RAW_SCHEMA
-from tessera.session import checkpoint_root
-from tessera.sources.layer import attribute_names, read_layer, read_pages
+from tessera.session import checkpoint_root, scratch_path
+from tessera.sources.layer import decode_pages, read_pages
 
 
 class InvalidRows(ValueError):
@@ -75,13 +75,16 @@ def curate(
     nulls: str = "first",
     check_contract: bool = True,
     returned: DataFrame | None = None,
+    store: bool = False,
 ) -> Curated:
     """Raw layer rows (upper-case attributes) -> :class:`Curated`.
 
     ``keys`` (column ``egid``) restricts the rows to requested buildings and
     enables the coverage report. ``mode="strict"`` raises
     :class:`InvalidRows` when any row fails a rule; what it probes is computed
-    once and written to the shared folder. The column contract is checked on
+    once and written to the shared folder. ``store=True`` writes the checked
+    rows there too, so that valid and invalid rows, counts, coverage and
+    summary together compute them once. The column contract is checked on
     ``returned`` (column ``name``: the attribute names that the layer's pages
     hold), or without it on the columns of ``raw``.
     """
@@ -98,7 +101,7 @@ def curate(
         raw = key_scan(raw, keys, "EGID")
     t = transform(raw)
     checked = with_failed_rules(keep_latest(t, nulls=nulls), annee_max)
-    if mode == "strict":
+    if mode == "strict" or store:
         checkpoint_root(raw.sparkSession)
         checked = checked.checkpoint(eager=True)
     deduped = checked.drop(FAILED)
@@ -134,13 +137,24 @@ def curated_wide(
     return pivot_years(valid, years=valid_years(annee_max) if years is None else years)
 
 
+#: The column in which a layer's rows carry the attribute names of their page.
+_NAMES = "__names"
+
+
 def curate_layer(
     spark: SparkSession, path: str | None = None, url: str | None = None, response_format: str = "json", **options
 ) -> Curated:
     """Read the readings layer and curate it: contract on the names its pages hold, strict read, strict casts.
 
-    ``options`` are those of :func:`curate`.
+    Each page is fetched and decoded once: its typed rows, with the names of
+    its attributes beside them, are written to the shared folder; the contract
+    and everything curated is read from there. ``options`` are those of
+    :func:`curate`.
     """
-    names = attribute_names(read_pages(spark, path=path, url=url, format=response_format), response_format)
-    raw = read_layer(spark, RAW_SCHEMA, path=path, url=url, response_format=response_format)
-    return curate(raw, returned=names, **options)
+    pages = read_pages(spark, path=path, url=url, format=response_format)
+    rows = decode_pages(pages, RAW_SCHEMA, requested=response_format, strict=True, names=_NAMES)
+    stored = scratch_path(spark, "layer-rows")
+    rows.write.parquet(stored)
+    kept = spark.read.parquet(stored)
+    names = kept.select(F.explode(_NAMES).alias("name")).distinct()  # a partial distinct: a row a name and task
+    return curate(kept.drop(_NAMES), returned=names, **options)

@@ -179,6 +179,7 @@ class Page:
         self.origin, self.scale, self.shift = 0, (1.0, 1.0), (0.0, 0.0)
         self.names: list[str] = []
         self.spots: list[tuple[int, int]] = []
+        self.past: set[str] = set()  # names of attributes past the header, as features() meets them
         self.body = body or b""
         result = None
         outer = Cursor(self.body)
@@ -267,7 +268,11 @@ class Page:
                     first, last = c.begin, c.end
                 index, text = value_text(body, first, last)
                 spot = place if index < 0 else index
-                column = at_place[spot] if spot < len(at_place) else self.column_of(wanted, spot)
+                if spot < len(at_place):
+                    column = at_place[spot]
+                else:
+                    column = self.column_of(wanted, spot)
+                    self.past.add(str(spot))
                 if column >= 0:
                     values[column][-1] = text
                 place += 1
@@ -301,57 +306,74 @@ class Page:
         return names
 
 
-def _numbered(batches: Iterator[pa.RecordBatch], read) -> Iterator[tuple]:
-    """(row of the batch, what read makes of its body); an error names its page."""
+#: What a body that isn't a whole page raises while it is read.
+BROKEN = (ValueError, UnicodeDecodeError, struct.error, IndexError)
+
+
+def _numbered(batches: Iterator[pa.RecordBatch], read, strict: bool = True) -> Iterator[tuple]:
+    """(row of the batch, what read makes of its body); a broken page raises with its number, or is left out unless strict."""
     for batch in batches:
         bodies = batch.column("body")
         for i, page in enumerate(batch.column("page").to_pylist()):
             body = bodies[i].as_py()
             try:
                 yield batch, i, read(body)
-            except (ValueError, UnicodeDecodeError, struct.error) as e:
-                raise ValueError(f"page {page}: {e}") from e
+            except BROKEN as e:
+                if strict:
+                    raise ValueError(f"page {page}: {e}") from e
 
 
-def decode_pbf_pages(pages: DataFrame, attributes: T.StructType, with_geometry: bool = False, strict: bool = False) -> DataFrame:
+def decode_pbf_pages(
+    pages: DataFrame, attributes: T.StructType, with_geometry: bool = False, strict: bool = False, skip_broken: bool = False, names: str | None = None
+) -> DataFrame:
     """Binary page table -> one row per feature: attribute columns (+ geometry). No shuffle.
 
     Only the declared attributes are taken from the pages, and coordinates
     only with_geometry. strict: a page that ``page_status`` finds at fault
-    raises. A broken page always raises.
+    raises. A broken page raises too, unless skip_broken: then it gives no
+    rows (``page_stats_pbf`` reads pages the same way and tells which are
+    corrupt). names: a column with the attribute names that the page holds, on
+    its first row (null on the others).
     """
     from tessera.sources.pages import fault
 
-    names = [a.name for a in attributes.fields]
-    wanted = {n: i for i, n in enumerate(names)}
-    schema = pa.schema([(f"a{i}", pa.string()) for i in range(len(names))] + [("page", pa.int64())] + (_GEOMETRY_ARROW if with_geometry else []))
-    ddl = ", ".join([*[f"a{i} string" for i in range(len(names))], "page bigint", *([_GEOMETRY_DDL] if with_geometry else [])])
+    def read(body: bytes | None) -> tuple:
+        page = Page(body)
+        return page, page.features(wanted, with_geometry)
+
+    wanted = {a.name: i for i, a in enumerate(attributes.fields)}
+    schema = pa.schema([(f"a{i}", pa.string()) for i in range(len(wanted))] + [("page", pa.int64())] + (_GEOMETRY_ARROW if with_geometry else []))
+    ddl = ", ".join([*[f"a{i} string" for i in range(len(wanted))], "page bigint", *([_GEOMETRY_DDL] if with_geometry else [])])
+    if names:
+        schema = schema.append(pa.field("names", pa.list_(pa.string())))
+        ddl += ", names array<string>"
     expected = F.col("expected_rows") if "expected_rows" in pages.columns else F.lit(None).cast("bigint").alias("expected_rows")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, i, page in _numbered(batches, Page):
+        for batch, i, (page, (values, shapes)) in _numbered(batches, read, not skip_broken):
             number, n = batch.column("page")[i].as_py(), len(page.spots)
             status = fault(batch.column("expected_rows")[i].as_py(), n, page.exceeded) if strict else None
             if status:
                 raise ValueError(f"page {number}: {status}")
             if not n:
                 continue
-            values, shapes = page.features(wanted, with_geometry)
             columns = [*values, [number] * n]
             if with_geometry:
                 same = (page.default_type, page.wkid, page.origin, *page.scale, *page.shift)
                 columns += [[x] * n for x in same] + shapes
+            if names:
+                columns.append([sorted({*page.names, *page.past})] + [None] * (n - 1))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     rows = pages.select("page", "body", expected).mapInArrow(split, ddl)
     if with_geometry:
         rows = decode_geometries(rows)
     cols = [typed(F.col(f"a{i}"), a.dataType, a.name).alias(a.name) for i, a in enumerate(attributes.fields)]
-    return rows.select(*cols, *(["geometry"] if with_geometry else []))
+    return rows.select(*cols, *(["geometry"] if with_geometry else []), *([F.col("names").alias(names)] if names else []))
 
 
 def page_stats_pbf(pages: DataFrame) -> DataFrame:
-    """(page, offset, actual_rows, exceeded, error_code, corrupt) of each binary page, from its header alone."""
+    """(page, offset, actual_rows, exceeded, error_code, corrupt) of each binary page; a broken feature makes it corrupt."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -359,8 +381,9 @@ def page_stats_pbf(pages: DataFrame) -> DataFrame:
             for page, offset, body in zip(*(batch.column(k).to_pylist() for k in ("page", "offset", "body"))):
                 try:
                     p = Page(body)
+                    p.features({}, True)
                     out.append((page, offset, len(p.spots), p.exceeded, None, False))
-                except (ValueError, UnicodeDecodeError, struct.error):
+                except BROKEN:
                     out.append((page, offset, 0, False, None, True))
             names = ["page", "offset", "actual_rows", "exceeded", "error_code", "corrupt"]
             types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.bool_()]

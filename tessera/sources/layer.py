@@ -44,16 +44,20 @@ def decode_pages(
     with_geometry: bool = False,
     requested: str = "json",
     strict: bool = False,
+    skip_broken: bool = False,
+    names: str | None = None,
 ) -> DataFrame:
-    """Page table -> feature rows (attribute columns [+ geometry]).
+    """Page table -> feature rows (attribute columns [+ geometry] [+ names]).
 
     strict: every planned page must be there and hold what was planned, else
-    the read raises, naming the page and what is wrong with it.
+    the read raises, naming the page and what is wrong with it. skip_broken:
+    a binary page that can't be read gives no rows (a JSON one never does).
+    names: a column with the attribute names met, on some rows of each page.
     """
     routed = route(pages if strict else pages.where(F.col("body").isNotNull()), requested)
-    out = decode_json_pages(routed.where(F.col("route") == "json"), attributes, with_geometry, strict)
+    out = decode_json_pages(routed.where(F.col("route") == "json"), attributes, with_geometry, strict, names)
     if requested == "pbf":
-        binary = decode_pbf_pages(routed.where(F.col("route") == "pbf"), attributes, with_geometry, strict)
+        binary = decode_pbf_pages(routed.where(F.col("route") == "pbf"), attributes, with_geometry, strict, skip_broken, names)
         out = out.unionByName(binary)
     return out
 
@@ -82,8 +86,9 @@ def read_layer(
     """Every feature of a layer as typed rows (the bulk layer read).
 
     mode "strict" raises when a page is missing, corrupt, an error, overflows
-    or holds another number of rows than planned; "split" gives the readable
-    rows and the audit of all pages (a :class:`LayerRead`). ``fields`` is cut
+    or holds another number of rows than planned; "split" gives the rows of the
+    readable pages, JSON or binary, and the audit of all pages (a
+    :class:`LayerRead`). ``fields`` is cut
     before decoding. ``where`` goes to a live server; of a landed layer, which
     is whole, the decoded rows are filtered by it.
     """
@@ -111,7 +116,7 @@ def read_layer(
         max_retries=max_retries,
         order_by=order_by,
     )
-    rows = decode_pages(pages, wanted, with_geometry, response_format, mode == "strict")
+    rows = decode_pages(pages, wanted, with_geometry, response_format, mode == "strict", mode == "split")
     if path and filtered:
         rows = rows.where(where)
     if keep is not None:

@@ -70,9 +70,10 @@ _ERROR = T.StructType(
 _BROKEN = "_broken"
 
 
-def json_page_schema(attributes: T.StructType, with_geometry: bool = True) -> T.StructType:
-    """A page with its attributes as text; what isn't JSON is kept in ``_broken``."""
-    loose = T.StructType([T.StructField(a.name, T.StringType()) for a in attributes.fields])
+def json_page_schema(attributes: T.StructType, with_geometry: bool = True, every: bool = False) -> T.StructType:
+    """A page with its attributes as text (every: whatever their names); what isn't JSON is kept in ``_broken``."""
+    named = T.StructType([T.StructField(a.name, T.StringType()) for a in attributes.fields])
+    loose = T.MapType(T.StringType(), T.StringType()) if every else named
     feature = [T.StructField("attributes", loose)]
     if with_geometry:
         feature.append(T.StructField("geometry", _JSON_GEOMETRY))
@@ -237,15 +238,17 @@ def _doc_stats(doc: Column) -> dict[str, Column]:
 
 
 def decode_json_pages(
-    pages: DataFrame, attributes: T.StructType, with_geometry: bool = False, strict: bool = False
+    pages: DataFrame, attributes: T.StructType, with_geometry: bool = False, strict: bool = False, names: str | None = None
 ) -> DataFrame:
     """JSON page table -> one row per feature: attribute columns (+ geometry).
 
     NULL features and features without ``attributes`` are skipped. A value
     that isn't of its declared type raises. strict: so does a page that
     ``page_status`` finds at fault; else its readable features are returned.
+    names: a column with the names of the feature's attributes, declared or not.
     """
-    parsed = pages.select("layer", "page", "body", _expected(pages).alias("_expected"), _parsed(F.col("body"), json_page_schema(attributes, with_geometry)).alias("doc"))
+    schema = json_page_schema(attributes, with_geometry, names is not None)
+    parsed = pages.select("layer", "page", "body", _expected(pages).alias("_expected"), _parsed(F.col("body"), schema).alias("doc"))
     features = F.col("doc.features")
     if strict:
         stats = _doc_stats(F.col("doc"))
@@ -255,9 +258,19 @@ def decode_json_pages(
     f = parsed.select("layer", "page", F.explode(features).alias("f")).where(
         F.col("f").isNotNull() & F.col("f.attributes").isNotNull()
     )
-    cols = [typed(F.col(f"f.attributes.`{a.name}`"), a.dataType, a.name).alias(a.name) for a in attributes.fields]
+    if names:
+        # a map is searched for each name: its fields are taken once, not again for each use of a value
+        texts = [F.try_element_at("f.attributes", F.lit(a.name)) for a in attributes.fields]
+        taken = F.struct(*[t.alias(f"a{i}") for i, t in enumerate(texts)])
+        f = f.select("f", F.explode(F.array(taken)).alias("_v"))
+        values = [F.col(f"_v.a{i}") for i in range(len(texts))]
+    else:
+        values = [F.col(f"f.attributes.`{a.name}`") for a in attributes.fields]
+    cols = [typed(v, a.dataType, a.name).alias(a.name) for v, a in zip(values, attributes.fields)]
     if with_geometry:
         cols.append(_geometry_from_json(F.col("f.geometry")).alias("geometry"))
+    if names:
+        cols.append(F.map_keys("f.attributes").alias(names))
     return f.select(*cols)
 
 

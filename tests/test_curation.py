@@ -141,6 +141,56 @@ def test_missing_keys(spark):
     assert sorted(r.egid for r in missing_keys(keys, cur).collect()) == [1, 3]
 
 
+def test_pages_of_a_curated_layer_are_opened_once(spark, scratch):
+    """Contract, rows, counts and summary: each landed page file is opened by one read."""
+    import os
+
+    from tessera.plans.curation import curate_layer
+    from tessera.sources.fixture_pages import land_layer
+
+    raw = raw_readings(spark, SF)
+    for fmt in ("json", "pbf"):
+        root = f"{scratch}/{fmt}"
+        land_layer(raw, root, 500, fmt=fmt)
+        made = curate_layer(spark, path=root, response_format=fmt, annee_max=2027)
+        folder = f"{root.removeprefix('file:')}/pages"
+        for name in os.listdir(folder):  # a second read of any page would miss it
+            os.unlink(f"{folder}/{name}")
+        direct = curate(raw, annee_max=2027)
+        assert sorted(map(str, made.valid.collect())) == sorted(map(str, direct.valid.collect()))
+        assert made.invalid.count() == direct.invalid.count()
+        for name in ("rule_counts", "dedup_counts"):
+            assert sorted(map(str, getattr(made, name).collect())) == sorted(map(str, getattr(direct, name).collect()))
+        assert made.summary().collect() == direct.summary().collect()
+
+
+def test_stored_rows_are_computed_once(spark):
+    """With store=True rows, rule counts and summary read the raw rows in one scan."""
+    raw = raw_readings(spark, SF)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    made = curate(raw.mapInArrow(count, raw.schema), annee_max=2027, store=True)
+    assert made.valid.count() + made.invalid.count() == made.deduped.count()
+    assert made.rule_counts.count() > 5 and made.summary().collect()[0].n_valid == made.valid.count()
+    assert seen.value == raw.count()
+
+
+def test_pivot_plan_has_no_sorted_aggregate(spark):
+    valid = curate(raw_readings(spark, SF), annee_max=2027).valid
+    wide = pivot_years(valid, years=valid_years(2027))
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("Exchange hashpartitioning(egid") == 2  # keep-latest, then its few rows by building
+    assert len(wide.columns) == 1 + 15 * 28
+    gone = spark.createDataFrame([(1, 1990, 5), (2, 2001, 6)], "egid long, annee long, sre long")
+    rows = {r.egid: r.asDict() for r in pivot_years(gone, values=["sre"], years=[2001, 2003]).collect()}
+    assert rows == {1: {"egid": 1, "sre_2001": None, "sre_2003": None}, 2: {"egid": 2, "sre_2001": 6, "sre_2003": None}}
+
+
 def test_pivot_names_and_order(spark):
     df = spark.createDataFrame(
         [(1, 2021, 5, "a"), (1, 2020, 4, "b"), (2, 2020, 3, "c")],

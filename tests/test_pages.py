@@ -330,3 +330,25 @@ def test_key_chunks_are_read_a_partition_each(monkeypatch):
     assert len({r["page"] for g in got for r in g}) == 4
     with pytest.raises(ValueError, match="landed layer"):
         fs.FeaturePages({"path": "/x", "predicates": "[]"}).reader(None)
+
+
+def test_split_mode_reads_around_broken_binary_pages(spark, scratch):
+    """Cut anywhere, a binary page gives no rows and is listed; the rows of the others are all there."""
+    df = spark.createDataFrame([(i, f"n{i}", i * 0.5) for i in range(40)], "OBJECTID long, A string, B double")
+    attributes = T.StructType([T.StructField("OBJECTID", T.LongType()), T.StructField("A", T.StringType()), T.StructField("B", T.DoubleType())])
+    pages, broken = [], []
+    for r in pack_pbf_pages(df, 4).collect():
+        body = bytes(r.body)
+        if r.page % 2:
+            cut = 1 + (r.page * 7) % (len(body) - 1)
+            body = body[:cut] if r.page < 8 else body[:-9] + b"\xff" * 9
+            broken.append(r.page)
+        pages.append((r.layer, r.page, r.offset, r.chunk_size, r.format, body, r.status, r.expected_rows))
+    feature_source.land_pages(spark.createDataFrame(pages, feature_source.PAGE_DDL), scratch)
+    feature_source.write_layer_docs(scratch, 40, {"standardMaxRecordCount": 4})
+    both = read_layer(spark, attributes, path=scratch, response_format="pbf", mode="split")
+    assert sorted(r.OBJECTID for r in both.rows.collect()) == [i for i in range(40) if i // 4 not in broken]
+    status = {r.page: r.status for r in both.audit.collect()}
+    assert len(status) == 10 and all((status[p] == "corrupt") == (p in broken) for p in status)
+    with pytest.raises(Exception, match="page [1357]: "):
+        read_layer(spark, attributes, path=scratch, response_format="pbf").collect()
