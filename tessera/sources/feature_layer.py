@@ -15,9 +15,9 @@ its own way doesn't change the result. With ``predicates`` (key chunks, see
 ``operators.keys.key_chunks``) a live layer is asked for each chunk by a task of
 its own; of a landed one every page that may hold one of the keys is opened
 once, whatever the number of chunks. Options are those of ``feature_pages``; geometry isn't read here (use
-``read_layer(with_geometry=True)``). Filter pushdown needs
-``spark.sql.python.filterPushdown.enabled``; without it all rows are read and
-Spark filters them. Every read is idempotent, so task retries are safe.
+``read_layer(with_geometry=True)``), and ``push_filters`` (false; ``load_layer``
+sets it where the session has ``spark.sql.python.filterPushdown.enabled``, which
+``get_session`` does; without it all rows are read and Spark filters them). Every read is idempotent, so task retries are safe.
 """
 
 from __future__ import annotations
@@ -439,13 +439,6 @@ class FeatureLayerReader(DataSourceReader):
     wanted: T.StructType
     tests: list[Test] = field(default_factory=list)
 
-    def pushFilters(self, filters):
-        for f in filters:
-            t = test_of(f, self.schema)
-            if t is not None:
-                self.tests.append(t)
-            yield f
-
     def where(self, predicate: str | None = None) -> str:
         """What is sent as the request's where."""
         base = predicate if predicate is not None else self.options["where"].strip()
@@ -510,6 +503,17 @@ class FeatureLayerReader(DataSourceReader):
                     yield whole.slice(a, BATCH_ROWS)
 
 
+class PushedLayerReader(FeatureLayerReader):
+    """The reader that takes filters; Spark refuses one where its session has pushdown off."""
+
+    def pushFilters(self, filters):
+        for f in filters:
+            t = test_of(f, self.schema)
+            if t is not None:
+                self.tests.append(t)
+            yield f
+
+
 class FeatureLayer(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -520,6 +524,7 @@ class FeatureLayer(DataSource):
         self.parsed = S._options(options)
         if self.parsed["geometry"]:
             raise ValueError("feature_layer reads attributes; use read_layer(with_geometry=True) for the geometry")
+        self.pushed = str({k.lower(): v for k, v in dict(options).items()}.get("push_filters", "false")).lower() == "true"
         self._declared: T.StructType | None = None
 
     def declared(self) -> T.StructType:
@@ -544,13 +549,15 @@ class FeatureLayer(DataSource):
     def reader(self, schema: T.StructType) -> DataSourceReader:
         for f in schema:
             arrow_type(f.dataType, f.name)
-        return FeatureLayerReader(self.parsed, self.declared(), schema)
+        return (PushedLayerReader if self.pushed else FeatureLayerReader)(self.parsed, self.declared(), schema)
 
 
 def load_layer(spark: SparkSession, path: str | None = None, url: str | None = None, **options) -> DataFrame:
-    """The layer as typed rows, lazily; ``where`` on them reaches the read."""
+    """The layer as typed rows, lazily; ``where`` on them reaches the read if the session has filter pushdown on."""
     spark.dataSource.register(FeatureLayer)
     reader = spark.read.format("feature_layer")
+    on = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false").lower() == "true"
+    options = {"push_filters": on, **options}
     for k, v in {"path": path, "url": url, **options}.items():
         if v is not None:
             reader = reader.option(k, str(v).lower() if isinstance(v, bool) else str(v))

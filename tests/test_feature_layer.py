@@ -53,7 +53,7 @@ def _rows(reader):
 
 
 def _reader(filters=(), **options):
-    source = L.FeatureLayer(options)
+    source = L.FeatureLayer({**options, "push_filters": "true"})
     reader = source.reader(source.schema())
     handed_back = list(reader.pushFilters(list(filters)))
     assert handed_back == list(filters)
@@ -93,6 +93,21 @@ def test_filters_reach_the_source(spark, landed, tmp_path):
         df.where("SRE > 100").count()
 
 
+def test_without_pushdown_spark_filters(spark, landed):
+    """A session with filter pushdown off, Spark's default, reads the same rows."""
+    key = "spark.sql.python.filterPushdown.enabled"
+    kept = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        raw = raw_readings(spark, SF)
+        assert L.load_layer(spark, path=landed["json"]).where("SRE > 100").count() == raw.where("SRE > 100").count()
+        one = int(raw.first().EGID)
+        chunks = spark.createDataFrame([(0, f"EGID={one}")], "chunk long, predicate string")
+        assert L.load_keys(spark, chunks, path=landed["json"]).count() == raw.where(F.col("EGID") == one).count()
+    finally:
+        spark.conf.set(key, kept)
+
+
 def test_pages_without_a_match_are_not_opened(spark, landed, counting):
     reader = _reader([GreaterThan(("SRE",), 10**6)], path=landed["json"])
     assert _rows(reader) == [] and counting.opened == []
