@@ -1,11 +1,13 @@
 """Binary (protocol-buffer) pages, column by column.
 
-A ``mapInArrow`` task moves a cursor over each page body, in place: nested
-messages are ranges of the same bytes, nothing is copied into dictionaries.
-One list grows for each wanted attribute (as text, typed strictly by
-``functions.strict``) and, if the geometry is wanted, arrays for its part
-lengths and coordinates, whose packed numbers are decoded by numpy. A page is
-one Arrow batch, so the memory held is that of a page. Typing, zigzag, running
+A ``mapInArrow`` task moves a cursor over a page's header; what repeats, the
+features and their values, is indexed by numpy: a field of every feature (of
+every value message, of every geometry) is taken at once, and the loop runs as
+often as the message with the most fields has fields. Nested messages are
+ranges of the same bytes. The indexed ranges become Arrow columns: one for each
+wanted attribute (as text, typed strictly by ``functions.strict``) and, if the
+geometry is wanted, lists of its part lengths and coordinates. A page is one
+Arrow batch, so the memory held is that of a page. Typing, zigzag, running
 sums, parts and dequantization are DataFrame work in the feature's row.
 """
 
@@ -105,70 +107,138 @@ def packed_numbers(body: bytes, begin: int, end: int) -> np.ndarray:
     return np.add.reduceat(seven, first).view(np.int64)
 
 
-_STRING_HEAD, _DOUBLE_HEAD = C.VALUE_STRING << 3 | 2, C.VALUE_DOUBLE << 3 | 1
-_DOUBLE = struct.Struct("<d").unpack_from
+#: Bytes of a value by its wire type; 0: a number, or as many as the number before it says; -1: not supported.
+_SIZES = np.array([0, 8, 0, -1, -1, 4, -1, -1])
 
 
-def _number_text(slot: int, number: int) -> str | None:
-    if slot in (C.VALUE_SINT32, C.VALUE_SINT64):
-        return str(-(number + 1 >> 1) if number & 1 else number >> 1)
-    if slot == C.VALUE_INT64:
-        return str(number - (1 << 64) if number >> 63 else number)
-    if slot in (C.VALUE_UINT32, C.VALUE_UINT64):
-        return str(number)
-    if slot == C.VALUE_BOOL:
-        return "true" if number else "false"
-    return None
+def _numbers_at(raw: np.ndarray, at: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the number at each place, the place after it); each must end before its stop."""
+    number, at = np.zeros(len(at), np.uint64), at.copy()
+    unfinished = np.arange(len(at))
+    for seven in range(10):
+        if (at[unfinished] >= stop[unfinished]).any():
+            raise ValueError("the page ends within a number")
+        byte = raw[at[unfinished]]
+        number[unfinished] |= (byte & 0x7F).astype(np.uint64) << np.uint64(7 * seven)
+        at[unfinished] += 1
+        unfinished = unfinished[byte >= 0x80]
+        if not len(unfinished):
+            return number, at
+    raise ValueError("a number of more than ten bytes")
+
+
+class Fields:
+    """One field of each of many messages: its field number, wire type, number, and the range of its value.
 
+    ``number`` is that of wire type 0, and its range is that of its bytes; ``end`` is where the next field begins.
+    """
 
-def value_text(body: bytes, begin: int, end: int) -> tuple[int, str | None]:
-    """(explicit field index or -1, value as text) of one value message.
+    __slots__ = ("field", "kind", "number", "begin", "end")
+
+    def __init__(self, raw: np.ndarray, at: np.ndarray, stop: np.ndarray):
+        head, self.begin = _numbers_at(raw, at, stop)
+        self.field, self.kind = head >> np.uint64(3), (head & np.uint64(7)).astype(np.int64)
+        size = _SIZES[self.kind]
+        if (size < 0).any():
+            raise ValueError(f"unsupported wire type {self.kind[size < 0][0]} for field {self.field[size < 0][0]}")
+        self.number = np.zeros(len(at), np.uint64)
+        led = np.flatnonzero(size == 0)
+        number, after = _numbers_at(raw, self.begin[led], stop[led])
+        plain = self.kind[led] == 0
+        self.number[led[plain]] = number[plain]
+        size[led[plain]] = after[plain] - self.begin[led[plain]]
+        sized, number, after = led[~plain], number[~plain], after[~plain]
+        if (number > (stop[sized] - after).astype(np.uint64)).any():
+            raise ValueError("a field runs past its message")
+        self.begin[sized], size[sized] = after, number
+        self.end = self.begin + size
+        if (self.end > stop).any():
+            raise ValueError("a field runs past its message")
+
+    def check(self, which: np.ndarray, kind: int) -> np.ndarray:
+        """which, a mask of fields that must be of this wire type."""
+        if (self.kind[which] != kind).any():
+            raise ValueError(f"fields {set(self.field[which].tolist())} of another wire type than {kind}")
+        return which
+
+
+def _steps(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, Fields]]:
+    """The messages that have a first field with those fields, then those that have a second one, and so on."""
+    live = np.flatnonzero(begin < end)
+    at = begin[live]
+    while len(live):
+        f = Fields(raw, at, end[live])
+        yield live, f
+        more = f.end < end[live]
+        live, at = live[more], f.end[more]
+
+
+def _ranges(body: bytes, begin: np.ndarray, end: np.ndarray, kind: pa.DataType = pa.binary()) -> pa.Array:
+    """Ranges of the body, in its order and apart, as an Arrow column that shares its bytes until it is taken."""
+    ends = np.stack([begin, end], axis=1).ravel().astype(np.int32)
+    if not len(ends):
+        return pa.array([], kind)
+    found = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(body)])
+    return found.take(pa.array(np.arange(0, len(ends), 2))).cast(kind)  # every other one lies between two ranges
+
+
+def _fixed(raw: np.ndarray, begin: np.ndarray, form: str) -> list:
+    size = np.dtype(form).itemsize
+    return raw[begin[:, None] + np.arange(size)].view(form).ravel().astype(np.float64).tolist()
+
+
+class Values:
+    """Value messages, in the page's order: of each its explicit field index, if any, and its text.
 
     Of several value slots the lowest counts, of a repeated one the last.
     Numbers keep their size: an unsigned 64-bit number isn't wrapped.
     """
-    # most messages are one short string, one double or one number, and perhaps a small index after it
-    size = end - begin
-    if size >= 2:
-        head, index, stop = body[begin], -1, end
-        kind = head & 7
-        if kind == 2:
-            stop = begin + 2 + body[begin + 1]
-        elif kind == 1:
-            stop = begin + 9
-        elif kind == 0:
-            stop = begin + 2
-            while stop <= end and body[stop - 1] >= 0x80:
-                stop += 1
-        if stop + 2 == end and body[stop] == C.VALUE_INDEX << 3 and body[stop + 1] < 0x80:
-            index, end_ = body[stop + 1], stop
-        else:
-            end_ = end
-        if stop == end_:
-            if head == _STRING_HEAD and body[begin + 1] < 0x80:
-                return index, body[begin + 2 : stop].decode("utf-8")
-            if head == _DOUBLE_HEAD:
-                return index, repr(_DOUBLE(body, begin + 1)[0])
-            if kind == 0 and head < C.VALUE_INDEX << 3:
-                number = 0
-                for k in range(stop - 1, begin, -1):
-                    number = number << 7 | body[k] & 0x7F
-                return index, _number_text(head >> 3, number)
-    index, slot, number, first, last = -1, 99, 0, 0, 0
-    c = Cursor(body, begin, end)
-    while c.step():
-        if c.field == C.VALUE_INDEX:
-            index = c.number
-        elif c.field <= slot:
-            slot, number, first, last = c.field, c.number, c.begin, c.end
-    if slot == C.VALUE_STRING:
-        return index, body[first:last].decode("utf-8")
-    if slot in (C.VALUE_DOUBLE, C.VALUE_FLOAT):
-        return index, repr(struct.unpack_from("<d" if slot == C.VALUE_DOUBLE else "<f", body, first)[0])
-    return index, _number_text(slot, number)
-
-
-_ATTRIBUTE_HEAD = C.FEAT_ATTRIBUTES << 3 | 2
+
+    def __init__(self, body: bytes, raw: np.ndarray, begin: np.ndarray, end: np.ndarray):
+        n = len(begin)
+        self.body, self.raw = body, raw
+        self.indexed, self.index = np.zeros(n, bool), np.zeros(n, np.uint64)
+        self.slot, self.number = np.full(n, 99, np.uint64), np.zeros(n, np.uint64)
+        self.kind, self.begin, self.end = np.zeros(n, np.int64), begin.copy(), begin.copy()
+        for live, f in _steps(raw, begin, end):
+            index = f.check(f.field == C.VALUE_INDEX, 0)
+            self.indexed[live[index]], self.index[live[index]] = True, f.number[index]
+            better = ~index & (f.field <= self.slot[live])
+            for mine in ("slot", "number", "kind", "begin", "end"):
+                getattr(self, mine)[live[better]] = getattr(f, "field" if mine == "slot" else mine)[better]
+
+    def texts(self) -> pa.Array:
+        """The text of each value (null: no value)."""
+        found, places = [pa.nulls(1, pa.string())], np.zeros(len(self.slot), np.int64)
+        size = 1
+
+        def put(at: np.ndarray, texts: pa.Array) -> None:
+            nonlocal size
+            places[at] = size + np.arange(len(at))
+            found.append(texts)
+            size += len(at)
+
+        def of(kind: int, *slots: int) -> np.ndarray:
+            at = np.flatnonzero(np.isin(self.slot, np.array(slots, np.uint64)))
+            if (self.kind[at] != kind).any():
+                raise ValueError(f"a value in one of the slots {slots} is of another wire type than {kind}")
+            return at
+
+        at = of(2, C.VALUE_STRING)
+        put(at, _ranges(self.body, self.begin[at], self.end[at], pa.string()))
+        for slot, kind, form in ((C.VALUE_DOUBLE, 1, "<f8"), (C.VALUE_FLOAT, 5, "<f4")):
+            at = of(kind, slot)
+            put(at, pa.array(list(map(repr, _fixed(self.raw, self.begin[at], form))), pa.string()))
+        at = of(0, C.VALUE_SINT32, C.VALUE_SINT64)
+        number = self.number[at]
+        put(at, pa.array((number >> np.uint64(1)).view(np.int64) ^ -(number & np.uint64(1)).view(np.int64)).cast(pa.string()))
+        at = of(0, C.VALUE_INT64)
+        put(at, pa.array(self.number[at].view(np.int64)).cast(pa.string()))
+        at = of(0, C.VALUE_UINT32, C.VALUE_UINT64)
+        put(at, pa.array(self.number[at]).cast(pa.string()))
+        at = of(0, C.VALUE_BOOL)
+        put(at, pa.array(self.number[at] != 0).cast(pa.string()))
+        return pa.concat_arrays(found).take(pa.array(places))
 
 
 class Page:
@@ -236,74 +306,92 @@ class Page:
             elif c.field == C.TF_TRANSLATE:
                 self.shift = xy(c.inside())
 
-    def column_of(self, wanted: dict[str, int], place: int) -> int:
-        """The wanted column that a field's place in the header stands for, or -1; past the header its number is its name."""
-        return wanted.get(self.names[place] if place < len(self.names) else str(place), -1)
+    def _parts(self) -> tuple[tuple, tuple]:
+        """(feature, begin, end) of the attribute messages, by place, and of each feature's geometry message (the last)."""
+        raw = np.frombuffer(self.body, np.uint8)
+        spots = np.array(self.spots, np.int64).reshape(-1, 2)
+        attributes: list[tuple] = []
+        begin, end = np.full(len(spots), -1), np.full(len(spots), -1)
+        for live, f in _steps(raw, spots[:, 0], spots[:, 1]):
+            if np.isin(f.field, np.array([C.FEAT_SHAPE_BUFFER, C.FEAT_CURVE_GEOMETRY], np.uint64)).any():
+                raise ValueError("shape-buffer and curve geometries are not supported")
+            mine = f.check(f.field == C.FEAT_ATTRIBUTES, 2)
+            attributes.append((live[mine], f.begin[mine], f.end[mine]))
+            mine = f.check(f.field == C.FEAT_GEOMETRY, 2)
+            begin[live[mine]], end[live[mine]] = f.begin[mine], f.end[mine]
+        owner, first, last = (np.concatenate([x[i] for x in attributes] or [np.empty(0, np.int64)]) for i in range(3))
+        order = np.lexsort([first, owner])
+        shaped = np.flatnonzero(begin >= 0)
+        return (owner[order], first[order], last[order]), (shaped, begin[shaped], end[shaped])
+
+    def _values(self, owner: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[Values, np.ndarray]:
+        """The attribute values and their fields' places in the header: the explicit one, else that among its feature's."""
+        values = Values(self.body, np.frombuffer(self.body, np.uint8), begin, end)
+        start = np.searchsorted(owner, owner)  # sorted: where the feature's first attribute is
+        place = np.where(values.indexed, values.index, (np.arange(len(owner)) - start).astype(np.uint64))
+        return values, place
+
+    def columns(self, wanted: dict[str, int], geometry: bool) -> tuple[list[pa.Array], list[pa.Array]]:
+        """(values of each wanted attribute, [has geometry, type, lengths, coordinates]), each an Arrow column over the features."""
+        attributes, shaped = self._parts()
+        n, owner = len(self.spots), attributes[0]
+        values, place = self._values(*attributes)
+        texts = values.texts()
+        beyond = place >= np.uint64(len(self.names))
+        past = {str(x) for x in np.unique(place[beyond]).tolist()}
+        self.past |= past
+        # a field past the header has its number for a name; of fields of one name the last value counts
+        column = np.full(len(place), -1)
+        column[~beyond] = np.array([wanted.get(x, -1) for x in self.names] + [-1])[place[~beyond].astype(np.int64)]
+        for name in past & wanted.keys():
+            column[place == np.uint64(int(name))] = wanted[name]
+        out = []
+        for i in range(len(wanted)):
+            mine = np.flatnonzero(column == i)
+            at = np.full(n, -1)
+            at[owner[mine]] = mine
+            out.append(texts.take(pa.array(at, mask=at < 0)))
+        return out, self._shapes(*shaped) if geometry else []
+
+    def _shapes(self, feature: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[pa.Array]:
+        raw, n = np.frombuffer(self.body, np.uint8), len(self.spots)
+        has, kind, typed_ = np.zeros(n, bool), np.zeros(n, np.int64), np.zeros(n, bool)
+        has[feature] = True
+        found: dict[int, list] = {C.GEOM_LENGTHS: [], C.GEOM_COORDS: []}
+        for live, f in _steps(raw, begin, end):
+            mine = f.check(f.field == C.GEOM_TYPE, 0)
+            kind[feature[live[mine]]], typed_[feature[live[mine]]] = f.number[mine].view(np.int64), True
+            for field, ranges in found.items():  # packed; a single number is a field of its own
+                mine = f.field == field
+                if (~np.isin(f.kind[mine], (0, 2))).any():
+                    raise ValueError(f"field {field} of a geometry holds no numbers")
+                ranges.append((feature[live[mine]], f.begin[mine], f.end[mine]))
+        lists = []
+        for ranges in found.values():
+            owner, first, last = (np.concatenate([x[i] for x in ranges] or [np.empty(0, np.int64)]) for i in range(3))
+            order = np.lexsort([first, owner])
+            order = order[last[order] > first[order]]
+            owner, first, last = owner[order], first[order], last[order]
+            if (raw[last - 1] >= 0x80).any():
+                raise ValueError("a packed field ends within a number")
+            # the ranges one after the other, and how many numbers end in each
+            whole = b"".join(_ranges(self.body, first, last).to_pylist())
+            ends = np.concatenate([[0], np.cumsum(np.frombuffer(whole, np.uint8) < 0x80)])
+            edge = ends[np.concatenate([[0], np.cumsum(last - first)])]
+            count = np.bincount(owner, np.diff(edge), n).astype(np.int64)
+            offsets = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+            lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(packed_numbers(whole, 0, len(whole)))))
+        return [pa.array(has), pa.array(kind, mask=~typed_).cast(pa.int32()), *lists]
 
     def features(self, wanted: dict[str, int], geometry: bool) -> tuple[list[list], list[list]]:
-        """(values of each wanted attribute, [has geometry, type, lengths, coordinates]), each a list over the features."""
-        values: list[list] = [[] for _ in wanted]
-        shapes: list[list] = [[], [], [], []]
-        at_place = [self.column_of(wanted, i) for i in range(len(self.names))]
-        for begin, end in self.spots:
-            for column in values:
-                column.append(None)
-            shape, place, at, body = (False, None, [], []), 0, begin, self.body
-            while at < end:
-                if body[at] == _ATTRIBUTE_HEAD and at + 1 < end and body[at + 1] < 0x80:
-                    first = at + 2
-                    last = at = first + body[at + 1]
-                    if last > end:
-                        raise ValueError("an attribute runs past its feature")
-                else:  # anything but a short attribute
-                    c = Cursor(body, at, end)
-                    c.step()
-                    at = c.at
-                    if c.field in (C.FEAT_SHAPE_BUFFER, C.FEAT_CURVE_GEOMETRY):
-                        raise ValueError("shape-buffer and curve geometries are not supported")
-                    if c.field == C.FEAT_GEOMETRY and geometry:
-                        shape = self._shape(c.inside())
-                    if c.field != C.FEAT_ATTRIBUTES:
-                        continue
-                    first, last = c.begin, c.end
-                index, text = value_text(body, first, last)
-                spot = place if index < 0 else index
-                if spot < len(at_place):
-                    column = at_place[spot]
-                else:
-                    column = self.column_of(wanted, spot)
-                    self.past.add(str(spot))
-                if column >= 0:
-                    values[column][-1] = text
-                place += 1
-            if geometry:
-                for column, part in zip(shapes, shape):
-                    column.append(part)
-        return values, shapes
-
-    def _shape(self, c: Cursor) -> tuple[bool, int | None, list, list]:
-        kind, found = None, {C.GEOM_LENGTHS: [], C.GEOM_COORDS: []}
-        while c.step():
-            if c.field == C.GEOM_TYPE:
-                kind = c.number
-            elif c.field in found:  # packed; a single number is a field of its own
-                numbers = packed_numbers(c.body, c.begin, c.end).tolist() if c.end > c.begin else [c.number]
-                found[c.field] += numbers
-        return True, kind, found[C.GEOM_LENGTHS], found[C.GEOM_COORDS]
+        """``columns`` as lists."""
+        values, shapes = self.columns(wanted, geometry)
+        return [c.to_pylist() for c in values], [c.to_pylist() for c in shapes]
 
     def attribute_names(self) -> set[str]:
         """Names of the header's fields and of attributes past it."""
-        names = set(self.names)
-        for begin, end in self.spots:
-            place, c = 0, Cursor(self.body, begin, end)
-            while c.step():
-                if c.field == C.FEAT_ATTRIBUTES:
-                    index, _ = value_text(c.body, c.begin, c.end)
-                    spot = place if index < 0 else index
-                    if spot >= len(self.names):
-                        names.add(str(spot))
-                    place += 1
-        return names
+        _, place = self._values(*self._parts()[0])
+        return {*self.names, *(str(x) for x in np.unique(place[place >= np.uint64(len(self.names))]).tolist())}
 
 
 #: What a body that isn't a whole page raises while it is read.
@@ -339,7 +427,7 @@ def decode_pbf_pages(
 
     def read(body: bytes | None) -> tuple:
         page = Page(body)
-        return page, page.features(wanted, with_geometry)
+        return page, page.columns(wanted, with_geometry)
 
     wanted = {a.name: i for i, a in enumerate(attributes.fields)}
     schema = pa.schema([(f"a{i}", pa.string()) for i in range(len(wanted))] + [("page", pa.int64())] + (_GEOMETRY_ARROW if with_geometry else []))
@@ -363,7 +451,8 @@ def decode_pbf_pages(
                 columns += [[x] * n for x in same] + shapes
             if names:
                 columns.append([sorted({*page.names, *page.past})] + [None] * (n - 1))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+            arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     rows = pages.select("page", "body", expected).mapInArrow(split, ddl)
     if with_geometry:
@@ -381,7 +470,7 @@ def page_stats_pbf(pages: DataFrame) -> DataFrame:
             for page, offset, body in zip(*(batch.column(k).to_pylist() for k in ("page", "offset", "body"))):
                 try:
                     p = Page(body)
-                    p.features({}, True)
+                    p.columns({}, True)
                     out.append((page, offset, len(p.spots), p.exceeded, None, False))
                 except BROKEN:
                     out.append((page, offset, 0, False, None, True))

@@ -1,5 +1,7 @@
 """Binary pages built by hand (wire helpers), decoded by the Spark plan."""
 
+import struct
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +13,7 @@ from hypothesis import strategies as st
 from tessera.functions.geometry import zigzag
 from tessera.sources import fixture_pages as E
 from tessera.sources import page_codes as W
-from tessera.sources.binary import Cursor, Page, decode_pbf_pages, packed_numbers
+from tessera.sources.binary import BROKEN, Cursor, Page, decode_pbf_pages, packed_numbers
 
 ATTRS = T.StructType([T.StructField("ID_DOSSIER", T.StringType())])
 
@@ -189,3 +191,77 @@ def test_multipoint_layer_default_type_and_missing_coordinates(spark):
     assert g1.type == "multipoint"
     assert [[(v.x, v.y) for v in p] for p in g1.parts] == [[(1.0, -1.0), (2.0, -2.0)]]
     assert g2 is None
+
+
+_SLOTS = {
+    W.VALUE_STRING: lambda v: E.field_bytes(W.VALUE_STRING, v[0].encode()),
+    W.VALUE_DOUBLE: lambda v: E.field_double(W.VALUE_DOUBLE, v[1]),
+    W.VALUE_FLOAT: lambda v: E.tag(W.VALUE_FLOAT, 5) + struct.pack("<f", 0.1),
+    **{s: lambda v, s=s: E.field_varint(s, v[2]) for s in (W.VALUE_SINT32, W.VALUE_UINT32, W.VALUE_INT64, W.VALUE_UINT64, W.VALUE_SINT64, W.VALUE_BOOL, W.VALUE_NULL)},
+}
+_VALUE = st.tuples(st.text(max_size=200), st.floats(), st.integers(0, (1 << 64) - 1))
+_MESSAGE = st.tuples(st.lists(st.tuples(st.sampled_from(sorted(_SLOTS)), _VALUE), max_size=3), st.none() | st.integers(0, 5) | st.just(1 << 63))
+_FEATURE = st.tuples(st.lists(_MESSAGE, max_size=5), st.none() | st.tuples(st.integers(0, 4), st.lists(st.integers(0, 300), max_size=3), st.lists(st.integers(0, (1 << 64) - 1), max_size=6)))
+
+
+def _plain_text(slots):
+    """The text of (slot, value) pairs: the lowest slot, of it the last."""
+    if not slots:
+        return None
+    slot = min(s for s, _ in slots)
+    text, double, number = [v for s, v in slots if s == slot][-1]
+    signed = number - (1 << 64) if number >> 63 else number
+    zigzagged = -(number + 1 >> 1) if number & 1 else number >> 1
+    return {
+        W.VALUE_STRING: text, W.VALUE_DOUBLE: repr(double), W.VALUE_FLOAT: repr(float(np.float32(0.1))), W.VALUE_SINT32: str(zigzagged),
+        W.VALUE_SINT64: str(zigzagged), W.VALUE_INT64: str(signed), W.VALUE_UINT32: str(number), W.VALUE_UINT64: str(number),
+        W.VALUE_BOOL: "true" if number else "false", W.VALUE_NULL: None,
+    }[slot]
+
+
+@given(st.lists(_FEATURE, max_size=5))
+def test_columns_against_a_plain_reading(features):
+    """Any slots, repeated slots, explicit and too large places, long texts, packed and single numbers: as read one by one."""
+    body = b"".join(E.field_bytes(W.FR_FIELDS, E.field_bytes(W.FIELD_NAME, n)) for n in (b"A", b"B", b"A"))
+    wanted = {"A": 0, "B": 1, "4": 2, str(1 << 63): 3}
+    want, shapes, past = [[] for _ in wanted], [], set()
+    for messages, geometry in features:
+        inner = b""
+        for column in want:
+            column.append(None)
+        for place, (slots, index) in enumerate(messages):
+            value = b"".join(_SLOTS[s](v) for s, v in slots) + (E.field_varint(W.VALUE_INDEX, index) if index is not None else b"")
+            inner += E.field_bytes(W.FEAT_ATTRIBUTES, value)
+            spot = place if index is None else index
+            name = ("A", "B", "A")[spot] if spot < 3 else str(spot)
+            past |= {name} if spot >= 3 else set()
+            if name in wanted:
+                want[wanted[name]][-1] = _plain_text(slots)
+        shape = (False, None, [], [])
+        if geometry:
+            kind, lengths, coords = geometry
+            # the first coordinate by itself, the others packed
+            single = b"".join(E.field_varint(W.GEOM_COORDS, n) for n in coords[:1])
+            inner += E.field_bytes(W.FEAT_GEOMETRY, E.field_varint(W.GEOM_TYPE, kind) + E.field_packed(W.GEOM_LENGTHS, lengths) + single + E.field_packed(W.GEOM_COORDS, coords[1:]))
+            shape = (True, kind, lengths, [n - (1 << 64) if n >> 63 else n for n in coords])
+        shapes.append(shape)
+        body += E.field_bytes(W.FR_FEATURES, inner)
+    page = Page(_wrap(body))
+    values, got = page.features(wanted, True)
+    assert values == want
+    assert list(zip(*got)) == shapes
+    assert page.past == past and page.attribute_names() == {"A", "B", *past}
+    assert page.features({}, False) == ([], [])
+
+
+@given(st.binary(max_size=40), st.integers(0, 200))
+def test_a_damaged_page_is_read_or_refused(noise, at):
+    """Bytes overwritten anywhere in a page: rows or one of the errors that mark a page as broken."""
+    body = bytearray(_point_page() * 2)
+    body[at : at + len(noise)] = noise
+    try:
+        page = Page(bytes(body))
+        values, shapes = page.columns({"ID_DOSSIER": 0}, True)
+        assert all(len(c) == len(page.spots) for c in [*values, *shapes])
+    except BROKEN:
+        pass
