@@ -7,8 +7,10 @@ inner node of the tree has a vantage point v and the median distance mu of its
 points from v. A query at distance d from v whose k-th best distance so far is
 t needs the other side of mu only if |d - mu| <= t. ``relax`` sharpens this to
 relax * |d - mu| <= t: 1 is exact, larger values prune more and may miss some.
-Queries go down the tree in batches. A query whose k-th best score may be that
-of more points than were kept goes down once more for all points that good.
+Queries go down the tree in batches: first along their near sides to one leaf,
+whose points give a bound on t, then through each node once with all queries
+that need it. A query whose k-th best score may be that of more points than
+were kept goes down once more for all points that good.
 """
 
 from __future__ import annotations
@@ -23,8 +25,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm.frames import fresh, stored
 
-#: Vectors a shard has, about, and points a leaf has, at most.
-SHARD_ROWS, LEAF = 4096, 64
+#: Bytes of a shard's vectors as doubles, about (a task takes some five times that), and points a leaf has, at most.
+SHARD_BYTES, LEAF = 64 << 20, 64
 NEAREST, RELAX, QUERY_EVERY = 20, 1.0, 20
 #: Queries that go down a tree together.
 BATCH = 512
@@ -61,11 +63,14 @@ class VpTree:
     def search(self, queries: np.ndarray, k: int, relax: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
         """(inner products, points) of the k best of each query, unordered; missing ones are -inf, -1."""
         n = len(queries)
-        best, found = np.full((n, k), -np.inf), np.full((n, k), -1)
         squares, slack = self._lengths(queries)
+        # k real points of each query are as good as this, whatever the products' rounding
+        bound = np.full(n, -np.inf)
+        best, found = np.full((n, k), -np.inf), np.full((n, k), -1)
 
         def offer(who: np.ndarray, members: np.ndarray, value: np.ndarray) -> None:
-            better = (value > best[who].min(axis=1, keepdims=True)).any(axis=1)
+            least = np.maximum(bound[who], best[who].min(axis=1))
+            better = (value > least[:, None]).any(axis=1)
             who, value = who[better], value[better]
             if not len(who):
                 return
@@ -78,7 +83,8 @@ class VpTree:
         def distance(who: np.ndarray, value: np.ndarray) -> np.ndarray:
             return np.sqrt(np.maximum(squares[who] + self.most - 2 * value, 0.0))
 
-        def visit(at: int, who: np.ndarray) -> None:
+        def visit(at: int, who: np.ndarray, far: bool) -> None:
+            """Offers the points below a node; the far side of a query's mu too, if its bound allows."""
             if not len(who):
                 return
             node = self.nodes[at]
@@ -90,18 +96,24 @@ class VpTree:
             value = queries[who] @ self.points[vantage]
             offer(who, np.array([vantage]), value[:, None])
             d = distance(who, value)
-            near = d <= mu
-            visit(inside, who[near])
-            visit(outside, who[~near])
-            kth = best[who].min(axis=1)
-            t = np.where(np.isfinite(kth), distance(who, np.where(np.isfinite(kth), kth, 0.0)), np.inf)
-            # rounding of the distances must not cut off what the bound allows
-            other = relax * np.abs(d - mu) <= t + slack[who]
-            visit(outside, who[near & other])
-            visit(inside, who[~near & other])
+
+            def other() -> np.ndarray:
+                kth = np.maximum(bound[who], best[who].min(axis=1))
+                t = np.where(np.isfinite(kth), distance(who, np.where(np.isfinite(kth), kth, 0.0)), np.inf)
+                # rounding of the distances must not cut off what the bound allows
+                return ~(relax * np.abs(d - mu) > t + slack[who])
+
+            # a node is visited once for all queries: the side where most of them are first
+            sides = [(inside, d <= mu), (outside, d > mu)]
+            for child, near in sorted(sides, key=lambda s: -int(s[1].sum())):
+                visit(child, who[near | other()] if far else who[near], far)
 
         if self.root >= 0:
-            visit(self.root, np.arange(n))
+            # down the near sides to a leaf for a bound, then once more from the root for all that it allows
+            visit(self.root, np.arange(n), False)
+            bound = best.min(axis=1) - self.rounding * np.sqrt(squares * self.most)
+            best[:], found[:] = -np.inf, -1
+            visit(self.root, np.arange(n), True)
         return best, found
 
     def within(self, queries: np.ndarray, least: np.ndarray, relax: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
@@ -136,14 +148,9 @@ class VpTree:
 
 
 class Shard:
-    """Some vectors with their ids: of an id with several vectors the smallest, equal vectors as one point."""
+    """Some vectors with their ids, all different: equal vectors as one point."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, nearest: int):
-        order = np.lexsort([*vectors.T[::-1], ids])
-        ids, vectors = ids[order], vectors[order]
-        first = np.ones(len(ids), bool)
-        first[1:] = ids[1:] != ids[:-1]
-        ids, vectors = ids[first], vectors[first]
         points, which = np.unique(vectors, axis=0, return_inverse=True)
         order = np.lexsort([ids, which.ravel()])
         edge = np.searchsorted(which.ravel()[order], np.arange(len(points) + 1))
@@ -187,6 +194,24 @@ def usable(vector: Column) -> Column:
     return F.coalesce((F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def deal(rows: DataFrame, asks: Column, shards: int, blocks: int) -> DataFrame:
+    """(dim, query, id, v): partition ``shard * blocks + block`` has the shard's vectors, then (query = 1) the block's queries.
+
+    By length; a vector is in one shard and all blocks, a row that asks also in one block of each shard.
+    """
+
+    def spread(salt: int, parts: int) -> Column:
+        return F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(parts)).cast("int")
+
+    def every_one(parts: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+
+    own = rows.select(spread(0, shards).alias("shard"), every_one(blocks).alias("block"), "dim", F.lit(0).alias("query"), "id", "v")
+    asked = rows.where(asks).select(every_one(shards).alias("shard"), spread(1, blocks).alias("block"), "dim", F.lit(1).alias("query"), "id", "v")
+    both = own.unionByName(asked).repartitionById(shards * blocks, F.col("shard") * blocks + F.col("block"))
+    return both.sortWithinPartitions("dim", "query", "id").select("dim", "query", "id", "v")
+
+
 def nearest_neighbours(
     vectors: DataFrame,
     vec_id: str = "vec_id",
@@ -194,42 +219,50 @@ def nearest_neighbours(
     every: int = QUERY_EVERY,
     k: int = NEAREST,
     relax: float = RELAX,
-    shard_rows: int = SHARD_ROWS,
+    shard_bytes: int = SHARD_BYTES,
+    shard_rows: int | None = None,
+    blocks: int | None = None,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest of each row whose id is divisible by every, among all others.
 
     Unusable vectors (null, zero, with a null or non-finite component) and null
     ids take no part; only vectors of the same length are compared. Repeated
-    rows of an id count once (of different vectors the smallest). Ties go to
-    the smaller id. A query with fewer than k candidates has all of them.
-
-    Vectors are dealt to shards by their id, about shard_rows each; every query
-    goes to every shard, whose task builds the tree and then takes the queries
-    as they come, ``BATCH`` at a time. What is shuffled is the vectors once and
-    the stated query set once a shard.
+    rows of an id count once (of different vectors the smallest), reduced
+    before they are dealt. Ties go to the smaller id. A query with fewer than k
+    candidates has all of them.
+
+    Vectors are dealt by a hash of their id to shards of about shard_bytes (or
+    shard_rows vectors), queries to blocks. Each task has a shard and a block:
+    it builds the tree and takes the block's queries as they come, ``BATCH`` at
+    a time, so a block may be of any size. What is shuffled is a vector once a
+    block and a query once a shard. Blocks (if not given) are as many as give
+    each core two tasks, of at least ``BATCH`` queries each: one from a table
+    on that has more shards than that.
     """
     fresh(vectors.select(F.col(vec_id).alias("vec_id")), "query_id", "rank", "score")
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).alias("v")).where(F.col("id").isNotNull() & usable(F.col("v")))
-    rows = stored(rows.withColumn("dim", F.size("v")))
-    shards = max(1, math.ceil(rows.count() / shard_rows))
-    own = rows.select("dim", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("query"), "id", "v")
-    asked = rows.where(F.col("id") % every == 0).groupBy("dim", "id").agg(F.min("v").alias("v"))
     # of an id with vectors of several lengths each length is a query of its own; the best is kept below
-    asked = asked.select("dim", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("query"), "id", "v")
-    dealt = own.unionByName(asked).repartition(shards, "dim", "shard").sortWithinPartitions("dim", "shard", "query", "id")
+    rows = stored(rows.groupBy(F.size("v").alias("dim"), "id").agg(F.min("v").alias("v")))
+    asks = F.col("id") % every == 0
+    n, queries, size, least, most = rows.agg(F.count("*"), F.count_if(asks), F.sum(F.col("dim").cast("long")), F.min("dim"), F.max("dim")).first()
+    shards = max(1, math.ceil(n / shard_rows if shard_rows else 8 * (size or 0) / shard_bytes))
+    if blocks is None:
+        blocks = max(1, min(math.ceil(2 * vectors.sparkSession.sparkContext.defaultParallelism / shards), queries // BATCH))
+
+    dealt = deal(rows, asks, shards, blocks)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, shard, held = None, None, []
         for batch in batches:
-            dim, part, query, ids = (batch.column(i).to_numpy() for i in range(4))
+            dim, query, ids = (batch.column(i).to_numpy() for i in range(3))
             if not len(dim):
                 continue
-            flat = batch.column(4).flatten().to_numpy(zero_copy_only=False)
+            flat = batch.column(3).flatten().to_numpy(zero_copy_only=False)
             begin = np.concatenate([[0], np.cumsum(dim)[:-1]])
-            cuts = np.flatnonzero((dim[1:] != dim[:-1]) | (part[1:] != part[:-1]) | (query[1:] != query[:-1])) + 1
+            cuts = np.flatnonzero((dim[1:] != dim[:-1]) | (query[1:] != query[:-1])) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(dim)]):
-                if (dim[a], part[a]) != at:
-                    at, shard, held = (dim[a], part[a]), None, []
+                if dim[a] != at:
+                    at, shard, held = dim[a], None, []
                 x = flat[begin[a] : begin[b - 1] + dim[b - 1]].reshape(b - a, dim[a])
                 if not query[a]:
                     held.append((ids[a:b], x))
@@ -237,7 +270,7 @@ def nearest_neighbours(
                 if shard is None:
                     if not held:
                         continue
-                    shard = Shard(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), k)
+                    shard, held = Shard(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), k), []
                 for c in range(0, b - a, BATCH):
                     found = list(shard.nearest(ids[a + c : min(b, a + c + BATCH)], x[c : c + BATCH], k, relax))
                     if found:
@@ -247,7 +280,7 @@ def nearest_neighbours(
     found = dealt.mapInArrow(work, "query_id long, vec_id long, score double")
     # the k best of each shard are few; of an id met with several lengths the best counts
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")) if rows.select("dim").distinct().count() > 1 else found
+    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")) if least != most else found
     ranked = once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 

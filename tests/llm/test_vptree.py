@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tests.conftest import SF0001
 from tessera.llm import vptree
@@ -23,8 +24,28 @@ def test_exact(spark):
     vectors = spark.read.parquet(f"{SF0001}/embeddings.parquet")
     rows = [(r.vec_id, np.array(r.embedding, np.float32)) for r in vectors.collect()]
     want = brute(rows, 20, 20)
-    for shard_rows in (4096, 60):
-        assert sorted(map(tuple, vptree.nearest_neighbours(vectors, shard_rows=shard_rows).collect())) == want
+    for dealt in ({}, {"shard_rows": 60}, {"blocks": 3}, {"shard_bytes": 1 << 16, "blocks": 2}):
+        assert sorted(map(tuple, vptree.nearest_neighbours(vectors, **dealt).collect())) == want
+
+
+def test_every_task_has_one_shard_and_one_block(spark):
+    """As many partitions as shards times blocks, of about the same size; every query meets every vector once."""
+    rows = spark.range(20_000).select(F.lit(1).alias("dim"), "id", F.array(F.col("id") + 0.5).alias("v"))
+    dealt = vptree.deal(rows, F.col("id") % 20 == 0, 4, 3).withColumn("p", F.spark_partition_id())
+    sizes = {(r.p, r.query): r["count"] for r in dealt.groupBy("p", "query").count().collect()}
+    assert sorted({p for p, _ in sizes}) == list(range(12))
+    assert all(4500 < sizes[p, 0] < 5500 and 270 < sizes[p, 1] < 400 for p in range(12))
+    # a vector lies in a block each, a query in a shard each, so that the two meet in one partition
+    where = {(r.query, r.id): set(r.ps) for r in dealt.groupBy("query", "id").agg(F.collect_list("p").alias("ps")).where("id < 400").collect()}
+    assert all(len(where[0, i] & where[1, q]) == 1 for i in range(400) for q in range(0, 400, 20))
+
+
+def test_a_hot_id(spark):
+    """An id with a third of all rows, of equal and of different vectors: the smallest counts, once."""
+    rows = [(40, [float(1 + i % 3), 1.0]) for i in range(200)] + [(i, [float(i % 17), 1.0]) for i in range(41, 441)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = brute([(40, [1.0, 1.0]), *rows[200:]], 20, 20)
+    assert sorted(map(tuple, vptree.nearest_neighbours(vectors, shard_rows=100, blocks=2).collect())) == want
 
 
 def test_relaxed_recall(spark):
