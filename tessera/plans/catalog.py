@@ -757,6 +757,32 @@ def q_outer_ring_wkt(spark, sf_dir):
     )
 
 
+@register(
+    "layer_geometry",
+    _with(
+        _RAW,
+        (
+            "g",
+            f"""select OBJECTID, EGID, AGENT_ENERGETIQUE_1 as a,
+  {FOOTPRINT_X0}::double + (EGID - 9990.0) * 7.0::double as x,
+  {FOOTPRINT_Y0}::double + cast(OBJECTID as double) * 0.5::double as y from raw where SRE > 100""",
+        ),
+        body=f"""select OBJECTID, EGID, 2056 as wkid, case when a = '1-URGENT' then 2 else 1 end as n_parts,
+  'POLYGON ((' || {_ring_sql("x", "y", FOOTPRINT_SIDE)} || '))' as wkt from g""",
+    ),
+)
+def q_layer_geometry(spark, sf_dir):
+    """A landed layer of binary pages as typed rows with footprints; the filter reaches the read of its pages."""
+    root = scratch_path(spark, "readings-geometry")
+    land_layer(
+        readings_with_footprint(spark, sf_dir), root, PAGE, key="OBJECTID", layer="HEAT_INDEX", fmt="pbf", geometry="geometry", quantize=PBF_QUANTIZE
+    )
+    rows = load_layer(spark, path=root, format="pbf", fields="OBJECTID,EGID,SRE", with_geometry=True).where("SRE > 100")
+    return rows.select(
+        "OBJECTID", "EGID", "geometry.wkid", F.size("geometry.parts").alias("n_parts"), outer_ring_wkt(F.col("geometry")).alias("wkt")
+    )
+
+
 @register(
     "encoding_agreement",
     _with(

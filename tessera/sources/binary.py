@@ -31,7 +31,7 @@ _GEOMETRY_DDL = (
     "default_type int, wkid int, origin int, sx double, sy double, tx double, ty double, "
     "has_geometry boolean, gtype int, lengths array<bigint>, coords array<bigint>"
 )
-_GEOMETRY_ARROW = [
+GEOMETRY_ARROW = [
     ("default_type", pa.int32()), ("wkid", pa.int32()), ("origin", pa.int32()),
     ("sx", pa.float64()), ("sy", pa.float64()), ("tx", pa.float64()), ("ty", pa.float64()),
     ("has_geometry", pa.bool_()), ("gtype", pa.int32()),
@@ -430,7 +430,7 @@ def decode_pbf_pages(
         return page, page.columns(wanted, with_geometry)
 
     wanted = {a.name: i for i, a in enumerate(attributes.fields)}
-    schema = pa.schema([(f"a{i}", pa.string()) for i in range(len(wanted))] + [("page", pa.int64())] + (_GEOMETRY_ARROW if with_geometry else []))
+    schema = pa.schema([(f"a{i}", pa.string()) for i in range(len(wanted))] + [("page", pa.int64())] + (GEOMETRY_ARROW if with_geometry else []))
     ddl = ", ".join([*[f"a{i} string" for i in range(len(wanted))], "page bigint", *([_GEOMETRY_DDL] if with_geometry else [])])
     if names:
         schema = schema.append(pa.field("names", pa.list_(pa.string())))

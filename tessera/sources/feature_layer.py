@@ -14,10 +14,14 @@ Every filter is also handed back to Spark, so a server that compares text in
 its own way doesn't change the result. With ``predicates`` (key chunks, see
 ``operators.keys.key_chunks``) a live layer is asked for each chunk by a task of
 its own; of a landed one every page that may hold one of the keys is opened
-once, whatever the number of chunks. Options are those of ``feature_pages``; geometry isn't read here (use
-``read_layer(with_geometry=True)``), and ``push_filters`` (false; ``load_layer``
+once, whatever the number of chunks. Options are those of ``feature_pages`` and ``push_filters`` (false; ``load_layer``
 sets it where the session has ``spark.sql.python.filterPushdown.enabled``, which
 ``get_session`` does; without it all rows are read and Spark filters them). Every read is idempotent, so task retries are safe.
+
+With ``returnGeometry`` the rows also have a column ``geometry_raw``: a feature's
+geometry as its page holds it, taken for the rows that pass only.
+``load_layer(with_geometry=True)`` makes the typed ``geometry`` of it, a
+projection above the read, through which filters on attributes still go down.
 """
 
 from __future__ import annotations
@@ -29,25 +33,33 @@ import json
 import math
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.pandas.types import from_arrow_type
 
 from tessera.schemas import schema_from_fields
 from tessera.sources import feature_source as S
-from tessera.sources.binary import Page
-from tessera.sources.pages import fault
+from tessera.sources.binary import BROKEN, GEOMETRY_ARROW, Page, decode_geometries
+from tessera.sources.pages import fault, geometry_from_text
 
 #: Rows that leave a task at once.
 BATCH_ROWS = 10_000
 #: Bits of a page's key filter for each of its rows, and places a key has in it.
 KEY_BITS, KEY_PLACES = 16, 3
 
+#: A feature's geometry as its page holds it: the text of a JSON page, or what a binary one says of it.
+RAW = "geometry_raw"
+_RAW_ARROW = pa.struct([("text", pa.string()), *GEOMETRY_ARROW])
+_RAW_TYPE = from_arrow_type(_RAW_ARROW)
+
 # ---------------------------------------------------------------------------
 # Values
 # ---------------------------------------------------------------------------
@@ -60,6 +72,10 @@ class NotOfType(ValueError):
     pass
 
 
+#: What a body that isn't a page raises while it is read.
+CORRUPT = (*BROKEN, KeyError, TypeError, AttributeError)
+
+
 def _whole(value, bits: int) -> int:
     if isinstance(value, str):
         try:
@@ -291,9 +307,16 @@ SUMMARY_DDL = "page bigint, field string, rows bigint, nulls bigint, low double,
 def summarize_pages(pages: DataFrame, root: str, fields: list[str]) -> None:
     """Writes ``<root>/summary``: for each page and named attribute rows, nulls, least and greatest value and key bits.
 
-    One pass over a page table, in Spark tasks; a page at fault gets no
-    summary and is always read.
+    One pass over a page table, in Spark tasks. Values are taken as the type
+    that ``<root>/layer.json`` declares, so those of binary pages have an order
+    too; a page at fault, or with a value of another type, gets no summary and
+    is always read.
     """
+    declared = FeatureLayer({"path": root}).declared()
+    unknown = set(fields) - set(declared.fieldNames())
+    if unknown:
+        raise ValueError(f"the layer has no field {sorted(unknown)}")
+    types_of = {f: declared[f].dataType for f in fields}
 
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -301,14 +324,12 @@ def summarize_pages(pages: DataFrame, root: str, fields: list[str]) -> None:
             for page, body in zip(batch.column("page").to_pylist(), batch.column("body")):
                 try:
                     held = read_page(body.as_py())
-                    columns = held.values(fields, None)
-                except (ValueError, TypeError, AttributeError):
+                    columns = [typed_values(v, types_of[f], f).to_pylist() for f, v in zip(fields, held.values(fields, None))]
+                except CORRUPT:
                     continue
                 for name, values in zip(fields, columns):
-                    there = [v for v in values if v is not None]
+                    there = [v.isoformat() if isinstance(v, dt.date) else v for v in values if v is not None]
                     text = any(isinstance(v, str) for v in there)
-                    if text:
-                        there = [v if isinstance(v, str) else json.dumps(v) for v in there]
                     ends = (min(there), max(there)) if there and not any(v != v for v in there) else (None, None)
                     row = (page, name, len(values), len(values) - len(there))
                     numbers = (None, None) if text or ends[0] is None else (math.nextafter(float(ends[0]), -math.inf), math.nextafter(float(ends[1]), math.inf))
@@ -363,7 +384,15 @@ class JsonPage:
         features = doc.get("features") or []
         self.count, self.exceeded = len(features), bool(doc.get("exceededTransferLimit"))
         self.error = (doc["error"] or {}).get("code", 0) if doc.get("error") is not None else None
-        self.rows = [f["attributes"] for f in features if f and f.get("attributes") is not None]
+        self.features = [f for f in features if f and f.get("attributes") is not None]
+        self.rows = [f["attributes"] for f in self.features]
+
+    def shapes(self, rows: np.ndarray | None) -> pa.Array:
+        """The geometries as ``geometry_raw``."""
+        some = self.features if rows is None else [self.features[i] for i in rows.tolist()]
+        shapes = [f.get("geometry") for f in some]
+        texts = pa.array([None if g is None else json.dumps(g) for g in shapes], pa.string())
+        return pa.StructArray.from_arrays([texts, *[pa.nulls(len(some), t) for _, t in GEOMETRY_ARROW]], fields=list(_RAW_ARROW))
 
     def values(self, names: list[str], rows: np.ndarray | None) -> list[list]:
         some = self.rows if rows is None else [self.rows[i] for i in rows.tolist()]
@@ -376,23 +405,37 @@ class BinaryPage:
         self.count, self.exceeded, self.error = len(self.page.spots), self.page.exceeded, None
         self.rows = self.page.spots
 
-    def values(self, names: list[str], rows: np.ndarray | None) -> list[list]:
+    @contextmanager
+    def _only(self, rows: np.ndarray | None) -> Iterator[Page]:
+        """The page as if it held these features alone."""
         spots = self.page.spots
         if rows is not None:
             self.page.spots = [spots[i] for i in rows.tolist()]
         try:
-            return self.page.features({n: i for i, n in enumerate(names)}, False)[0]
+            yield self.page
         finally:
             self.page.spots = spots
 
+    def values(self, names: list[str], rows: np.ndarray | None) -> list[list]:
+        with self._only(rows) as page:
+            return page.features({n: i for i, n in enumerate(names)}, False)[0]
+
+    def shapes(self, rows: np.ndarray | None) -> pa.Array:
+        """The geometries as ``geometry_raw``."""
+        with self._only(rows) as page:
+            n, own = len(page.spots), page.columns({}, True)[1]
+            same = (page.default_type, page.wkid, page.origin, *page.scale, *page.shift)
+            columns = [pa.nulls(n, pa.string()), *[pa.array([x] * n, t) for x, (_, t) in zip(same, GEOMETRY_ARROW)], *own]
+        return pa.StructArray.from_arrays([c.cast(f.type) for c, f in zip(columns, _RAW_ARROW)], fields=list(_RAW_ARROW))
+
 
 def read_page(body: bytes) -> JsonPage | BinaryPage:
     """A page by what its body looks like: servers answer errors in JSON whatever was asked for."""
     return JsonPage(body) if body.lstrip()[:1] in (b"{", b"[") else BinaryPage(body)
 
 
-def page_columns(held: JsonPage | BinaryPage, schema: T.StructType, tests: list[Test]) -> tuple[int, list[pa.Array]]:
-    """(rows that pass, their columns): the tested attributes are typed first, the others for the rows that pass."""
+def page_columns(held: JsonPage | BinaryPage, schema: T.StructType, tests: list[Test], shaped: bool = False) -> tuple[int, list[pa.Array]]:
+    """(rows that pass, their columns): the tested attributes are typed first, the others and (shaped, last) the geometries for the rows that pass."""
     names = schema.fieldNames()
     n, rows = len(held.rows), None
     made: dict[str, pa.Array] = {}
@@ -413,7 +456,10 @@ def page_columns(held: JsonPage | BinaryPage, schema: T.StructType, tests: list[
     if n and rest:
         for name, values in zip(rest, held.values(rest, rows)):
             made[name] = typed_values(values, schema[name].dataType, name)
-    return n, [made.get(f, pa.array([], arrow_type(schema[f].dataType, f))) for f in names]
+    columns = [made.get(f, pa.array([], arrow_type(schema[f].dataType, f))) for f in names]
+    if shaped:
+        columns.append(held.shapes(rows) if n else pa.array([], _RAW_ARROW))
+    return n, columns
 
 
 # ---------------------------------------------------------------------------
@@ -479,24 +525,29 @@ class FeatureLayerReader(DataSourceReader):
         if unknown:
             raise ValueError(f"the layer has no field {sorted(unknown)}")
         read = T.StructType([f for f in schema if f in self.wanted.fields or f.name in {x.column for x in tests}])
-        names = self.wanted.fieldNames()
-        at = [read.fieldNames().index(n) for n in names]
-        arrow = pa.schema([(f.name, arrow_type(f.dataType, f.name)) for f in self.wanted])
+        shaped = o["geometry"]
+        places = {n: i for i, n in enumerate([*read.fieldNames(), *([RAW] if shaped else [])])}
+        at = [places[n] for n in self.wanted.fieldNames()]
+        arrow = pa.schema([(f.name, _RAW_ARROW if f.name == RAW else arrow_type(f.dataType, f.name)) for f in self.wanted])
         for page in pages:
             offset = page * partition.chunk
             body = S.patiently(lambda: t.page(offset, partition.chunk, o["format"]), o["max_retries"])  # noqa: B023
             try:
                 held = None if body is None else read_page(body)
-            except (ValueError, KeyError, TypeError, AttributeError) as e:
+            except CORRUPT as e:
                 raise ValueError(f"page {page}: corrupt: {e}") from e
             expected = min(partition.chunk, total - offset)
             status = "missing" if held is None else fault(expected, held.count, held.exceeded, held.error)
             if status:
                 raise ValueError(f"page {page}: {status}")
+            if shaped and o["format"] == "json" and isinstance(held, BinaryPage):
+                raise ValueError(f"page {page}: binary, where JSON was asked for")
             try:
-                n, columns = page_columns(held, read, tests)
+                n, columns = page_columns(held, read, tests, shaped)
             except NotOfType as e:
                 raise ValueError(f"page {page}: {e}") from e
+            except CORRUPT as e:
+                raise ValueError(f"page {page}: corrupt: {e}") from e
             if n:
                 whole = pa.RecordBatch.from_arrays([columns[i] for i in at], schema=arrow)
                 for a in range(0, n, BATCH_ROWS):
@@ -522,8 +573,6 @@ class FeatureLayer(DataSource):
     def __init__(self, options):
         super().__init__(options)
         self.parsed = S._options(options)
-        if self.parsed["geometry"]:
-            raise ValueError("feature_layer reads attributes; use read_layer(with_geometry=True) for the geometry")
         self.pushed = str({k.lower(): v for k, v in dict(options).items()}.get("push_filters", "false")).lower() == "true"
         self._declared: T.StructType | None = None
 
@@ -538,37 +587,65 @@ class FeatureLayer(DataSource):
 
     def schema(self) -> T.StructType:
         have, asked = self.declared(), self.parsed["fields"].strip()
-        if asked == "*":
-            return have
-        names = [f.strip() for f in asked.split(",") if f.strip()]
+        names = have.fieldNames() if asked == "*" else [f.strip() for f in asked.split(",") if f.strip()]
         unknown = set(names) - set(have.fieldNames())
         if unknown:
             raise ValueError(f"the layer has no field {sorted(unknown)}")
-        return T.StructType([have[n] for n in names])
+        shape = []
+        if self.parsed["geometry"]:
+            clashing = [n for n in names if n.lower() in ("geometry", RAW)]
+            if clashing:
+                raise ValueError(f"an attribute {clashing[0]} would clash with the geometry; name the others in the option fields")
+            shape = [T.StructField(RAW, _RAW_TYPE)]
+        return T.StructType([have[n] for n in names] + shape)
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         for f in schema:
-            arrow_type(f.dataType, f.name)
+            if f.name != RAW:
+                arrow_type(f.dataType, f.name)
         return (PushedLayerReader if self.pushed else FeatureLayerReader)(self.parsed, self.declared(), schema)
 
 
-def load_layer(spark: SparkSession, path: str | None = None, url: str | None = None, **options) -> DataFrame:
-    """The layer as typed rows, lazily; ``where`` on them reaches the read if the session has filter pushdown on."""
+def with_geometries(rows: DataFrame, binary: bool) -> DataFrame:
+    """Rows with ``geometry_raw`` -> with ``geometry`` (last): a projection; binary: pages may be binary as well as JSON."""
+    names = [c for c in rows.columns if c != RAW]
+    # the attributes under names that the decoding doesn't use
+    own = rows.select(*[F.col(f"`{c}`").alias(f"a{i}") for i, c in enumerate(names)], F.col(RAW).alias("_raw"))
+    read = own.withColumn("_json", geometry_from_text(F.col("_raw.text")))
+    if binary:
+        read = decode_geometries(read.select(*own.columns, "_json", "_raw.*"))
+        shape = F.coalesce("_json", "geometry")
+    else:
+        shape = F.col("_json")
+    return read.select(*[F.col(f"a{i}").alias(c) for i, c in enumerate(names)], shape.alias("geometry"))
+
+
+def load_layer(
+    spark: SparkSession, path: str | None = None, url: str | None = None, with_geometry: bool = False, **options
+) -> DataFrame:
+    """The layer as typed rows, lazily; ``where`` on them reaches the read if the session has filter pushdown on.
+
+    with_geometry: a last column ``geometry`` (``schemas.GEOMETRY``; null for a
+    feature without one). A curve, or a geometry that isn't one, raises.
+    """
     spark.dataSource.register(FeatureLayer)
     reader = spark.read.format("feature_layer")
     on = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false").lower() == "true"
-    options = {"push_filters": on, **options}
+    options = {"push_filters": on, **options, **({"returnGeometry": True} if with_geometry else {})}
     for k, v in {"path": path, "url": url, **options}.items():
         if v is not None:
             reader = reader.option(k, str(v).lower() if isinstance(v, bool) else str(v))
-    return reader.load()
+    rows = reader.load()
+    return with_geometries(rows, str(options.get("format", "json")).lower() != "json") if with_geometry else rows
 
 
-def load_keys(spark: SparkSession, chunks: DataFrame, path: str | None = None, url: str | None = None, **options) -> DataFrame:
+def load_keys(
+    spark: SparkSession, chunks: DataFrame, path: str | None = None, url: str | None = None, with_geometry: bool = False, **options
+) -> DataFrame:
     """The layer's rows of requested keys, by the chunks of ``operators.keys.key_chunks``.
 
     The chunks' texts go through the driver, as any option of a source does.
     Chunks have no key in common, so no row comes twice.
     """
     predicates = [r.predicate for r in chunks.orderBy("chunk").select("predicate").collect()]
-    return load_layer(spark, path, url, predicates=json.dumps(predicates), **options)
+    return load_layer(spark, path, url, with_geometry, predicates=json.dumps(predicates), **options)

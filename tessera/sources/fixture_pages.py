@@ -314,15 +314,16 @@ def land_layer(
     layer: str = "layer",
     fmt: str = "json",
     geometry: str | None = None,
+    quantize: dict | None = None,
 ) -> int:
     """Pack ``features`` into offset pages and land them under ``root``.
 
-    Returns the row count. ``root`` must be shared by all executors.
+    quantize: the transform of binary pages' coordinates. Returns the row count. ``root`` must be shared by all executors.
     """
     if fmt == "json":
         pages = pack_json_pages(features, chunk_size, key=key, layer=layer, geometry=geometry)
     else:
-        pages = pack_pbf_pages(features, chunk_size, key=key, layer=layer, geometry=geometry)
+        pages = pack_pbf_pages(features, chunk_size, key=key, layer=layer, geometry=geometry, quantize=quantize)
     pages = pages.checkpoint(eager=True)
     feature_source.land_pages(pages, root)
     total = int(pages.agg(F.coalesce(F.sum("expected_rows"), F.lit(0))).first()[0])

@@ -47,6 +47,8 @@ _JSON_GEOMETRY = T.StructType(
         T.StructField("points", T.ArrayType(T.ArrayType(T.DoubleType()))),
         T.StructField("paths", T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))),
         T.StructField("rings", T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))),
+        T.StructField("curvePaths", T.StringType()),
+        T.StructField("curveRings", T.StringType()),
         T.StructField(
             "spatialReference",
             T.StructType(
@@ -181,7 +183,7 @@ def _geometry_from_json(g: Column) -> Column:
     )
     sr = g["spatialReference"]
     wkid = F.coalesce(F.nullif(sr["wkid"], F.lit(0)), F.nullif(sr["latestWkid"], F.lit(0)))
-    return F.when(
+    shape = F.when(
         g.isNotNull() & gtype.isNotNull(),
         F.struct(
             gtype.alias("type"),
@@ -191,6 +193,13 @@ def _geometry_from_json(g: Column) -> Column:
             wkid.alias("wkid"),
         ),
     ).cast(GEOMETRY)
+    curve = g["curvePaths"].isNotNull() | g["curveRings"].isNotNull()
+    return F.when(curve, F.raise_error(F.lit("curve geometries are not supported")).cast(GEOMETRY)).otherwise(shape)
+
+
+def geometry_from_text(text: Column) -> Column:
+    """The JSON text of a geometry -> GEOMETRY; null stays null, what isn't a geometry raises."""
+    return _geometry_from_json(F.from_json(text, _JSON_GEOMETRY, {"mode": "FAILFAST"}))
 
 
 def fault(expected, actual, exceeded, error_code=None, corrupt=False, present=True):

@@ -12,11 +12,12 @@ from pyspark.sql.datasource import (
 )
 
 from tessera.operators.keys import key_chunks, normalize_keys
+from tessera.schemas import GEOMETRY
 from tessera.sources import feature_layer as L
 from tessera.sources import feature_source as S
 from tessera.sources.fixture_pages import land_layer, pack_json_pages
-from tessera.sources.fixtures import raw_readings
-from tessera.sources.layer import read_pages
+from tessera.sources.fixtures import raw_readings, readings_with_footprint
+from tessera.sources.layer import read_layer, read_pages
 
 SF = "/root/testdata/sf0.001"
 
@@ -108,17 +109,18 @@ def test_without_pushdown_spark_filters(spark, landed):
         spark.conf.set(key, kept)
 
 
-def test_pages_without_a_match_are_not_opened(spark, landed, counting):
-    reader = _reader([GreaterThan(("SRE",), 10**6)], path=landed["json"])
-    assert _rows(reader) == [] and counting.opened == []
-    total = sum(1 for _ in _rows(_reader(path=landed["json"])))
+@pytest.mark.parametrize("fmt", ["json", "pbf"])
+def test_pages_without_a_match_are_not_opened(spark, landed, counting, fmt):
+    read = lambda filters=(), **o: _rows(_reader(filters, path=landed[fmt], format=fmt, **o))
+    assert read([GreaterThan(("SRE",), 10**6)]) == [] and counting.opened == []
+    total = len(read())
     every = len(counting.opened)
     assert every == -(-total // 100)
     counting.opened.clear()
-    ids = [r["OBJECTID"] for r in _rows(_reader(path=landed["json"], fields="OBJECTID"))]
+    ids = [r["OBJECTID"] for r in read(fields="OBJECTID")]
     for filters, n in (([EqualTo(("OBJECTID",), ids[250])], 1), ([In(("OBJECTID",), (ids[5], ids[1250]))], 2), ([LessThanOrEqual(("OBJECTID",), ids[110])], 111)):
         counting.opened.clear()
-        assert len(_rows(_reader(filters, path=landed["json"]))) == n
+        assert len(read(filters)) == n
         assert len(counting.opened) == min(n, 2)
 
 
@@ -167,6 +169,117 @@ def test_without_summary_all_pages_are_read(spark, tmp_path, counting):
     assert len(rows) == raw.where("SRE > 100").count() and len(counting.opened) == -(-raw.count() // 500)
 
 
+# --- geometry ----------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def shaped(spark, tmp_path_factory):
+    """The readings with footprints (every seventh without) as JSON and as binary pages of 100, with a summary of SRE."""
+    rows = readings_with_footprint(spark, SF)
+    rows = rows.withColumn("geometry", F.when(F.col("OBJECTID") % 7 != 0, F.col("geometry")))
+    roots = {}
+    for fmt in ("json", "pbf"):
+        roots[fmt] = str(tmp_path_factory.mktemp(f"shaped-{fmt}"))
+        land_layer(rows, roots[fmt], 100, fmt=fmt, geometry="geometry", quantize={"sx": 0.001, "sy": 0.001, "tx": 2480000.0, "ty": 1200000.0})
+        L.summarize_pages(read_pages(spark, path=roots[fmt], format=fmt), roots[fmt], ["SRE"])
+    return roots
+
+
+@pytest.mark.parametrize("fmt", ["json", "pbf"])
+def test_geometry_is_that_of_the_bulk_read(spark, shaped, fmt):
+    raw = raw_readings(spark, SF)
+    want = read_layer(spark, raw.schema, path=shaped[fmt], with_geometry=True, response_format=fmt)
+    df = L.load_layer(spark, path=shaped[fmt], with_geometry=True, format=fmt)
+    assert df.dtypes == [*raw.dtypes, ("geometry", GEOMETRY.simpleString())]
+    rows = df.collect()
+    assert sorted(map(str, rows)) == sorted(map(str, want.collect()))
+    assert all((r.geometry is None) == (r.OBJECTID % 7 == 0) for r in rows) and any(r.geometry is None for r in rows)
+    some = L.load_layer(spark, path=shaped[fmt], with_geometry=True, format=fmt, fields="OBJECTID").where("OBJECTID < 40").orderBy("OBJECTID")
+    assert some.columns == ["OBJECTID", "geometry"]
+    assert some.collect() == want.where("OBJECTID < 40").select("OBJECTID", "geometry").orderBy("OBJECTID").collect()
+
+
+@pytest.mark.parametrize("fmt", ["json", "pbf"])
+def test_filters_pass_the_geometry(spark, shaped, tmp_path, fmt):
+    """A filter on an attribute goes below the projection that makes the geometry: pages ruled out aren't missed."""
+    for name in ("layer.json", "count.json"):
+        shutil.copy(f"{shaped[fmt]}/{name}", f"{tmp_path}/{name}")
+    shutil.copytree(f"{shaped[fmt]}/summary", f"{tmp_path}/summary")
+    df = L.load_layer(spark, path=str(tmp_path), with_geometry=True, format=fmt)
+    assert df.where("SRE > 1000000").count() == 0
+    with pytest.raises(Exception, match="missing"):
+        df.where("SRE > 100").collect()
+
+
+@pytest.mark.parametrize("fmt", ["json", "pbf"])
+def test_key_chunks_and_tests_of_the_geometry(spark, shaped, fmt):
+    raw = raw_readings(spark, SF)
+    asked = [int(r.EGID) for r in raw.select("EGID").distinct().orderBy("EGID").limit(5).collect()]
+    chunks = key_chunks(normalize_keys(spark.createDataFrame([(k,) for k in asked], "egid long")), 2)
+    got = L.load_keys(spark, chunks, path=shaped[fmt], with_geometry=True, format=fmt)
+    want = read_layer(spark, raw.schema, path=shaped[fmt], with_geometry=True, response_format=fmt).where(F.col("EGID").isin(asked))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    df = L.load_layer(spark, path=shaped[fmt], with_geometry=True, format=fmt)
+    assert df.where("geometry is null").count() == raw.where("OBJECTID % 7 = 0").count()
+    assert df.where("size(geometry.parts) = 2").count() == raw.where("AGENT_ENERGETIQUE_1 = '1-URGENT' and OBJECTID % 7 <> 0").count()
+
+
+def test_geometries_of_matching_rows_only(shaped, monkeypatch):
+    sizes = []
+    for kind in (L.JsonPage, L.BinaryPage):
+        real = kind.shapes
+        monkeypatch.setattr(kind, "shapes", lambda self, rows, real=real: sizes.append(0 if rows is None else len(rows)) or real(self, rows))
+    for fmt in ("json", "pbf"):
+        sizes.clear()
+        rows = _rows(_reader([EqualTo(("COMMUNE",), "BUILDING")], path=shaped[fmt], format=fmt, returnGeometry="true"))
+        assert rows and sum(sizes) == len(rows)
+        assert {r["OBJECTID"] for r in rows if r[L.RAW]["text"] is None and not r[L.RAW]["coords"]} == {r["OBJECTID"] for r in rows if r["OBJECTID"] % 7 == 0}
+
+
+SHAPES = [
+    ({"x": 1.5, "y": 2.5, "spatialReference": {"wkid": 2056}}, ("point", 1.5, 2.5, None, 2056)),
+    ({"points": [[1, 2], [3, 4]]}, ("multipoint", None, None, [[(1.0, 2.0), (3.0, 4.0)]], None)),
+    ({"paths": [[[0, 0], [1, 1]], [[5, 5], [6, 6.5]]], "spatialReference": {"latestWkid": 4326}}, ("polyline", None, None, [[(0.0, 0.0), (1.0, 1.0)], [(5.0, 5.0), (6.0, 6.5)]], 4326)),
+    ({"rings": [[[0, 0], [1, 0], [1, 1], [0, 0]]]}, ("polygon", None, None, [[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 0.0)]], None)),
+    ({"rings": []}, ("polygon", None, None, [], None)),
+    ({}, None),
+    (None, None),
+]
+
+
+def test_kinds_of_geometry_and_clashing_names(spark, tmp_path):
+    """Points, lines, none; attributes named like parts of a binary geometry keep their values; a clash is refused."""
+    names = ["A", "wkid", "coords", "origin", "has_geometry"]
+    fields = [{"name": n, "type": "esriFieldTypeInteger"} for n in names] + [{"name": "Geometry", "type": "esriFieldTypeString"}]
+    features = [{"attributes": {n: i * 10 + k for k, n in enumerate(names)}, "geometry": g} for i, (g, _) in enumerate(SHAPES)]
+    features.append({"attributes": {"A": 70}})
+    root = _land(tmp_path, features, fields)
+    for fmt in ("json", "pbf"):  # a JSON page is told by its looks, whatever was asked for
+        if fmt == "pbf":
+            shutil.copy(tmp_path / "pages" / "0.json", tmp_path / "pages" / "0.pbf")
+        rows = L.load_layer(spark, path=root, with_geometry=True, format=fmt, fields=",".join(names)).orderBy("A").collect()
+        assert [tuple(r)[:5] for r in rows] == [*[tuple(i * 10 + k for k in range(5)) for i in range(7)], (70, None, None, None, None)]
+        for r, (_, want) in zip(rows, [*SHAPES, (None, None)]):
+            g = r.geometry
+            assert (None if g is None else (g.type, g.x, g.y, None if g.parts is None else [[tuple(v) for v in p] for p in g.parts], g.wkid)) == want
+    with pytest.raises(Exception, match="clash"):
+        L.load_layer(spark, path=root, with_geometry=True)
+
+
+@pytest.mark.parametrize("geometry, message", [({"curveRings": [[[0, 0], {"c": [[1, 1], [2, 2]]}]]}, "curve"), ({"rings": "none"}, "MALFORMED|malformed"), ([1, 2], "MALFORMED|malformed")])
+def test_a_geometry_that_is_none_raises(spark, tmp_path, geometry, message):
+    root = _land(tmp_path, [{"attributes": {"A": 1}, "geometry": geometry}], FIELDS)
+    with pytest.raises(Exception, match=message):
+        L.load_layer(spark, path=root, with_geometry=True).collect()
+    assert L.load_layer(spark, path=root).count() == 1
+
+
+def test_geometry_is_asked_of_a_live_layer(live):
+    rows = _rows(_reader(url="http://h/services/L/FeatureServer/0/query", returnGeometry="true"))
+    assert [r[L.RAW]["text"] for r in rows] == [None] * 3
+    assert {p["returnGeometry"] for _, p in live if "resultOffset" in p} == {"true"}
+
+
 # --- live requests -----------------------------------------------------------
 
 FIELDS = [{"name": "A", "type": "esriFieldTypeInteger"}, {"name": "B", "type": "esriFieldTypeString"}, {"name": "D", "type": "esriFieldTypeDouble"}, {"name": "SHAPE", "type": "esriFieldTypeGeometry"}]
@@ -252,6 +365,17 @@ def test_a_page_at_fault_raises(tmp_path, features, count, page, status):
         _rows(_reader(path=root))
 
 
+def test_a_cut_binary_page_is_named(shaped, tmp_path):
+    """A page cut anywhere raises with its number, and isn't summarized."""
+    shutil.copytree(shaped["pbf"], tmp_path / "cut", ignore=shutil.ignore_patterns("summary"))
+    first = tmp_path / "cut" / "pages" / "0.pbf"
+    body = first.read_bytes()
+    for size in range(1, len(body), len(body) // 40):
+        first.write_bytes(body[:size])
+        with pytest.raises(ValueError, match="page 0: "):
+            _rows(_reader(path=str(tmp_path / "cut"), format="pbf", returnGeometry="true"))
+
+
 def test_layers_that_cannot_be_typed_are_refused(tmp_path):
     root = _land(tmp_path, [], [{"name": "A", "type": "esriFieldTypeBlob"}, {"name": "B", "type": "esriFieldTypeString"}])
     with pytest.raises(ValueError, match="field A"):
@@ -259,8 +383,6 @@ def test_layers_that_cannot_be_typed_are_refused(tmp_path):
     assert _rows(_reader(path=root, fields="B")) == []
     with pytest.raises(ValueError, match="no field"):
         _reader(path=root, fields="C")
-    with pytest.raises(ValueError, match="geometry"):
-        L.FeatureLayer({"path": root, "returnGeometry": "true"})
     (tmp_path / "layer.json").write_text("{}")
     with pytest.raises(ValueError, match="declares no fields"):
         _reader(path=root)
