@@ -398,8 +398,8 @@ class Page:
 BROKEN = (ValueError, UnicodeDecodeError, struct.error, IndexError)
 
 
-def _numbered(batches: Iterator[pa.RecordBatch], read, strict: bool = True) -> Iterator[tuple]:
-    """(row of the batch, what read makes of its body); a broken page raises with its number, or is left out unless strict."""
+def _numbered(batches: Iterator[pa.RecordBatch], read) -> Iterator[tuple]:
+    """(row of the batch, what read makes of its body); a broken page raises with its number."""
     for batch in batches:
         bodies = batch.column("body")
         for i, page in enumerate(batch.column("page").to_pylist()):
@@ -407,27 +407,31 @@ def _numbered(batches: Iterator[pa.RecordBatch], read, strict: bool = True) -> I
             try:
                 yield batch, i, read(body)
             except BROKEN as e:
-                if strict:
-                    raise ValueError(f"page {page}: {e}") from e
+                raise ValueError(f"page {page}: {e}") from e
 
 
 def decode_pbf_pages(
-    pages: DataFrame, attributes: T.StructType, with_geometry: bool = False, strict: bool = False, skip_broken: bool = False, names: str | None = None
+    pages: DataFrame,
+    attributes: T.StructType,
+    with_geometry: bool = False,
+    strict: bool = False,
+    names: str | None = None,
+    audited: bool = False,
 ) -> DataFrame:
     """Binary page table -> one row per feature: attribute columns (+ geometry). No shuffle.
 
     Only the declared attributes are taken from the pages, and coordinates
     only with_geometry. strict: a page that ``page_status`` finds at fault
-    raises. A broken page raises too, unless skip_broken: then it gives no
-    rows (``page_stats_pbf`` reads pages the same way and tells which are
-    corrupt). names: a column with the attribute names that the page holds, on
-    its first row (null on the others).
+    raises. A broken page raises too, unless audited. names: a column with the
+    attribute names that the page holds, on its first row (null on the others).
+    audited: columns ``_audit`` and ``_feature`` as of ``decode_json_pages``; a
+    page that is broken anywhere, its geometries included, gives no feature.
     """
-    from tessera.sources.pages import fault
+    from tessera.sources.pages import AUDIT, AUDIT_DDL, FEATURE, fault
 
     def read(body: bytes | None) -> tuple:
         page = Page(body)
-        return page, page.columns(wanted, with_geometry)
+        return page, page.columns(wanted, with_geometry or audited)
 
     wanted = {a.name: i for i, a in enumerate(attributes.fields)}
     schema = pa.schema([(f"a{i}", pa.string()) for i in range(len(wanted))] + [("page", pa.int64())] + (GEOMETRY_ARROW if with_geometry else []))
@@ -435,30 +439,65 @@ def decode_pbf_pages(
     if names:
         schema = schema.append(pa.field("names", pa.list_(pa.string())))
         ddl += ", names array<string>"
+    if audited:
+        told = pa.struct([(c.split()[0], {"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}[c.split()[1]]) for c in AUDIT_DDL.split(", ")])
+        schema = schema.append(pa.field(AUDIT, told)).append(pa.field(FEATURE, pa.bool_()))
+        ddl += f", {AUDIT} struct<{AUDIT_DDL}>, {FEATURE} boolean"
     expected = F.col("expected_rows") if "expected_rows" in pages.columns else F.lit(None).cast("bigint").alias("expected_rows")
 
+    def audit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, offset, planned, body in zip(*(batch.column(c) for c in ("page", "offset", "expected_rows", "body"))):
+                place = {"page": number.as_py(), "offset": offset.as_py(), "expected_rows": planned.as_py()}
+                try:
+                    page, (values, shapes) = (None, ([], [])) if body.as_py() is None else read(body.as_py())
+                except BROKEN:
+                    yield none({**place, "actual_rows": 0, "exceeded": False, "corrupt": True, "present": True})
+                    continue
+                if page is None:
+                    yield none({**place, "present": False})
+                    continue
+                n = len(page.spots)
+                found = {**place, "actual_rows": n, "exceeded": page.exceeded, "corrupt": False, "present": True}
+                if not n:
+                    yield none(found)
+                    continue
+                columns = [*values, [place["page"]] * n, *shaped(page, shapes, n), [found] + [None] * (n - 1), [True] * n]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    def none(found: dict) -> pa.RecordBatch:
+        """The one row of a page without features."""
+        held = {AUDIT: found, FEATURE: False, "page": found["page"]}
+        return pa.RecordBatch.from_arrays([pa.array([held.get(f.name)], f.type) for f in schema], schema=schema)
+
+    def shaped(page: Page, shapes: list[pa.Array], n: int) -> list:
+        if not with_geometry:
+            return []
+        same = (page.default_type, page.wkid, page.origin, *page.scale, *page.shift)
+        return [[x] * n for x in same] + shapes
+
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, i, (page, (values, shapes)) in _numbered(batches, read, not skip_broken):
+        for batch, i, (page, (values, shapes)) in _numbered(batches, read):
             number, n = batch.column("page")[i].as_py(), len(page.spots)
             status = fault(batch.column("expected_rows")[i].as_py(), n, page.exceeded) if strict else None
             if status:
                 raise ValueError(f"page {number}: {status}")
             if not n:
                 continue
-            columns = [*values, [number] * n]
-            if with_geometry:
-                same = (page.default_type, page.wkid, page.origin, *page.scale, *page.shift)
-                columns += [[x] * n for x in same] + shapes
+            columns = [*values, [number] * n, *shaped(page, shapes, n)]
             if names:
                 columns.append([sorted({*page.names, *page.past})] + [None] * (n - 1))
             arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    rows = pages.select("page", "body", expected).mapInArrow(split, ddl)
+    if audited:
+        rows = pages.select("page", "offset", "body", expected).mapInArrow(audit, ddl)
+    else:
+        rows = pages.select("page", "body", expected).mapInArrow(split, ddl)
     if with_geometry:
         rows = decode_geometries(rows)
     cols = [typed(F.col(f"a{i}"), a.dataType, a.name).alias(a.name) for i, a in enumerate(attributes.fields)]
-    return rows.select(*cols, *(["geometry"] if with_geometry else []), *([F.col("names").alias(names)] if names else []))
+    return rows.select(*cols, *(["geometry"] if with_geometry else []), *([F.col("names").alias(names)] if names else []), *([AUDIT, FEATURE] if audited else []))
 
 
 def page_stats_pbf(pages: DataFrame) -> DataFrame:

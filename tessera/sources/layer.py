@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import scratch_path
 from tessera.sources import feature_source
 from tessera.sources.binary import attribute_names_pbf, decode_pbf_pages
-from tessera.sources.pages import attribute_names_json, audit_pages, decode_json_pages, page_stats, route
+from tessera.sources.pages import AUDIT, FEATURE, attribute_names_json, audited_pages, decode_json_pages, route
 
 
 def read_pages(spark: SparkSession, path: str | None = None, url: str | None = None, **options):
@@ -44,20 +45,20 @@ def decode_pages(
     with_geometry: bool = False,
     requested: str = "json",
     strict: bool = False,
-    skip_broken: bool = False,
     names: str | None = None,
+    audited: bool = False,
 ) -> DataFrame:
-    """Page table -> feature rows (attribute columns [+ geometry] [+ names]).
+    """Page table -> feature rows (attribute columns [+ geometry] [+ names] [+ ``_audit``, ``_feature``]).
 
     strict: every planned page must be there and hold what was planned, else
-    the read raises, naming the page and what is wrong with it. skip_broken:
-    a binary page that can't be read gives no rows (a JSON one never does).
-    names: a column with the attribute names met, on some rows of each page.
+    the read raises, naming the page and what is wrong with it. names: a column
+    with the attribute names met, on some rows of each page. audited: no page
+    raises; each has a row that tells what was met.
     """
-    routed = route(pages if strict else pages.where(F.col("body").isNotNull()), requested)
-    out = decode_json_pages(routed.where(F.col("route") == "json"), attributes, with_geometry, strict, names)
+    routed = route(pages if strict or audited else pages.where(F.col("body").isNotNull()), requested)
+    out = decode_json_pages(routed.where(F.col("route") == "json"), attributes, with_geometry, strict, names, audited)
     if requested == "pbf":
-        binary = decode_pbf_pages(routed.where(F.col("route") == "pbf"), attributes, with_geometry, strict, skip_broken, names)
+        binary = decode_pbf_pages(routed.where(F.col("route") == "pbf"), attributes, with_geometry, strict, names, audited)
         out = out.unionByName(binary)
     return out
 
@@ -88,7 +89,9 @@ def read_layer(
     mode "strict" raises when a page is missing, corrupt, an error, overflows
     or holds another number of rows than planned; "split" gives the rows of the
     readable pages, JSON or binary, and the audit of all pages (a
-    :class:`LayerRead`). ``fields`` is cut
+    :class:`LayerRead`): each page is fetched and decoded once, at the call, and
+    its rows and what was met are written to the shared folder, so that the audit
+    is of the very pages that the rows come from. ``fields`` is cut
     before decoding. ``where`` goes to a live server; of a landed layer, which
     is whole, the decoded rows are filtered by it.
     """
@@ -116,15 +119,19 @@ def read_layer(
         max_retries=max_retries,
         order_by=order_by,
     )
-    rows = decode_pages(pages, wanted, with_geometry, response_format, mode == "strict", mode == "split")
+    rows = decode_pages(pages, wanted, with_geometry, response_format, mode == "strict", audited=mode == "split")
+    if mode == "split":
+        stored = scratch_path(spark, "layer-split")
+        rows.write.parquet(stored)
+        kept = spark.read.parquet(stored)
+        rows = kept.where(FEATURE).drop(AUDIT, FEATURE)
     if path and filtered:
         rows = rows.where(where)
     if keep is not None:
         rows = rows.select(*keep, *(["geometry"] if with_geometry else []))
     if mode == "strict":
         return rows
-    plan = pages.select("page", "offset", "expected_rows")
-    return LayerRead(rows, audit_pages(plan, page_stats(pages, response_format)))
+    return LayerRead(rows, audited_pages(kept))
 
 
 def attribute_names(pages: DataFrame, requested: str = "json") -> DataFrame:

@@ -246,8 +246,18 @@ def _doc_stats(doc: Column) -> dict[str, Column]:
     }
 
 
+#: What an audited read tells of a page, on the first row that comes of it; FEATURE: whether the row is a feature.
+AUDIT, FEATURE = "_audit", "_feature"
+AUDIT_DDL = "page bigint, offset bigint, expected_rows bigint, actual_rows bigint, exceeded boolean, error_code int, corrupt boolean, present boolean"
+
+
 def decode_json_pages(
-    pages: DataFrame, attributes: T.StructType, with_geometry: bool = False, strict: bool = False, names: str | None = None
+    pages: DataFrame,
+    attributes: T.StructType,
+    with_geometry: bool = False,
+    strict: bool = False,
+    names: str | None = None,
+    audited: bool = False,
 ) -> DataFrame:
     """JSON page table -> one row per feature: attribute columns (+ geometry).
 
@@ -255,10 +265,25 @@ def decode_json_pages(
     that isn't of its declared type raises. strict: so does a page that
     ``page_status`` finds at fault; else its readable features are returned.
     names: a column with the names of the feature's attributes, declared or not.
+    audited: columns ``_audit`` and ``_feature`` too; a page without features,
+    or without a body, gives a row that isn't a feature.
     """
     schema = json_page_schema(attributes, with_geometry, names is not None)
-    parsed = pages.select("layer", "page", "body", _expected(pages).alias("_expected"), _parsed(F.col("body"), schema).alias("doc"))
+    place = [F.col(c) for c in ("layer", "page", "offset", "body") if c in pages.columns]
+    parsed = pages.select(*place, _expected(pages).alias("_expected"), _parsed(F.col("body"), schema).alias("doc"))
     features = F.col("doc.features")
+    if audited:
+        present = F.col("body").isNotNull()
+        stats = {k: F.when(present, c) for k, c in _doc_stats(F.col("doc")).items()}
+        told = {"page": F.col("page"), "offset": F.col("offset"), "expected_rows": F.col("_expected"), **stats, "present": present}
+        told = F.struct(*[told[c.split()[0]].alias(c.split()[0]) for c in AUDIT_DDL.split(", ")]).cast(f"struct<{AUDIT_DDL}>")
+        f = parsed.select(told.alias("_told"), features.alias("_features")).select("_told", F.posexplode_outer("_features").alias("_at", "f"))
+        cols = [typed(F.col(f"f.attributes.`{a.name}`"), a.dataType, a.name).alias(a.name) for a in attributes.fields]
+        if with_geometry:
+            cols.append(_geometry_from_json(F.col("f.geometry")).alias("geometry"))
+        first = F.coalesce(F.col("_at"), F.lit(0)) == 0
+        marked = f.where(first | F.col("f.attributes").isNotNull())
+        return marked.select(*cols, F.when(first, F.col("_told")).alias(AUDIT), F.col("f.attributes").isNotNull().alias(FEATURE))
     if strict:
         stats = _doc_stats(F.col("doc"))
         status = page_status(F.col("_expected"), present=F.col("body").isNotNull(), **{k.replace("_rows", ""): v for k, v in stats.items()})
@@ -325,6 +350,16 @@ def page_stats(pages: DataFrame, requested: str = "json") -> DataFrame:
     return page_stats_json(routed.where("route = 'json'")).unionByName(page_stats_pbf(routed.where("route = 'pbf'")))
 
 
+def audited_pages(rows: DataFrame) -> DataFrame:
+    """The audit of the pages that an audited read met: one row a planned page, as ``audit_pages`` gives it."""
+    a = rows.where(F.col(AUDIT).isNotNull()).select(f"{AUDIT}.*")
+    act, exceeded = F.coalesce("actual_rows", F.lit(0)), F.coalesce("exceeded", F.lit(False))
+    status = page_status(
+        F.coalesce("expected_rows", F.lit(0)), act, exceeded, F.col("error_code"), F.coalesce("corrupt", F.lit(False)), F.col("present")
+    )
+    return a.select("page", "offset", "expected_rows", act.cast("bigint").alias("actual_rows"), exceeded.alias("exceeded"), status.alias("status"))
+
+
 def audit_pages(plan: DataFrame, stats: DataFrame) -> DataFrame:
     """Compare the page plan with what the pages hold: one row a page, with its ``page_status``."""
     j = plan.join(stats.withColumnRenamed("offset", "_soff"), "page", "full_outer")

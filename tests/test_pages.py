@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.schemas import GEOMETRY
 from tessera.sources import feature_source
 from tessera.sources.fixture_pages import broken_pages, land_layer, pack_json_pages, pack_pbf_pages
-from tessera.sources.layer import attribute_names, read_layer, read_pages
+from tessera.sources.layer import attribute_names, decode_pages, read_layer, read_pages
 from tessera.sources.pages import (
     audit_pages,
     decode_json_pages,
@@ -332,6 +333,34 @@ def test_key_chunks_are_read_a_partition_each(monkeypatch):
         fs.FeaturePages({"path": "/x", "predicates": "[]"}).reader(None)
 
 
+@pytest.mark.parametrize("fmt", ["json", "pbf"])
+@pytest.mark.parametrize("geometry", [False, True])
+def test_split_mode_opens_each_page_once(spark, scratch, fmt, geometry):
+    """Rows and audit come of one fetch: pages that change afterwards don't matter, and the audit is that of the page table."""
+    shape = F.expr("named_struct('type', 'point', 'x', OBJECTID + 0.5D, 'y', 2D, 'parts', null, 'wkid', 2056)").cast(GEOMETRY)
+    df = spark.range(32).select(F.col("id").alias("OBJECTID"), F.col("id").alias("A"), shape.alias("geometry"))
+    pack = pack_json_pages if fmt == "json" else pack_pbf_pages
+    packed = pack(df, 2, geometry="geometry")
+    pages = broken_pages(packed)
+    feature_source.land_pages(pages, scratch)
+    feature_source.write_layer_docs(scratch, 32, {"standardMaxRecordCount": 2})
+    want = audit_pages(plan_pages(spark, 32, 2), page_stats(pages, fmt)).orderBy("page").collect()
+    both = read_layer(spark, ATTRS, path=scratch, response_format=fmt, mode="split", with_geometry=geometry)
+    fs, base = feature_source.open_fs(scratch)
+    for page in range(16):
+        with fs.open_output_stream(f"{base}/pages/{page * 2}.{fmt}") as f:
+            f.write(b"changed meanwhile")
+    assert both.audit.orderBy("page").collect() == want and len({r.status for r in want}) >= 6
+    rows = both.rows.collect()
+    assert both.rows.columns == ["A", "OBJECTID", *(["geometry"] if geometry else [])]
+    whole = [i for i in range(32) if i // 2 % 7 in (0, 6)]
+    more = [i for i in range(32) if i // 2 % 7 == 4 and i % 2 == 0] + [i for i in range(32) if i // 2 % 7 == 6 and i % 2 == 0]
+    assert sorted(r.OBJECTID for r in rows) == sorted(whole + (more if fmt == "json" else []))
+    if geometry:
+        plain = {r.OBJECTID: r.geometry for r in decode_pages(packed, ATTRS, True, fmt).collect()}
+        assert all(r.geometry == plain[r.OBJECTID] and r.geometry is not None for r in rows)
+
+
 def test_split_mode_reads_around_broken_binary_pages(spark, scratch):
     """Cut anywhere, a binary page gives no rows and is listed; the rows of the others are all there."""
     df = spark.createDataFrame([(i, f"n{i}", i * 0.5) for i in range(40)], "OBJECTID long, A string, B double")
