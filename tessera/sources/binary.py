@@ -13,6 +13,7 @@ sums, parts and dequantization are DataFrame work in the feature's row.
 
 from __future__ import annotations
 
+import json
 import struct
 from collections.abc import Iterator
 
@@ -244,6 +245,8 @@ class Values:
 class Page:
     """A page's header and where its features lie; ``features()`` reads them."""
 
+    error_code = None  # errors come as JSON
+
     def __init__(self, body: bytes | None):
         self.exceeded, self.default_type, self.wkid = False, None, None
         self.origin, self.scale, self.shift = 0, (1.0, 1.0), (0.0, 0.0)
@@ -306,6 +309,10 @@ class Page:
             elif c.field == C.TF_TRANSLATE:
                 self.shift = xy(c.inside())
 
+    @property
+    def count(self) -> int:
+        return len(self.spots)
+
     def _parts(self) -> tuple[tuple, tuple]:
         """(feature, begin, end) of the attribute messages, by place, and of each feature's geometry message (the last)."""
         raw = np.frombuffer(self.body, np.uint8)
@@ -394,6 +401,52 @@ class Page:
         return {*self.names, *(str(x) for x in np.unique(place[place >= np.uint64(len(self.names))]).tolist())}
 
 
+class TextPage:
+    """A JSON page met where binary ones were asked for, seen as a ``Page``: attributes as the text that stands there."""
+
+    default_type = wkid = origin = None
+    scale = shift = (None, None)
+    past: set[str] = set()
+
+    def __init__(self, body: bytes):
+        text = body.decode("utf-8", "replace").strip()
+        doc = json.loads(text, parse_int=str, parse_float=str, parse_constant=str)
+        features = doc.get("features") if isinstance(doc, dict) else 0
+        if not isinstance(features, list | None):
+            raise ValueError("not a page")
+        features = features or []
+        self.count, self.exceeded = len(features), doc.get("exceededTransferLimit") is True
+        error = doc.get("error")
+        self.error_code = None if error is None else int(error.get("code") or 0) if isinstance(error, dict) else 0
+        self.at = [i for i, f in enumerate(features) if isinstance(f, dict) and isinstance(f.get("attributes"), dict)]
+        self.spots = [features[i]["attributes"] for i in self.at]
+        self.names = sorted({n for row in self.spots for n in row})
+        self._text = text
+
+    def columns(self, wanted: dict[str, int], geometry: bool) -> tuple[list[pa.Array], list[pa.Array]]:
+        """As of ``Page.columns``; no geometry has a binary form (see ``geometries``)."""
+        n = len(self.spots)
+        values = [pa.array([_as_text(row.get(name)) for row in self.spots], pa.string()) for name in wanted]
+        return values, [pa.nulls(n, t) for _, t in GEOMETRY_ARROW[-4:]] if geometry else []
+
+    def geometries(self) -> list[str | None]:
+        """The JSON text of each feature's geometry."""
+        features = json.loads(self._text).get("features") or []
+        shapes = [features[i].get("geometry") for i in self.at]
+        return [None if g is None else json.dumps(g) for g in shapes]
+
+
+def _as_text(value) -> str | None:
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    return value if value is None or isinstance(value, str) else json.dumps(value, separators=(",", ":"))
+
+
+def open_page(body: bytes) -> Page | TextPage:
+    """A page by what its body looks like: servers answer errors in JSON whatever was asked for."""
+    return TextPage(body) if body.lstrip(b" \t\r\n\f\v")[:1] in (b"{", b"[") else Page(body)
+
+
 #: What a body that isn't a whole page raises while it is read.
 BROKEN = (ValueError, UnicodeDecodeError, struct.error, IndexError)
 
@@ -404,8 +457,12 @@ def _numbered(batches: Iterator[pa.RecordBatch], read) -> Iterator[tuple]:
         bodies = batch.column("body")
         for i, page in enumerate(batch.column("page").to_pylist()):
             body = bodies[i].as_py()
+            if body is None:
+                raise ValueError(f"page {page}: missing")
             try:
                 yield batch, i, read(body)
+            except json.JSONDecodeError as e:
+                raise ValueError(f"page {page}: corrupt") from e
             except BROKEN as e:
                 raise ValueError(f"page {page}: {e}") from e
 
@@ -420,6 +477,8 @@ def decode_pbf_pages(
 ) -> DataFrame:
     """Binary page table -> one row per feature: attribute columns (+ geometry). No shuffle.
 
+    A body that looks like JSON is read as a JSON page, in the same pass.
+
     Only the declared attributes are taken from the pages, and coordinates
     only with_geometry. strict: a page that ``page_status`` finds at fault
     raises. A broken page raises too, unless audited. names: a column with the
@@ -427,15 +486,15 @@ def decode_pbf_pages(
     audited: columns ``_audit`` and ``_feature`` as of ``decode_json_pages``; a
     page that is broken anywhere, its geometries included, gives no feature.
     """
-    from tessera.sources.pages import AUDIT, AUDIT_DDL, FEATURE, fault
+    from tessera.sources.pages import AUDIT, AUDIT_DDL, FEATURE, fault, geometry_from_text
 
-    def read(body: bytes | None) -> tuple:
-        page = Page(body)
+    def read(body: bytes) -> tuple:
+        page = open_page(body)
         return page, page.columns(wanted, with_geometry or audited)
 
     wanted = {a.name: i for i, a in enumerate(attributes.fields)}
-    schema = pa.schema([(f"a{i}", pa.string()) for i in range(len(wanted))] + [("page", pa.int64())] + (GEOMETRY_ARROW if with_geometry else []))
-    ddl = ", ".join([*[f"a{i} string" for i in range(len(wanted))], "page bigint", *([_GEOMETRY_DDL] if with_geometry else [])])
+    schema = pa.schema([(f"a{i}", pa.string()) for i in range(len(wanted))] + [("page", pa.int64())] + ([*GEOMETRY_ARROW, ("_json", pa.string())] if with_geometry else []))
+    ddl = ", ".join([*[f"a{i} string" for i in range(len(wanted))], "page bigint", *([_GEOMETRY_DDL, "_json string"] if with_geometry else [])])
     if names:
         schema = schema.append(pa.field("names", pa.list_(pa.string())))
         ddl += ", names array<string>"
@@ -458,7 +517,7 @@ def decode_pbf_pages(
                     yield none({**place, "present": False})
                     continue
                 n = len(page.spots)
-                found = {**place, "actual_rows": n, "exceeded": page.exceeded, "corrupt": False, "present": True}
+                found = {**place, "actual_rows": page.count, "exceeded": page.exceeded, "error_code": page.error_code, "corrupt": False, "present": True}
                 if not n:
                     yield none(found)
                     continue
@@ -474,12 +533,12 @@ def decode_pbf_pages(
         if not with_geometry:
             return []
         same = (page.default_type, page.wkid, page.origin, *page.scale, *page.shift)
-        return [[x] * n for x in same] + shapes
+        return [[x] * n for x in same] + shapes + [page.geometries() if isinstance(page, TextPage) else [None] * n]
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, i, (page, (values, shapes)) in _numbered(batches, read):
             number, n = batch.column("page")[i].as_py(), len(page.spots)
-            status = fault(batch.column("expected_rows")[i].as_py(), n, page.exceeded) if strict else None
+            status = fault(batch.column("expected_rows")[i].as_py(), page.count, page.exceeded, page.error_code) if strict else None
             if status:
                 raise ValueError(f"page {number}: {status}")
             if not n:
@@ -495,7 +554,7 @@ def decode_pbf_pages(
     else:
         rows = pages.select("page", "body", expected).mapInArrow(split, ddl)
     if with_geometry:
-        rows = decode_geometries(rows)
+        rows = decode_geometries(rows).withColumn("geometry", F.coalesce(geometry_from_text(F.col("_json")), "geometry"))
     cols = [typed(F.col(f"a{i}"), a.dataType, a.name).alias(a.name) for i, a in enumerate(attributes.fields)]
     return rows.select(*cols, *(["geometry"] if with_geometry else []), *([F.col("names").alias(names)] if names else []), *([AUDIT, FEATURE] if audited else []))
 

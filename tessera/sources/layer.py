@@ -1,10 +1,9 @@
-"""Reading a whole layer: page table -> routed -> decoded feature rows.
+"""Reading a whole layer: page table -> decoded feature rows.
 
 ``read_layer`` is the bulk read of a layer: the ``feature_pages`` source gives
-the page table, ``route`` sends each body to the JSON or binary decoder (a
-body that looks like JSON goes to the JSON decoder even when binary was asked
-for: servers answer errors in JSON), both branches are decoded by DataFrame
-operators and unioned. Rows come in no particular order.
+the page table, whose bodies the JSON or the binary decoder turns into rows in
+one pass. The binary decoder reads a body that looks like JSON as that: servers
+answer errors in JSON whatever was asked for. Rows come in no particular order.
 """
 
 from __future__ import annotations
@@ -55,12 +54,9 @@ def decode_pages(
     with the attribute names met, on some rows of each page. audited: no page
     raises; each has a row that tells what was met.
     """
-    routed = route(pages if strict or audited else pages.where(F.col("body").isNotNull()), requested)
-    out = decode_json_pages(routed.where(F.col("route") == "json"), attributes, with_geometry, strict, names, audited)
-    if requested == "pbf":
-        binary = decode_pbf_pages(routed.where(F.col("route") == "pbf"), attributes, with_geometry, strict, names, audited)
-        out = out.unionByName(binary)
-    return out
+    met = pages if strict or audited else pages.where(F.col("body").isNotNull())
+    decode = decode_pbf_pages if requested == "pbf" else decode_json_pages
+    return decode(met, attributes, with_geometry, strict, names, audited)
 
 
 @dataclass(frozen=True)

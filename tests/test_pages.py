@@ -361,6 +361,37 @@ def test_split_mode_opens_each_page_once(spark, scratch, fmt, geometry):
         assert all(r.geometry == plain[r.OBJECTID] and r.geometry is not None for r in rows)
 
 
+def test_json_pages_among_binary_ones(spark, scratch):
+    """They are read in the same pass over the pages, with the same rows, geometries and names."""
+    shape = F.expr("named_struct('type', 'polygon', 'x', null, 'y', null, 'parts', array(array(named_struct('x', double(OBJECTID), 'y', 1D), named_struct('x', 4D, 'y', 5D))), 'wkid', 2056)")
+    shape = F.when(F.col("OBJECTID") % 3 != 0, shape).cast(GEOMETRY)
+    df = spark.range(20).select(F.col("id").alias("OBJECTID"), F.expr("if(id % 5 = 0, null, id * 7)").alias("A"), shape.alias("geometry"))
+    binary, text = pack_pbf_pages(df, 2, geometry="geometry"), pack_json_pages(df, 2, geometry="geometry")
+    mixed = binary.where("page % 2 = 0").unionByName(text.where("page % 2 = 1").withColumn("format", F.lit("pbf")))
+    want = sorted(map(str, decode_pages(binary, ATTRS, True, "pbf").collect()))
+    assert sorted(map(str, decode_pages(mixed, ATTRS, True, "pbf").collect())) == want
+    names = decode_pages(mixed, ATTRS, requested="pbf", names="n").select(F.explode("n")).distinct().collect()
+    assert {r[0] for r in names} == {"OBJECTID", "A"}
+    feature_source.land_pages(mixed, scratch)
+    feature_source.write_layer_docs(scratch, 20, {"standardMaxRecordCount": 2})
+    rows = read_layer(spark, ATTRS, path=scratch, response_format="pbf", with_geometry=True)
+    assert sorted(map(str, rows.collect())) == want
+    assert rows._jdf.queryExecution().executedPlan().toString().count("BatchScan") == 1
+    assert sorted(map(str, read_layer(spark, ATTRS, path=scratch, response_format="pbf", with_geometry=True, mode="split").rows.collect())) == want
+
+
+@pytest.mark.parametrize("body, status", [(b' {"features": [', "corrupt"), (b'[1]', "not a page"), (b'{"error": {"code": 500}}', "error"), (b'\n{"features": [null, {"x": 1}]}', "ok")])
+def test_a_json_body_where_binary_was_asked_for(spark, body, status):
+    pages = spark.createDataFrame([("L", 0, 0, 2, "pbf", bytearray(body), "ok", 2)], feature_source.PAGE_DDL)
+    if status == "ok":
+        assert decode_pages(pages, ATTRS, requested="pbf", strict=True).collect() == []
+    else:
+        with pytest.raises(Exception, match=f"page 0: {status}"):
+            decode_pages(pages, ATTRS, requested="pbf", strict=True).collect()
+    (told,) = decode_pages(pages, ATTRS, requested="pbf", audited=True).collect()
+    assert not told._feature and (told._audit.corrupt, told._audit.error_code) == (status in ("corrupt", "not a page"), 500 if status == "error" else None)
+
+
 def test_split_mode_reads_around_broken_binary_pages(spark, scratch):
     """Cut anywhere, a binary page gives no rows and is listed; the rows of the others are all there."""
     df = spark.createDataFrame([(i, f"n{i}", i * 0.5) for i in range(40)], "OBJECTID long, A string, B double")
