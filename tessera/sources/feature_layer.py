@@ -504,8 +504,7 @@ class FeatureLayerReader(DataSourceReader):
             return [Span(0, 0, chunk, 0, p) for p in o["predicates"]] or [Span(0, 0, chunk, 0)]
         total = 0 if o["predicates"] == [] else t.count("1=1" if o["path"] else self.where())
         pages = -(-total // chunk)
-        most = o["max_partitions"]
-        share = -(-pages // most) if most else (1 if pages <= S.SMALL_LAYER else S.PAGES_EACH)
+        share = S.pages_each(pages, chunk, o["max_partitions"])
         return [Span(a, min(a + share, pages), chunk, total) for a in range(0, pages, max(share, 1))] or [Span(0, 0, chunk, 0)]
 
     def read(self, partition: Span):

@@ -49,8 +49,8 @@ PAGE_DDL = (
     "layer string, page bigint, offset bigint, chunk_size bigint, format string, "
     "body binary, status string, expected_rows bigint"
 )
-#: Pages a partition reads, unless ``max_partitions`` is given: one of a small layer, else some.
-SMALL_LAYER, PAGES_EACH = 64, 8
+#: A partition reads, unless ``max_partitions`` is given, one page of a small layer, else the pages of so many rows.
+SMALL_LAYER, ROWS_EACH = 64, 16_000
 #: Seconds before each further try: 1, 3, 9, ... up to a minute.
 FIRST_WAIT, LONGEST_WAIT = 1.0, 60.0
 
@@ -218,7 +218,14 @@ def page_rows(t: Transport, options: dict) -> int:
     return chunk
 
 
+def pages_each(pages: int, chunk: int, most: int | None) -> int:
+    """Pages that a partition reads, of so many pages of chunk rows."""
+    return -(-pages // most) if most else 1 if pages <= SMALL_LAYER else max(ROWS_EACH // chunk, 1)
+
+
 class FeaturePagesReader(DataSourceReader):
+    chunk = DEFAULT_STANDARD_MAX_RECORDS
+
     def __init__(self, options: dict):
         self.o = options
         t = make_transport(options)
@@ -236,8 +243,7 @@ class FeaturePagesReader(DataSourceReader):
         pages = range(first, last) if only is None else sorted(p for p in set(only) if first <= p < last)
         if not len(pages):
             return [PageRange(0, 0)]  # nothing to read: one partition that yields nothing
-        most = self.o["max_partitions"]
-        share = -(-len(pages) // most) if most else (1 if len(pages) <= SMALL_LAYER else PAGES_EACH)
+        share = pages_each(len(pages), self.chunk, self.o["max_partitions"])
         runs = [PageRange(pages[0], pages[0])]
         for p in pages:
             if p != runs[-1].last or p - runs[-1].first >= share:
@@ -270,7 +276,7 @@ class FeaturePagesReader(DataSourceReader):
             yield pa.RecordBatch.from_pydict(cols, schema=PAGE_ARROW)
 
 
-_BATCH_BYTES = 64 << 20  # flush a batch once its bodies reach 64 MiB
+_BATCH_BYTES = 16 << 20  # flush a batch once its bodies reach 16 MiB
 
 
 PAGE_ARROW = pa.schema(
@@ -394,8 +400,13 @@ def register(spark) -> None:
 
 
 def land_pages(pages, root: str) -> int:
+    """``land_counted``; returns the number of page files written."""
+    return land_counted(pages, root)[0]
+
+
+def land_counted(pages, root: str) -> tuple[int, int]:
     """Write a page table as ``<root>/pages/<offset>.<format>``; returns the
-    number of page files written.
+    numbers of page files written and of rows that these are planned to hold.
 
     Executors write their own pages (to a temporary name, then a rename, so a
     retried task leaves whole files); bodies travel as Arrow batches and each
@@ -410,8 +421,8 @@ def land_pages(pages, root: str) -> int:
     def write(batches):
         wfs, wbase = open_fs(root)
         for b in batches:
-            n = 0
-            offsets, fmts, bodies = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)
+            n = rows = 0
+            offsets, fmts, bodies, planned = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist()
             for i, (off, fmt) in enumerate(zip(offsets, fmts)):
                 body = bodies[i]
                 if not body.is_valid:
@@ -422,10 +433,12 @@ def land_pages(pages, root: str) -> int:
                     fh.write(body.as_buffer())
                 wfs.move(tmp, p)
                 n += 1
-            yield pa.RecordBatch.from_pydict({"n": [n]}, schema=pa.schema([("n", pa.int64())]))
+                rows += planned[i] or 0
+            yield pa.RecordBatch.from_pydict({"n": [n], "rows": [rows]}, schema=pa.schema([("n", pa.int64()), ("rows", pa.int64())]))
 
-    written = pages.select("offset", "format", "body").mapInArrow(write, "n bigint")
-    return int(written.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    expected = F.col("expected_rows") if "expected_rows" in pages.columns else F.lit(None).cast("bigint")
+    written = pages.select("offset", "format", "body", expected.alias("rows")).mapInArrow(write, "n bigint, rows bigint")
+    return tuple(int(c) for c in written.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "rows")]).first())
 
 
 def write_layer_docs(root: str, count: int, layer_info: dict) -> None:

@@ -66,6 +66,24 @@ def field_packed(num: int, values) -> bytes:
     return field_bytes(num, b"".join(varint(v) for v in values))
 
 
+# --- Rows by page --------------------------------------------------------------
+
+#: Rows of the pages that one task packs: what it holds of rows and bodies at once, however many rows there are.
+ROWS_EACH = 16_000
+
+
+def _by_page(features: DataFrame, key: str, chunk_size: int) -> tuple[DataFrame, int]:
+    """(the rows with ``_idx``, their place in ``key`` order, and ``_page``, dealt out by page; their number).
+
+    The number of tasks follows that of the rows: Arrow batches hold up to
+    10,000 pages, so a task's pages are one batch.
+    """
+    idx, total = dense_index_with_count(features, [key], "_idx")
+    pages, parallel = -(-total // chunk_size), features.sparkSession.sparkContext.defaultParallelism
+    tasks = max(-(-total // max(ROWS_EACH, chunk_size)), min(pages, 2 * parallel), 1)
+    return idx.withColumn("_page", F.floor(F.col("_idx") / chunk_size).cast("bigint")).repartition(tasks, "_page"), total
+
+
 # --- JSON pages ---------------------------------------------------------------
 
 
@@ -90,7 +108,7 @@ def json_geometry(g: Column) -> Column:
 
 
 def _feature_struct(df: DataFrame, geometry: str | None) -> Column:
-    attrs = F.struct(*[F.col(c) for c in df.columns if c not in ("_idx", geometry)])
+    attrs = F.struct(*[F.col(c) for c in df.columns if c not in ("_idx", "_page", geometry)])
     if geometry:
         return F.struct(attrs.alias("attributes"), json_geometry(F.col(geometry)).alias("geometry"))
     return F.struct(attrs.alias("attributes"))
@@ -110,9 +128,8 @@ def pack_json_pages(
     written as JSON ``null``. The per-page ``collect_list`` is bounded by
     ``chunk_size``.
     """
-    idx, total = dense_index_with_count(features, [key], "_idx")
-    page = F.floor(F.col("_idx") / chunk_size).cast("bigint")
-    grouped = idx.groupBy(page.alias("page")).agg(
+    idx, total = _by_page(features, key, chunk_size)
+    grouped = idx.groupBy(F.col("_page").alias("page")).agg(
         F.array_sort(F.collect_list(F.struct(F.col("_idx"), _feature_struct(idx, geometry).alias("f")))).alias("_fs")
     )
     offset = F.col("page") * F.lit(chunk_size)
@@ -253,52 +270,41 @@ def pack_pbf_pages(
 ) -> DataFrame:
     """Offset pages of ``chunk_size`` features in ``key`` order, binary encoded.
 
-    Pages are grouped by Spark (bounded by ``chunk_size``) and each page is
-    encoded by one Arrow batch task.
+    Pages are grouped by Spark (bounded by ``chunk_size``) and encoded one
+    after the other by Arrow batch tasks.
     """
     slots = slots or {}
     q = {"origin": 0, "sx": 1.0, "sy": 1.0, "tx": 0.0, "ty": 0.0, **(quantize or {})}
     attr_cols = [c for c in features.columns if c != geometry]
     columns = [(c, _slot_for(features.schema[c].dataType, c, slots)) for c in attr_cols]
-    idx, total = dense_index_with_count(features, [key], "_idx")
+    idx, total = _by_page(features, key, chunk_size)
     entry = [F.col("_idx"), F.struct(*attr_cols).alias("a")]
     if geometry:
         entry.append(F.col(geometry).alias("g"))
-    grouped = idx.groupBy(F.floor(F.col("_idx") / chunk_size).cast("bigint").alias("page")).agg(
+    grouped = idx.groupBy(F.col("_page").alias("page")).agg(
         F.array_sort(F.collect_list(F.struct(*entry))).alias("fs")
     )
 
     def encode(batches):
-        import pyarrow.compute as pc
-
         for batch in batches:
-            # Column-wise conversion: primitive child arrays, not per-feature dicts.
-            pages = batch.column("page").to_pylist()
-            fs = batch.column("fs")
-            ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(fs), 0)).to_pylist()
-            items = fs.flatten()
-            a = items.field("a")
-            values = [a.field(i).to_pylist() for i in range(len(columns))]
-            geoms = items.field("g").to_pylist() if geometry else None
-            out = []
-            for p, page in enumerate(pages):
-                lo, hi = (ends[p - 1] if p else 0), ends[p]
+            for p, page in enumerate(batch.column("page").to_pylist()):
+                # Column-wise conversion: primitive child arrays, not per-feature dicts; a page's at a time.
+                items = batch.column("fs").slice(p, 1).flatten()
+                a = items.field("a")
                 offset = page * chunk_size
                 body = encode_page(
-                    [v[lo:hi] for v in values],
-                    geoms[lo:hi] if geoms is not None else None,
+                    [a.field(i).to_pylist() for i in range(len(columns))],
+                    items.field("g").to_pylist() if geometry else None,
                     columns,
                     offset + chunk_size < total,
                     q,
                     wkid,
                     default_type,
                 )
-                out.append(
-                    {"layer": layer, "page": page, "offset": offset, "chunk_size": chunk_size,
-                     "format": "pbf", "body": body, "status": "ok",
-                     "expected_rows": min(chunk_size, total - offset)}
-                )
-            yield pa.RecordBatch.from_pylist(out, schema=PAGE_ARROW)
+                row = {"layer": layer, "page": page, "offset": offset, "chunk_size": chunk_size,
+                       "format": "pbf", "body": body, "status": "ok",
+                       "expected_rows": min(chunk_size, total - offset)}
+                yield pa.RecordBatch.from_pylist([row], schema=PAGE_ARROW)
 
     return grouped.mapInArrow(encode, PAGE_DDL)
 
@@ -324,9 +330,7 @@ def land_layer(
         pages = pack_json_pages(features, chunk_size, key=key, layer=layer, geometry=geometry)
     else:
         pages = pack_pbf_pages(features, chunk_size, key=key, layer=layer, geometry=geometry, quantize=quantize)
-    pages = pages.checkpoint(eager=True)
-    feature_source.land_pages(pages, root)
-    total = int(pages.agg(F.coalesce(F.sum("expected_rows"), F.lit(0))).first()[0])
+    total = feature_source.land_counted(pages, root)[1]
     info = {
         "name": layer,
         "standardMaxRecordCount": chunk_size,

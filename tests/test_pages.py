@@ -412,3 +412,39 @@ def test_split_mode_reads_around_broken_binary_pages(spark, scratch):
     assert len(status) == 10 and all((status[p] == "corrupt") == (p in broken) for p in status)
     with pytest.raises(Exception, match="page [1357]: "):
         read_layer(spark, attributes, path=scratch, response_format="pbf").collect()
+
+
+@pytest.mark.parametrize("fmt", ["json", "pbf"])
+def test_a_task_packs_a_bounded_number_of_rows(spark, monkeypatch, fmt):
+    """Tasks follow the rows, whatever the session would join small partitions to; the pages are the same."""
+    from tessera.sources import fixture_pages
+
+    pack = pack_json_pages if fmt == "json" else pack_pbf_pages
+    df = spark.range(400).select(F.col("id").alias("OBJECTID"), (F.col("id") * 3).alias("A"))
+    want = sorted((r.page, bytes(r.body)) for r in pack(df, 10).collect())
+    monkeypatch.setattr(fixture_pages, "ROWS_EACH", 20)
+    pages = pack(df, 10)
+    assert sorted((r.page, bytes(r.body)) for r in pages.collect()) == want and len(want) == 40
+    per_task = pages.groupBy(F.spark_partition_id().alias("t")).agg(F.count("page").alias("n")).collect()
+    assert len(per_task) > 10 and max(r.n for r in per_task) <= 8
+
+
+def test_landing_counts_rows_in_its_one_pass(spark, scratch):
+    passes = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            passes.add(b.num_rows)
+            yield b
+
+    df = spark.range(23).select(F.col("id").alias("OBJECTID"))
+    pages = pack_json_pages(df, 5).mapInArrow(seen, feature_source.PAGE_DDL)
+    assert feature_source.land_counted(pages, scratch) == (5, 23) and passes.value == 5
+    assert land_layer(df, scratch + "-2", 5) == 23
+
+
+def test_a_partition_reads_the_pages_of_so_many_rows():
+    assert feature_source.pages_each(90_000, 100, None) == 160
+    assert feature_source.pages_each(9_000, 1_000, None) == 16
+    assert feature_source.pages_each(9_000, 50_000, None) == 1
+    assert feature_source.pages_each(64, 100, None) == 1 and feature_source.pages_each(10, 100, 4) == 3
