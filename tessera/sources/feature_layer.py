@@ -35,7 +35,7 @@ import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -166,9 +166,17 @@ class Test:
             text = f"{self.column} {self.op} {_literal(self.value)}"
         return f"NOT ({text})" if self.negated else text
 
+    @cached_property
+    def _known(self) -> frozenset | None:
+        return frozenset(self.value) if self.op == "in" else None
+
+    @cached_property
+    def _ordered(self) -> list:
+        return sorted(self._known if self.op == "in" else (self.value,))
+
     def passing(self, values: list) -> np.ndarray:
         """Which values pass; a null passes none but a test for nulls."""
-        known = frozenset(self.value) if self.op == "in" else None
+        known = self._known
         return np.fromiter((self._passes(v, known) for v in values), bool, len(values))
 
     def _passes(self, v, known: frozenset | None) -> bool:
@@ -198,9 +206,8 @@ class Test:
         if self.negated or self.op == "like":
             return True
         if self.op in ("in", "="):
-            words, hashes = _hashed(self.value if self.op == "in" else (self.value,))
-            near = slice(bisect.bisect_left(words, low), bisect.bisect_right(words, high))
-            return near.start < near.stop and _may_hold(summary["keys"], hashes[near])
+            words = self._ordered
+            return _may_hold(summary["keys"], words, bisect.bisect_left(words, low), bisect.bisect_right(words, high))
         w = self.value
         return {">": high > w, ">=": high >= w, "<": low < w, "<=": low <= w}[self.op]
 
@@ -273,11 +280,7 @@ def _hash(key) -> int:
     return int.from_bytes(hashlib.blake2b((key if isinstance(key, str) else repr(float(key))).encode(), digest_size=8).digest(), "little")
 
 
-@lru_cache(maxsize=8)
-def _hashed(keys: tuple) -> tuple[list, np.ndarray]:
-    """(the keys in order, their hashes)."""
-    ordered = sorted(set(keys))
-    return ordered, np.fromiter(map(_hash, ordered), np.uint64, len(ordered))
+_cached_hash = lru_cache(maxsize=1 << 16)(_hash)
 
 
 def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -292,15 +295,23 @@ def key_filter(keys: set) -> bytes:
     return np.packbits(held, bitorder="little").tobytes()
 
 
-def _may_hold(filter_: bytes | None, hashes: np.ndarray) -> bool:
-    """Whether one of some keys may be among those of the filter."""
-    if not filter_:
+def _may_hold(filter_: bytes | None, keys: list, first: int, last: int) -> bool:
+    """Whether one of keys[first:last] may be among those of the filter.
+
+    Of more keys than the filter has bits some would pass it by chance, so these
+    aren't looked up: a page's work is bounded by its rows, not by the keys asked for.
+    """
+    if first >= last:
+        return False
+    if not filter_ or last - first > len(filter_) * 8:
         return True
     held = np.frombuffer(filter_, np.uint8)
-    at = _places(hashes, len(held) * 8)
+    at = _places(np.fromiter(map(_cached_hash, keys[first:last]), np.uint64, last - first), len(held) * 8)
     return bool((held[at >> 3] >> (at & 7).astype(np.uint8) & 1).all(axis=0).any())
 
 
+#: Pages whose summaries are a folder ``run=<n>`` of their own, so that a task opens those of its pages alone.
+SUMMARY_RUN = 256
 SUMMARY_DDL = "page bigint, field string, rows bigint, nulls bigint, low double, high double, low_text string, high_text string, keys binary"
 
 
@@ -338,7 +349,8 @@ def summarize_pages(pages: DataFrame, root: str, fields: list[str]) -> None:
             types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.string(), pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=[c.split()[0] for c in SUMMARY_DDL.split(", ")])
 
-    pages.select("page", "body").mapInArrow(summaries, SUMMARY_DDL).sortWithinPartitions("page").write.parquet(f"{root.rstrip('/')}/summary")
+    found = pages.select("page", "body").mapInArrow(summaries, SUMMARY_DDL).withColumn("run", F.floor(F.col("page") / SUMMARY_RUN))
+    found.repartition("run").sortWithinPartitions("run", "page").write.partitionBy("run").parquet(f"{root.rstrip('/')}/summary")
 
 
 def pages_to_read(root: str, tests: list[Test], first: int, last: int) -> list[int]:
@@ -354,13 +366,17 @@ def pages_to_read(root: str, tests: list[Test], first: int, last: int) -> list[i
     names = list({t.column for t in tests})
     known = (ds.field("page") >= first) & (ds.field("page") < last) & ds.field("field").isin(names)
     out: set[int] = set()
-    for batch in ds.dataset(where, filesystem=fs, format="parquet", exclude_invalid_files=True).to_batches(filter=known, batch_size=4096):
-        for row in batch.to_pylist():
-            text = row["low_text"] is not None
-            summary = row | ({"low": row["low_text"], "high": row["high_text"]} if text else {})
-            mine = [t for t in tests if t.column == row["field"]]
-            if not all(_possible(t, summary, text) for t in mine):
-                out.add(row["page"])
+    for run in range(first // SUMMARY_RUN, (last - 1) // SUMMARY_RUN + 1):
+        folder = f"{where}/run={run}"
+        if fs.get_file_info(folder).type != pafs.FileType.Directory:
+            continue  # no page of the run has a summary
+        for batch in ds.dataset(folder, filesystem=fs, format="parquet", exclude_invalid_files=True).to_batches(filter=known, batch_size=256):
+            for row in batch.to_pylist():
+                text = row["low_text"] is not None
+                summary = row | ({"low": row["low_text"], "high": row["high_text"]} if text else {})
+                mine = [t for t in tests if t.column == row["field"]]
+                if not all(_possible(t, summary, text) for t in mine):
+                    out.add(row["page"])
     return [p for p in every if p not in out]
 
 

@@ -169,6 +169,36 @@ def test_without_summary_all_pages_are_read(spark, tmp_path, counting):
     assert len(rows) == raw.where("SRE > 100").count() and len(counting.opened) == -(-raw.count() // 500)
 
 
+def test_a_task_opens_the_summaries_of_its_pages_alone(spark, tmp_path, monkeypatch):
+    import pyarrow.dataset as ds
+
+    root = str(tmp_path)
+    land_layer(spark.range(40).select(F.col("id").alias("OBJECTID")), root, 2)
+    monkeypatch.setattr(L, "SUMMARY_RUN", 4)
+    L.summarize_pages(read_pages(spark, path=root), root, ["OBJECTID"])
+    opened, real = [], ds.dataset
+    monkeypatch.setattr(ds, "dataset", lambda where, **o: opened.append(where) or real(where, **o))
+    only = [L.Test("OBJECTID", "in", (9, 12, 39))]
+    assert L.pages_to_read(root, only, 3, 7) == [4, 6]
+    assert [w.rsplit("/", 1)[1] for w in opened] == ["run=0", "run=1"]
+    assert L.pages_to_read(root, only, 0, 20) == [4, 6, 19]
+    # pages whose run has no summary are read
+    shutil.move(f"{root}/summary/run=2", tmp_path / "aside")
+    assert L.pages_to_read(root, only, 0, 20) == [4, 6, 8, 9, 10, 11, 19]
+
+
+def test_key_lookups_of_a_page_are_bounded_by_its_rows(monkeypatch):
+    held = L.key_filter({1, 500_000})
+    summary = {"rows": 2, "nulls": 0, "low": 1.0, "high": 500_000.0, "keys": held}
+    assert not L.Test("K", "in", tuple(range(10, 14))).possible(summary) and L.Test("K", "in", (2, 500_000)).possible(summary)
+    looked = []
+    monkeypatch.setattr(L, "_cached_hash", lambda k: looked.append(k) or L._hash(k))
+    many = L.Test("K", "in", tuple(range(100_000)))
+    assert many.possible(summary) and not looked  # more keys than the filter has bits: the page is opened
+    assert many.passing([1, -1, None, 99_999]).tolist() == [True, False, False, True] and many._known is many._known
+    assert not many.possible(summary | {"low": 200_000.0})
+
+
 # --- geometry ----------------------------------------------------------------
 
 
